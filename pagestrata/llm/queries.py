@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import op3_lines, op4_rans, op5_counts, op6_decontaminate, op7_quality, op9_packing
+from . import op2_suffixes, op3_lines, op4_rans, op5_counts, op6_decontaminate, op7_quality, op8_neardup, op9_packing, op10_blocks
 from .common import read_table
 
 
+def op2_substring_suffixes(spark, sf_dir):
+    found = op2_suffixes.repeated_bytes(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_line_dedup(spark, sf_dir):
     found = op3_lines.dedup_lines(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -29,17 +34,29 @@ def op7_quality_rules(spark, sf_dir):
     return op7_quality.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_near_duplicates(spark, sf_dir):
+    return op8_neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op9_packing_query(spark, sf_dir):
     return op9_packing.pack(read_table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
 
 
+def op10_substring_blocks(spark, sf_dir):
+    found = op10_blocks.repeated_words(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op2_substring_suffixes": op2_substring_suffixes,
     "op3_line_dedup": op3_line_dedup,
     "op4_token_files": op4_token_files,
     "op5_token_counts": op5_token_counts,
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_packing": op9_packing_query,
+    "op10_substring_blocks": op10_substring_blocks,
 }
 
 ORACLES = {
