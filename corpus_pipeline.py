@@ -2,14 +2,56 @@
 
 from __future__ import annotations
 
-from pagestrata.llm.common import read_table
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES = []
+from pagestrata.llm import op3_lines, op6_decontaminate, op7_quality, op8_neardup, op9_packing
+from pagestrata.llm.common import read_table, shared_dir
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules or the forest reject go."""
+    return op7_quality.good_documents(docs, read_table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that a smaller document holds; n_chars follows."""
+    kept = op3_lines.dedup_lines(docs, carry=True)
+    columns = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return kept.select(*[columns.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies stays."""
+    return op8_neardup.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return op6_decontaminate.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, with their ids, dealt out to sequences."""
+    return op9_packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
+
+#: Neither the forest nor the ids can be had in SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        out = shared_dir(spark)
+        stage(spark, docs, sf_dir).write.parquet(out)
+        docs = spark.read.parquet(out)
     return docs

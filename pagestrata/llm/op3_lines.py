@@ -22,8 +22,8 @@ def line_key(line):
     return F.translate(F.btrim(line, F.lit(BLANKS)), UPPER, LOWER)
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_lines, n_dropped, kept_text.
+def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """One row per input row: doc_id, n_lines, n_dropped, kept_text, and with `carry` the row itself as the struct `row`.
 
     A line whose key has `min_chars` code points or more and stands in
     `min_docs` or more documents (distinct ids; a null id counts as one id,
@@ -31,7 +31,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
     empty text is one empty line. Rows with one id are one document; repeated
     lines inside the document that keeps them all stay.
     """
-    base = doc_view(docs, id_col, text_col).select("doc_id", "text", F.xxhash64("text").alias("_th"))
+    view = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row")) if carry else doc_view(docs, id_col, text_col)
+    base = view.withColumn("_th", F.xxhash64("text"))
     who = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"))
     lines = (
         base.select("doc_id", "_th", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
@@ -68,6 +69,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
         F.size(split).cast("long").alias("n_lines"),
         F.coalesce(F.size("d.drop"), F.lit(0)).cast("long").alias("n_dropped"),
         kept.alias("kept_text"),
+        *([F.col("b.row").alias("row")] if carry else []),
     )
 
 

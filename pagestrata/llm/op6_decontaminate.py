@@ -11,7 +11,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,19 +76,38 @@ def scan(text: str, auto) -> tuple[int, list[tuple[int, int]], set[str]]:
 OUT = "doc_id long, n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>"
 
 
+def listed_items(benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text", block_bytes: int = 32 << 20) -> list[tuple[str | None, str]]:
+    """The benchmark on the driver; only while its texts fit `block_bytes`."""
+    items = benchmark.select(benchmark[item_col].cast("string").alias("i"), benchmark[item_text].cast("string").alias("t")).where("t is not null").distinct()
+    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    if size > block_bytes:
+        raise ValueError(f"benchmark of {size} bytes: split it by item and scan for each part")
+    return [(r["i"], r["t"]) for r in items.collect()]
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", **how) -> DataFrame:
+    """The rows of docs without any window of an item, as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(listed_items(benchmark, **how))
+    built: list = []
+
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        if not built:
+            built.append(automaton_of([(i or "", t) for i, t in shared.value], window))
+        return pd.Series([not scan(t or "", built[0])[1] for t in texts], dtype=bool)
+
+    return docs.where(clean(docs[text_col].cast("string")))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = 32 << 20) -> DataFrame:
     """doc_id, n_words, n_hit, item_ids (sorted) and the code-point spans of hit words in the original, one row per input row.
 
     A null text has no words; a null item id hits but is not listed; an item
     without words is no item. The benchmark is read to the driver only while
     its words fit `block_bytes`; a larger one raises ValueError and is to be
-    scanned in blocks by decontaminate_blocks.
+    split by item and scanned for in parts.
     """
-    items = benchmark.select(benchmark[item_col].cast("string").alias("i"), benchmark[item_text].cast("string").alias("t")).where("t is not null").distinct()
-    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    if size > block_bytes:
-        raise ValueError(f"benchmark of {size} bytes: use decontaminate_blocks")
-    listed = [(r["i"], r["t"]) for r in items.collect()]
+    listed = listed_items(benchmark, item_col, item_text, block_bytes)
     return _scanned(doc_view(docs, id_col, text_col), listed, window)
 
 

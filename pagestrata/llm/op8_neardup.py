@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .common import BASES, doc_view, gram_hashes, mix, slices, span_hashes, text_key, words_of, written
 from .components import components
 
+WORDY = r"[^\x20\x09-\x0D]"
 FULL = np.uint64((1 << 64) - 1)
 
 
@@ -182,16 +183,9 @@ def verified(blocks: DataFrame, k: int, at_least: float) -> DataFrame:
     return blocks.repartition("block").sortWithinPartitions("block", "role", "fp").select("block", "role", "label", "fp", "text").mapInArrow(run, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, at_least: float = 0.8, sketches: int = 32, picks: int = 4, block: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, class_id), one row per input row: the class's smallest doc_id.
-
-    Exact copies and texts linked by a chain of similarities share a class. A
-    text without words (null and empty ones too) is alone: its class is its own
-    id. A null id belongs to its text's class and is never its name unless all
-    ids are null.
-    """
-    base = text_key(doc_view(docs, id_col, text_col))
-    wordy = base.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+def text_classes(base: DataFrame, k: int = 5, at_least: float = 0.8, sketches: int = 32, picks: int = 4, block: int = 128) -> DataFrame:
+    """base (doc_id, text, fp) to (fp, class_id, names): each text with words, its class, and whether it is the one the class is named by."""
+    wordy = base.where(F.col("text").rlike(WORDY))
     reps = wordy.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     sigs = written(sketch_table(wordy, k, sketches, picks))
     spread = sigs.groupBy("sig").agg(F.min("fp").alias("hub"), F.max("fp").alias("last")).where("hub != last")
@@ -225,6 +219,30 @@ def near_duplicates(docs: DataFrame, k: int = 5, at_least: float = 0.8, sketches
     labels = components(links.union(more))
 
     classes = written(reps.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "rep", F.coalesce("label", "fp").alias("label")))
-    smallest = written(classes.groupBy("label").agg(F.min("rep").alias("class_id")))
-    of = written(classes.join(smallest, "label").select("fp", "class_id"))
-    return base.join(of, "fp", "left").select("doc_id", F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+    first = F.struct(F.col("rep").isNull(), F.col("rep"), F.col("fp"))
+    return written(classes.join(written(classes.groupBy("label").agg(F.min(first).alias("m"))), "label").select("fp", F.col("m.rep").alias("class_id"), (F.col("fp") == F.col("m.fp")).alias("names")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """(doc_id, class_id), one row per input row: the class's smallest doc_id.
+
+    Exact copies and texts linked by a chain of similarities share a class. A
+    text without words (null and empty ones too) is alone: its class is its own
+    id. A null id belongs to its text's class and is never its name unless all
+    ids are null. `how` is for text_classes.
+    """
+    base = text_key(doc_view(docs, id_col, text_col))
+    return base.join(text_classes(base, **how), "fp", "left").select("doc_id", F.when(F.col("text").rlike(WORDY), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of docs that name their class, one each, as they are; rows without words all stay."""
+    base = text_key(docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row")))
+    of = text_classes(base.select("doc_id", "text", "fp"), **how)
+    named = of.where("names").select(F.col("fp").alias("k"), "class_id")
+    wordy = F.col("text").rlike(WORDY)
+    kept = base.where(wordy).join(named, (F.col("fp") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("class_id")), "left_semi")
+    same = base.where(wordy).groupBy("fp", "doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    if same:  # rows that agree in id and text: one of them stays
+        kept = kept.dropDuplicates(["fp"])
+    return kept.select("row.*").unionByName(base.where(~wordy).select("row.*"))

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import op2_suffixes, op3_lines, op4_rans, op5_counts, op6_decontaminate, op7_quality, op8_neardup, op9_packing, op10_blocks
+from . import op1_pii, op2_suffixes, op3_lines, op4_rans, op5_counts, op6_decontaminate, op7_quality, op8_neardup, op9_packing, op10_blocks
 from .common import read_table
 
 
+def op1_pii_query(spark, sf_dir):
+    return op1_pii.digest(op1_pii.find_pii(read_table(spark, sf_dir, "documents")))
+
+
 def op2_substring_suffixes(spark, sf_dir):
     found = op2_suffixes.repeated_bytes(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -48,6 +52,7 @@ def op10_substring_blocks(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_pii": op1_pii_query,
     "op2_substring_suffixes": op2_substring_suffixes,
     "op3_line_dedup": op3_line_dedup,
     "op4_token_files": op4_token_files,
