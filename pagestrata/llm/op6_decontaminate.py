@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import doc_view
 
-WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+#: Words of a text before A-Z are lower-cased.
+WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 #: Bytes to a lower-case word byte, or to a blank.
 FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
