@@ -8,5 +8,21 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
+def query(sql: str | None = None, name: str | None = None):
+    """Registers a function of (spark, sf_dir) under its name."""
+
+    def add(f):
+        key = name or f.__name__
+        QUERIES[key] = f
+        if sql:
+            ORACLES[key] = sql
+        return f
+
+    return add
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return QUERIES["topic_intervals"](spark, sf_dir)
+
+
+from . import text_queries, window_queries, relational_queries  # noqa: E402, F401
