@@ -20,8 +20,20 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+#: Texts in an Arrow batch. Spark's own default takes ten times as many, with long texts a large part of a small executor.
+BATCH_ROWS = "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the batch size unless the session names one of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def doc_view(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) with null texts as empty; other columns, whatever their names, are left out."""
+    small_batches(docs.sparkSession)
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
 
 

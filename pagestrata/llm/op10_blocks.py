@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BASES, doc_view, gram_hashes, mix, words_of, written
+from .op2_suffixes import context_key, contexts
 from .repeats import Anchors, Words, cover, distinct_texts, emitted, is_live, keyed, live_texts, occurrence, twice
 
 
@@ -85,31 +86,68 @@ def repeated_words(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     of_text = probe_rows.select("g", "fk").join(hits, "g").groupBy("fk").agg(F.collect_set("g").alias("hits"))
     hit_texts = written(texts.join(of_text, "fk").select("fk", "text", "live", "hits"))
 
-    def extended(batch, data, offs):
-        parts = [(np.zeros(0, np.int64),) * 4]
-        for d, key, symbols, covered in per_text(batch, data, offs):
-            if len(symbols) < window:
-                continue
-            own = batch.column(3)[d].values.to_numpy(zero_copy_only=False)
-            hit = np.zeros(len(symbols), bool)
-            grams = gram_hashes(symbols, block).view(np.int64)
-            hit[: len(grams)] = _in(grams, own)
-            # A repeat holds a block of its own or of its other place, so some run of `block` words in it hits.
-            some = np.concatenate([[0], np.cumsum(hit)])
-            at = np.arange(len(symbols) - window + 1)
-            at = at[(some[at + window - block + 1] - some[at] > 0)]
-            at = at[_in(at, _runs(covered, window))]
-            if len(at):
-                w1, w2 = _window_hashes(symbols, window)
-                k = np.full(len(at), key, np.uint64)
-                parts.append((w1[at].view(np.int64), w2[at].view(np.int64), k.view(np.int64), occurrence(k, at)))
-        yield rows_of(parts, ["w1", "w2", "fk", "occ"])
+    def contexts_of(a: Anchors, which: np.ndarray) -> list[tuple[int, int, int, bytes]]:
+        """(anchor, first window, end of the last one, key) of the chosen anchors; the key is of all words from one to the other."""
+        out = []
+        for k, _, lo, hi, off in contexts(a, window, which):
+            out.append((k, lo, hi, context_key(int(a.hash[k].view(np.int64)), off, a.symbols[lo:hi].tobytes())))
+        return out
 
-    windows = emitted(hit_texts, extended, "w1 long, w2 long, fk long, occ long")
+    def hit_contexts(batch, data, offs):
+        a = Anchors(of, data, offs)
+        fk = _keys(batch)
+        live = is_live(a, batch.column(2))
+        hit = np.zeros(len(a.symbols) + 1, bool)
+        grams = gram_hashes(a.symbols, block).view(np.int64)
+        for d in range(len(fk)):
+            lo, hi = a.first[d], max(a.first[d], a.first[d + 1] - block + 1)
+            hit[lo:hi] = _in(grams[lo:hi], batch.column(3)[d].values.to_numpy(zero_copy_only=False))
+        some = np.concatenate([[0], np.cumsum(hit)])
+        # A repeat holds a block of its own or of its other place, so a run of `block` words in it hits.
+        held = some[a.window + window - block + 1] > some[a.window]
+        which = np.flatnonzero(live & (np.bincount(a.run, weights=held, minlength=len(a.place)) > 0)) if len(a.place) else a.place
+        found = contexts_of(a, which)
+        own = fk[a.doc[which]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a.hash[which].view(np.int64)), pa.array([f[3] for f in found], pa.binary()), pa.array(own.view(np.int64)), pa.array(occurrence(own, a.place[which] - a.first[:-1][a.doc[which]]))],
+            names=["h", "key", "fk", "occ"],
+        )
+
+    # Equal surroundings of an anchor are settled by their count; of different ones of one anchor's words each is
+    # extended, at one of its places, to all its windows.
+    rows = emitted(hit_texts, hit_contexts, "h long, key binary, fk long, occ long")
+    kinds = written(rows.groupBy("h", "key").agg(F.min("occ").alias("lo"), F.max("occ").alias("hi")))
+    several = kinds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    open_ = written(kinds.join(several, "h").select("key", F.lit(True).alias("open")))
+    settled = written(kinds.join(open_, "key", "left").select("key", (F.col("lo") != F.col("hi")).alias("whole"), "lo", F.coalesce("open", F.lit(False)).alias("open")).where("whole or open"))
+    mark = F.struct("key", "whole", (F.col("open") & (~F.col("whole") | (F.col("occ") == F.col("lo")))).alias("told"))
+    marks = written(rows.select("key", "fk", "occ").join(settled, "key").groupBy("fk").agg(F.collect_set(mark).alias("marks")))
+    marked = written(hit_texts.join(marks, "fk").select("fk", "text", "live", "marks"))
+
+    def extended(batch, data, offs):
+        a = Anchors(of, data, offs)
+        fk = _keys(batch)
+        live = np.flatnonzero(is_live(a, batch.column(2)))
+        listed = [{m["key"]: m["whole"] for m in batch.column(3)[d].as_py() if m["told"]} for d in range(len(fk))]
+        parts = [(np.zeros(0, np.int64),) * 4 + (np.zeros(0, bool),)]
+        if any(listed):
+            w1, w2 = _window_hashes(a.symbols, window)
+            for k, lo, hi, key in contexts_of(a, live[np.array([bool(listed[d]) for d in a.doc[live]], dtype=bool)]):
+                d = a.doc[k]
+                if key in listed[d]:
+                    at = np.arange(lo, hi - window + 1)
+                    name = np.frombuffer(key, np.uint64)[0]
+                    parts.append((w1[at].view(np.int64), w2[at].view(np.int64), np.full(len(at), fk[d]).view(np.int64), occurrence(np.full(len(at), name), at - lo), np.full(len(at), not listed[d][key])))
+        yield rows_of(parts, ["w1", "w2", "fk", "occ", "asked"])
+
+    windows = emitted(marked, extended, "w1 long, w2 long, fk long, occ long, asked boolean")
     repeated = twice(windows, "w1", "w2")
-    found = windows.select("w1", "w2", "fk").join(repeated, ["w1", "w2"]).groupBy("fk").agg(F.collect_set(F.struct("w1", "w2")).alias("windows"))
-    state = written(reps.join(found, "fk", "left").where("copies > 1 or windows is not null").select(F.col("fk").alias("k"), F.col("fp").alias("p"), (F.col("copies") > 1).alias("copied"), "windows"))
-    joined = base.join(state, (F.col("fk") == F.col("k")) & (F.col("fp") == F.col("p")), "left").select("doc_id", "text", F.coalesce("copied", F.lit(False)).alias("copied"), "windows")
+    found = written(windows.where("asked").select("w1", "w2", "fk").join(repeated, ["w1", "w2"]).groupBy("fk").agg(F.collect_set(F.struct("w1", "w2")).alias("windows")))
+    told = marked.select("fk", "live", F.transform(F.filter("marks", lambda m: m["whole"]), lambda m: m["key"]).alias("wholes"))
+    state = written(
+        reps.join(told, "fk", "left").join(found, "fk", "left").where("copies > 1 or windows is not null or size(wholes) > 0").select(F.col("fk").alias("k"), F.col("fp").alias("p"), (F.col("copies") > 1).alias("copied"), "windows", "live", "wholes")
+    )
+    joined = base.join(state, (F.col("fk") == F.col("k")) & (F.col("fp") == F.col("p")), "left").select("doc_id", "text", F.coalesce("copied", F.lit(False)).alias("copied"), "windows", "live", "wholes")
 
     def run(batches):
         for batch in batches:
@@ -124,12 +162,19 @@ def repeated_words(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
                 if n >= window:
                     if batch.column(2)[k].as_py():
                         gone[:] = True
-                    elif batch.column(3)[k].is_valid:
-                        own = batch.column(3)[k].values
-                        w1, w2 = _window_hashes(of.symbols(data, offs)[0], window)
-                        pairs = np.rec.fromarrays([own.field(0).to_numpy(), own.field(1).to_numpy()])
-                        hit = np.isin(np.rec.fromarrays([w1.view(np.int64), w2.view(np.int64)]), pairs)
-                        gone = cover(n, np.flatnonzero(hit), window)
+                    else:
+                        hit = []
+                        if batch.column(3)[k].is_valid:
+                            own = batch.column(3)[k].values
+                            w1, w2 = _window_hashes(of.symbols(data, offs)[0], window)
+                            pairs = np.rec.fromarrays([own.field(0).to_numpy(), own.field(1).to_numpy()])
+                            hit.append(np.flatnonzero(np.isin(np.rec.fromarrays([w1.view(np.int64), w2.view(np.int64)]), pairs)))
+                        if batch.column(5)[k].is_valid and len(batch.column(5)[k].values):
+                            wholes = set(batch.column(5)[k].as_py())
+                            a = Anchors(of, data, offs)
+                            hit += [np.arange(lo, hi - window + 1) for _, lo, hi, key in contexts_of(a, np.flatnonzero(is_live(a, batch.column(4).slice(k, 1)))) if key in wholes]
+                        if hit:
+                            gone = cover(n, np.unique(np.concatenate(hit)), window)
                 n_words.append(n)
                 n_removed.append(int(gone.sum()))
                 if gone.any():

@@ -99,15 +99,18 @@ def disclosing(found: DataFrame, reach: int, support: int, disclosure: float, br
     near = written(hits.select("th", entity(F.col("s")).alias("e"), around.alias("around")).select("th", "e", F.xxhash64("around").alias("ctx"), terms(F.col("around")).alias("ts")))
     n_e = near.groupBy("e").agg(F.count_distinct("th").alias("n_e"), F.count_distinct("ctx").alias("k")).where(F.col("k") >= support)
     pairs = near.join(n_e, "e").select("th", "e", "ctx", "n_e", F.explode("ts").alias("t")).groupBy("t", "e").agg(F.first("n_e").alias("n_e"), F.count_distinct("th").alias("n_te"), F.count_distinct("ctx").alias("k")).where(F.col("k") >= support)
-    pairs = written(pairs)
+    total = F.lit(float(max(found.select("th").distinct().count(), 1)))
+    # A term's documents are at least those it stands in near any entity: what then can't reach the threshold goes.
+    least = near.select("th", F.explode("ts").alias("t")).groupBy("t").agg(F.count_distinct("th").alias("least"))
+    ic = F.log2(total / F.col("n_e"))
+    pmi = lambda n_t: F.log2(F.col("n_te") * total / (F.col("n_e") * F.col(n_t)))
+    tells = lambda n_t: (ic > 0) & (pmi(n_t) >= F.lit(disclosure) * ic)
+    pairs = written(pairs.join(least, "t").where(tells("least")).select("t", "e", "n_e", "n_te"))
     cand = pairs.select("t").distinct()
     n_cand = cand.count()
-    total = found.select("th").distinct().count() if n_cand else 0
     side = F.broadcast(cand) if n_cand <= broadcast_rows else cand  # at most so many terms of 64 letters
     n_t = found.select("th", F.explode(terms(F.col("text"))).alias("t")).join(side, "t").groupBy("t").agg(F.count_distinct("th").alias("n_t"))
-    ic = F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
-    pmi = F.log2(F.col("n_te") * F.lit(float(max(total, 1))) / (F.col("n_e") * F.col("n_t")))
-    told = pairs.join(n_t, "t").where((ic > 0) & (pmi >= F.lit(disclosure) * ic)) if n_cand else pairs.limit(0)
+    told = pairs.join(n_t, "t").where(tells("n_t")) if n_cand else pairs.limit(0)
     return written(told.select("t").distinct())
 
 

@@ -136,9 +136,10 @@ def sketch_table(base: DataFrame, k: int, sketches: int, picks: int) -> DataFram
 
 
 def verified(blocks: DataFrame, k: int, at_least: float) -> DataFrame:
-    """Links (a, b) inside blocks. blocks: block binary, role int (0: compared with all of role 1), label binary, fp binary, text string.
+    """Links (a, b) inside blocks. blocks: block binary, role int (0: compared with all of role 1), label binary, fp binary, text string, and maybe ks.
 
-    A pair of one label needs no comparison; once a link joins two labels in a
+    ks: the keys under which a text stands, in one order for all; a pair is
+    compared under its first common one only. A pair of one label needs no comparison; once a link joins two labels in a
     block, they count as one there.
     """
 
@@ -153,16 +154,23 @@ def verified(blocks: DataFrame, k: int, at_least: float) -> DataFrame:
                     x = done[x]
                 return x
 
-            out = []
+            out, listed = [], {}
             grams = {}
-            for _, _, fp, text in held:
+            key = int(block.split(b":")[0]) if held[0][4] is not None else None
+            for _, _, fp, text, ks in held:
                 if fp not in grams:
+                    listed[fp] = ks and (ks, set(ks))
                     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
                     g = kmers(raw, np.array([0, len(raw)]), k)[0]
                     grams[fp] = (g, np.argsort(g))
-            for _, la, fa, _ in (h for h in held if h[0] == 0):
-                for _, lb, fb, _ in (h for h in held if h[0] == 1):
-                    if fa != fb and root(la) != root(lb) and similarity(grams[fa][0], grams[fb][0], at_least, grams[fa][1]):
+            told = [h for h in held if h[0] == 1]
+            for _, la, fa, _, ka in (h for h in held if h[0] == 0):
+                for _, lb, fb, _, kb in told:
+                    if fa == fb or root(la) == root(lb):
+                        continue
+                    if key is not None and next(filter(listed[fb][1].__contains__, ka)) != key:
+                        continue
+                    if similarity(grams[fa][0], grams[fb][0], at_least, grams[fa][1]):
                         out.append((fa, fb))
                         done[root(la)] = root(lb)
             return out
@@ -171,19 +179,65 @@ def verified(blocks: DataFrame, k: int, at_least: float) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([a for a, _ in pairs], pa.binary()), pa.array([b for _, b in pairs], pa.binary())], names=["a", "b"])
 
         for batch in batches:
-            for b, role, label, fp, text in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for b, role, label, fp, text, ks in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if b != block:
                     if held and (pairs := compare()):
                         yield rows(pairs)
                     block, held = b, []
-                held.append((role, label, fp, text))
+                held.append((role, label, fp, text, ks))
         if held and (pairs := compare()):
             yield rows(pairs)
 
-    return blocks.repartition("block").sortWithinPartitions("block", "role", "fp").select("block", "role", "label", "fp", "text").mapInArrow(run, "a binary, b binary")
+    if "ks" not in blocks.columns:
+        blocks = blocks.withColumn("ks", F.lit(None).cast("array<long>"))
+    return blocks.repartition("block").sortWithinPartitions("block", "role", "fp").select("block", "role", "label", "fp", "text", "ks").mapInArrow(run, "a binary, b binary")
 
 
-def text_classes(base: DataFrame, k: int = 5, at_least: float = 0.8, sketches: int = 32, picks: int = 4, block: int = 128) -> DataFrame:
+def hub_blocks(pairs: DataFrame, block: int) -> DataFrame:
+    """(block, role, label, fp) for verified: each hub against its texts, dealt out `block` at a time. Written."""
+    sizes = written(pairs.groupBy("hub").agg(F.count("*").alias("n")).select("hub", F.ceil(F.col("n") / block).cast("int").alias("parts")))
+    name = lambda p: F.concat("hub", F.encode(p.cast("string"), "utf-8")).alias("block")
+    mine = pairs.join(sizes, "hub").select(name(F.pmod(F.xxhash64("fp"), F.col("parts"))), F.lit(1).alias("role"), F.col("fp").alias("label"), "fp")
+    hubs = sizes.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p")).select(name(F.col("p")), F.lit(0).alias("role"), F.col("hub").alias("label"), F.col("hub").alias("fp"))
+    return written(mine.union(hubs))
+
+
+def rare_kmers(texts: DataFrame, k: int, at_least: float) -> DataFrame:
+    """(fp, label, ks): each text's rarest k-mers, so many that two texts of the similarity share one of them. Written.
+
+    Of a text's n k-mers a similar one shares at_least * n or more, so it shares
+    one of the first n - ceil(at_least * n) + 1 in any order that holds for all.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, data, offs in slices(batch.column(2)):
+                grams, upto = kmers(data, offs, k)
+                rows = pa.array(np.repeat(np.arange(hi - lo), np.diff(upto)))
+                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), batch.column(0).slice(lo, hi - lo).take(rows), batch.column(1).slice(lo, hi - lo).take(rows)], names=["key", "fp", "label"])
+
+    rows = texts.select("fp", "label", "text").mapInArrow(run, "key long, fp binary, label binary")
+    held = written(rows.groupBy("key").agg(F.count("*").alias("df")))
+    ranked = rows.join(held, "key").groupBy("fp", "label").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("ks"))
+    n = F.size("ks")
+    first = F.slice("ks", F.lit(1), (n - F.ceil(n * F.lit(at_least) - 1e-9) + 1).cast("int"))
+    return written(ranked.select("fp", "label", F.transform(first, lambda s: s["key"]).alias("ks")))
+
+
+def cells(groups: DataFrame, block: int) -> DataFrame:
+    """(block, role, label, fp) for verified: in each key's group with several labels, texts outside the largest label against all, `block` by `block`."""
+    per_label = groups.groupBy("key", "label").agg(F.count("*").alias("n"))
+    mixed = per_label.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("all"), F.max("n").alias("top"), F.count("*").alias("labels")).where("labels > 1")
+    mixed = written(mixed.select("key", "most", F.ceil(F.col("all") / block).cast("int").alias("cols"), F.ceil((F.col("all") - F.col("top")) / block).cast("int").alias("rows")))
+    cross = groups.join(mixed, "key").withColumn("h", F.xxhash64("fp"))
+    row, col = F.pmod("h", "rows"), F.pmod(F.shiftright("h", 32), "cols")
+    asks = cross.where("label != most").select(F.lit(0).alias("role"), "label", "fp", "key", row.alias("r"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("c"))
+    told = cross.select(F.lit(1).alias("role"), "label", "fp", "key", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("r"), col.alias("c"))
+    name = F.concat_ws(":", F.col("key").cast("string"), F.col("r").cast("string"), F.col("c").cast("string")).cast("binary")
+    return asks.unionByName(told).select(name.alias("block"), "role", "label", "fp")
+
+
+def text_classes(base: DataFrame, k: int = 5, at_least: float = 0.8, sketches: int = 32, picks: int = 4, block: int = 128, rounds: int = 2) -> DataFrame:
     """base (doc_id, text, fp) to (fp, class_id, names): each text with words, its class, and whether it is the one the class is named by."""
     wordy = base.where(F.col("text").rlike(WORDY))
     reps = wordy.groupBy("fp").agg(F.min("doc_id").alias("rep"))
@@ -196,26 +250,26 @@ def text_classes(base: DataFrame, k: int = 5, at_least: float = 0.8, sketches: i
     i = involved.select(F.col("fp").alias("ifp"), "rep")
     texts = written(wordy.join(i, (F.col("fp") == F.col("ifp")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("fp", "text"))
 
-    # Each text against the hubs of its buckets; a hub's texts are dealt out in blocks.
-    sizes = pairs.groupBy("hub").agg(F.count("*").alias("n")).select("hub", F.ceil(F.col("n") / block).cast("int").alias("parts"))
-    dealt = pairs.join(written(sizes), "hub").select(F.concat("hub", F.encode(F.pmod(F.xxhash64("fp"), F.col("parts")).cast("string"), "utf-8")).alias("block"), "fp", "hub")
-    mine = dealt.select("block", F.lit(1).alias("role"), F.col("fp").alias("label"), "fp")
-    hubs = sizes.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p")).select(F.concat("hub", F.encode(F.col("p").cast("string"), "utf-8")).alias("block"), F.lit(0).alias("role"), F.col("hub").alias("label"), F.col("hub").alias("fp"))
-    links = written(verified(written(mine.union(hubs)).join(texts, "fp"), k, at_least))
+    links = written(verified(hub_blocks(pairs, block).join(texts, "fp"), k, at_least))
     labels = components(links)
-
-    # What is left of several classes in one bucket is compared across.
-    named = written(members.select("sig", "fp").join(labels, F.col("fp") == F.col("node"), "left").select("sig", "fp", F.coalesce("label", "fp").alias("label")))
-    per_label = named.groupBy("sig", "label").agg(F.count("*").alias("n"))
-    mixed = per_label.groupBy("sig").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("all"), F.max("n").alias("top"), F.count("*").alias("labels")).where("labels > 1")
-    mixed = written(mixed.select("sig", "most", F.ceil(F.col("all") / block).cast("int").alias("cols"), F.ceil((F.col("all") - F.col("top")) / block).cast("int").alias("rows")))
-    cross = named.join(mixed, "sig").withColumn("h", F.xxhash64("fp"))
-    cell = lambda r, c: F.concat_ws(":", F.col("sig").cast("string"), r.cast("string"), c.cast("string")).cast("binary").alias("block")
-    row, col = F.pmod("h", "rows"), F.pmod(F.shiftright("h", 32), "cols")
-    asks = cross.where("label != most").select(F.lit(0).alias("role"), "label", "fp", "sig", row.alias("r"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("c"))
-    told = cross.select(F.lit(1).alias("role"), "label", "fp", "sig", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("r"), col.alias("c"))
-    cells = written(asks.unionByName(told).select(cell(F.col("r"), F.col("c")), "role", "label", "fp"))
-    more = written(verified(cells.join(texts, "fp"), k, at_least))
+    for turn in range(rounds):  # in large buckets that still hold several classes, other hubs, one for each bucket
+        named = written(members.join(labels, F.col("fp") == F.col("node"), "left").select("sig", "fp", F.coalesce("label", "fp").alias("label")))
+        by = F.struct(F.xxhash64("sig", "fp", F.lit(turn)).alias("h"), F.col("fp").alias("hub"), F.col("label").alias("hub_label"))
+        mixed = written(named.groupBy("sig").agg(F.count("*").alias("n"), F.min("label").alias("one"), F.max("label").alias("other"), F.min(by).alias("m")).where((F.col("one") != F.col("other")) & (F.col("n") > block)).select("sig", "m.hub", "m.hub_label"))
+        pairs = written(named.join(mixed, "sig").where("label != hub_label").select("fp", "hub").distinct())
+        links = links.union(written(verified(hub_blocks(pairs, block).join(texts, "fp"), k, at_least)))
+        labels = components(links)
+
+    # What is left of several classes in one bucket is compared across: at once where a block holds the bucket, else
+    # among texts that share one of their rarest k-mers, as any two of this similarity do.
+    named = written(members.select("sig", "fp").join(labels, F.col("fp") == F.col("node"), "left").select(F.col("sig").alias("key"), "fp", F.coalesce("label", "fp").alias("label")))
+    mixed = written(named.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("one"), F.max("label").alias("other")).where("one != other"))
+    small = named.join(mixed.where(F.col("n") <= block).select("key"), "key")
+    crowd = written(named.join(mixed.where(F.col("n") > block).select("key"), "key").select("fp", "label").distinct())
+    rare = rare_kmers(crowd.join(texts, "fp"), k, at_least)
+    one = written(cells(small, block)).join(texts, "fp").withColumn("ks", F.lit(None).cast("array<long>"))
+    two = written(cells(rare.select(F.explode("ks").alias("key"), "fp", "label"), block)).join(texts.join(rare.select("fp", "ks"), "fp"), "fp")
+    more = written(verified(one.unionByName(two), k, at_least))
     labels = components(links.union(more))
 
     classes = written(reps.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "rep", F.coalesce("label", "fp").alias("label")))
