@@ -66,51 +66,56 @@ class DiskBuckets:
 
 
 class DiskHeap:
-    """A heap of integer tuples; the larger half goes to a sorted file when over `most` are held."""
+    """Tuples (order key, place, common) out in ascending order of key, first in first out among equals.
+
+    A heap holds the keys, each with its own queue; the queues of the larger
+    half of the keys go to files when over `most` tuples are held.
+    """
 
     def __init__(self, workdir: str, most: int):
-        self.heap: list[tuple] = []
-        self.runs: list = []  # [head, iterator]
-        self.workdir, self.most = workdir, most
-
-    def push(self, item: tuple) -> None:
-        heapq.heappush(self.heap, item)
-        if len(self.heap) > self.most:
-            items = sorted(self.heap)
-            half = len(items) // 2
-            self.heap = items[:half]
-            run = self._run(np.array(items[half:], dtype=np.int64))
-            heapq.heappush(self.runs, (next(run), len(self.runs), run))
-
-    def _run(self, rows: np.ndarray):
-        fd, name = tempfile.mkstemp(dir=self.workdir, suffix=".npy")
-        os.close(fd)
-        np.save(name, rows)
-        n, width = len(rows), 8192
-
-        def read():
-            try:
-                for k in range(0, n, width):
-                    yield from map(tuple, np.load(name, mmap_mode="r")[k : k + width].tolist())
-            finally:
-                os.unlink(name)
+        self.keys: list[int] = []
+        self.queues: dict[int, list] = {}
+        self.files: dict[int, list[str]] = {}
+        self.workdir, self.most, self.n = workdir, most, 0
 
-        return read()
+    def push(self, key: int, place: int, common: int) -> None:
+        q = self.queues.get(key)
+        if q is None:
+            self.queues[key] = [(place, common)]
+            heapq.heappush(self.keys, key)
+        else:
+            q.append((place, common))
+        self.n += 1
+        if self.n > self.most:
+            self._spill()
 
-    def peek(self):
-        a = self.heap[0] if self.heap else None
-        b = self.runs[0][0] if self.runs else None
-        return a if b is None or (a is not None and a < b) else b
+    def _spill(self) -> None:
+        order = sorted(k for k, q in self.queues.items() if q)
+        for key in order[len(order) // 2 :] if len(order) > 1 else ():
+            q = self.queues[key]
+            fd, name = tempfile.mkstemp(dir=self.workdir, suffix=".npy")
+            os.close(fd)
+            np.save(name, np.array(q, dtype=np.int64))
+            self.files.setdefault(key, []).append(name)
+            self.n -= len(q)
+            q.clear()
+        self.most = max(self.most, 2 * self.n)
+
+    def take(self, key: int) -> list[tuple[int, int]]:
+        """All tuples of a key so far."""
+        out: list[tuple[int, int]] = []
+        for name in self.files.pop(key, ()):
+            out += map(tuple, np.load(name).tolist())
+            os.unlink(name)
+        q = self.queues[key]
+        self.n -= len(q)
+        out += q
+        self.queues[key] = []
+        return out
 
-    def pop(self) -> tuple:
-        if self.runs and (not self.heap or self.runs[0][0] < self.heap[0]):
-            head, k, run = self.runs[0]
-            if (nxt := next(run, None)) is None:
-                heapq.heappop(self.runs)
-            else:
-                heapq.heapreplace(self.runs, (nxt, k, run))
-            return head
-        return heapq.heappop(self.heap)
+    def done(self, key: int) -> None:
+        heapq.heappop(self.keys)
+        del self.queues[key]
 
 
 def types(s: np.ndarray) -> np.ndarray:
@@ -268,124 +273,87 @@ class _Since:
         return self.value[bisect_right(self.at, moment)]
 
 
-def induce_names(s: list[int], is_s: list[bool], seeds: list[int], seed_common: list[int] | None, workdir: str, most: int):
+def induce_names(s: list[int], seeds: list[int], seed_common: list[int], workdir: str, most: int):
     """As induce_bytes, over names: every suffix passes through a heap of tuples."""
-    carry = seed_common is not None
+    n = len(s)
 
     def lcp(a: int, b: int) -> int:
-        k, n = 0, len(s)
+        k = 0
         while a + k < n and b + k < n and s[a + k] == s[b + k]:
             k += 1
         return k
 
-    heap, since, sent = DiskHeap(workdir, most), _Since(), {}
-    big: list[tuple] = []  # (symbol, place, common)
-    count = k = 0
-    heap.push((s[-1], 0, len(s) - 1, 0))
-    sent[s[-1]] = -1
-    since_base = 1
-    since.see(0)
-    last_symbol = last_place = -1
-    while True:
-        top = heap.peek()
-        if top is not None and (k == len(seeds) or top[0] <= s[seeds[k]]):
-            c, _, i, v = heap.pop()
-            big.append((c, i, v))
-            last_symbol, last_place = c, i
-            want_equal = True
-        elif k < len(seeds):
-            i = seeds[k]
-            c = s[i]
-            if carry:
-                v = seed_common[k] if k and s[seeds[k - 1]] == c else 0
-                if last_symbol == c and not (k and s[seeds[k - 1]] == c):
-                    v = lcp(last_place, i)
-            else:
-                v = 0
-            k += 1
-            want_equal = False
-        else:
-            break
-        if carry:
-            since.see(v)
-        if i and (s[i - 1] > c or (want_equal and s[i - 1] == c)):
-            d = s[i - 1]
-            count += 1
-            if carry:
-                w = since.after(sent[d]) + 1 if d in sent else 0
-                sent[d] = since.n - 1
-            else:
-                w = 0
-            heap.push((d, count, i - 1, w))
-    heap, since, sent = DiskHeap(workdir, most), _Since(), {}
-    out: list[tuple] = []
-    count, k = 0, len(big) - 1
-    small_place = small_symbol = -1
-    while True:
-        top = heap.peek()
-        if top is not None and (k < 0 or -top[0] >= big[k][0]):
-            c, _, i, v = heap.pop()
-            c = -c
-            out.append((i, v, True))
-            small_symbol, small_place = c, i
-            limit = c
-        elif k >= 0:
-            c, i, own = big[k]
-            if k + 1 < len(big) and big[k + 1][0] == c:
-                v = big[k + 1][2]
-            else:
-                v = lcp(i, small_place) if carry and small_symbol == c else 0
-            out.append((i, v, False))
-            k -= 1
-            limit = c - 1
-        else:
-            break
-        if carry:
-            since.see(v)
-        if i and s[i - 1] <= limit:
-            d = s[i - 1]
-            count += 1
-            if carry:
-                w = since.after(sent[d]) + 1 if d in sent else 0
-                sent[d] = since.n - 1
-            else:
-                w = 0
-            heap.push((-d, count, i - 1, w))
-    places = [i for i, _, _ in out][::-1]
-    common = [0, *[v for _, v, _ in out][:0:-1]]
+    def scan(sign: int, given, equal_first: bool):
+        """Visits the heap's tuples of a symbol, then the given ones of it. given: symbol to (places, commons), the first common None for a seam."""
+        heap, since, sent, out = DiskHeap(workdir, most), _Since(), {}, []
+        see, after, push = since.see, since.after, heap.push
+        symbols = sorted(given, reverse=sign < 0)
+        at = 0
+        if sign > 0:
+            push(s[-1], n - 1, 0)
+            see(0)
+            sent[s[-1]] = 0
+        while heap.keys or at < len(symbols):
+            key = heap.keys[0] if heap.keys else None
+            nxt = sign * symbols[at] if at < len(symbols) else None
+            c = sign * (key if nxt is None or (key is not None and key <= nxt) else nxt)
+            last = -1
+            if key == sign * c and key is not None:
+                while got := heap.take(key):
+                    for i, v in got:
+                        out.append((c, i, v, True))
+                        last = i
+                        see(v)
+                        if i and (d := s[i - 1]) * sign >= key:
+                            w = after(sent[d]) + 1 if d in sent else 0
+                            sent[d] = since.n - 1
+                            push(sign * d, i - 1, w)
+                heap.done(key)
+            if nxt == sign * c and nxt is not None:
+                at += 1
+                for i, v in zip(*given[c]):
+                    if v is None:
+                        v = lcp(i, last) if last >= 0 else 0
+                    if not equal_first:
+                        out.append((c, i, v, False))
+                    see(v)
+                    if i and (d := s[i - 1]) * sign > sign * c:
+                        w = after(sent[d]) + 1 if d in sent else 0
+                        sent[d] = since.n - 1
+                        push(sign * d, i - 1, w)
+        return out
+
+    first: dict[int, tuple[list, list]] = {}
+    for i, v in zip(seeds, seed_common):
+        places, commons = first.setdefault(s[i], ([], []))
+        commons.append(v if places else None)
+        places.append(i)
+    large = scan(1, first, True)
+    down: dict[int, tuple[list, list]] = {}
+    for k in range(len(large) - 1, -1, -1):
+        c, i, _, _ = large[k]
+        places, commons = down.setdefault(c, ([], []))
+        commons.append(large[k + 1][2] if places else None)
+        places.append(i)
+    out = scan(-1, down, False)
+    places = [i for _, i, _, _ in out][::-1]
+    common = [0, *[v for _, _, v, _ in out][:0:-1]]
     return places, common
 
 
-def suffix_order(s: np.ndarray, sigma: int, cap: int, workdir: str, most: int = 4 << 20, by_names: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes of s in order, and the common prefix of each with the one before, cut off at cap (254 at most over bytes)."""
+def name_by_scan(s: np.ndarray, lms: np.ndarray, induce) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the LMS substrings, equal for equal ones, in their order: by inducing from unsorted LMS suffixes."""
     n = len(s)
-    if n == 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    is_s = types(s)
-    lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
-    if by_names:
-        listed, flags = s.tolist(), is_s.tolist()
-
-    def induce(seeds, common):
-        if by_names:
-            p, v = induce_names(listed, flags, seeds.tolist(), None if common is None else common.tolist(), workdir, most)
-            return np.array(p, dtype=np.int64), np.array(v, dtype=np.int64)
-        return induce_bytes(s, sigma, seeds, None if common is None else common.astype(np.uint8), cap, workdir, most)
-
-    if len(lms) == 0:
-        return induce(lms, np.zeros(0, np.int64))
-    by_symbol = lms[np.argsort(s[lms], kind="stable")]
-    rough, _ = induce(by_symbol, None)
+    rough, _ = induce(lms[np.argsort(s[lms], kind="stable")], None)
     of = np.full(n, -1, np.int64)
     of[lms] = np.arange(len(lms))
     order = of[rough]
-    order = order[order >= 0]  # LMS substrings in order
+    order = order[order >= 0]
     ends = np.append(lms[1:], n - 1)
     a, b = lms[order[:-1]], lms[order[1:]]
     la, lb = ends[order[:-1]] - a, ends[order[1:]] - b
-    same = la == lb
-    last = len(lms) - 1
-    same &= (order[:-1] != last) & (order[1:] != last)
+    last = len(lms) - 1  # its substring ends with the text, like no other
+    same = (la == lb) & (order[:-1] != last) & (order[1:] != last)
     depth = 0
     going = np.flatnonzero(same)
     while len(going):
@@ -396,6 +364,42 @@ def suffix_order(s: np.ndarray, sigma: int, cap: int, workdir: str, most: int =
         going = going[depth <= la[going]]
     name = np.empty(len(lms), np.int64)
     name[order] = np.concatenate([[0], np.cumsum(~same)])
+    return name, order
+
+
+def name_by_sort(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same over names: the substrings' tuples (symbol, type) are sorted as they are, few of them being long."""
+    raw = (2 * s + 2 + is_s).astype(">u4").tobytes()
+    ends = np.append(lms[1:] + 1, len(s)) * 4
+    keys = [raw[a:b] for a, b in zip((lms * 4).tolist(), ends.tolist())]
+    keys[-1] += bytes(4)  # the end of the text
+    order = sorted(range(len(keys)), key=keys.__getitem__)
+    new = [0] + [int(keys[a] != keys[b]) for a, b in zip(order, order[1:])]
+    name = np.empty(len(lms), np.int64)
+    order = np.array(order, dtype=np.int64)
+    name[order] = np.cumsum(new)
+    return name, order
+
+
+def suffix_order(s: np.ndarray, sigma: int, cap: int, workdir: str, most: int = 4 << 20, by_names: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes of s in order, and the common prefix of each with the one before, cut off at cap (254 at most over bytes)."""
+    n = len(s)
+    if n == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    is_s = types(s)
+    lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
+    if by_names:
+        listed = s.tolist()
+
+    def induce(seeds, common):
+        if by_names:
+            p, v = induce_names(listed, seeds.tolist(), common.tolist(), workdir, most)
+            return np.array(p, dtype=np.int64), np.array(v, dtype=np.int64)
+        return induce_bytes(s, sigma, seeds, None if common is None else common.astype(np.uint8), cap, workdir, most)
+
+    if len(lms) == 0:
+        return induce(lms, np.zeros(0, np.int64))
+    name, order = name_by_sort(s, is_s, lms) if by_names else name_by_scan(s, lms, induce)
     if int(name.max()) + 1 < len(lms):
         order, common_names = suffix_order(name, int(name.max()) + 1, 1 << 62, workdir, most, True)
     else:

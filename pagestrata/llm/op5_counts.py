@@ -90,7 +90,7 @@ def merged_lengths(symbols: np.ndarray, lens: np.ndarray, table: MergeTable) ->
 class MergeCounter(PieceEncoder):
     """Counts instead of ids: the memo holds one number for each piece."""
 
-    def __init__(self, name: str, path: str | None = None, memo: int = 1_500_000):
+    def __init__(self, name: str, path: str | None = None, memo: int = 600_000):
         super().__init__(name, path, memo)
         spec = json.loads(self.tokenizer.to_str())
         model = spec["model"]

@@ -101,7 +101,7 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", path: str | None
                     start = 0
                     for length in cut(n + 1, capacity, min_piece):
                         part = own[start : start + length]
-                        rows += bins.add((doc, start, length, zlib.crc32(part.tobytes()), n + 1, part if with_ids else None), length)
+                        rows += bins.add((doc, start, length, zlib.crc32(part.tobytes()), n + 1, part.copy() if with_ids else None), length)  # a copy, so that an open bin doesn't hold whole documents
                         start += length
                 if rows:
                     yield batch_of(rows)

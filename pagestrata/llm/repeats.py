@@ -22,7 +22,7 @@ BITS = np.uint64(24)
 LOW = np.uint64((1 << 24) - 1)
 
 
-def window_minima(h: np.ndarray, w: int, chunk: int = 1 << 20) -> np.ndarray:
+def window_minima(h: np.ndarray, w: int, chunk: int = 1 << 15) -> np.ndarray:
     """For each run of w hashes the place of its smallest (by its upper 40 bits, the first of equals)."""
     n = len(h) - w + 1
     if n <= 0:
@@ -42,9 +42,12 @@ def window_minima(h: np.ndarray, w: int, chunk: int = 1 << 20) -> np.ndarray:
 
 
 def byte_grams(data: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of all runs of k bytes; k is a power of two."""
-    h = mix(data.astype(np.uint64) + np.uint64(BASES[0]))
-    width = 1
+    """Hashes of all runs of k bytes; k is a power of two, 8 at least."""
+    h = data.astype(np.uint64)
+    for width in (1, 2, 4):  # the eight bytes themselves
+        h = (h[:-width] << np.uint64(8 * width)) | h[width:]
+    h = mix(h + np.uint64(BASES[0]))
+    width = 8
     while width < k:
         h = h[:-width] * np.uint64(BASES[1] | 1) + h[width:] if len(h) > width else h[:0]
         h ^= h >> np.uint64(31)

@@ -93,14 +93,14 @@ class PieceMemo:
 class PieceEncoder:
     """Ids of whole texts, as the library gives them."""
 
-    def __init__(self, name: str, path: str | None = None, memo: int = 1_500_000):
+    def __init__(self, name: str, path: str | None = None, memo: int = 600_000):
         self.tokenizer = load(name, path)
         self.by_word = name.startswith("word_")
         self.memo = PieceMemo(memo)
 
     def encode_column(self, column: pa.Array):
         """For runs of rows: first row, end row, ids of all their texts, ids in each text."""
-        for lo, hi, data, offs in slices(column, 4 << 20):
+        for lo, hi, data, offs in slices(column, 2 << 20):
             raw = data.tobytes()
             if not self.by_word and any(w in raw for w in WIDE_HEADS) and WIDE_SPACE.search(raw):
                 for k in range(lo, hi):
