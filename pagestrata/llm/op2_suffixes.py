@@ -66,8 +66,34 @@ def repeated_bytes(docs: DataFrame, length: int = 200, shard_bytes: int = 4 << 2
     kinds = written(rows.groupBy("h", "off", "key", "ctx").agg((F.min("occ") != F.max("occ")).alias("whole")))
     several = written(kinds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
 
+    def ranges_of(off: int, size: int):
+        """(smallest d, first start, last start) of the context's windows, by ranges of d: the window at s has its anchor at d = off - s."""
+        for d_lo in range(0, length, span):
+            first, last = max(0, off - d_lo - span + 1), min(size - length, off - d_lo)
+            if first <= last:
+                yield d_lo, first, last
+
+    def core_key(h: int, d_lo: int, off: int, ctx: bytes) -> bytes:
+        """Of the bytes that all windows of a range share."""
+        return hashlib.blake2b(ctx[off - d_lo : off - d_lo - span + 1 + length], digest_size=16, key=b"%d:%d" % (h, d_lo)).digest()
+
+    def cores(batches):
+        for batch in batches:
+            names, keys = [], []
+            for h, off, key, ctx in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                for d_lo, _, _ in ranges_of(off, len(ctx)):
+                    names.append(core_key(h, d_lo, off, ctx))
+                    keys.append(key)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(keys, pa.binary())], names=["core", "key"])
+
+    # Contexts of one hash that share no range's core share no window: they need no order.
+    crowded = kinds.join(several, "h")
+    core_rows = crowded.select("h", "off", "key", "ctx").mapInArrow(cores, "core binary, key binary")
+    shared = written(core_rows.groupBy("core").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo != hi").select("core"))
+    open_ = written(core_rows.join(shared, "core").select("key").distinct())
+
     def deal(batches):
-        """Shard keys: the hash, and for a wide one the range of offsets and the bytes all its windows share."""
+        """Shard keys: the hash, and for one with very many contexts also the core of each range."""
         for batch in batches:
             shards, keys, texts_, at = [], [], [], []
             for h, off, key, ctx, n in zip(*(batch.column(i).to_pylist() for i in range(5))):
@@ -77,19 +103,14 @@ def repeated_bytes(docs: DataFrame, length: int = 200, shard_bytes: int = 4 << 2
                     texts_.append(ctx)
                     at.append(0)
                     continue
-                # The window that starts at s has its anchor at d = off - s; all of a range of d hold one core.
-                for d_lo in range(0, length, span):
-                    d_hi = d_lo + span - 1
-                    s_lo, s_hi = max(0, off - d_hi), min(len(ctx) - length, off - d_lo)
-                    if s_lo <= s_hi:
-                        core = ctx[off - d_lo : off - d_hi + length]
-                        shards.append(b"%d:%d:" % (h, d_lo) + hashlib.blake2b(core, digest_size=16).digest())
-                        keys.append(key)
-                        texts_.append(ctx[s_lo : s_hi + length])
-                        at.append(s_lo)
+                for d_lo, first, last in ranges_of(off, len(ctx)):
+                    shards.append(core_key(h, d_lo, off, ctx))
+                    keys.append(key)
+                    texts_.append(ctx[first : last + length])
+                    at.append(first)
             yield pa.RecordBatch.from_arrays([pa.array(shards, pa.binary()), pa.array(keys, pa.binary()), pa.array(texts_, pa.binary()), pa.array(at, pa.int32())], names=["shard", "key", "ctx", "at"])
 
-    dealt = kinds.join(several, "h").select("h", "off", "key", "ctx", "n").mapInArrow(deal, "shard binary, key binary, ctx binary, at int")
+    dealt = crowded.join(open_, "key").select("h", "off", "key", "ctx", "n").mapInArrow(deal, "shard binary, key binary, ctx binary, at int")
 
     def sort(batches):
         """Shards in turn, several small ones in one order: windows of different hashes never are equal."""
