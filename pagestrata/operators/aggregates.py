@@ -59,7 +59,7 @@ GRADES = ((0.95, "우수"), (0.80, "양호"), (0.60, "보통"))
 
 def quality(df: DataFrame, found: str, expected: str, warnings: str, grades: Sequence[tuple[float, str]] = GRADES, lowest: str = "낮음") -> DataFrame:
     """Share of the expected count (1 at most; 0.5 where nothing is expected), less 0.02 a warning, 0.1 at least."""
-    met = F.coalesce(F.least(F.col(found) / F.nullif(F.col(expected), F.lit(0)), F.lit(1.0)), F.lit(0.5))
+    met = F.when(F.col(expected) == 0, 0.5).otherwise(F.least(F.col(found) / F.nullif(F.col(expected), F.lit(0)), F.lit(1.0)))
     out = df.withColumn("score", F.round(F.greatest(met - 0.02 * F.col(warnings), F.lit(0.1)), 4))
     grade = None
     for least, name in grades:

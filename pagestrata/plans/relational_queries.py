@@ -90,7 +90,7 @@ def gen_stats(spark, sf_dir):
 
 
 @query("""WITH c AS (SELECT user_id, count(*) FILTER (event_type = 'purchase') AS found, count(*) // 5 AS expected, count(*) FILTER (event_type = 'error') AS warnings FROM events GROUP BY user_id),
-s AS (SELECT *, round(greatest(coalesce(least(CAST(found AS DOUBLE) / nullif(expected, 0), 1.0), 0.5) - 0.02 * warnings, 0.1), 4) AS score FROM c)
+s AS (SELECT *, round(greatest(CASE WHEN expected = 0 THEN 0.5 ELSE least(CAST(found AS DOUBLE) / nullif(expected, 0), 1.0) END - 0.02 * warnings, 0.1), 4) AS score FROM c)
 SELECT user_id, found, CAST(expected AS BIGINT) AS expected, CAST(score AS DOUBLE) AS score, CASE WHEN score >= 0.95 THEN '우수' WHEN score >= 0.8 THEN '양호' WHEN score >= 0.6 THEN '보통' ELSE '낮음' END AS grade FROM s""")
 def quality_score(spark, sf_dir):
     counts = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count_if(F.expr("event_type = 'purchase'")).alias("found"), F.expr("count(*) div 5").alias("expected"), F.count_if(F.expr("event_type = 'error'")).alias("warnings"))

@@ -12,7 +12,13 @@ from .registry import query
 EV = "ev AS (SELECT user_id, event_id, ts, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pg FROM events)"
 BEFORE = "PARTITION BY user_id ORDER BY pg ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 AFTER = "PARTITION BY user_id ORDER BY pg ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING"
-BUY, SIGN, FAIL = F.col("event_type") == "purchase", F.col("event_type") == "signup", F.col("event_type") == "error"
+
+
+def is_(kind):
+    return F.col("event_type") == kind
+
+
+
 USER = ["user_id"]
 
 
@@ -24,7 +30,7 @@ def _last(ev):
 SELECT e.user_id, e.pg AS page_start, greatest(coalesce(lead(e.pg) OVER (PARTITION BY e.user_id ORDER BY e.pg) - 1, l.last), e.pg) AS page_end FROM ev e JOIN l ON l.user_id = e.user_id WHERE event_type = 'purchase'""")
 def interval_close(spark, sf_dir):
     ev = event_pages(spark, sf_dir)
-    starts = ev.where(BUY).join(_last(ev), "user_id")
+    starts = ev.where(is_("purchase")).join(_last(ev), "user_id")
     return O.close_intervals(starts, USER, "pg", F.col("last")).select("user_id", F.col("pg").alias("page_start"), "page_end")
 
 
@@ -33,20 +39,20 @@ SELECT user_id, pg AS page_start, coalesce(least(nxt, stop) - 1, last) AS page_e
 def interval_close_early_stop(spark, sf_dir):
     ev = event_pages(spark, sf_dir)
     joined = ev.join(_last(ev), "user_id")
-    return O.close_at_blocker(joined, USER, "pg", BUY, FAIL, F.col("last")).select("user_id", "page_start", "page_end")
+    return O.close_at_blocker(joined, USER, "pg", is_("purchase"), is_("error"), F.col("last")).select("user_id", "page_start", "page_end")
 
 
 @query(f"""WITH {EV}, m AS (SELECT *, coalesce(max(CASE WHEN event_type = 'purchase' THEN pg END) OVER ({BEFORE}), 0) AS prev FROM ev),
 s AS (SELECT user_id, prev, min(CASE WHEN event_type = 'signup' THEN pg END) AS st FROM m GROUP BY user_id, prev)
 SELECT m.user_id, coalesce(s.st, m.prev + 1) AS page_start, m.pg AS page_end FROM m JOIN s ON s.user_id = m.user_id AND s.prev = m.prev WHERE event_type = 'purchase'""")
 def end_marker_intervals(spark, sf_dir):
-    return O.forward_intervals(event_pages(spark, sf_dir), USER, "pg", BUY, SIGN).select("user_id", "page_start", "page_end")
+    return O.forward_intervals(event_pages(spark, sf_dir), USER, "pg", is_("purchase"), is_("signup")).select("user_id", "page_start", "page_end")
 
 
 @query(f"""WITH {EV}, w AS (SELECT *, max(CASE WHEN event_type = 'purchase' THEN pg END) OVER ({BEFORE}) AS near FROM ev)
 SELECT user_id, event_id, pg, CASE WHEN pg - near <= 3 THEN near END AS marker FROM w WHERE pg - near <= 3""")
 def nearest_previous_marker(spark, sf_dir):
-    return O.nearest_before(event_pages(spark, sf_dir), USER, ["pg"], "pg", BUY, 3).where("marker is not null").select("user_id", "event_id", "pg", "marker")
+    return O.nearest_before(event_pages(spark, sf_dir), USER, ["pg"], "pg", is_("purchase"), 3).where("marker is not null").select("user_id", "event_id", "pg", "marker")
 
 
 LINEITEM = "l AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax) AS pg FROM lineitem)"
@@ -78,7 +84,7 @@ p AS (SELECT *, lag(sn) OVER (PARTITION BY user_id ORDER BY pg) AS b FROM n WHER
 f AS (SELECT *, coalesce(max(CASE WHEN sn = 1 AND i > 1 THEN i END) OVER (PARTITION BY user_id), 1) AS start_ FROM c), k AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM f WHERE i >= start_)
 SELECT user_id, pg, CAST(sn AS BIGINT) AS session FROM k WHERE n >= 2""")
 def session_transitions(spark, sf_dir):
-    ev = event_pages(spark, sf_dir).withColumn("session", F.when(SIGN, 1).when(BUY, 2).when(FAIL, 3).cast("long"))
+    ev = event_pages(spark, sf_dir).withColumn("session", F.when(is_("signup"), 1).when(is_("purchase"), 2).when(is_("error"), 3).cast("long"))
     return O.transitions(ev, USER, ["pg"], "session").select("user_id", "pg", "session")
 
 
@@ -121,7 +127,7 @@ def gap_pattern_sessions(spark, sf_dir):
 p AS (SELECT *, last_value(k IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY pg ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM n)
 SELECT user_id, pg, least(CAST(1 + sum(CASE WHEN k < b THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY pg) AS BIGINT), 4) AS session FROM p""")
 def reset_sessions(spark, sf_dir):
-    ev = event_pages(spark, sf_dir).withColumn("k", F.when(SIGN, 1).when(F.col("event_type") == "view", 2).when(BUY, 3))
+    ev = event_pages(spark, sf_dir).withColumn("k", F.when(is_("signup"), 1).when(F.col("event_type") == "view", 2).when(is_("purchase"), 3))
     return O.reset_sessions(ev, USER, ["pg"], "k").select("user_id", "pg", "session")
 
 
