@@ -143,7 +143,7 @@ def repeated_words(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     windows = emitted(marked, extended, "w1 long, w2 long, fk long, occ long, asked boolean")
     repeated = twice(windows, "w1", "w2")
     found = written(windows.where("asked").select("w1", "w2", "fk").join(repeated, ["w1", "w2"]).groupBy("fk").agg(F.collect_set(F.struct("w1", "w2")).alias("windows")))
-    told = marked.select("fk", "live", F.transform(F.filter("marks", lambda m: m["whole"]), lambda m: m["key"]).alias("wholes"))
+    told = marked.select("fk", "live", F.transform(F.filter("marks", lambda m: m["whole"]), lambda m: m["key"]).alias("wholes")).dropDuplicates(["fk"])  # repeated rows of the smallest id
     state = written(
         reps.join(told, "fk", "left").join(found, "fk", "left").where("copies > 1 or windows is not null or size(wholes) > 0").select(F.col("fk").alias("k"), F.col("fp").alias("p"), (F.col("copies") > 1).alias("copied"), "windows", "live", "wholes")
     )

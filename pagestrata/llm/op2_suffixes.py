@@ -143,7 +143,7 @@ def repeated_bytes(docs: DataFrame, length: int = 200, shard_bytes: int = 4 << 2
     found = rows.select("key", "fk").join(settled, "key").groupBy("fk").agg(F.collect_set(F.struct("key", "whole", "ranges")).alias("marks"))
     state = written(
         reps.join(found, "fk", "left")
-        .join(texts.select("fk", "live"), "fk", "left")
+        .join(texts.select("fk", "live").dropDuplicates(["fk"]), "fk", "left")
         .where("copies > 1 or marks is not null")
         .select(F.col("fk").alias("k"), F.col("fp").alias("p"), (F.col("copies") > 1).alias("copied"), "marks", "live")
     )
