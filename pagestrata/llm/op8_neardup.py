@@ -237,7 +237,7 @@ def cells(groups: DataFrame, block: int) -> DataFrame:
     return asks.unionByName(told).select(name.alias("block"), "role", "label", "fp")
 
 
-def text_classes(base: DataFrame, k: int = 5, at_least: float = 0.8, sketches: int = 32, picks: int = 4, block: int = 128, rounds: int = 2) -> DataFrame:
+def text_classes(base: DataFrame, k: int = 5, at_least: float = 0.8, sketches: int = 32, picks: int = 4, block: int = 256, rounds: int = 2) -> DataFrame:
     """base (doc_id, text, fp) to (fp, class_id, names): each text with words, its class, and whether it is the one the class is named by."""
     wordy = base.where(F.col("text").rlike(WORDY))
     reps = wordy.groupBy("fp").agg(F.min("doc_id").alias("rep"))
