@@ -15,12 +15,9 @@ from ..sources.tables import text_pages
 from .registry import query
 from .text_queries import PAGES
 
-PAGE_LIMIT = 500  # pages of a document, as uploads allow
-
-
 def marked_elements(spark, sf_dir):
     """Pages as elements: odd pages open a topic, even ones end it."""
-    pages = text_pages(spark, sf_dir).where(F.col("pg") <= PAGE_LIMIT)
+    pages = text_pages(spark, sf_dir)
     odd = F.col("pg") % 2 == 1
     marks = F.array(F.when(odd, F.concat(F.lit("I. 토픽 "), F.col("pg").cast("string"), F.lit(" 개요"))).otherwise(F.lit("본문이 이어지는 문장이다")), F.when(odd, F.lit("설명이 길게 이어지는 문장이다")).otherwise(F.lit("끝")))
     rows = pages.select(F.col("doc").alias("doc_id"), F.col("pg").cast("int").alias("page"), F.posexplode(marks).alias("elem_idx", "content"))
@@ -28,7 +25,7 @@ def marked_elements(spark, sf_dir):
 
 
 #: Topics of two pages; the end of the text closes an odd last page.
-PAIRS = f"WITH {PAGES}, n_ AS (SELECT doc, least(max(pg), {PAGE_LIMIT}) AS n FROM pages_ GROUP BY doc), p_ AS (SELECT doc, n, unnest(range(1, n + 1, 2)) AS s FROM n_)"
+PAIRS = f"WITH {PAGES}, n_ AS (SELECT doc, max(pg) AS n FROM pages_ GROUP BY doc), p_ AS (SELECT doc, n, unnest(range(1, n + 1, 2)) AS s FROM n_)"
 
 
 @query(f"{PAIRS} SELECT doc AS doc_id, s AS page_start, least(s + 1, n) AS page_end, CAST(0.85 AS DOUBLE) AS confidence FROM p_ WHERE n // 2 >= 10 AND s + 1 <= n")
@@ -45,7 +42,7 @@ def signal_boundaries(spark, sf_dir):
 
 
 def marked_lines(spark, sf_dir):
-    pages = text_pages(spark, sf_dir).where(F.col("pg") <= PAGE_LIMIT)
+    pages = text_pages(spark, sf_dir)
     number = (F.floor((F.col("pg") - 1) / 2) % 12 + 1).cast("string")
     opens = F.array(F.lit("누구나 ICT"), F.lit("문제"), F.concat(number, F.lit(". 토픽 제목입니다")), F.lit("도메인"), F.lit("본문"))
     lines = F.when(F.col("pg") % 2 == 1, opens).otherwise(F.array(F.lit("누구나 ICT"), F.lit("본문 내용입니다"), F.lit("계속")))
@@ -62,7 +59,7 @@ def line_topics(spark, sf_dir):
 @query(f"{PAIRS}, g_ AS (SELECT doc, n, s, (s - 1) // 2 AS k FROM p_) SELECT doc AS doc_id, min(s) AS page_start, max(least(s + 1, n)) AS page_end FROM g_ GROUP BY doc, k // 3")
 def merged_titles(spark, sf_dir):
     """Intervals of one title join where they are near; every three in a row share one."""
-    pages = text_pages(spark, sf_dir).where(F.col("pg") <= PAGE_LIMIT)
+    pages = text_pages(spark, sf_dir)
     last = pages.groupBy("doc").agg(F.max("pg").alias("n"))
     starts = pages.where("pg % 2 = 1").join(last, "doc")
     k = F.floor((F.col("pg") - 1) / 2)

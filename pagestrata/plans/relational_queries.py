@@ -12,13 +12,14 @@ from .registry import query
 from .window_queries import EV
 
 
-@query(f"""WITH {EV}, s AS (SELECT user_id, (pg - 1) // 5 AS k, min(pg) AS page_start, max(pg) AS page_end FROM ev WHERE pg % 11 <> 0 GROUP BY user_id, (pg - 1) // 5),
-n AS (SELECT user_id, page_start, page_end, k + 1 AS session FROM s WHERE k % 2 = 0)
+@query(f"""WITH {EV}, k AS (SELECT user_id, pg, CASE WHEN pg - lag(pg) OVER (PARTITION BY user_id ORDER BY pg) <= 1 THEN 0 ELSE 1 END AS new FROM ev WHERE event_type NOT IN ('error', 'view')),
+g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY pg) AS session FROM k), n AS (SELECT user_id, session, min(pg) AS page_start, max(pg) AS page_end FROM g GROUP BY user_id, session)
 SELECT e.user_id, e.pg, CAST(coalesce((SELECT arg_min(n.session, n.page_start) FROM n WHERE n.user_id = e.user_id AND e.pg BETWEEN n.page_start AND n.page_end), (SELECT max(n.session) FROM n WHERE n.user_id = e.user_id), 1) AS BIGINT) AS session FROM ev e""")
 def range_lookup_session(spark, sf_dir):
+    """Runs of pages are sessions; pages outside all of them belong to the last."""
     ev = event_pages(spark, sf_dir)
-    blocks = ev.where("pg % 11 <> 0").groupBy("user_id", F.expr("(pg - 1) div 5").alias("k")).agg(F.min("pg").alias("page_start"), F.max("pg").alias("page_end")).where("k % 2 = 0")
-    sessions = blocks.select("user_id", "page_start", "page_end", (F.col("k") + 1).alias("session"))
+    runs = O.island_ranges(ev.where("event_type not in ('error', 'view')"), ["user_id"], "pg", 1)
+    sessions = runs.select("user_id", "page_start", "page_end", F.col("island").alias("session"))
     return J.session_of(ev, sessions, ["user_id"], "pg").select("user_id", "pg", "session")
 
 
@@ -29,22 +30,22 @@ def containment_anti(spark, sf_dir):
     return J.drop_containers(lines.select("l_orderkey", "page_start", "page_end").distinct(), ["l_orderkey"], "page_start", "page_end").select("l_orderkey", "page_start", "page_end")
 
 
-@query("""WITH a AS (SELECT o_custkey, o_orderstatus, o_totalprice, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) AS occurrence FROM orders WHERE o_orderkey % 5 <> 0),
-b AS (SELECT o_custkey, o_orderstatus, o_totalprice, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) AS occurrence FROM orders WHERE o_orderkey % 7 <> 0)
+@query("""WITH a AS (SELECT o_custkey, o_orderstatus, o_totalprice, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) AS occurrence FROM orders WHERE o_orderstatus <> 'P'),
+b AS (SELECT o_custkey, o_orderstatus, o_totalprice, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) AS occurrence FROM orders WHERE o_orderpriority <> '5-LOW')
 SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(a.o_orderstatus, b.o_orderstatus) AS o_orderstatus, coalesce(a.occurrence, b.occurrence) AS occurrence,
 CASE WHEN b.o_custkey IS NULL THEN 'only_a' WHEN a.o_custkey IS NULL THEN 'only_b' WHEN a.o_totalprice = b.o_totalprice THEN 'same' ELSE 'differs' END AS status
 FROM a FULL JOIN b ON a.o_custkey = b.o_custkey AND a.o_orderstatus = b.o_orderstatus AND a.occurrence = b.occurrence""")
 def full_outer_diff(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    diff = J.engine_diff(orders.where("o_orderkey % 5 <> 0"), orders.where("o_orderkey % 7 <> 0"), ["o_custkey", "o_orderstatus"], ["o_orderkey"], ["o_totalprice"])
+    diff = J.engine_diff(orders.where("o_orderstatus <> 'P'"), orders.where("o_orderpriority <> '5-LOW'"), ["o_custkey", "o_orderstatus"], ["o_orderkey"], ["o_totalprice"])
     return diff.select("o_custkey", "o_orderstatus", "occurrence", "status")
 
 
-@query("""WITH b AS (SELECT c_nationkey, arg_max(c_mktsegment, c_custkey) AS found FROM customer WHERE c_custkey % 2 = 0 GROUP BY c_nationkey)
+@query("""WITH b AS (SELECT c_nationkey, arg_max(c_mktsegment, c_custkey) AS found FROM customer WHERE c_acctbal >= 0 GROUP BY c_nationkey)
 SELECT c.c_custkey, CASE WHEN b.found IS NULL THEN 'missing' WHEN b.found = c.c_mktsegment THEN 'match' ELSE 'differs' END AS status FROM customer c LEFT JOIN b ON b.c_nationkey = c.c_nationkey""")
 def left_last_wins(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
-    return J.left_last_wins(customers, customers.where("c_custkey % 2 = 0"), ["c_nationkey"], ["c_custkey"], "c_mktsegment").select("c_custkey", "status")
+    return J.left_last_wins(customers, customers.where("c_acctbal >= 0"), ["c_nationkey"], ["c_custkey"], "c_mktsegment").select("c_custkey", "status")
 
 
 @query("SELECT user_id, CAST(day(ts) AS BIGINT) AS day FROM events GROUP BY user_id, day(ts) HAVING bool_or(event_type = 'purchase') AND bool_or(event_type = 'error')")

@@ -109,17 +109,17 @@ def calibrate_weights(spark, sf_dir):
     return weights.select("doc", *[F.round(f"w_{s}", 6).alias(f"w_{s}") for s in ("long_line", "bars", "mails")], "dominant")
 
 
-@query("SELECT doc_id, upper(replace(regexp_replace(substring(coalesce(text, ''), 1, 200), '[ .,;:!?|()-]', '', 'g'), 'ß', 'SS')) AS key_upper, lower(regexp_replace(substring(coalesce(text, ''), 1, 200), '[ .,;:!?|()-]', '', 'g')) AS key_lower FROM documents")
+@query("SELECT doc_id, upper(replace(regexp_replace(coalesce(text, ''), '[ .,;:!?|()-]', '', 'g'), 'ß', 'SS')) AS key_upper, lower(regexp_replace(coalesce(text, ''), '[ .,;:!?|()-]', '', 'g')) AS key_lower FROM documents")
 def norm_expr(spark, sf_dir):
-    head = F.substring(F.coalesce("text", F.lit("")), 1, 200)
+    head = F.coalesce("text", F.lit(""))
     return table(spark, sf_dir, "documents").select("doc_id", T.squeeze(head, " .,;:!?|()-", upper=True).alias("key_upper"), T.squeeze(head, " .,;:!?|()-").alias("key_lower"))
 
 
-@query(f"""WITH {LINES}, t_ AS (SELECT DISTINCT line, string_split(line, ' ') AS ts FROM lines_ WHERE length(line) <= 80)
+@query(f"""WITH {LINES}, t_ AS (SELECT DISTINCT line, string_split(line, ' ') AS ts FROM lines_)
 SELECT line, CASE WHEN len(ts) >= 3 AND len(list_filter(ts, lambda x: length(x) <= 2)) >= 0.7 * len(ts) THEN replace(line, ' ', '') ELSE line END AS collapsed FROM t_""")
 def collapse_even_spacing(spark, sf_dir):
     """F2 with short tokens in the place of single syllables."""
-    lines = text_lines(spark, sf_dir).where(F.length("line") <= 80).select("line").distinct()
+    lines = text_lines(spark, sf_dir).select("line").distinct()
     return lines.select("line", T.collapse_spacing(F.col("line"), lambda t: F.length(t) <= 2).alias("collapsed"))
 
 
@@ -159,38 +159,38 @@ def running_sum_cutoff(spark, sf_dir):
     return kept.groupBy("doc", "pg").agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).cast("long").alias("n_chars"))
 
 
-@query(f"""WITH {PAGES}, i_ AS (SELECT doc, min(pg) AS page_start, max(pg) AS page_end FROM pages_ WHERE pg <= 400 GROUP BY doc, (pg - 1) // 4)
+@query(f"""WITH {PAGES}, i_ AS (SELECT doc, min(pg) AS page_start, max(pg) AS page_end FROM pages_ GROUP BY doc, (pg - 1) // 4)
 SELECT i_.doc, page_start, page_end, count(*) FILTER (length(trim(text)) < 400) AS image_pages, CAST(sum(length(text)) AS BIGINT) AS n_chars, sha256(string_agg(text, chr(10) ORDER BY p.pg)) AS content_key
 FROM i_ JOIN pages_ p ON p.doc = i_.doc AND p.pg BETWEEN page_start AND page_end GROUP BY i_.doc, page_start, page_end""")
 def interval_text(spark, sf_dir):
     """The text of each interval of four pages, and its pages with little text."""
-    pages = text_pages(spark, sf_dir).where("pg <= 400").withColumn("page_start", F.expr("(pg - 1) div 4 * 4 + 1"))
+    pages = text_pages(spark, sf_dir).withColumn("page_start", F.expr("(pg - 1) div 4 * 4 + 1"))
     ends = pages.groupBy("doc", "page_start")
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pg", "text"))), lambda x: x["text"]), "\n")
     return ends.agg(F.max("pg").alias("page_end"), F.count_if(F.length(F.trim("text")) < 400).alias("image_pages"), F.sum(F.length("text")).cast("long").alias("n_chars"), F.sha2(body, 256).alias("content_key"))
 
 
-@query("""WITH k_ AS (SELECT item_id, substring(text, 1, 30) AS term FROM benchmark WHERE text IS NOT NULL), d_ AS (SELECT doc_id, substring(text, 1, 200) AS title, text AS content FROM documents),
+@query("""WITH k_ AS (SELECT item_id, split_part(text, '.', 1) AS term FROM benchmark WHERE text IS NOT NULL), d_ AS (SELECT doc_id, split_part(text, chr(10), 1) AS title, text AS content FROM documents),
 h_ AS (SELECT doc_id, item_id, count(*) FILTER (contains(title, term)) AS title_hits, count(*) FILTER (NOT contains(title, term)) AS content_hits FROM d_ JOIN k_ ON contains(content, term) OR contains(title, term) WHERE length(term) >= 2 GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, title_hits, content_hits, 3 * title_hits + content_hits AS score, CASE WHEN title_hits >= 1 THEN 'direct' ELSE 'indirect' END AS match FROM h_ WHERE title_hits >= 1 OR content_hits >= 2""")
 def theta_keyword_match(spark, sf_dir):
     from ..operators.joins import keyword_matches
 
-    words = table(spark, sf_dir, "benchmark").where("text is not null").select("item_id", F.substring("text", 1, 30).alias("term"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 200).alias("title"), F.col("text").alias("content"))
+    words = table(spark, sf_dir, "benchmark").where("text is not null").select("item_id", F.split_part("text", F.lit("."), F.lit(1)).alias("term"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.col("text").alias("content"))
     return keyword_matches(docs, words, "doc_id", "title", "content", ["item_id"], "term")
 
 
-@query("""WITH k_ AS (SELECT item_id, substring(text, 1, 30) AS term FROM benchmark WHERE text IS NOT NULL),
-h_ AS (SELECT k_.item_id, count(*) FILTER (contains(substring(d.text, 1, 200), term)) AS direct_, count(d.doc_id) AS all_ FROM k_ LEFT JOIN documents d ON contains(d.text, term) GROUP BY k_.item_id)
+@query("""WITH k_ AS (SELECT item_id, split_part(text, '.', 1) AS term FROM benchmark WHERE text IS NOT NULL),
+h_ AS (SELECT k_.item_id, count(*) FILTER (contains(split_part(d.text, chr(10), 1), term)) AS direct_, count(d.doc_id) AS all_ FROM k_ LEFT JOIN documents d ON contains(d.text, term) GROUP BY k_.item_id)
 SELECT count(*) AS n_items, count(*) FILTER (direct_ > 0) AS n_direct, count(*) FILTER (direct_ = 0 AND all_ > 0) AS n_indirect, count(*) FILTER (all_ = 0) AS n_missed, CAST(floor(100 * count(*) FILTER (all_ > 0) / greatest(count(*), 1)) AS BIGINT) AS percent FROM h_""")
 def hit_rate(spark, sf_dir):
     """Items found in a document's head, only further in, or nowhere."""
     from ..operators.joins import checked_broadcast
 
-    words = table(spark, sf_dir, "benchmark").where("text is not null").select("item_id", F.substring("text", 1, 30).alias("term"))
+    words = table(spark, sf_dir, "benchmark").where("text is not null").select("item_id", F.split_part("text", F.lit("."), F.lit(1)).alias("term"))
     docs = table(spark, sf_dir, "documents").select("text")
-    found = docs.join(checked_broadcast(words), F.col("text").contains(F.col("term"))).groupBy("item_id").agg(F.count_if(F.substring("text", 1, 200).contains(F.col("term"))).alias("direct"), F.count("*").alias("all"))
+    found = docs.join(checked_broadcast(words), F.col("text").contains(F.col("term"))).groupBy("item_id").agg(F.count_if(F.split_part("text", F.lit("\n"), F.lit(1)).contains(F.col("term"))).alias("direct"), F.count("*").alias("all"))
     every = words.join(found, "item_id", "left").select("item_id", F.coalesce("direct", F.lit(0)).alias("d"), F.coalesce("all", F.lit(0)).alias("a"))
     n = F.count("*")
     return every.agg(n.alias("n_items"), F.count_if(F.expr("d > 0")).alias("n_direct"), F.count_if(F.expr("d = 0 and a > 0")).alias("n_indirect"), F.count_if(F.expr("a = 0")).alias("n_missed"), F.floor(100 * F.count_if(F.expr("a > 0")) / F.greatest(n, F.lit(1))).alias("percent"))

@@ -173,11 +173,11 @@ def repair_session_gaps(spark, sf_dir):
     return O.repair_gaps(whole, USER, "page_start", "page_end", F.col("last")).select("user_id", "page_start", "page_end")
 
 
-@query(f"""WITH {EV}, e AS (SELECT * FROM ev WHERE event_type = 'view'), b AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id % 7 END AS number FROM e)
+@query(f"""WITH {EV}, e AS (SELECT * FROM ev WHERE event_type = 'view'), b AS (SELECT *, CASE WHEN value < 50 THEN NULL ELSE CAST(day(ts) AS BIGINT) END AS number FROM e)
 SELECT user_id, pg, coalesce(number, CAST(sum(CASE WHEN number IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY pg) AS BIGINT)) AS number FROM b""")
 def number_blocks(spark, sf_dir):
     """Rows without a number are numbered within their block."""
-    views = event_pages(spark, sf_dir).where("event_type = 'view'").withColumn("number", F.when(F.col("event_id") % 3 == 0, None).otherwise(F.col("event_id") % 7))
+    views = event_pages(spark, sf_dir).where("event_type = 'view'").withColumn("number", F.when(~(F.col("value") < 50), F.dayofmonth("ts").cast("long")))
     return O.number_blocks(views, USER, ["pg"], "number").select("user_id", "pg", "number")
 
 
