@@ -15,9 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASES, doc_view, gram_hashes, mix, words_of, written
-from .op2_suffixes import context_key, contexts
-from .repeats import Anchors, Words, cover, distinct_texts, emitted, is_live, keyed, live_texts, occurrence, twice
+from .common import BASES, MASK, doc_view, gram_hashes, mix, powers, slices, written
+from .repeats import Anchors, Words, cover, distinct_texts, emitted, found_in, is_live, keyed, listed, live_texts, longs, occurrence, own_keys, twice
 
 
 def _keys(batch) -> np.ndarray:
@@ -36,13 +35,24 @@ def _window_hashes(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.nda
     return gram_hashes(symbols, length), gram_hashes(mix(symbols ^ np.uint64(BASES[0])), length, BASES[0] ^ 0x5555)
 
 
-def _in(values: np.ndarray, found: np.ndarray) -> np.ndarray:
-    if not len(found):
-        return np.zeros(len(values), bool)
-    found = np.sort(found)
-    at = np.searchsorted(found, values)
-    at[at == len(found)] = 0
-    return found[at] == values
+def _context_keys(a: Anchors, which: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First window, end of the last one, and two hashes of all words from one to the other with the anchor's place, of the chosen anchors."""
+    tails = np.append(a.head[1:], len(a.window)) - 1
+    lo, hi = a.window[a.head[which]], a.window[tails[which]] + length
+    out = []
+    for base in BASES:
+        base |= 1
+        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(a.symbols * powers(base, len(a.symbols)))]) if len(a.symbols) else np.zeros(1, np.uint64)
+        back = np.concatenate([np.ones(1, np.uint64), powers(pow(base, -1, MASK + 1), len(a.symbols))])
+        place = (a.place[which] - lo).astype(np.uint64) << np.uint64(32) | (hi - lo).astype(np.uint64)
+        out.append(mix((upto[hi] - upto[lo]) * back[lo] + mix(place) * np.uint64(base)))
+    return lo, hi, out[0], out[1]
+
+
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """lo..hi - 1 of each pair, joined."""
+    n = np.maximum(hi - lo, 0)
+    return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
 def repeated_words(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -57,134 +67,122 @@ def repeated_words(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     reps = written(distinct_texts(base))
     texts = live_texts(base, reps, of)
 
-    def per_text(batch, data, offs):
-        """For each text: key, word hashes, places that a window with a live anchor covers."""
-        a = Anchors(of, data, offs)
-        live = is_live(a, batch.column(2))[a.run] if len(a.run) else np.zeros(0, bool)
-        keys = _keys(batch)
-        bounds = np.searchsorted(a.doc_of_window, np.arange(len(keys) + 1))
-        for d in range(len(keys)):
-            lo, hi = a.first[d], a.first[d + 1]
-            starts = a.window[bounds[d] : bounds[d + 1]][live[bounds[d] : bounds[d + 1]]] - lo
-            yield d, keys[d], a.symbols[lo:hi], cover(hi - lo, starts, window)
-
-    def rows_of(parts, names):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(p) if p else np.zeros(0, np.int64)) for p in zip(*parts)], names=names)
-
     def probes(batch, data, offs):
-        parts = [(np.zeros(0, np.int64),) * 3 + (np.zeros(0, bool),)]
-        for _, key, symbols, covered in per_text(batch, data, offs):
-            at = _runs(covered, block)
-            if len(at):
-                g = gram_hashes(symbols, block)[at].view(np.int64)
-                k = np.full(len(at), key, np.uint64)
-                parts.append((g, k.view(np.int64), occurrence(k, at), at % block == 0))
-        yield rows_of(parts, ["g", "fk", "occ", "indexed"])
+        a = Anchors(of, data, offs)
+        live = is_live(a, batch.column(2))
+        covered = cover(len(a.symbols), a.window[live[a.run]] if len(a.run) else a.window, window)
+        doc = np.repeat(np.arange(batch.num_rows), np.diff(a.first))
+        at = _runs(covered, block)
+        at = at[doc[at] == doc[at + block - 1]]
+        key, place = _keys(batch)[doc[at]], at - a.first[doc[at]]
+        yield pa.RecordBatch.from_arrays([pa.array(gram_hashes(a.symbols, block)[at].view(np.int64)), pa.array(key.view(np.int64)), pa.array(occurrence(key, place)), pa.array(place % block == 0)], names=["g", "fk", "occ", "indexed"])
 
     probe_rows = emitted(texts, probes, "g long, fk long, occ long, indexed boolean")
     hits = written(probe_rows.groupBy("g").agg(F.min("occ").alias("lo"), F.max("occ").alias("hi"), F.max("indexed").alias("indexed")).where("indexed and lo != hi").select("g"))
     of_text = probe_rows.select("g", "fk").join(hits, "g").groupBy("fk").agg(F.collect_set("g").alias("hits"))
     hit_texts = written(texts.join(of_text, "fk").select("fk", "text", "live", "hits"))
 
-    def contexts_of(a: Anchors, which: np.ndarray) -> list[tuple[int, int, int, bytes]]:
-        """(anchor, first window, end of the last one, key) of the chosen anchors; the key is of all words from one to the other."""
-        out = []
-        for k, _, lo, hi, off in contexts(a, window, which):
-            out.append((k, lo, hi, context_key(int(a.hash[k].view(np.int64)), off, a.symbols[lo:hi].tobytes())))
-        return out
-
     def hit_contexts(batch, data, offs):
         a = Anchors(of, data, offs)
         fk = _keys(batch)
         live = is_live(a, batch.column(2))
+        grams = gram_hashes(a.symbols, block)
+        doc, entries = listed(batch.column(3))
+        at = np.repeat(np.arange(len(fk)), np.diff(a.first))[: len(grams)]
         hit = np.zeros(len(a.symbols) + 1, bool)
-        grams = gram_hashes(a.symbols, block).view(np.int64)
-        for d in range(len(fk)):
-            lo, hi = a.first[d], max(a.first[d], a.first[d + 1] - block + 1)
-            hit[lo:hi] = _in(grams[lo:hi], batch.column(3)[d].values.to_numpy(zero_copy_only=False))
+        hit[: len(grams)] = found_in(own_keys(grams, at), own_keys(longs(entries), doc))
         some = np.concatenate([[0], np.cumsum(hit)])
         # A repeat holds a block of its own or of its other place, so a run of `block` words in it hits.
         held = some[a.window + window - block + 1] > some[a.window]
         which = np.flatnonzero(live & (np.bincount(a.run, weights=held, minlength=len(a.place)) > 0)) if len(a.place) else a.place
-        found = contexts_of(a, which)
+        _, _, k1, k2 = _context_keys(a, which, window)
         own = fk[a.doc[which]]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(a.hash[which].view(np.int64)), pa.array([f[3] for f in found], pa.binary()), pa.array(own.view(np.int64)), pa.array(occurrence(own, a.place[which] - a.first[:-1][a.doc[which]]))],
-            names=["h", "key", "fk", "occ"],
+            [pa.array(x.view(np.int64)) for x in (a.hash[which], k1, k2, own, occurrence(own, a.place[which] - a.first[:-1][a.doc[which]]))],
+            names=["h", "k1", "k2", "fk", "occ"],
         )
 
     # Equal surroundings of an anchor are settled by their count; of different ones of one anchor's words each is
     # extended, at one of its places, to all its windows.
-    rows = emitted(hit_texts, hit_contexts, "h long, key binary, fk long, occ long")
-    kinds = written(rows.groupBy("h", "key").agg(F.min("occ").alias("lo"), F.max("occ").alias("hi")))
-    several = kinds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    open_ = written(kinds.join(several, "h").select("key", F.lit(True).alias("open")))
-    settled = written(kinds.join(open_, "key", "left").select("key", (F.col("lo") != F.col("hi")).alias("whole"), "lo", F.coalesce("open", F.lit(False)).alias("open")).where("whole or open"))
-    mark = F.struct("key", "whole", (F.col("open") & (~F.col("whole") | (F.col("occ") == F.col("lo")))).alias("told"))
-    marks = written(rows.select("key", "fk", "occ").join(settled, "key").groupBy("fk").agg(F.collect_set(mark).alias("marks")))
+    rows = emitted(hit_texts, hit_contexts, "h long, k1 long, k2 long, fk long, occ long")
+    kinds = written(rows.groupBy("h", "k1", "k2").agg(F.min("occ").alias("lo"), F.max("occ").alias("hi")))
+    several = kinds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", F.lit(True).alias("open"))
+    settled = written(kinds.join(several, "h", "left").select("k1", "k2", (F.col("lo") != F.col("hi")).alias("whole"), "lo", F.coalesce("open", F.lit(False)).alias("open")).where("whole or open"))
+    mark = F.struct("k1", "k2", "whole", (F.col("open") & (~F.col("whole") | (F.col("occ") == F.col("lo")))).alias("told"))
+    marks = written(rows.select("k1", "k2", "fk", "occ").join(settled, ["k1", "k2"]).groupBy("fk").agg(F.collect_set(mark).alias("marks")))
     marked = written(hit_texts.join(marks, "fk").select("fk", "text", "live", "marks"))
 
     def extended(batch, data, offs):
         a = Anchors(of, data, offs)
         fk = _keys(batch)
-        live = np.flatnonzero(is_live(a, batch.column(2)))
-        listed = [{m["key"]: m["whole"] for m in batch.column(3)[d].as_py() if m["told"]} for d in range(len(fk))]
-        parts = [(np.zeros(0, np.int64),) * 4 + (np.zeros(0, bool),)]
-        if any(listed):
-            w1, w2 = _window_hashes(a.symbols, window)
-            for k, lo, hi, key in contexts_of(a, live[np.array([bool(listed[d]) for d in a.doc[live]], dtype=bool)]):
-                d = a.doc[k]
-                if key in listed[d]:
-                    at = np.arange(lo, hi - window + 1)
-                    name = np.frombuffer(key, np.uint64)[0]
-                    parts.append((w1[at].view(np.int64), w2[at].view(np.int64), np.full(len(at), fk[d]).view(np.int64), occurrence(np.full(len(at), name), at - lo), np.full(len(at), not listed[d][key])))
-        yield rows_of(parts, ["w1", "w2", "fk", "occ", "asked"])
+        doc, entries = listed(batch.column(3))
+        told = entries.field("told").to_numpy(zero_copy_only=False).astype(bool)
+        whole = entries.field("whole").to_numpy(zero_copy_only=False).astype(bool)
+        live = np.flatnonzero(is_live(a, batch.column(2))) if told.any() else np.zeros(0, np.int64)
+        lo, hi, k1, k2 = _context_keys(a, live, window)
+        names = own_keys(longs(entries.field("k1")) ^ mix(longs(entries.field("k2"))), doc)
+        mine = own_keys(k1 ^ mix(k2), a.doc[live])
+        use = found_in(mine, names[told])
+        asked = ~found_in(mine, names[told & whole])
+        lo, n = lo[use], (hi - lo)[use] - window + 1
+        at = _ranges(lo, lo + n)
+        w1, w2 = _window_hashes(a.symbols, window)
+        rep = lambda x: np.repeat(x[use], n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(w1[at].view(np.int64)), pa.array(w2[at].view(np.int64)), pa.array(rep(fk[a.doc[live]]).view(np.int64)), pa.array(occurrence(rep(k1), at - np.repeat(lo, n))), pa.array(rep(asked))],
+            names=["w1", "w2", "fk", "occ", "asked"],
+        )
 
     windows = emitted(marked, extended, "w1 long, w2 long, fk long, occ long, asked boolean")
     repeated = twice(windows, "w1", "w2")
     found = written(windows.where("asked").select("w1", "w2", "fk").join(repeated, ["w1", "w2"]).groupBy("fk").agg(F.collect_set(F.struct("w1", "w2")).alias("windows")))
-    told = marked.select("fk", "live", F.transform(F.filter("marks", lambda m: m["whole"]), lambda m: m["key"]).alias("wholes")).dropDuplicates(["fk"])  # repeated rows of the smallest id
+    told = marked.select("fk", "live", F.transform(F.filter("marks", lambda m: m["whole"]), lambda m: F.struct(m["k1"], m["k2"])).alias("wholes")).dropDuplicates(["fk"])  # repeated rows of the smallest id
     state = written(
         reps.join(told, "fk", "left").join(found, "fk", "left").where("copies > 1 or windows is not null or size(wholes) > 0").select(F.col("fk").alias("k"), F.col("fp").alias("p"), (F.col("copies") > 1).alias("copied"), "windows", "live", "wholes")
     )
     joined = base.join(state, (F.col("fk") == F.col("k")) & (F.col("fp") == F.col("p")), "left").select("doc_id", "text", F.coalesce("copied", F.lit(False)).alias("copied"), "windows", "live", "wholes")
 
+    def gone_words(text, windows, live, wholes):
+        """For each text the mask of its repeated words."""
+        for lo_row, hi_row, data, offs in slices(text):
+            a = Anchors(of, data, offs)
+            part = slice(lo_row, hi_row)
+            doc, entries = listed(windows[part])
+            w1, w2 = _window_hashes(a.symbols, window)
+            w = a.window
+            hit = found_in(own_keys(w1[w] ^ mix(w2[w]), a.doc_of_window), own_keys(longs(entries.field(0)) ^ mix(longs(entries.field(1))), doc)) if len(w) else np.zeros(0, bool)
+            doc, entries = listed(wholes[part])
+            if len(doc) and len(w):
+                which = np.flatnonzero(is_live(a, live[part]))
+                _, _, k1, k2 = _context_keys(a, which, window)
+                whole = np.zeros(len(a.place), bool)
+                whole[which] = found_in(own_keys(k1 ^ mix(k2), a.doc[which]), own_keys(longs(entries.field(0)) ^ mix(longs(entries.field(1))), doc))
+                hit |= whole[a.run]
+            mask = cover(len(a.symbols), w[hit], window)
+            for d in range(hi_row - lo_row):
+                yield mask[a.first[d] : a.first[d + 1]]
+
     def run(batches):
         for batch in batches:
+            text, copied = batch.column(1), batch.column(2).to_pylist()
+            some = [k for k in range(batch.num_rows) if not copied[k] and (batch.column(3)[k].is_valid or (batch.column(5)[k].is_valid and len(batch.column(5)[k])))]
+            take = pa.array(some, pa.int64())
+            masks = dict(zip(some, gone_words(*(batch.column(c).take(take) for c in (1, 3, 4, 5))))) if some else {}
             n_words, n_removed, kept, spans = [], [], [], []
             for k in range(batch.num_rows):
-                raw = batch.column(1)[k].as_py().encode("utf-8", "surrogatepass")
-                data = np.frombuffer(raw, np.uint8)
-                offs = np.array([0, len(raw)])
-                starts, ends, _ = words_of(data, offs)
-                n = len(starts)
-                gone = np.zeros(n, bool)
-                if n >= window:
-                    if batch.column(2)[k].as_py():
-                        gone[:] = True
-                    else:
-                        hit = []
-                        if batch.column(3)[k].is_valid:
-                            own = batch.column(3)[k].values
-                            w1, w2 = _window_hashes(of.symbols(data, offs)[0], window)
-                            pairs = np.rec.fromarrays([own.field(0).to_numpy(), own.field(1).to_numpy()])
-                            hit.append(np.flatnonzero(np.isin(np.rec.fromarrays([w1.view(np.int64), w2.view(np.int64)]), pairs)))
-                        if batch.column(5)[k].is_valid and len(batch.column(5)[k].values):
-                            wholes = set(batch.column(5)[k].as_py())
-                            a = Anchors(of, data, offs)
-                            hit += [np.arange(lo, hi - window + 1) for _, lo, hi, key in contexts_of(a, np.flatnonzero(is_live(a, batch.column(4).slice(k, 1)))) if key in wholes]
-                        if hit:
-                            gone = cover(n, np.unique(np.concatenate(hit)), window)
+                words = text[k].as_py().encode("utf-8", "surrogatepass").split()
+                n, gone, edge = len(words), 0, []
+                if copied[k] and n >= window:
+                    gone, words, edge = n, [], [0, n]
+                elif k in masks and masks[k].any():
+                    mask = masks[k]
+                    gone = int(mask.sum())
+                    words = [w for w, g in zip(words, mask.tolist()) if not g]
+                    edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))).tolist()
                 n_words.append(n)
-                n_removed.append(int(gone.sum()))
-                if gone.any():
-                    words = raw.split()
-                    kept.append(b" ".join([w for w, g in zip(words, gone.tolist()) if not g]).decode("utf-8", "surrogatepass"))
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-                    spans.append(edge.tolist())
-                else:
-                    kept.append(b" ".join(raw.split()).decode("utf-8", "surrogatepass"))
-                    spans.append([])
+                n_removed.append(gone)
+                kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
+                spans.append(edge)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.int32()))], names=["doc_id", "n_words", "n_removed", "kept_text", "spans"])
 
     return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string, spans array<int>")

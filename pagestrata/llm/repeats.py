@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -157,18 +158,35 @@ def live_texts(keyed_docs: DataFrame, reps: DataFrame, of: Bytes | Words) -> Dat
     return written(keyed_docs.join(chosen, one).select("fk", "text", "live"))
 
 
+def own_keys(keys: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Keys that differ between the texts of a slice."""
+    return keys ^ mix(doc.astype(np.uint64) + np.uint64(1))
+
+
+def found_in(values: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Which values are among the found ones; by one sort."""
+    if not len(found) or not len(values):
+        return np.zeros(len(values), bool)
+    found = np.sort(found)
+    at = np.searchsorted(found, values)
+    at[at == len(found)] = 0
+    return found[at] == values
+
+
+def listed(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The text's index of each entry of a list column, and the entries; a null list has none."""
+    sizes = pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.repeat(np.arange(len(lists)), sizes), lists.flatten()
+
+
+def longs(array: pa.Array) -> np.ndarray:
+    return array.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+
+
 def is_live(a: Anchors, lists: pa.Array) -> np.ndarray:
     """Which anchors' hashes are in their text's list."""
-    ok = np.zeros(len(a.place), bool)
-    bounds = np.searchsorted(a.doc, np.arange(len(lists) + 1))
-    for d in range(len(lists)):
-        lo, hi = bounds[d], bounds[d + 1]
-        if lo < hi:
-            own = np.sort(lists[d].values.to_numpy(zero_copy_only=False)).view(np.int64)
-            at = np.searchsorted(own, a.hash[lo:hi].view(np.int64))
-            at[at == len(own)] = 0
-            ok[lo:hi] = own[at] == a.hash[lo:hi].view(np.int64) if len(own) else False
-    return ok
+    doc, entries = listed(lists)
+    return found_in(own_keys(a.hash, a.doc), own_keys(longs(entries), doc))
 
 
 def cover(n: int, starts: np.ndarray, length: int) -> np.ndarray:
