@@ -417,20 +417,18 @@ def suffix_order(s: np.ndarray, sigma: int, cap: int, workdir: str, most: int =
     return induce(seeds, common)
 
 
-def repeated_starts(texts: list[bytes], length: int, workdir: str | None = None, most: int = 4 << 20) -> list[np.ndarray]:
-    """For each text, the starts of its substrings of `length` bytes (254 at most) that also start anywhere else in the texts."""
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+def repeated_starts(texts: list[np.ndarray], length: int, sigma: int = 256, workdir: str | None = None, most: int = 4 << 20) -> list[np.ndarray]:
+    """For each text (symbols below sigma, or bytes), the starts of its runs of `length` symbols (254 at most) that also start anywhere else in the texts."""
+    arrays = [np.frombuffer(t, np.uint8) if isinstance(t, bytes) else t for t in texts]
+    sizes = np.array([len(t) for t in arrays], dtype=np.int64)
     first = np.cumsum(sizes + 1) - sizes - 1
-    s = np.zeros(int((sizes + 1).sum()), np.int16)
-    for t, at in zip(texts, first):
-        s[at : at + len(t)] = np.frombuffer(t, np.uint8).astype(np.int16) + 1
+    s = np.zeros(int((sizes + 1).sum()), np.int32)
+    for t, at in zip(arrays, first):
+        s[at : at + len(t)] = t
+        s[at : at + len(t)] += 1
     with tempfile.TemporaryDirectory(dir=workdir) as scratch:  # dies with the task, which starts again from its input
-        places, common = suffix_order(s, 257, min(length, 254), scratch, most)
+        places, common = suffix_order(s, sigma + 1, min(length, 254), scratch, most)
     mark = np.zeros(len(s) + 1, bool)
     near = np.flatnonzero(common >= length)
     mark[places[near]] = mark[places[near - 1]] = True
-    out = []
-    for at, n in zip(first, sizes):
-        own = mark[at : at + max(n - length + 1, 0)]
-        out.append(np.flatnonzero(own))
-    return out
+    return [np.flatnonzero(mark[at : at + max(n - length + 1, 0)]) for at, n in zip(first, sizes)]

@@ -4,9 +4,10 @@ Every window of 200 bytes that may repeat is part of the context of its anchor
 (see repeats.py); equal windows stand in contexts of one anchor's hash. Equal
 contexts are settled by their count. The different contexts of a hash go to
 one shard, where external induced sorting (induced.py) orders all their
-suffixes with common prefixes: neighbours that share 200 bytes are repeats. A
-hash with very many different contexts is dealt out further, by the bytes that
-all windows of a range of offsets share.
+suffixes with common prefixes: neighbours that share a window are repeats. The
+windows of a context are dealt out by ranges of offsets: all of a range hold one
+core, which is the shard's key and stands in the sorted text as one symbol, so
+that a window is as many symbols as the range has offsets.
 """
 
 from __future__ import annotations
@@ -34,13 +35,13 @@ def context_key(h: int, off: int, text: bytes) -> bytes:
     return hashlib.blake2b(text, digest_size=16, key=b"%d:%d" % (h, off)).digest()
 
 
-def repeated_bytes(docs: DataFrame, length: int = 200, shard_bytes: int = 4 << 20, wide: int = 2048, span: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_bytes(docs: DataFrame, length: int = 200, shard_symbols: int = 4 << 20, span: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary), spans (starts and ends of removed runs); one row per input row.
 
     Repeated rows and ids are documents of their own: a text of `length` bytes
     or more with a copy is removed whole. Null, empty and shorter texts lose
-    nothing. `wide`: different contexts of one hash beyond which they are dealt
-    out by ranges of `span` offsets.
+    nothing. `span`: offsets in a range. Shards are sorted `shard_symbols` at a
+    time; a core's contexts stay together.
     """
     of = Bytes(length)
     base = keyed(doc_view(docs, id_col, text_col))
@@ -90,36 +91,34 @@ def repeated_bytes(docs: DataFrame, length: int = 200, shard_bytes: int = 4 << 2
     crowded = kinds.join(several, "h")
     core_rows = crowded.select("h", "off", "key", "ctx").mapInArrow(cores, "core binary, key binary")
     shared = written(core_rows.groupBy("core").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo != hi").select("core"))
-    open_ = written(core_rows.join(shared, "core").select("key").distinct())
+    open_ = written(core_rows.join(shared, "core").groupBy("key").agg(F.collect_set("core").alias("cores")))
 
     def deal(batches):
-        """Shard keys: the hash, and for one with very many contexts also the core of each range."""
+        """One row for each range of a context whose core another one has: what stands before and after the core."""
         for batch in batches:
-            shards, keys, texts_, at = [], [], [], []
-            for h, off, key, ctx, n in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if n <= wide:
-                    shards.append(b"%d" % h)
-                    keys.append(key)
-                    texts_.append(ctx)
-                    at.append(0)
-                    continue
+            names, keys, lefts, rights, at = [], [], [], [], []
+            for h, off, key, ctx, shared_cores in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                wanted = set(shared_cores)
                 for d_lo, first, last in ranges_of(off, len(ctx)):
-                    shards.append(core_key(h, d_lo, off, ctx))
-                    keys.append(key)
-                    texts_.append(ctx[first : last + length])
-                    at.append(first)
-            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.binary()), pa.array(keys, pa.binary()), pa.array(texts_, pa.binary()), pa.array(at, pa.int32())], names=["shard", "key", "ctx", "at"])
+                    name = core_key(h, d_lo, off, ctx)
+                    if name in wanted:
+                        names.append(name)
+                        keys.append(key)
+                        lefts.append(ctx[first : off - d_lo])
+                        rights.append(ctx[off - d_lo - span + 1 + length : last + length])
+                        at.append(first)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(keys, pa.binary()), pa.array(lefts, pa.binary()), pa.array(rights, pa.binary()), pa.array(at, pa.int32())], names=["core", "key", "before", "after", "at"])
 
-    dealt = crowded.join(open_, "key").select("h", "off", "key", "ctx", "n").mapInArrow(deal, "shard binary, key binary, ctx binary, at int")
+    dealt = crowded.join(open_, "key").select("h", "off", "key", "ctx", "cores").mapInArrow(deal, "core binary, key binary, before binary, after binary, at int")
 
     def sort(batches):
-        """Shards in turn, several small ones in one order: windows of different hashes never are equal."""
-        held, size, last = [], 0, None
+        """Shards in turn, several small ones in one order: each core is a symbol of its own, so windows of different ones never are equal."""
+        held, size, last, n_cores = [], 0, None, 0
 
         def settle():
-            found = repeated_starts([c for _, c, _ in held], length)
+            texts_ = [np.concatenate([np.frombuffer(b, np.uint8).astype(np.int32), np.array([256 + c], np.int32), np.frombuffer(a, np.uint8).astype(np.int32)]) for _, c, b, a, _ in held]
             ranges = []
-            for (_, _, at), starts in zip(held, found):
+            for (_, _, _, _, at), starts in zip(held, repeated_starts(texts_, span, 256 + n_cores)):
                 breaks = np.flatnonzero(np.diff(starts) > 1) + 1
                 heads, tails = np.concatenate([starts[:1], starts[breaks]]), np.concatenate([starts[breaks - 1], starts[-1:]])
                 ranges.append((np.stack([heads, tails], 1).ravel() + at).astype(np.int32))
@@ -127,17 +126,19 @@ def repeated_bytes(docs: DataFrame, length: int = 200, shard_bytes: int = 4 << 2
             return pa.RecordBatch.from_arrays([pa.array([held[k][0] for k in keep], pa.binary()), pa.array([ranges[k] for k in keep], pa.list_(pa.int32()))], names=["key", "ranges"])
 
         for batch in batches:
-            for shard, key, ctx, at in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if size >= shard_bytes and shard != last:
-                    yield settle()
-                    held, size = [], 0
-                held.append((key, ctx, at))
-                size += len(ctx) + 1
-                last = shard
+            for core, key, before, after, at in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if core != last:
+                    if size >= shard_symbols:
+                        yield settle()
+                        held, size, n_cores = [], 0, 0
+                    n_cores += 1
+                    last = core
+                held.append((key, n_cores - 1, before, after, at))
+                size += len(before) + len(after) + 2
         if held:
             yield settle()
 
-    sorted_ = dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(sort, "key binary, ranges array<int>")
+    sorted_ = dealt.repartition("core").sortWithinPartitions("core").mapInArrow(sort, "key binary, ranges array<int>")
     ranges = written(sorted_.groupBy("key").agg(F.flatten(F.collect_list("ranges")).alias("ranges")))
     settled = written(kinds.select("key", "whole").join(ranges, "key", "left").where("whole or ranges is not null"))
     found = rows.select("key", "fk").join(settled, "key").groupBy("fk").agg(F.collect_set(F.struct("key", "whole", "ranges")).alias("marks"))
@@ -155,9 +156,9 @@ def repeated_bytes(docs: DataFrame, length: int = 200, shard_bytes: int = 4 << 2
             for k in range(batch.num_rows):
                 raw = batch.column(1)[k].as_py().encode("utf-8", "surrogatepass")
                 n = len(raw)
-                gone = np.zeros(n, bool)
+                gone = None
                 if n >= length and batch.column(2)[k].as_py():
-                    gone[:] = True
+                    gone = np.ones(n, bool)
                 elif n >= length and batch.column(3)[k].is_valid:
                     marks = {m["key"]: (m["whole"], m["ranges"]) for m in batch.column(3)[k].as_py()}
                     a = Anchors(of, np.frombuffer(raw, np.uint8), np.array([0, n]))
@@ -169,10 +170,13 @@ def repeated_bytes(docs: DataFrame, length: int = 200, shard_bytes: int = 4 << 2
                             starts.append(np.arange(lo, hi - length + 1))
                         for s, e in zip(ranges[::2], ranges[1::2]) if ranges and not whole else ():
                             starts.append(np.arange(lo + s, lo + e + 1))
-                    if starts:
-                        gone = cover(n, np.unique(np.concatenate(starts)), length)
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-                for column, value in zip(out, (n, int(gone.sum()), len(edge) // 2, np.frombuffer(raw, np.uint8)[~gone].tobytes(), edge.tolist())):
+                    gone = cover(n, np.unique(np.concatenate(starts)), length) if starts else None
+                if gone is None:
+                    row = (n, 0, 0, raw, [])
+                else:
+                    edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))).tolist()
+                    row = (n, int(gone.sum()), len(edge) // 2, np.frombuffer(raw, np.uint8)[~gone].tobytes(), edge)
+                for column, value in zip(out, row):
                     column.append(value)
             kinds_ = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(out, kinds_))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "spans"])

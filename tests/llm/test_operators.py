@@ -93,15 +93,15 @@ def test_suffix_order():
                 assert common[k] == int(np.argmin(same))
 
 
-@pytest.mark.parametrize("wide", [1, 2048])
-def test_substring_suffixes(docs, rows, none, wide):
+@pytest.mark.parametrize("span", [8, 32])
+def test_substring_suffixes(docs, rows, none, span):
     raw = [(d, (t or "").encode()) for d, t in rows]
     count = Counter(b[i : i + 200] for _, b in raw for i in range(len(b) - 199))
     want = []
     for d, b in raw:
         gone = covered(len(b), [i for i in range(len(b) - 199) if count[b[i : i + 200]] > 1], 200)
         want.append((d, len(b), sum(gone), bytes(x for x, g in zip(b, gone) if not g)))
-    got = op2_suffixes.repeated_bytes(docs, wide=wide, shard_bytes=20_000).collect()
+    got = op2_suffixes.repeated_bytes(docs, span=span, shard_symbols=20_000).collect()
     assert multiset((r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in got) == multiset(want)
     assert op2_suffixes.repeated_bytes(none).count() == 0
 
