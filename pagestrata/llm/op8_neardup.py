@@ -213,14 +213,15 @@ def rare_kmers(texts: DataFrame, k: int, at_least: float) -> DataFrame:
         for batch in batches:
             for lo, hi, data, offs in slices(batch.column(2)):
                 grams, upto = kmers(data, offs, k)
-                rows = pa.array(np.repeat(np.arange(hi - lo), np.diff(upto)))
-                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), batch.column(0).slice(lo, hi - lo).take(rows), batch.column(1).slice(lo, hi - lo).take(rows)], names=["key", "fp", "label"])
-
-    rows = texts.select("fp", "label", "text").mapInArrow(run, "key long, fp binary, label binary")
-    held = written(rows.groupBy("key").agg(F.count("*").alias("df")))
-    ranked = rows.join(held, "key").groupBy("fp", "label").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("ks"))
-    n = F.size("ks")
-    first = F.slice("ks", F.lit(1), (n - F.ceil(n * F.lit(at_least) - 1e-9) + 1).cast("int"))
+                own = np.diff(upto)
+                rows = pa.array(np.repeat(np.arange(hi - lo), own))
+                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), batch.column(0).slice(lo, hi - lo).take(rows), batch.column(1).slice(lo, hi - lo).take(rows), pa.array(np.repeat(own, own))], names=["key", "fp", "label", "n"])
+
+    rows = texts.select("fp", "label", "text").mapInArrow(run, "key long, fp binary, label binary, n long")
+    held = written(rows.groupBy("key").agg(F.count("*").alias("df")).where("df > 1"))
+    ranked = rows.join(held, "key").groupBy("fp", "label", "n").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("ks"))
+    alone = F.col("n") - F.size("ks")  # k-mers of this text only come first in the order
+    first = F.slice("ks", F.lit(1), F.greatest(F.col("n") - F.ceil(F.col("n") * F.lit(at_least) - 1e-9) + 1 - alone, F.lit(0)).cast("int"))
     return written(ranked.select("fp", "label", F.transform(first, lambda s: s["key"]).alias("ks")))
 
 
