@@ -93,9 +93,11 @@ def terms(text: Column) -> Column:
 def disclosing(found: DataFrame, reach: int, support: int, disclosure: float, broadcast_rows: int) -> DataFrame:
     """Terms that disclose an entity. found: doc_id, th, text, base. Written."""
     hits = found.where(F.size("base") > 0).select("th", "text", F.explode("base").alias("s"))
-    left = F.expr(f"substring(text, greatest(s.start - {reach}, 0) + 1, least(s.start, {reach}))")
-    right = F.expr(f"substring(text, s.end + 1, {reach})")
-    around = F.concat_ws(" ", F.regexp_replace(left, r"^\p{L}+", ""), F.regexp_replace(right, r"\p{L}+$", ""))
+    # One more character than `reach` on each side says whether the window cuts a word; where the text itself ends, nothing is cut.
+    left = F.expr(f"substring(text, greatest(s.start - {reach + 1}, 0) + 1, least(s.start, {reach + 1}))")
+    right = F.expr(f"substring(text, s.end + 1, {reach + 1})")
+    whole = lambda side, edge: F.when(F.length(side) > reach, F.regexp_replace(side, edge, "")).otherwise(side)
+    around = F.concat_ws(" ", whole(left, r"(?s)^(?:\p{L}+|.)"), whole(right, r"(?s)(?:\p{L}+|.)\z"))
     near = written(hits.select("th", entity(F.col("s")).alias("e"), around.alias("around")).select("th", "e", F.xxhash64("around").alias("ctx"), terms(F.col("around")).alias("ts")))
     n_e = near.groupBy("e").agg(F.count_distinct("th").alias("n_e"), F.count_distinct("ctx").alias("k")).where(F.col("k") >= support)
     pairs = near.join(n_e, "e").select("th", "e", "ctx", "n_e", F.explode("ts").alias("t")).groupBy("t", "e").agg(F.first("n_e").alias("n_e"), F.count_distinct("th").alias("n_te"), F.count_distinct("ctx").alias("k")).where(F.col("k") >= support)

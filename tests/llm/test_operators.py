@@ -78,6 +78,23 @@ def test_pii_disclosing_terms(spark):
     assert clean[0] == "Notes alpha about  and mail <email> sent early today" and clean[100] == rest[0][1]
 
 
+def told_terms(spark, told, rest=()):
+    rows = list(enumerate(told)) + [(1000 + i, t) for i, t in enumerate(rest or [f"Some other notes about weather and mail number {i} sent today" for i in range(60)])]
+    return {(r.doc_id, s.value) for r in op1_pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect() for s in r.spans if s.kind == 4}
+
+
+def test_pii_terms_at_the_edges(spark):
+    words = ("alpha", "bravo", "delta", "gamma")
+    assert told_terms(spark, [f"Kowalczyk: kow.al@x.example.com sent {w} notes" for w in words]) == {(i, "Kowalczyk") for i in range(4)}
+    assert told_terms(spark, [f"Some {w} notes, +49 30 1234567 Kowalczyk" for w in words]) == {(i, "Kowalczyk") for i in range(4)}
+    # A word that the window cuts isn't near, a whole one at its edge is.
+    for gap, cut in ((70, False), (71, False), (72, True)):
+        before = [f"So Kowalczyk{'.' * (gap - 7)} {w} +49 30 1234567" for w in words]
+        after = [f"+49 30 1234567 {w} {'.' * (gap - 7)}Kowalczyk so" for w in words]
+        for texts in (before, after):
+            assert told_terms(spark, texts) == (set() if cut else {(i, "Kowalczyk") for i in range(4)})
+
+
 def test_suffix_order():
     rng = np.random.default_rng(3)
     for _ in range(60):
