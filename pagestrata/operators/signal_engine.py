@@ -63,6 +63,7 @@ def page_flags(e: DataFrame) -> DataFrame:
     return e.groupBy("doc_id", "page").agg(
         any_(cover).alias("cover"),
         any_(has(c, C.END) & ~ocr).alias("end"),
+        any_(has(c, C.END)).alias("end_or_ocr"),
         F.count_if(has(c, C.END) & ~ocr).alias("n_end"),
         any_(has(c, C.TOPIC_END)).alias("topic_end"),
         F.count_if(has(c, C.TOPIC_END)).alias("n_topic_end"),
@@ -112,20 +113,27 @@ def noise_pages(p: DataFrame) -> DataFrame:
 
 
 def sessions(p: DataFrame) -> DataFrame:
-    """Blocks (doc_id, session, page_start, page_end, expected): by covers, else changes of session, else of day, else one."""
+    """Blocks (doc_id, session, page_start, page_end, expected): by covers, else changes of session, else of day, else one. A11: a day expects its own count of end pages, or a third of its pages."""
     last = p.groupBy("doc_id").agg(F.min("page").alias("first"), F.max("page").alias("last"))
     near = F.coalesce("session_no", F.lead("session_no").over(pages_in_order()), F.lag("session_no").over(pages_in_order()))
     covers = folds.greedy_covers(p.withColumn("near", near).where("cover"), ["doc_id"], "page", 10, ["near"]).select("doc_id", "page", F.col("near").alias("no"))
     covers = covers.withColumn("_n", F.count("*").over(document())).where("_n >= 2")
     changes = order.transitions(p, ["doc_id"], ["page"], "session_no").select("doc_id", "page", F.col("session_no").alias("no"))
-    days = order.transitions(p.withColumn("_s", F.max("session_no").over(document())).where("_s is not null"), ["doc_id"], ["page"], "day_no", 2, False).select("doc_id", "page", F.col("day_no").alias("no"))
-    points = reduce(DataFrame.unionByName, [df.select("doc_id", "page", "no", F.lit(k).alias("way")) for k, df in ((1, covers.drop("_n")), (2, changes), (3, days))])
+    ended = F.col("end_or_ocr").cast("int")
+    counted = p.withColumn("_s", F.max("session_no").over(document())).withColumn("_all", F.sum(ended).over(document())).withColumn("_ends", F.sum(ended).over(pages_in_order()) - ended)
+    days = order.transitions(counted.where("_s is not null"), ["doc_id"], ["page"], "day_no", 2, False).select("doc_id", "page", F.col("day_no").alias("no"), "_ends", "_all")
+    none = [F.lit(None).cast("long").alias(c) for c in ("_ends", "_all")]
+    points = reduce(DataFrame.unionByName, [df.withColumn("way", F.lit(k)) for k, df in ((1, covers.select("doc_id", "page", "no", *none)), (2, changes.select("*", *none)), (3, days))])
     best = points.withColumn("_w", F.min("way").over(document())).where("way = _w")
     i = F.row_number().over(pages_in_order())
     ordered = F.coalesce(F.bool_and(F.coalesce(F.col("no") > F.col("_b"), F.lit(True)) & F.col("no").isNotNull()).over(document()), F.lit(False))
     numbered = best.withColumn("_b", F.lag("no").over(pages_in_order())).withColumn("session", F.when(ordered, F.col("no")).otherwise(i).cast("int"))
     closed = order.close_intervals(numbered.join(last, "doc_id"), ["doc_id"], "page", F.col("last"))
-    found = closed.select("doc_id", "session", F.col("page").alias("page_start"), "page_end", F.when(F.col("session") == 1, 13).otherwise(6).alias("expected"))
+    n_ends = F.coalesce(F.lead("_ends").over(pages_in_order()), F.col("_all")) - F.col("_ends")
+    third = F.greatest(F.floor((F.col("page_end") - F.col("page") + 1) / 3), F.lit(3))
+    by_day = F.when(n_ends >= 2, n_ends).otherwise(third)
+    expected = F.when(F.col("way") == 3, by_day).when(F.col("session") == 1, 13).otherwise(6).cast("int")
+    found = closed.select("doc_id", "session", F.col("page").alias("page_start"), "page_end", expected.alias("expected"))
     single = last.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.lit(0).alias("session"), F.col("first").alias("page_start"), F.col("last").alias("page_end"), F.lit(31).alias("expected"))
     return found.unionByName(single)
 
@@ -146,7 +154,7 @@ def weights(p: DataFrame) -> DataFrame:
 
 def scores(p: DataFrame, blocks: DataFrame) -> DataFrame:
     """Candidates with scores, signals and titles: doc_id, session, page, score, n_signals, title, strong_kind."""
-    by_page = blocks.select("doc_id", "session", "expected", F.col("page_start").alias("block_start"), F.explode(F.sequence("page_start", "page_end")).alias("page"))
+    by_page = blocks.select("doc_id", "session", "expected", F.col("page_start").alias("block_start"), F.col("page_end").alias("block_end"), F.explode(F.sequence("page_start", "page_end")).alias("page"))
     t = noise_pages(p).join(by_page, ["doc_id", "page"]).join(weights(p), "doc_id")
     s = Window.partitionBy("doc_id", "session").orderBy("page")
     before = s.rowsBetween(Window.unboundedPreceding, -1)
@@ -199,7 +207,7 @@ def scores(p: DataFrame, blocks: DataFrame) -> DataFrame:
     t = t.withColumn("score", gated).withColumn("score", F.when((F.col("page") == first_content) & (F.col("score") == 0), 5.0).otherwise(F.col("score")))
     title = F.coalesce(F.when(F.length("menti_title") >= F.length(F.coalesce("roman_title", F.lit(""))), F.col("menti_title")), F.col("roman_title"), F.col("number_title"), F.col("kr_title"), F.col("font_title"), F.col("mark_title"), F.col("first_text"))
     kept = t.where((F.col("score") > 0) & ~F.col("cover") & ~F.col("noise") & ~F.col("topic_end"))
-    return kept.select("doc_id", "session", "expected", "page", "score", F.greatest("n_signals", F.lit(1)).alias("n_signals"), F.substring(title, 1, 80).alias("title"), (F.col("s_topic") | F.col("s_star") | F.col("s_kw")).alias("strong_kind"))
+    return kept.select("doc_id", "session", "expected", "block_end", "page", "score", F.greatest("n_signals", F.lit(1)).alias("n_signals"), F.substring(title, 1, 80).alias("title"), (F.col("s_topic") | F.col("s_star") | F.col("s_kw")).alias("strong_kind"))
 
 
 def select(cands: DataFrame) -> DataFrame:
@@ -211,10 +219,8 @@ def select(cands: DataFrame) -> DataFrame:
 def boundaries(elements: DataFrame) -> DataFrame:
     """doc_id, session, num, session_q, title, page_start, page_end, confidence of every document."""
     p = page_flags(marked(elements)).persist()
-    blocks = sessions(p)
-    chosen = select(scores(p, blocks))
-    ends = blocks.select("doc_id", "session", F.col("page_end").alias("block_end"))
-    closed = order.close_intervals(chosen.join(ends, ["doc_id", "session"]), ["doc_id", "session"], "page", F.col("block_end"))
+    chosen = select(scores(p, sessions(p)))
+    closed = order.close_intervals(chosen, ["doc_id", "session"], "page", F.col("block_end"))
     s = Window.partitionBy("doc_id", "session")
     out = closed.withColumn("confidence", F.round(F.least(F.col("score") / F.max("score").over(s), F.lit(1.0)), 6)).withColumnRenamed("page", "page_start")
     return order.renumber(out, ["doc_id"], ["session"], ["page_start"], F.lit(True)).select("doc_id", "session", "num", "session_q", "title", "page_start", "page_end", "confidence")

@@ -180,6 +180,26 @@ def test_signal_engine_does_not_depend_on_partitions(spark):
     assert one == many
 
 
+def day_rows(ended=(10, 10, 10, 0, 3), topics=10):
+    """Days of two-page topics under a header that names the day; only the first `ended` topics of a day have the end mark."""
+    rows = [("d", 1, 0, "paragraph", "1교시", 1.0, False, None)]
+    for day, n in enumerate(ended, 1):
+        for t in range(topics):
+            page = 2 * topics * (day - 1) + 2 * t + 1
+            second = ["본문이 계속 이어지는 문장이다", "끝" if t < n else "본문이 더 이어지는 문장이다"]
+            for k, (at, c) in enumerate([(page, f"해설집 ({day}일차)"), (page, f"I. 토픽 {day}-{t} 의 개요"), (page + 1, f"해설집 ({day}일차)"), *((page + 1, c) for c in second)], 1):
+                rows.append(("d", at, k, "paragraph", c, 1.0, False, None))
+    return rows
+
+
+def test_days_expect_their_own_topics(spark):
+    df = spark.createDataFrame(day_rows(), SCHEMA)
+    blocks = signal_engine.sessions(signal_engine.page_flags(signal_engine.marked(df))).orderBy("session").collect()
+    assert [(r.session, r.page_start, r.page_end, r.expected) for r in blocks] == [(1, 1, 20, 10), (2, 21, 40, 10), (3, 41, 60, 10), (4, 61, 80, 6), (5, 81, 100, 3)]
+    count = {r["session"]: r["count"] for r in signal_engine.boundaries(df).groupBy("session").count().collect()}
+    assert [count[k] for k in (1, 2, 3)] == [10, 10, 10]
+
+
 def test_format_ladder_and_intervals(spark):
     rows = element_rows(10)
     assert formats.detect_format(spark.createDataFrame(rows, SCHEMA)).first()["format"] == "ITPE"
