@@ -27,7 +27,8 @@ PATTERNS = {
 }
 GATES = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 BYTE = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?:\.|$)){4}$"
-TERM = r"(?<!\p{L})\p{L}{4,64}(?!\p{L})"
+#: A term is a whole run of letters, marks and digits of any length; frequent ones fail by their PMI.
+TERM = r"[\p{L}\p{M}\p{N}]++"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
@@ -97,7 +98,7 @@ def disclosing(found: DataFrame, reach: int, support: int, disclosure: float, br
     left = F.expr(f"substring(text, greatest(s.start - {reach + 1}, 0) + 1, least(s.start, {reach + 1}))")
     right = F.expr(f"substring(text, s.end + 1, {reach + 1})")
     whole = lambda side, edge: F.when(F.length(side) > reach, F.regexp_replace(side, edge, "")).otherwise(side)
-    around = F.concat_ws(" ", whole(left, r"(?s)^(?:\p{L}+|.)"), whole(right, r"(?s)(?:\p{L}+|.)\z"))
+    around = F.concat_ws(" ", whole(left, rf"(?s)^(?:{TERM}|.)"), whole(right, rf"(?s)(?:{TERM}|.)\z"))
     near = written(hits.select("th", entity(F.col("s")).alias("e"), around.alias("around")).select("th", "e", F.xxhash64("around").alias("ctx"), terms(F.col("around")).alias("ts")))
     n_e = near.groupBy("e").agg(F.count_distinct("th").alias("n_e"), F.count_distinct("ctx").alias("k")).where(F.col("k") >= support)
     pairs = near.join(n_e, "e").select("th", "e", "ctx", "n_e", F.explode("ts").alias("t")).groupBy("t", "e").agg(F.first("n_e").alias("n_e"), F.count_distinct("th").alias("n_te"), F.count_distinct("ctx").alias("k")).where(F.col("k") >= support)
@@ -110,7 +111,7 @@ def disclosing(found: DataFrame, reach: int, support: int, disclosure: float, br
     pairs = written(pairs.join(least, "t").where(tells("least")).select("t", "e", "n_e", "n_te"))
     cand = pairs.select("t").distinct()
     n_cand = cand.count()
-    side = F.broadcast(cand) if n_cand <= broadcast_rows else cand  # at most so many terms of 64 letters
+    side = F.broadcast(cand) if n_cand <= broadcast_rows else cand  # at most so many terms of `reach` letters
     n_t = found.select("th", F.explode(terms(F.col("text"))).alias("t")).join(side, "t").groupBy("t").agg(F.count_distinct("th").alias("n_t"))
     told = pairs.join(n_t, "t").where(tells("n_t")) if n_cand else pairs.limit(0)
     return written(told.select("t").distinct())

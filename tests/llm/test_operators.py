@@ -95,6 +95,12 @@ def test_pii_terms_at_the_edges(spark):
             assert told_terms(spark, texts) == (set() if cut else {(i, "Kowalczyk") for i in range(4)})
 
 
+def test_pii_terms_of_any_length_and_with_digits(spark):
+    for term in ("Kim", "Æ", "7", "id4711x", "re\u0301ne\u0301", "l" * 70):
+        got = told_terms(spark, [f"Mail {w} and other number {term} mail kow.al@x.example.com sent {w} today" for w in ("alpha", "bravo", "delta", "gamma")], [f"Some other notes about weather and mail number {'n' * (i + 1)} sent today" for i in range(60)])
+        assert got == {(i, term) for i in range(4)}
+
+
 def test_suffix_order():
     rng = np.random.default_rng(3)
     for _ in range(60):
