@@ -5,8 +5,8 @@ place. A protected entity c (an address or number) is disclosed by a term t
 that stands near it if knowing t yields nearly all of c's information: with
 document frequencies, PMI(c; t) / IC(c) reaches `disclosure`, where PMI is
 log2(n_ct N / (n_c n_t)) and IC is log2(N / n_c). Terms have to stand near c in
-`support` different surroundings, so that copies of one text count once. Such
-terms are added as spans wherever they occur, and are removed like the rest.
+`support` different texts, or surroundings of one; copies of one text count once
+in both, a passage that different texts share counts in each. Such terms are added as spans wherever they occur, and are removed like the rest.
 """
 
 from __future__ import annotations
@@ -100,8 +100,8 @@ def disclosing(found: DataFrame, reach: int, support: int, disclosure: float, br
     whole = lambda side, edge: F.when(F.length(side) > reach, F.regexp_replace(side, edge, "")).otherwise(side)
     around = F.concat_ws(" ", whole(left, rf"(?s)^(?:{TERM}|.)"), whole(right, rf"(?s)(?:{TERM}|.)\z"))
     near = written(hits.select("th", entity(F.col("s")).alias("e"), around.alias("around")).select("th", "e", F.xxhash64("around").alias("ctx"), terms(F.col("around")).alias("ts")))
-    n_e = near.groupBy("e").agg(F.count_distinct("th").alias("n_e"), F.count_distinct("ctx").alias("k")).where(F.col("k") >= support)
-    pairs = near.join(n_e, "e").select("th", "e", "ctx", "n_e", F.explode("ts").alias("t")).groupBy("t", "e").agg(F.first("n_e").alias("n_e"), F.count_distinct("th").alias("n_te"), F.count_distinct("ctx").alias("k")).where(F.col("k") >= support)
+    n_e = near.groupBy("e").agg(F.count_distinct("th").alias("n_e"), F.count_distinct("ctx").alias("k")).where(F.greatest("n_e", "k") >= support)
+    pairs = near.join(n_e, "e").select("th", "e", "ctx", "n_e", F.explode("ts").alias("t")).groupBy("t", "e").agg(F.first("n_e").alias("n_e"), F.count_distinct("th").alias("n_te"), F.count_distinct("ctx").alias("k")).where(F.greatest("n_te", "k") >= support)
     total = F.lit(float(max(found.select("th").distinct().count(), 1)))
     # A term's documents are at least those it stands in near any entity: what then can't reach the threshold goes.
     least = near.select("th", F.explode("ts").alias("t")).groupBy("t").agg(F.count_distinct("th").alias("least"))

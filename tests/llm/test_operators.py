@@ -101,6 +101,12 @@ def test_pii_terms_of_any_length_and_with_digits(spark):
         assert got == {(i, term) for i in range(4)}
 
 
+def test_pii_terms_of_a_shared_passage(spark):
+    passage = f"{'-' * 80} Kowalczyk +49 30 1234567 {'-' * 90}"
+    assert told_terms(spark, [f"The {w} text {passage} ends {w}" for w in ("alpha", "bravo", "delta", "gamma")]) == {(i, "Kowalczyk") for i in range(4)}
+    assert told_terms(spark, [f"One text {passage} ends"] * 4) == set()
+
+
 def test_suffix_order():
     rng = np.random.default_rng(3)
     for _ in range(60):
