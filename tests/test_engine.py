@@ -239,6 +239,14 @@ def test_coverage(spark):
     assert "| 137 | 3 |" in coverage.report(coverage.hit_table(words, found), coverage.gaps(words, found), coverage.generation_stats(topics))
 
 
+def test_coverage_report_lists_every_gap(spark):
+    hits = spark.createDataFrame([], "exam string, scorable long, direct long, indirect long, missed long, percent long")
+    stats = spark.createDataFrame([], "gen string, topics long, weeks long")
+    gaps = spark.createDataFrame([(str(100 + e), s, q, f"label {e}") for e in range(10) for s in range(1, 5) for q in range(1, 8)], "exam string, session int, q_num int, label string")
+    lines = coverage.report(hits, gaps, stats).splitlines()
+    assert [line for line in lines if line.startswith("- ")] == [f"- {100 + e} {s}-{q} label {e}" for e in range(10) for s in range(1, 5) for q in range(1, 8)]
+
+
 def test_streams(spark, tmp_path):
     from pagestrata.streaming.jobs import fixed_windows, unseen
 
