@@ -2,8 +2,9 @@
 
 Ids are dealt out in doc_id order. Each worker gathers frames of some million
 ids; a frame has one frequency table and blocks of whole documents that are
-coded independently with it. In a block, `LANES` coders are interleaved: lane j
-takes ids j, j + LANES, ...; all lanes take a step at once in numpy. A block
+coded independently with it. In a block, `lanes` coders are interleaved: lane j
+takes ids j, j + lanes, ...; all lanes take a step at once in numpy, so a large
+frame has more of them. A block
 names its word stream's place, checksums of stream and ids, and checkpoints
 (the lanes' states and the stream's place every `EVERY` steps) from which
 several readers can decode parts of it.
@@ -28,8 +29,10 @@ from .common import doc_view, shared_dir
 from .tokens import encoder
 
 MAGIC, VERSION = b"RANS", 1
-LANES, EVERY = 512, 128
-SCALE_BITS = 20
+LANES, WIDE = 512, 4096  # coders of a small frame, and of one with WIDE_IDS or more
+WIDE_IDS = 1 << 20
+EVERY = 64
+SCALE_BITS = 18
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
 HEAD = struct.Struct("<4sHHIIIQ")  # magic, version, lanes, symbols, blocks, documents, ids
@@ -61,16 +64,20 @@ def encode_block(index: np.ndarray, freq: np.ndarray, start: np.ndarray, lanes:
     steps = -(-n // lanes)
     state = np.full(lanes, LOW, dtype=np.uint64)
     f_all, c_all = freq[index], start[index]
+    top_all = f_all << np.uint64(31 - SCALE_BITS + 32)
     words, marks = [], []
-    bits = np.uint64(SCALE_BITS)
-    top = np.uint64(31 - SCALE_BITS + 32)
+    rest = np.uint64(1 << SCALE_BITS)
     for t in range(steps - 1, -1, -1):
-        f, c = f_all[t * lanes : (t + 1) * lanes], c_all[t * lanes : (t + 1) * lanes]
+        at = slice(t * lanes, min(n, (t + 1) * lanes))
+        f = f_all[at]
         x = state[: len(f)]
-        full = x >= f << top
-        words.append(x[full].astype(np.uint32))
-        x = np.where(full, x >> WORD, x)
-        state[: len(f)] = (x // f << bits) + x % f + c
+        full = np.flatnonzero(x >= top_all[at])
+        out = x[full]
+        words.append(out.astype(np.uint32))
+        x[full] = out >> WORD
+        q = x // f
+        x += q * (rest - f)  # q * 2 ** SCALE_BITS + (x - q * f)
+        x += c_all[at]
         if t and t % EVERY == 0:
             marks.append((t, len(words), state.copy()))
     sizes = np.array([len(w) for w in words], dtype=np.int64)
@@ -84,27 +91,27 @@ def decode_block(n: int, state: np.ndarray, stream: np.ndarray, symbol: np.ndarr
     """Ids of the steps first..last, from the states and the stream's place at `first`. symbol: index by slot."""
     steps = -(-n // lanes) if last is None else last
     state = state.copy()
-    out = np.empty((max(steps - first, 0), lanes), dtype=np.int64)
+    out = np.empty(max(0, min(n, steps * lanes) - first * lanes), dtype=symbol.dtype)
     bits, mask = np.uint64(SCALE_BITS), np.uint64((1 << SCALE_BITS) - 1)
     for t in range(first, steps):
-        m = min(lanes, n - t * lanes)
-        x = state[:m]
+        x = state[: min(lanes, n - t * lanes)]
         slot = x & mask
         s = symbol[slot]
-        x = freq[s] * (x >> bits) + slot - start[s]
-        low = x < LOW
-        k = int(low.sum())
-        x[low] = (x[low] << WORD) | stream[at : at + k]
-        at += k
-        state[:m] = x
-        out[t - first, :m] = s
-    return out.ravel()[: max(0, min(n, steps * lanes) - first * lanes)]
+        out[(t - first) * lanes : (t - first) * lanes + len(s)] = s
+        x >>= bits
+        x *= freq[s]
+        x += slot
+        x -= start[s]
+        low = np.flatnonzero(x < LOW)
+        x[low] = (x[low] << WORD) | stream[at : at + len(low)]
+        at += len(low)
+    return out
 
 
 class FrameWriter:
     """Documents in, frames out: (first doc, documents, ids, bytes)."""
 
-    def __init__(self, frame_ids: int = 4 << 20, block_ids: int = 128 << 10):
+    def __init__(self, frame_ids: int = 4 << 20, block_ids: int = 1 << 20):
         self.frame_ids, self.block_ids = frame_ids, block_ids
         self.parts, self.docs, self.lens, self.n = [], [], [], 0
 
@@ -121,9 +128,10 @@ class FrameWriter:
         ids, lens = np.concatenate(self.parts), np.array(self.lens, dtype=np.int64)
         counts = np.bincount(ids)
         used = np.flatnonzero(counts)
-        freq = scaled(counts[used])
+        freq = scaled(counts[used]).astype(np.uint64)
         start = np.cumsum(freq) - freq
-        index = np.searchsorted(used, ids)
+        index = (np.cumsum(counts > 0) - 1)[ids]
+        lanes = WIDE if len(ids) >= WIDE_IDS else LANES
         table = zlib.compress(np.diff(used, prepend=0).astype("<u4").tobytes() + freq.astype("<u4").tobytes(), 6)
         doc_ids = np.array([d or 0 for d in self.docs], dtype="<i8")
         nulls = np.packbits(np.array([d is None for d in self.docs]))
@@ -134,14 +142,14 @@ class FrameWriter:
             lo = int(upto[k - 1]) if k else 0
             to = min(len(lens), max(k + 1, int(np.searchsorted(upto, lo + self.block_ids, side="left")) + 1))
             hi = int(upto[to - 1])
-            state, stream, marks = encode_block(index[lo:hi], freq.astype(np.uint64), start.astype(np.uint64))
+            state, stream, marks = encode_block(index[lo:hi], freq, start, lanes)
             words = state.astype("<u8").tobytes() + stream.astype("<u4").tobytes()
             mark = b"".join(struct.pack("<II", t, w) + s.astype("<u8").tobytes() for t, w, s in marks)
             blocks.append(BLOCK.pack(hi - lo, to - k, len(stream), zlib.crc32(words), zlib.crc32(ids[lo:hi].astype("<u4").tobytes()), at, at + len(words), len(marks)))
             body += [words, mark]
             at += len(words) + len(mark)
             k = to
-        out = HEAD.pack(MAGIC, VERSION, LANES, len(used), len(blocks), len(lens), len(ids)) + struct.pack("<II", len(table), len(docs)) + table + docs + b"".join(blocks) + b"".join(body)
+        out = HEAD.pack(MAGIC, VERSION, lanes, len(used), len(blocks), len(lens), len(ids)) + struct.pack("<II", len(table), len(docs)) + table + docs + b"".join(blocks) + b"".join(body)
         done = (self.docs[0], len(lens), len(ids), out)
         self.parts, self.docs, self.lens, self.n = [], [], [], 0
         return done
@@ -162,7 +170,7 @@ class Frame:
         self.used = np.cumsum(table[:n_symbols]).astype(np.uint32)
         self.freq = table[n_symbols:].astype(np.uint64)
         self.start = np.cumsum(self.freq) - self.freq
-        self.symbol = np.repeat(np.arange(n_symbols), self.freq.astype(np.int64))
+        self.symbol = np.repeat(np.arange(n_symbols, dtype=np.int32), self.freq.astype(np.int64))
         docs = zlib.decompress(raw[at : at + n_doc_bytes])
         at += n_doc_bytes
         ids = np.frombuffer(docs[: 8 * n_docs], dtype="<i8").tolist()
@@ -207,14 +215,20 @@ class Frame:
 FRAMES = "shard int, frame int, first_doc long, n_docs long, n_ids long, data binary"
 
 
-def encode_frames(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", path: str | None = None, end_id: int = 2, frame_ids: int = 4 << 20, block_ids: int = 128 << 10, partitions: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shards(view: DataFrame, shard_bytes: int) -> int:
+    """Ranges of ids: `spark.sql.shuffle.partitions`, or more where the texts' bytes ask for it."""
+    size = view.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(view.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
+
+
+def encode_frames(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", path: str | None = None, end_id: int = 2, frame_ids: int = 4 << 20, block_ids: int = 1 << 20, shard_bytes: int = 64 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (shard, frame, first_doc, n_docs, n_ids, data); shards and frames in ascending doc_id order, null ids first.
 
     Each document is the library's ids of its whole text and `end_id`. Rows
     with one id stand next to each other, in the order of their texts.
     """
     view = doc_view(docs, id_col, text_col)
-    parts = partitions or int(view.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = shards(view, shard_bytes)
 
     def run(batches):
         enc, writer, shard, frames = encoder(tokenizer, path), FrameWriter(frame_ids, block_ids), TaskContext.get().partitionId(), 0
