@@ -85,3 +85,41 @@ def accuracy(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Per group and in all, totals and how often either engine's count is the expected one."""
     a, b = F.col("a_count") == F.col("expected"), F.col("b_count") == F.col("expected")
     return rows.rollup(*groups).agg(F.count("*").alias("total"), F.count_if(a).alias("a_match"), F.count_if(b).alias("b_match"), F.count_if(a & b).alias("both"), F.count_if(a & ~b).alias("only_a"), F.count_if(b & ~a).alias("only_b"))
+
+
+def session_ranges(marks: DataFrame, part: Sequence[str], page: str, order: str, number: str) -> DataFrame:
+    """A10: each session from its first page to the page before the next session's, or to its last one. Of several marks on a page the last one counts. marks: part, page, order, number."""
+    from pyspark.sql import Window
+
+    per_page = marks.groupBy(*part, page).agg(F.max_by(number, order).alias(number))
+    spans = per_page.groupBy(*part, number).agg(F.min(page).alias("page_start"), F.max(page).alias("_last"))
+    nxt = F.lead("page_start").over(Window.partitionBy(*part).orderBy(number))
+    expected = F.when(F.col(number) == 1, 13).otherwise(6)
+    return spans.withColumn("page_end", F.greatest("_last", F.coalesce(nxt - 1, F.col("_last")))).withColumn("expected", expected).drop("_last")
+
+
+def unsigned_noise(lines: DataFrame, part: Sequence[str], page: str, noise: Column, signal: Column) -> DataFrame:
+    """Pages with noise and without a topic's sign, in one aggregate."""
+    return lines.groupBy(*part, page).agg(F.bool_or(noise).alias("_n"), F.bool_or(signal).alias("_s")).where("_n and not _s").select(*part, page)
+
+
+def mean_by(rows: DataFrame, keys: Sequence[str], *values: str) -> DataFrame:
+    """Counts and mean values of each key, rounded to six places."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"), *[F.round(F.avg(v), 6).alias(f"mean_{v}") for v in values])
+
+
+def most_frequent(rows: DataFrame, key: str, most: int = 5) -> DataFrame:
+    """The `most` keys with the most rows, ties by key."""
+    return rows.groupBy(key).agg(F.count("*").alias("n")).orderBy(F.desc("n"), key).limit(most)
+
+
+def length_class(session: Column, pages: Column) -> Column:
+    """How unusual a topic's length is: bad, warn or empty. Short answers have one to three pages, essays three to six."""
+    essay = session.between(2, 4)
+    return (
+        F.when((session == 1) & (pages > 4), "bad")
+        .when((session == 1) & (pages > 3), "warn")
+        .when(essay & ((pages > 8) | (pages.between(1, 1))), "bad")
+        .when(essay & ((pages > 6) | (pages == 2)), "warn")
+        .otherwise("")
+    )

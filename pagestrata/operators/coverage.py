@@ -38,6 +38,11 @@ def subject_matrix(topics: DataFrame, generations: list[str] | None = None) -> D
     return (g.pivot("gen", generations) if generations else g.pivot("gen")).count().na.fill(0)
 
 
+def subject_totals(topics: DataFrame) -> DataFrame:
+    """Counts by subject and cohort with subtotals; level is 0 for a count, 1 for a subject's, 3 for all."""
+    return topics.rollup("subject", "gen").agg(F.count("*").alias("n"), F.grouping_id().cast("long").alias("level"))
+
+
 def generation_stats(topics: DataFrame) -> DataFrame:
     """A13, A18."""
     filled = lambda c: F.count_if(F.trim(F.coalesce(c, F.lit(""))) != "")

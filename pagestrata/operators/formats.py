@@ -6,14 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import catalog as C
-from ..functions.text import U
+from ..functions.text import has
 from . import aggregates, order
 
 
-def has(c: Column, pattern: str) -> Column:
-    return c.rlike(U + pattern)
-
-
 def format_counts(elements: DataFrame) -> DataFrame:
     c = F.trim(F.coalesce("content", F.lit("")))
     flat = F.regexp_replace(c, r"(?U)\s+", "")

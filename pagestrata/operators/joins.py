@@ -2,8 +2,8 @@
 
 Point and interval lookups explode the interval side into pages when both are
 keyed by document, so they are equi joins that shuffle by document; keyword
-matches explode only the keyword side, whose size is checked before it is
-broadcast.
+matches scan each text once for all terms (terms.py). Tables are broadcast only
+after their rows and bytes are counted.
 """
 
 from __future__ import annotations
@@ -13,13 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows up to which a dictionary is sent to every task; a larger one is joined in a shuffle of its blocks.
-DICTIONARY_ROWS = 50_000
+from .terms import term_hits
 
+#: Rows and bytes up to which a dictionary is sent to every task; a larger one is joined in a shuffle.
+DICTIONARY_ROWS, DICTIONARY_BYTES = 50_000, 8 << 20
 
-def checked_broadcast(df: DataFrame, rows: int = DICTIONARY_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most `rows` rows."""
-    return F.broadcast(df) if len(df.limit(rows + 1).select(F.lit(1)).take(rows + 1)) <= rows else df
+
+def checked_broadcast(df: DataFrame, rows: int = DICTIONARY_ROWS, most_bytes: int = DICTIONARY_BYTES) -> DataFrame:
+    """df with a broadcast hint if it has at most `rows` rows and about `most_bytes` bytes."""
+    size = df.limit(rows + 1).agg(F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first()
+    return F.broadcast(df) if size["n"] <= rows and (size["b"] or 0) <= most_bytes else df
 
 
 def session_of(pages: DataFrame, sessions: DataFrame, part: Sequence[str], page: str = "page") -> DataFrame:
@@ -32,11 +35,10 @@ def session_of(pages: DataFrame, sessions: DataFrame, part: Sequence[str], page:
 
 
 def keyword_matches(topics: DataFrame, keywords: DataFrame, topic_id: str, title: str, content: str, key: Sequence[str], term: str, min_chars: int = 2) -> DataFrame:
-    """Per topic and question, terms in the title (3 each) or else in the content (1 each); kept with a title hit or two content hits."""
-    words = checked_broadcast(keywords.where(F.length(term) >= min_chars))
-    pairs = topics.join(words, F.col(title).contains(F.col(term)) | F.col(content).contains(F.col(term)))
-    in_title = F.col(title).contains(F.col(term))
-    hits = pairs.groupBy(topic_id, *key).agg(F.count_if(in_title).alias("title_hits"), F.count_if(~in_title).alias("content_hits"))
+    """Per topic and question, terms in the title (3 each) or else in the content (1 each); kept with a title hit or two content hits. Texts are scanned once for all terms; only hits are joined."""
+    words = keywords.where(F.length(term) >= min_chars).select(*key, term)
+    found = term_hits(topics, topic_id, {"in_title": F.col(title), "in_content": F.col(content)}, words, term)
+    hits = found.join(words, term).groupBy(topic_id, *key).agg(F.count_if("in_title").alias("title_hits"), F.count_if(~F.col("in_title")).alias("content_hits"))
     scored = hits.withColumn("score", 3 * F.col("title_hits") + F.col("content_hits"))
     return scored.where((F.col("title_hits") >= 1) | (F.col("content_hits") >= 2)).withColumn("match", F.when(F.col("title_hits") >= 1, "direct").otherwise("indirect"))
 
@@ -60,13 +62,6 @@ def left_last_wins(a: DataFrame, b: DataFrame, key: Sequence[str], order: Sequen
     return a.join(last, list(key), "left").withColumn("status", status)
 
 
-def best_anchor(pages: DataFrame, anchors: DataFrame, page_key: Sequence[str], text: str, topic: str, anchor: str) -> DataFrame:
-    """Of the topics whose anchor the text holds, the one with the longest anchor, then the earliest place."""
-    found = pages.join(checked_broadcast(anchors), F.col(text).contains(F.col(anchor)))
-    rank = F.struct((-F.length(anchor)).alias("l"), F.instr(F.col(text), F.col(anchor)).alias("p"), F.col(topic).alias("t"))
-    return found.groupBy(*page_key).agg(F.min_by(topic, rank).alias(topic))
-
-
 def best_overlap(pages: DataFrame, topics: DataFrame, page_key: Sequence[str], tokens: str, topic: str, topic_tokens: str, least: int = 2) -> DataFrame:
     """J6, second rule: the topic that shares most tokens with the page, if `least` or more. Equi join by token."""
     p = pages.select(*page_key, F.explode(F.array_distinct(tokens)).alias("_t"))

@@ -12,14 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import catalog as C
-from ..functions.text import U, strip
+from ..functions.text import U, has, strip
 from . import folds, order
 
 
-def has(c: Column, pattern: str) -> Column:
-    return c.rlike(U + pattern)
-
-
 def body(lines: Column, most: int = C.LINES_SEEN) -> Column:
     """Lines with text from the first that is neither brand nor the one page number; all if the first `most` have none."""
     cleaned = F.filter(F.transform(lines, strip), lambda x: x != "")

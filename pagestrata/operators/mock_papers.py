@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import U, strip
+from ..functions.text import U, has, strip
 from . import folds, order
 
 # Marks of the papers.
@@ -22,10 +22,6 @@ STARS = r"^[★☆]{2,5}"
 TOPIC_FONT = (12.0, 14.5)
 
 
-def has(c: Column, pattern: str) -> Column:
-    return c.rlike(U + pattern)
-
-
 def classify_lines(pages: DataFrame) -> DataFrame:
     """doc_id, page, body to kind, number, category, topic. A question opens with its number; the label of the problem follows two to five lines later, the label of the domain after that."""
     b = F.col("body")

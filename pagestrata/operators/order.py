@@ -37,7 +37,7 @@ def page_axis(df: DataFrame, part: Names, order: Names, name: str = "pg") -> Dat
 
 
 def close_intervals(starts: DataFrame, part: Names, start: str, last: Column, end: str = "page_end", least: int = 0) -> DataFrame:
-    """Each start reaches to the page before the next one, the last to `last`; never below start + least."""
+    """Each start reaches to the page before the next one, the last to `last`; never below start + least."""
     nxt = F.lead(start).over(axis(part, [start])) - 1
     return starts.withColumn(end, F.greatest(F.coalesce(nxt, last), F.col(start) + least))
 
@@ -194,3 +194,28 @@ def repair_gaps(sessions: DataFrame, part: Names, start: str, end: str, last: Co
     )
     blocks = grown.select(*part, F.inline(extra))
     return blocks.withColumn("_short", F.min(F.col("page_end") - F.col("page_start") + 1).over(whole)).where(F.col("_short") >= least).drop("_short")
+
+
+def questions_first(fmt: str = "fmt") -> Column:
+    """A sort key that puts question pages before topics that start on the same page."""
+    return F.when(F.col(fmt) == "question_pages", 0).otherwise(1)
+
+
+def merged_order(topics: DataFrame, questions: DataFrame, part: Names, start: str = "page_start") -> DataFrame:
+    """Topics and question pages as one list numbered in order, `place` from 1: by start; on the same page the topic first."""
+    both = topics.withColumn("fmt", F.lit("topic")).unionByName(questions.withColumn("fmt", F.lit("question_pages")), allowMissingColumns=True)
+    w = Window.partitionBy(*part).orderBy(start, F.when(F.col("fmt") == "topic", 0).otherwise(1), "page_end")
+    return both.withColumn("place", F.row_number().over(w).cast("long"))
+
+
+def summaries(lines: DataFrame, part: Names, order: Names, text: str, most: int = 5, chars: int = 80, between: str = " / ") -> DataFrame:
+    """T4: of each partition the first `most` lines with text, cut and joined."""
+    kept = first_by(lines.where(F.trim(text) != ""), part, order, most)
+    rows = F.array_sort(F.collect_list(F.struct(*order, F.substring(F.trim(text), 1, chars).alias("_t"))))
+    return kept.groupBy(*part).agg(F.array_join(F.transform(rows, lambda r: r["_t"]), between).alias("summary"))
+
+
+def limited(items: Column, most: int = 5) -> Column:
+    """The first `most` of a list, and how many more there are."""
+    more = F.size(items) - most
+    return F.when(more > 0, F.concat(F.slice(items, 1, most), F.array(F.concat(F.lit("… 외 "), more.cast("string"), F.lit("건"))))).otherwise(items)

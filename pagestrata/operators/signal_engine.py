@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import catalog as C
-from ..functions.text import U, norm
+from ..functions.text import U, has, norm
 from . import aggregates, folds, order
 
 
@@ -27,10 +27,6 @@ def document():
     return Window.partitionBy("doc_id")
 
 
-def has(c: Column, pattern: str) -> Column:
-    return c.rlike(U + pattern)
-
-
 def group(c: Column, pattern: str, k: int = 1) -> Column:
     return F.nullif(F.regexp_extract(c, U + pattern, k), F.lit(""))
 

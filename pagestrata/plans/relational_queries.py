@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
+from ..operators import coverage as C
 from ..operators import joins as J
 from ..operators import order as O
+from ..sources import elements as E
 from ..sources.tables import event_pages, table
+from ..streaming import jobs
 from .registry import query
 from .window_queries import EV
 
@@ -76,18 +79,32 @@ def number_gaps(spark, sf_dir):
 
 @query("""SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS f, count(*) FILTER (o_orderstatus = 'O') AS o, count(*) FILTER (o_orderstatus = 'P') AS p FROM orders GROUP BY o_orderpriority""")
 def subject_pivot(spark, sf_dir):
-    wide = table(spark, sf_dir, "orders").groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).count()
-    return wide.select("o_orderpriority", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c.lower()) for c in ("F", "O", "P")])
+    """A12."""
+    topics = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("subject"), F.col("o_orderstatus").alias("gen"))
+    wide = C.subject_matrix(topics, ["F", "O", "P"])
+    return wide.select(F.col("subject").alias("o_orderpriority"), *[F.col(c).alias(c.lower()) for c in ("F", "O", "P")])
 
 
 @query("SELECT o_orderpriority, o_orderstatus, count(*) AS n, CAST(grouping(o_orderpriority) * 2 + grouping(o_orderstatus) AS BIGINT) AS level FROM orders GROUP BY ROLLUP (o_orderpriority, o_orderstatus)")
 def subject_rollup(spark, sf_dir):
-    return table(spark, sf_dir, "orders").rollup("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("n"), F.grouping_id().cast("long").alias("level"))
+    topics = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("subject"), F.col("o_orderstatus").alias("gen"))
+    return C.subject_totals(topics).select(F.col("subject").alias("o_orderpriority"), F.col("gen").alias("o_orderstatus"), "n", "level")
 
 
-@query("SELECT event_type, count(*) AS n_topics, count(DISTINCT day(ts)) AS n_days, count(DISTINCT user_id) AS n_users, count(*) FILTER (trim(coalesce(props, '')) <> '') AS n_props FROM events GROUP BY event_type")
+@query("SELECT event_type AS gen, count(*) AS topics, count(DISTINCT day(ts)) AS weeks, count(DISTINCT user_id) AS sessions, count(*) FILTER (trim(coalesce(props, '')) <> '') AS with_intent, count(*) FILTER (value > 50) AS with_approach, count(*) AS with_content FROM events GROUP BY event_type")
 def gen_stats(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n_topics"), F.count_distinct(F.dayofmonth("ts")).alias("n_days"), F.count_distinct("user_id").alias("n_users"), F.count_if(F.trim(F.coalesce("props", F.lit(""))) != "").alias("n_props"))
+    """A13, A18."""
+    ev = table(spark, sf_dir, "events")
+    topics = ev.select(F.col("event_type").alias("gen"), F.dayofmonth("ts").alias("week"), F.col("user_id").alias("session"), F.col("props").alias("intent"), F.when(F.col("value") > 50, "x").otherwise(" ").alias("approach"), F.lit("x").alias("content"))
+    return C.generation_stats(topics)
+
+
+@query("SELECT o_orderpriority AS exam, o_orderstatus AS session, o_custkey % 100 AS q_num, arg_min(CAST(o_totalprice AS VARCHAR), o_orderkey) AS q_title FROM orders GROUP BY ALL")
+def first_titles(spark, sf_dir):
+    """A15."""
+    o = table(spark, sf_dir, "orders")
+    q = o.select(F.col("o_orderpriority").alias("exam"), F.col("o_orderstatus").alias("session"), (F.col("o_custkey") % 100).alias("q_num"), F.col("o_totalprice").cast("string").alias("q_title"), "o_orderkey")
+    return C.first_titles(q, "o_orderkey")
 
 
 @query("""WITH c AS (SELECT user_id, count(*) FILTER (event_type = 'purchase') AS found, count(*) // 5 AS expected, count(*) FILTER (event_type = 'error') AS warnings FROM events GROUP BY user_id),
@@ -120,11 +137,40 @@ def corpus_accuracy(spark, sf_dir):
     return A.accuracy(rows, ["publisher", "kind"]).withColumnRenamed("both", "both_")
 
 
-@query("""SELECT o_orderkey, o_custkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END DESC, o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1""")
+@query("""WITH u_ AS (SELECT o_orderkey AS path, 'F' || CAST(o_custkey % 300 AS VARCHAR) || CASE WHEN o_orderkey % 2 = 0 THEN '.pdf' ELSE '.PDF' END AS name, CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS main FROM orders)
+SELECT path, name FROM (SELECT *, row_number() OVER (PARTITION BY lower(name) ORDER BY main DESC, path) AS rn FROM u_) WHERE rn = 1""")
 def last_writer_wins(spark, sf_dir):
-    """The row of the highest priority, then the latest, for each key."""
-    best = O.first_by(table(spark, sf_dir, "orders"), ["o_custkey"], [F.desc(F.col("o_orderstatus") == "O"), F.desc("o_orderdate"), F.desc("o_orderkey")])
-    return best.select("o_orderkey", "o_custkey", "o_orderstatus")
+    """Of files with one name the one of the later source, the first path of several."""
+    name = F.concat(F.lit("F"), (F.col("o_custkey") % 300).cast("string"), F.when(F.col("o_orderkey") % 2 == 0, ".pdf").otherwise(".PDF"))
+    files = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("path"), name.alias("name"), "o_orderstatus")
+    return E.last_of_name(files.where("o_orderstatus <> 'O'").drop("o_orderstatus"), files.where("o_orderstatus = 'O'").drop("o_orderstatus"))
+
+
+@query("""SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1 AND event_type <> 'error'""")
+def latest_rows(spark, sf_dir):
+    """A user's last event; users whose last event is an error are deleted."""
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", (F.col("event_type") == "error").alias("gone"))
+    return E.latest_rows(ev, "user_id", "ts", "gone").select("user_id", "event_id", "event_type")
+
+
+@query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY user_id")
+def job_states(spark, sf_dir):
+    """The last state of each job."""
+    found = jobs.job_states(table(spark, sf_dir, "events").withColumn("at", F.struct("ts", "event_id")), "user_id", "at", "event_type")
+    return found.select("user_id", "event_type")
+
+
+@query("SELECT event_type, user_id, count(*) AS n FROM events GROUP BY event_type, user_id, CAST(floor(epoch(ts) / 86400) AS BIGINT) HAVING count(*) > 1")
+def over_limit(spark, sf_dir):
+    """Keys over the limit of a day's window."""
+    return jobs.over_limit(table(spark, sf_dir, "events"), "ts", "1 day", ["event_type", "user_id"], 1).select("event_type", "user_id", "n")
+
+
+@query("SELECT arg_min(event_id, (ts, event_id)) AS event_id, user_id FROM events GROUP BY user_id")
+def unseen_content(spark, sf_dir):
+    """Rows whose key did not come before."""
+    ev = table(spark, sf_dir, "events").withColumn("at", F.struct("ts", "event_id"))
+    return jobs.unseen(ev, "user_id", "at").select("event_id", "user_id")
 
 
 @query("""SELECT r.r_name, n.n_name, count(*) AS n_customers, coalesce(CAST(sum(CASE WHEN c.c_acctbal < 0 THEN 1 ELSE 0 END) AS BIGINT), 0) AS n_negative FROM region r JOIN nation n ON n.n_regionkey = r.r_regionkey JOIN customer c ON c.c_nationkey = n.n_nationkey GROUP BY r.r_name, n.n_name""")

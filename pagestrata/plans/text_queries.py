@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import aggregates as A
+from ..operators import coverage as C
+from ..operators import joins as J
 from ..operators import order as O
+from ..sources import elements as E
 from ..sources.tables import table, text_lines, text_pages
 from .registry import query
 
-PAGES = "pages_ AS (SELECT source AS doc, doc_id, coalesce(text, '') AS text, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS pg FROM documents)"
+PAGES = "pages_ AS (SELECT doc, doc_id, text, row_number() OVER (PARTITION BY doc ORDER BY doc_id) AS pg FROM (SELECT concat_ws('#', source, CAST(doc_id // 500 AS VARCHAR)) AS doc, doc_id, coalesce(text, '') AS text FROM documents))"
 LINES = PAGES + """, split_ AS (SELECT doc, pg, string_split(text, chr(10)) AS ls FROM pages_),
 lines_ AS (SELECT doc, pg, CAST(i AS BIGINT) AS elem_idx, ls[i] AS line FROM (SELECT doc, pg, ls, unnest(range(1, len(ls) + 1)) AS i FROM split_))"""
 HEADERS = LINES + """, n_pages_ AS (SELECT doc, max(pg) AS n_pages FROM lines_ GROUP BY doc),
@@ -134,8 +137,7 @@ def html_elements(spark, sf_dir):
 @query("SELECT min(doc_id) AS doc_id, sha256(coalesce(text, '')) AS content_key, count(*) AS n_copies FROM documents GROUP BY sha256(coalesce(text, ''))")
 def content_hash_dedup(spark, sf_dir):
     """One row for each content; the key under which a result is kept."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("content_key"))
-    return docs.groupBy("content_key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"))
+    return E.copies(table(spark, sf_dir, "documents"), "doc_id", F.coalesce("text", F.lit("")))
 
 
 @query("SELECT event_id, json_extract_string(regexp_extract(props, '\\{.*\\}', 0, 's'), '$.page') AS page, regexp_extract(props, '\\{.*\\}', 0, 's') AS first_object FROM events")
@@ -160,14 +162,28 @@ def running_sum_cutoff(spark, sf_dir):
 
 
 @query(f"""WITH {PAGES}, i_ AS (SELECT doc, min(pg) AS page_start, max(pg) AS page_end FROM pages_ GROUP BY doc, (pg - 1) // 4)
-SELECT i_.doc, page_start, page_end, count(*) FILTER (length(trim(text)) < 400) AS image_pages, CAST(sum(length(text)) AS BIGINT) AS n_chars, sha256(string_agg(text, chr(10) ORDER BY p.pg)) AS content_key
+SELECT i_.doc, page_start, page_end, sha256(left(string_agg(text, chr(10) ORDER BY p.pg), 2000)) AS content_key
 FROM i_ JOIN pages_ p ON p.doc = i_.doc AND p.pg BETWEEN page_start AND page_end GROUP BY i_.doc, page_start, page_end""")
 def interval_text(spark, sf_dir):
-    """The text of each interval of four pages, and its pages with little text."""
-    pages = text_pages(spark, sf_dir).withColumn("page_start", F.expr("(pg - 1) div 4 * 4 + 1"))
-    ends = pages.groupBy("doc", "page_start")
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pg", "text"))), lambda x: x["text"]), "\n")
-    return ends.agg(F.max("pg").alias("page_end"), F.count_if(F.length(F.trim("text")) < 400).alias("image_pages"), F.sum(F.length("text")).cast("long").alias("n_chars"), F.sha2(body, 256).alias("content_key"))
+    """The text of each interval of four pages, cut at 2000 characters."""
+    pages = text_pages(spark, sf_dir)
+    found = J.interval_text(_fours(pages), pages.withColumn("idx", F.lit(0)), ["doc"], "pg", "idx", "text", 2000)
+    return found.select("doc", "page_start", "page_end", F.sha2("content", 256).alias("content_key"))
+
+
+def _fours(pages):
+    ends = pages.select("doc", "pg", F.expr("(pg - 1) div 4 * 4 + 1").alias("page_start"))
+    return ends.groupBy("doc", "page_start").agg(F.max("pg").alias("page_end"))
+
+
+@query(f"""WITH {PAGES}, i_ AS (SELECT doc, min(pg) AS page_start, max(pg) AS page_end, count(*) FILTER (length(text) < 50) AS image_pages FROM pages_ GROUP BY doc, (pg - 1) // 4)
+SELECT doc AS doc_id, page_start, page_end, page_end - page_start + 1 AS pages, image_pages, doc || '_1_' || lpad(CAST(page_start AS VARCHAR), 2, '0') || '_T.pdf' AS filename FROM i_""")
+def split_manifest(spark, sf_dir):
+    """One row an interval, with its pages of next to no text."""
+    pages = text_pages(spark, sf_dir)
+    intervals = _fours(pages).select(F.col("doc").alias("doc_id"), F.lit(1).alias("session"), F.col("page_start").alias("num"), F.lit("T").alias("title"), "page_start", "page_end")
+    sizes = pages.select(F.col("doc").alias("doc_id"), F.col("pg").alias("page"), F.length("text").alias("n_chars"))
+    return E.manifest(intervals, sizes).select("doc_id", "page_start", "page_end", "pages", "image_pages", "filename")
 
 
 @query("""WITH k_ AS (SELECT item_id, split_part(text, '.', 1) AS term FROM benchmark WHERE text IS NOT NULL), d_ AS (SELECT doc_id, split_part(text, chr(10), 1) AS title, text AS content FROM documents),
@@ -181,19 +197,42 @@ def theta_keyword_match(spark, sf_dir):
     return keyword_matches(docs, words, "doc_id", "title", "content", ["item_id"], "term")
 
 
-@query("""WITH k_ AS (SELECT item_id, split_part(text, '.', 1) AS term FROM benchmark WHERE text IS NOT NULL),
-h_ AS (SELECT k_.item_id, count(*) FILTER (contains(split_part(d.text, chr(10), 1), term)) AS direct_, count(d.doc_id) AS all_ FROM k_ LEFT JOIN documents d ON contains(d.text, term) GROUP BY k_.item_id)
-SELECT count(*) AS n_items, count(*) FILTER (direct_ > 0) AS n_direct, count(*) FILTER (direct_ = 0 AND all_ > 0) AS n_indirect, count(*) FILTER (all_ = 0) AS n_missed, CAST(floor(100 * count(*) FILTER (all_ > 0) / greatest(count(*), 1)) AS BIGINT) AS percent FROM h_""")
+SQUEEZED = "upper(replace(translate({c}, ' .,;:!?()[]{{}}<>/·・‧\"“”‘’''-_|~' || chr(9) || chr(10), ''), 'ß', 'SS'))"
+COVERED = f"""k_ AS (SELECT CASE WHEN item_id % 2 = 0 THEN 'even' ELSE 'odd' END AS exam, CAST(item_id % 4 + 1 AS INTEGER) AS session, item_id AS q_num, list_slice(string_split(text, '.'), 1, 3) AS terms FROM benchmark WHERE text IS NOT NULL),
+w_ AS (SELECT exam, session, q_num, {SQUEEZED.format(c="term")} AS term FROM (SELECT exam, session, q_num, unnest(terms) AS term FROM k_)), t_ AS (SELECT doc_id, {SQUEEZED.format(c="split_part(text, chr(10), 1)")} AS title, {SQUEEZED.format(c="text")} AS content FROM documents WHERE text IS NOT NULL),
+h_ AS (SELECT doc_id, exam, session, q_num, count(*) FILTER (contains(title, term)) AS th, count(*) FILTER (NOT contains(title, term)) AS ch FROM t_ JOIN w_ ON contains(content, term) WHERE length(term) >= 2 GROUP BY ALL),
+r_ AS (SELECT *, row_number() OVER (PARTITION BY exam, session, q_num ORDER BY 3 * th + ch DESC, doc_id) AS rank FROM h_ WHERE th >= 1 OR ch >= 2)"""
+
+
+def _questions(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark").where("text is not null")
+    exam = F.when(F.col("item_id") % 2 == 0, "even").otherwise("odd")
+    return b.select(exam.alias("exam"), (F.col("item_id") % 4 + 1).cast("int").alias("session"), F.col("item_id").alias("q_num"), F.slice(F.split("text", r"\."), 1, 3).alias("terms"), F.lit("").alias("label"))
+
+
+def _matches(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").where("text is not null")
+    topics = docs.select(F.col("doc_id").alias("topic_id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("q_title"), F.lit("").alias("intent"), F.lit("").alias("approach"), F.col("text").alias("content"))
+    return C.matches(topics, _questions(spark, sf_dir))
+
+
+@query(f"WITH {COVERED} SELECT exam, session, q_num, doc_id AS topic_id, th AS title_hits, ch AS content_hits, rank FROM r_ WHERE rank <= 5")
+def best_topics(spark, sf_dir):
+    """J2, T1 over normalised texts."""
+    return _matches(spark, sf_dir).select("exam", "session", "q_num", "topic_id", "title_hits", "content_hits", "rank")
+
+
+@query(f"""WITH {COVERED}, b_ AS (SELECT exam, session, q_num, bool_or(th >= 1) AS direct FROM r_ GROUP BY exam, session, q_num)
+SELECT k_.exam, count(*) AS scorable, count(*) FILTER (direct) AS direct, count(*) FILTER (NOT direct) AS indirect, count(*) FILTER (direct IS NULL) AS missed, CAST(0 AS BIGINT) AS skipped, CAST(floor(100 * count(direct) / greatest(count(*), 1)) AS BIGINT) AS percent FROM k_ LEFT JOIN b_ USING (exam, session, q_num) GROUP BY k_.exam""")
 def hit_rate(spark, sf_dir):
-    """Items found in a document's head, only further in, or nowhere."""
-    from ..operators.joins import checked_broadcast
+    """A17."""
+    return C.hit_table(_questions(spark, sf_dir), _matches(spark, sf_dir))
 
-    words = table(spark, sf_dir, "benchmark").where("text is not null").select("item_id", F.split_part("text", F.lit("."), F.lit(1)).alias("term"))
-    docs = table(spark, sf_dir, "documents").select("text")
-    found = docs.join(checked_broadcast(words), F.col("text").contains(F.col("term"))).groupBy("item_id").agg(F.count_if(F.split_part("text", F.lit("\n"), F.lit(1)).contains(F.col("term"))).alias("direct"), F.count("*").alias("all"))
-    every = words.join(found, "item_id", "left").select("item_id", F.coalesce("direct", F.lit(0)).alias("d"), F.coalesce("all", F.lit(0)).alias("a"))
-    n = F.count("*")
-    return every.agg(n.alias("n_items"), F.count_if(F.expr("d > 0")).alias("n_direct"), F.count_if(F.expr("d = 0 and a > 0")).alias("n_indirect"), F.count_if(F.expr("a = 0")).alias("n_missed"), F.floor(100 * F.count_if(F.expr("a > 0")) / F.greatest(n, F.lit(1))).alias("percent"))
+
+@query(f"WITH {COVERED} SELECT exam, session, q_num FROM k_ WHERE NOT EXISTS (SELECT 1 FROM r_ WHERE r_.exam = k_.exam AND r_.session = k_.session AND r_.q_num = k_.q_num)")
+def coverage_gaps(spark, sf_dir):
+    """Questions that no topic covers."""
+    return C.gaps(_questions(spark, sf_dir), _matches(spark, sf_dir)).select("exam", "session", "q_num")
 
 
 @query("""SELECT doc_id, length(coalesce(text, '')) AS n_chars, CAST(len(regexp_extract_all(coalesce(text, ''), '[A-Z][a-z]+')) AS BIGINT) AS n_capital, CAST(len(regexp_extract_all(coalesce(text, ''), '[#$%&*]')) AS BIGINT) AS n_noise, regexp_matches(coalesce(text, ''), '[|]') AS has_table FROM documents""")
@@ -203,9 +242,16 @@ def extractor_quality(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.length(text).cast("long").alias("n_chars"), F.regexp_count(text, F.lit("[A-Z][a-z]+")).cast("long").alias("n_capital"), F.regexp_count(text, F.lit("[#$%&*]")).cast("long").alias("n_noise"), text.contains("|").alias("has_table"))
 
 
-@query("""WITH r_ AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '([0-9]{2,3})[.]', 1)) AS ref FROM documents)
-SELECT CAST(ref AS BIGINT) AS number, count(*) AS n_refs, count(DISTINCT doc_id) AS n_docs FROM r_ WHERE CAST(ref AS BIGINT) BETWEEN 10 AND 140 GROUP BY CAST(ref AS BIGINT)""")
+@query("""WITH r_ AS (SELECT DISTINCT doc_id, CAST(unnest(regexp_extract_all(replace(coalesce(text, ''), '.', '회'), '([0-9]{2,3})\\s*회', 1)) AS INTEGER) AS number FROM documents)
+SELECT number, count(*) AS n_topics, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS topic_ids FROM r_ WHERE number BETWEEN 10 AND 140 GROUP BY number""")
 def number_references(spark, sf_dir):
-    """Numbers that texts refer to, several a text."""
-    refs = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"([0-9]{2,3})[.]"), F.lit(1))).alias("ref")).withColumn("number", F.col("ref").cast("long"))
-    return refs.where(F.col("number").between(10, 140)).groupBy("number").agg(F.count("*").alias("n_refs"), F.count_distinct("doc_id").alias("n_docs"))
+    """Exam numbers that texts refer to, several a text; a full stop stands for the word after the number."""
+    topics = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("topic_id"), F.replace("text", F.lit("."), F.lit("회")).alias("intent"))
+    return C.exam_references(topics, 10, 140).select("number", "n_topics", F.array_join("topic_ids", ",").alias("topic_ids"))
+
+
+@query("SELECT doc_id AS topic_id, lang AS gen, substring(text, 1, 20) AS q_title, substring(text, 1, 100) AS intent FROM documents WHERE contains(text, 'License')")
+def unexamined(spark, sf_dir):
+    """A14."""
+    topics = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("topic_id"), F.col("lang").alias("gen"), F.substring("text", 1, 20).alias("q_title"), F.col("text").alias("intent"))
+    return C.unexamined(topics, "License")

@@ -146,12 +146,12 @@ def topk_per_group(spark, sf_dir):
 
 @query("SELECT user_id, event_type, arg_min(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id, event_type")
 def first_candidate(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
+    return O.first_by(table(spark, sf_dir, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id")
 
 
 @query("SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id, event_type")
 def last_candidate(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
+    return O.first_by(table(spark, sf_dir, "events"), ["user_id", "event_type"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "event_type", "event_id")
 
 
 @query("SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS number, l_extendedprice AS score, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_extendedprice DESC, l_partkey, l_suppkey) AS rn FROM lineitem) WHERE rn = 1")

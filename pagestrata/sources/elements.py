@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import round_id, session_label, strip, subject_codes
+from ..functions.text import file_exam, file_source, material_name, round_id, session_label, strip, subject_codes
 from ..operators.aggregates import font_ratio
 
 PARSED = (
@@ -20,11 +22,47 @@ def find_files(spark: SparkSession, root: str, glob: str = "*.pdf", content: boo
     return df.withColumn("name", F.element_at(F.split("path", "/"), -1)).select("path", "name", "length", "modificationTime", *(["content"] if content else []))
 
 
-def reviews(files: DataFrame, codes: tuple[str, ...], word: str = "리뷰", copy: str = "복사본") -> DataFrame:
-    """Review files by name, with cohort, week, subject and session."""
+#: Names of a week's folder, subjects and what they are called else, marks of files that are parts or answers.
+WEEK_WORDS = ("주차", "오리엔테이션", "멘티출제", "특강", "합반", "자체모의", "서바이벌")
+SUBJECTS = ("SW", "DS", "DB", "SE", "AI", "CAOS", "NW", "경영", "AL", "OT")
+SUBJECT_WORDS = {"보안": "SE", "멘티출제": "전범위", "자체모의": "전범위", "합반": "전범위", "특강": "특강", "서바이벌": "특강"}
+PART_NAMES = r"작성답안|총평|멘토링|초고|교시\.pdf| 답\.pdf|-답[1-4]|-답\.pdf"
+SINGLE_SESSION = r"(?i)-\s*[1-4](?:~\d)?\.pdf$|_\s*[1-4]교시"
+LEFT_OUT = r"아이리포|라이지움|회사|bak"
+
+
+def reviews(files: DataFrame, generations: tuple[str, ...] = (), old: bool = True, word: str = "리뷰", copy: str = "복사본") -> DataFrame:
+    """Review files by name, with cohort (the folder of that name, or the number before 기), week (the last folder named as one), subject and session; without `old` those of bak folders go."""
     kept = files.where(F.col("name").contains(word) & ~F.col("name").contains(copy))
-    gen, week = F.regexp_extract("path", r"(\d{1,3})\s*기", 1), F.regexp_extract("path", r"(\d{1,2})\s*주", 1)
-    return kept.select("path", "name", gen.alias("gen"), week.alias("week"), subject_codes("name", codes).alias("subject"), session_label("name").alias("session")).orderBy("gen", "week", "session", "path")
+    if not old:
+        kept = kept.where(~F.col("path").contains("/bak/"))
+    folders = F.slice(F.split("path", "/"), F.lit(1), F.size(F.split("path", "/")) - 1)
+    week = F.element_at(F.filter(folders, lambda x: x.rlike("|".join(WEEK_WORDS))), -1)
+    gen = F.element_at(F.filter(folders, lambda x: x.isin(*generations)), 1) if generations else F.nullif(F.regexp_extract("path", r"(\d{1,3}기)", 1), F.lit(""))
+    named = kept.select("path", "name", F.coalesce(gen, F.lit("")).alias("gen"), F.coalesce(week, F.lit("UNKNOWN")).alias("week"), session_label("name").alias("session"))
+    subject = subject_codes(F.concat_ws(" ", "week", "name"), SUBJECTS, words=SUBJECT_WORDS, plain=("경영",))
+    return named.withColumn("subject", subject).orderBy("gen", "week", "session", "path")
+
+
+def exam_files(main: DataFrame, old: DataFrame) -> DataFrame:
+    """Files of past exams of known publishers with source, exam and session; a file of the main folder replaces the old one of its name."""
+    both = last_of_name(old, main).where(F.col("name").rlike(r"(?i)\.pdf$"))
+    session = F.coalesce(F.nullif(F.regexp_extract("name", r"(\d)교시", 1), F.lit("")), F.when(~F.col("name").contains("합"), F.nullif(F.regexp_extract("name", r"(?i)-(\d)\.pdf$", 1), F.lit("")))).cast("int")
+    out = both.select("path", "name", file_source("name").alias("source"), file_exam("name").alias("exam"), session.alias("session"))
+    return out.where(~F.col("source").isin("UNKNOWN", "아이리포")).orderBy("source", "exam", F.coalesce("session", F.lit(0)), "path")
+
+
+def material_files(files: DataFrame, root: str, kind: str) -> DataFrame:
+    """S3: files right in the publishers' folders below root, without old ones and those of other schools: folder, name, source name."""
+    tail = F.split(F.regexp_replace("path", "^.*?" + re.escape(root.rstrip("/")) + "/", ""), "/")
+    kept = files.withColumn("t", tail).where((F.size("t") == 2) & F.lower(F.get("t", F.lit(0))).isin("itpe", "kpc") & ~F.get("t", F.lit(0)).rlike(LEFT_OUT) & ~F.lower("name").contains("bak") & F.lower("name").endswith(".pdf"))
+    return kept.select("path", F.get("t", F.lit(0)).alias("folder"), "name", material_name("name", F.lit(kind)).alias("source_name")).orderBy("folder", "name")
+
+
+def corpus_files(files: DataFrame) -> DataFrame:
+    """Files to be split: no parts, answers or single sessions, none below bak or already split folders."""
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    return files.where(~F.col("name").rlike(PART_NAMES) & ~F.col("name").rlike(SINGLE_SESSION) & ~folder.rlike("bak|_split"))
 
 
 def last_of_name(*sources: DataFrame) -> DataFrame:
@@ -37,9 +75,11 @@ def last_of_name(*sources: DataFrame) -> DataFrame:
     return both.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_p", "_r")
 
 
-def valid_uploads(files: DataFrame, most: int = 50 << 20) -> DataFrame:
-    """With the first rule a file breaks, or null. files has content."""
+def valid_uploads(files: DataFrame, most: int = 50 << 20, pages: int = 500) -> DataFrame:
+    """With the first rule a file breaks, or null. files has content and, once they are counted, n_pages."""
     reason = F.when(~F.lower("name").endswith(".pdf"), "extension").when(F.col("length") > most, "size").when(F.substring("content", 1, 5) != F.encode(F.lit("%PDF-"), "utf-8"), "magic")
+    if "n_pages" in files.columns:
+        reason = reason.when(~F.col("n_pages").between(1, pages), "pages")
     return files.withColumn("refused", reason)
 
 
@@ -92,9 +132,20 @@ def ocr_lines(pages: DataFrame, reader, partitions: int | None = None) -> DataFr
     return dealt.mapInPandas(run, "doc_id string, page int, elem_idx int, type string, content string, source string")
 
 
+def content_key(content: Column | str, version: str, no_header_footer: bool | None = None) -> Column:
+    """The key of a parse: parser version, for page blocks whether heads and feet were left out, and content."""
+    flag = [] if no_header_footer is None else [F.lit(f"nhf{int(no_header_footer)}")]
+    return F.concat_ws(":", F.lit(version), *flag, F.sha2(content, 256))
+
+
+def copies(rows: DataFrame, id_col: str, content: Column) -> DataFrame:
+    """One row for each content: its key, smallest id and count."""
+    return rows.select(F.col(id_col), F.sha2(content, 256).alias("content_key")).groupBy("content_key").agg(F.min(id_col).alias(id_col), F.count("*").alias("n_copies"))
+
+
 def to_parse(files: DataFrame, cache: DataFrame, version: str) -> DataFrame:
     """Files whose content and parser version the cache doesn't hold. files has content."""
-    keyed = files.withColumn("content_key", F.concat_ws(":", F.lit(version), F.sha2("content", 256)))
+    keyed = files.withColumn("content_key", content_key("content", version))
     good = cache.where(F.col("n_elements") > 0).select("content_key")
     return keyed.join(good, "content_key", "left_anti")
 
@@ -114,3 +165,22 @@ def manifest(intervals: DataFrame, pages: DataFrame, prefix: Column | str = "doc
 def write_report(df: DataFrame, path: str, form: str = "json") -> None:
     """JSON lines, CSV with a header, or Parquet."""
     df.write.mode("overwrite").format(form).options(**({"header": True} if form == "csv" else {})).save(path)
+
+
+def write_topics(topics: DataFrame, inventory: DataFrame, out: str) -> None:
+    """Topics with their texts and the inventory of files, as JSON lines below out."""
+    write_report(topics, f"{out}/topics")
+    write_report(inventory, f"{out}/inventory")
+
+
+def latest_rows(changes: DataFrame, key: str, ts: str, deleted: str | None = None) -> DataFrame:
+    """Of each key the row of its last change; keys whose last change deletes them go."""
+    rest = [c for c in changes.columns if c != key]
+    last = changes.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(ts, *[c for c in rest if c != ts])).alias("r")).select(key, "r.*")
+    return last if deleted is None else last.where(~F.col(deleted)).drop(deleted)
+
+
+def recovered(jobs: DataFrame, now: Column, status: str = "status") -> DataFrame:
+    """After a restart, jobs that were running are errors that finished now."""
+    running = F.col(status) == "processing"
+    return jobs.withColumn("finished_at", F.when(running, now).otherwise(F.col("finished_at"))).withColumn(status, F.when(running, "error").otherwise(F.col(status)))

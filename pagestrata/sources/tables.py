@@ -10,9 +10,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Ids that one document of text_pages spans, so that no document grows with the corpus.
+DOC_IDS = 500
+
+
 def text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents as pages: a source is a document, the rank of an id its page."""
-    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("doc"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    """documents as pages: ids of one source and one run of DOC_IDS ids are a document, the rank of an id there its page."""
+    doc = F.concat_ws("#", "source", F.expr(f"doc_id div {DOC_IDS}").cast("string"))
+    docs = table(spark, sf_dir, "documents").select(doc.alias("doc"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return docs.withColumn("pg", F.row_number().over(Window.partitionBy("doc").orderBy("doc_id")).cast("long"))
 
 
