@@ -35,6 +35,40 @@ def context_key(h: int, off: int, text: bytes) -> bytes:
     return hashlib.blake2b(text, digest_size=16, key=b"%d:%d" % (h, off)).digest()
 
 
+def _longest_common(cores: np.ndarray, sides: list[bytes], width: int) -> np.ndarray:
+    """For each side (of `width` bytes at most) the longest prefix that it shares with another side of its core; -1 if it has no other."""
+    pad = -(-max(width, 1) // 8) * 8
+    lens = np.fromiter(map(len, sides), np.int64, len(sides))
+    rows = np.frombuffer(b"".join(x.ljust(pad, b"\0") for x in sides), np.uint8).reshape(len(sides), pad)
+    order = np.lexsort((lens, *rows.view(">u8").T[::-1], cores))
+    a, b = order[:-1], order[1:]
+    differ = rows[a] != rows[b]
+    common = np.where(differ.any(axis=1), differ.argmax(axis=1), pad)
+    common = np.where(cores[a] == cores[b], np.minimum(common, np.minimum(lens[a], lens[b])), -1)
+    best = np.full(len(sides), -1)
+    best[a] = common
+    best[b] = np.maximum(best[b], common)
+    return best
+
+
+def _trimmed(rows: list[tuple[int, bytes, bytes]], span: int) -> tuple[np.ndarray, dict]:
+    """rows (core, before, after), cut to what other rows of the core share: bytes cut off in front, and the rows of each core and text.
+
+    A repeat takes in the core and `span - 1` symbols around it, so it reaches no
+    further than a neighbour in the order of reversed `before`s and in that of
+    `after`s agrees; rows that agree too little hold none and are left out.
+    """
+    cores = np.fromiter((c for c, _, _ in rows), np.int64, len(rows))
+    back = _longest_common(cores, [b[::-1] for _, b, _ in rows], span - 1)
+    ahead = _longest_common(cores, [a for _, _, a in rows], span - 1)
+    lead = np.fromiter((len(b) for _, b, _ in rows), np.int64, len(rows)) - back
+    groups: dict[tuple[int, tuple[bytes, bytes]], list[int]] = {}
+    for k in np.flatnonzero(back + ahead >= span - 1).tolist():
+        core, before, after = rows[k]
+        groups.setdefault((core, (before[lead[k] :], after[: ahead[k]])), []).append(k)
+    return lead, groups
+
+
 def repeated_bytes(docs: DataFrame, length: int = 200, shard_symbols: int = 4 << 20, span: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary), spans (starts and ends of removed runs); one row per input row.
 
@@ -116,14 +150,27 @@ def repeated_bytes(docs: DataFrame, length: int = 200, shard_symbols: int = 4 <<
         held, size, last, n_cores = [], 0, None, 0
 
         def settle():
-            texts_ = [np.concatenate([np.frombuffer(b, np.uint8).astype(np.int32), np.array([256 + c], np.int32), np.frombuffer(a, np.uint8).astype(np.int32)]) for _, c, b, a, _ in held]
-            ranges = []
-            for (_, _, _, _, at), starts in zip(held, repeated_starts(texts_, span, 256 + n_cores)):
+            lead, groups = _trimmed([(c, before, after) for _, c, before, after, _ in held], span)
+            by_core: dict[int, list] = {}
+            for core, text in groups:
+                by_core.setdefault(core, []).append(text)
+            texts_, of = [], []
+            for (core, (before, after)), rows in groups.items():
+                if len(by_core[core]) > 1:  # another text of this core: they need an order
+                    texts_.append(np.concatenate([np.frombuffer(before, np.uint8).astype(np.int32), np.array([256 + core], np.int32), np.frombuffer(after, np.uint8).astype(np.int32)]))
+                    of.append((core, (before, after)))
+            starts_of = dict(zip(of, repeated_starts(texts_, span, 256 + n_cores))) if texts_ else {}
+            keys, ranges = [], []
+            for name, rows in groups.items():
+                starts = np.arange(len(name[1][0]) + len(name[1][1]) + 2 - span) if len(rows) > 1 else starts_of.get(name, ())
+                if not len(starts):
+                    continue
                 breaks = np.flatnonzero(np.diff(starts) > 1) + 1
-                heads, tails = np.concatenate([starts[:1], starts[breaks]]), np.concatenate([starts[breaks - 1], starts[-1:]])
-                ranges.append((np.stack([heads, tails], 1).ravel() + at).astype(np.int32))
-            keep = [k for k, r in enumerate(ranges) if len(r)]
-            return pa.RecordBatch.from_arrays([pa.array([held[k][0] for k in keep], pa.binary()), pa.array([ranges[k] for k in keep], pa.list_(pa.int32()))], names=["key", "ranges"])
+                edges = np.stack([np.concatenate([starts[:1], starts[breaks]]), np.concatenate([starts[breaks - 1], starts[-1:]])], 1).ravel()
+                for k in rows:
+                    keys.append(held[k][0])
+                    ranges.append((edges + held[k][4] + lead[k]).astype(np.int32))
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ranges, pa.list_(pa.int32()))], names=["key", "ranges"])
 
         for batch in batches:
             for core, key, before, after, at in zip(*(batch.column(i).to_pylist() for i in range(5))):
