@@ -1,4 +1,4 @@
-"""Benchmark decontamination: one automaton over all item windows, texts scanned once.
+"""Benchmark decontamination: one automaton over item windows, texts scanned once.
 
 Texts are reduced to their normalised words joined by single blanks, in bytes;
 the Aho-Corasick automaton holds each window of ten item words between blanks.
@@ -7,8 +7,8 @@ Hits are mapped to word indices and, on demand, to spans of the original.
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_view
+from .common import doc_view, written
 
 #: Words of a text before A-Z are lower-cased.
 WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -64,79 +64,105 @@ def scan(text: str, auto) -> tuple[int, list[tuple[int, int]], set[str]]:
         at = start
         spans.append((seen, seen + n))
         ids.update(names)
-    spans.sort()
-    merged: list[tuple[int, int]] = []
-    for s, e in spans:
-        if merged and s <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(e, merged[-1][1]))
-        else:
-            merged.append((s, e))
-    return len(words), merged, ids
+    return len(words), merged_ranges(spans), ids
 
 
 OUT = "doc_id long, n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>"
+HELD = "doc_id long, text string, words array<struct<start:int,end:int>>, item_ids array<string>"
+RANGES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+#: The automaton of this worker process: only the last one asked for is held.
+_BUILT: dict[str, tuple] = {}
+
 
+def built(key: str, items: list[tuple[str | None, str]], window: int) -> tuple:
+    """The automaton of these items and the ids among them, made once a worker."""
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = automaton_of([(i or "", t) for i, t in items], window), {i for i, _ in items if i is not None}
+    return _BUILT[key]
 
-def listed_items(benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text", block_bytes: int = 32 << 20) -> list[tuple[str | None, str]]:
-    """The benchmark on the driver; only while its texts fit `block_bytes`."""
+
+def item_blocks(benchmark: DataFrame, item_col: str, item_text: str, block_bytes: int) -> Iterator[list[tuple[str | None, str]]]:
+    """The benchmark's items on the driver, one block of about `block_bytes` after the other; one empty block without items."""
     items = benchmark.select(benchmark[item_col].cast("string").alias("i"), benchmark[item_text].cast("string").alias("t")).where("t is not null").distinct()
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    if size > block_bytes:
-        raise ValueError(f"benchmark of {size} bytes: split it by item and scan for each part")
-    return [(r["i"], r["t"]) for r in items.collect()]
+    blocks = max(1, -(-size // block_bytes))
+    for k in range(blocks):
+        yield [(r["i"], r["t"]) for r in items.where(F.pmod(F.xxhash64("t", "i"), F.lit(blocks)) == k).collect()]
+
+
+def merged_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(ranges):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = 32 << 20) -> DataFrame:
+    """The rows of docs without any window of an item, as they are. A benchmark above `block_bytes` is looked for block by block, each in a pass that is written."""
+    left = None
+    for items in item_blocks(benchmark, item_col, item_text, block_bytes):
+        docs = docs if left is None else written(left)
+        left = docs.where(_clean(docs, items, window)(docs[text_col].cast("string")))
+    return left
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", **how) -> DataFrame:
-    """The rows of docs without any window of an item, as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(listed_items(benchmark, **how))
-    built: list = []
+def _clean(docs: DataFrame, items: list, window: int):
+    key, shared = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(items)
 
     @F.pandas_udf("boolean")
     def clean(texts: pd.Series) -> pd.Series:
-        if not built:
-            built.append(automaton_of([(i or "", t) for i, t in shared.value], window))
-        return pd.Series([not scan(t or "", built[0])[1] for t in texts], dtype=bool)
+        auto, _ = built(key, shared.value, window)
+        return pd.Series([not scan(t or "", auto)[1] for t in texts], dtype=bool)
 
-    return docs.where(clean(docs[text_col].cast("string")))
+    return clean
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = 32 << 20) -> DataFrame:
     """doc_id, n_words, n_hit, item_ids (sorted) and the code-point spans of hit words in the original, one row per input row.
 
     A null text has no words; a null item id hits but is not listed; an item
-    without words is no item. The benchmark is read to the driver only while
-    its words fit `block_bytes`; a larger one raises ValueError and is to be
-    split by item and scanned for in parts.
+    without words is no item. The automaton holds items of about `block_bytes`
+    at a time: a larger benchmark is looked for block by block, in passes whose
+    hits are written and joined row by row.
     """
-    listed = listed_items(benchmark, item_col, item_text, block_bytes)
-    return _scanned(doc_view(docs, id_col, text_col), listed, window)
+    blocks = item_blocks(benchmark, item_col, item_text, block_bytes)
+    rows = doc_view(docs, id_col, text_col).select("doc_id", "text", F.array().cast("array<struct<start:int,end:int>>").alias("words"), F.array().cast("array<string>").alias("item_ids"))
+    items = next(blocks)
+    for more in blocks:
+        rows, items = written(_scanned(rows, items, window, HELD)), more
+    return _scanned(rows, items, window, OUT)
 
 
-def _scanned(view: DataFrame, listed: list, window: int) -> DataFrame:
-    shared = view.sparkSession.sparkContext.broadcast(listed)
+def _scanned(rows: DataFrame, items: list, window: int, schema: str) -> DataFrame:
+    """rows of HELD with the hits of these items added; as OUT in the end."""
+    key, shared = uuid.uuid4().hex, rows.sparkSession.sparkContext.broadcast(items)
 
     def run(batches):
-        auto = automaton_of([(i or "", t) for i, t in shared.value], window)
-        named = {i for i, _ in shared.value if i is not None}
+        auto, named = built(key, shared.value, window)
         for batch in batches:
-            ids, n_words, n_hit, item_ids, spans = batch.column(0), [], [], [], []
-            for text in batch.column(1):
-                t = text.as_py()
-                n, merged, found = scan(t, auto)
+            n_words, words, item_ids = [], [], []
+            for text, before, ids in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                n, ranges, found = scan(text.as_py(), auto)
                 n_words.append(n)
-                n_hit.append(sum(e - s for s, e in merged))
-                item_ids.append(sorted(found & named))
-                if merged:
-                    at = [m.span() for m in WORD.finditer(t)]
-                    spans.append([{"start": at[s][0], "end": at[e - 1][1]} for s, e in merged])
-                else:
-                    spans.append([])
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(item_ids, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
-                names=["doc_id", "n_words", "n_hit", "item_ids", "spans"],
-            )
-
-    return view.mapInArrow(run, OUT)
+                words.append(merged_ranges([*((r["start"], r["end"]) for r in before), *ranges]) if before else ranges)
+                item_ids.append(sorted({*ids, *(found & named)}))
+            listed = pa.array(item_ids, pa.list_(pa.string()))
+            if schema == HELD:
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([[{"start": s, "end": e} for s, e in w] for w in words], RANGES), listed], names=["doc_id", "text", "words", "item_ids"])
+                continue
+            spans = []
+            for text, ranges in zip(batch.column(1), words):
+                at = [m.span() for m in WORD.finditer(text.as_py())] if ranges else []
+                spans.append([{"start": at[s][0], "end": at[e - 1][1]} for s, e in ranges])
+            n_hit = [sum(e - s for s, e in w) for w in words]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), listed, pa.array(spans, RANGES)], names=["doc_id", "n_words", "n_hit", "item_ids", "spans"])
+
+    return rows.mapInArrow(run, schema)
 
 
 def digest(found: DataFrame) -> DataFrame:
