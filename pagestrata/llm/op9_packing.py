@@ -1,11 +1,11 @@
 """Harmonic packing: pieces in reciprocal-capacity classes, a fixed count of pieces to a bin.
 
-A document is cut into whole sequences first. What is left is cut into pieces
-of capacity / 2, / 4, ... down to `min_piece`, and a last shorter piece. A piece
-of length l is of class k = capacity // l, and k pieces of a class fill a bin:
-classes of capacity / 2**i leave no padding, the last classes less than one
-piece. Each worker fills its own bins; the pieces in its unfilled bins are put
-together at its end, longest first.
+A piece of length l is of class k = capacity // l, and k pieces of a class fill
+a bin. Of a document whole sequences are cut off first; the rest is a piece of
+its own class if k of its length would leave at most `waste` of a bin empty.
+Else it is cut to the exact share capacity // (k + 1) of the next class, and
+what is left is looked at in turn. Each worker fills its own bins; the pieces in
+its unfilled bins are put together at its end, longest first.
 """
 
 from __future__ import annotations
@@ -22,16 +22,16 @@ from .common import doc_view
 from .tokens import encoder
 
 
-def cut(n: int, capacity: int, min_piece: int) -> list[int]:
+def cut(n: int, capacity: int, min_piece: int, waste: int) -> list[int]:
     """Lengths, in order, of the pieces of a document of n tokens."""
     out = [capacity] * (n // capacity)
-    left, size = n % capacity, capacity // 2
-    while left and size >= min_piece:
-        if left >= size:
-            out.append(size)
-            left -= size
-        size //= 2
-    return out + [left] * (left > 0)
+    left = n % capacity
+    while left:
+        k = capacity // left
+        size = left if left <= min_piece or capacity - k * left <= waste else capacity // (k + 1)
+        out.append(size)
+        left -= size
+    return out
 
 
 class HarmonicBins:
@@ -72,9 +72,12 @@ class HarmonicBins:
 OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
 
 
-def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", path: str | None = None, capacity: int = 1024, end_id: int = 0, min_piece: int = 16, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", path: str | None = None, capacity: int = 1024, end_id: int = 0, min_piece: int = 16, waste: float = 1 / 64, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: its document and place there, its sequence and place there, and its ids.
 
+    A bin is padded by `waste` of its capacity at most, but for bins of pieces
+    up to `min_piece` tokens and a worker's last ones.
+
     Each document is its ids and `end_id`; a null or empty text is `end_id`
     alone. Rows are documents: repeated ids are packed once per row. A
     sequence's number is its task's number and its bin's number there, so it is
@@ -99,7 +102,7 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", path: str | None
                     own = np.append(ids[at : at + n], np.uint32(end_id)).astype("<u4")
                     at += n
                     start = 0
-                    for length in cut(n + 1, capacity, min_piece):
+                    for length in cut(n + 1, capacity, min_piece, int(waste * capacity)):
                         part = own[start : start + length]
                         rows += bins.add((doc, start, length, zlib.crc32(part.tobytes()), n + 1, part.copy() if with_ids else None), length)  # a copy, so that an open bin doesn't hold whole documents
                         start += length
