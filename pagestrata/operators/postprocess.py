@@ -16,11 +16,12 @@ COLUMNS = ["doc_id", "num", "title", "page_start", "page_end", "session", "confi
 
 
 def by_document(df: DataFrame, f: Callable[[list[dict]], list[dict]], extra: str = "") -> DataFrame:
-    """Runs f over each document's intervals in page order, as dicts."""
-    names = COLUMNS + ([extra.split()[0]] if extra else [])
+    """Runs f over each document's intervals in page order (those of several formats in the order of their numbers), as dicts."""
+    names = COLUMNS + [c.split()[0] for c in extra.split(", ") if c]
+    order = ["num"] if "fmt" in names else ["page_start", "page_end", "num"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values(["page_start", "page_end", "num"], kind="stable").to_dict("records")
+        rows = pdf.sort_values(order, kind="stable").to_dict("records")
         return pd.DataFrame(f(rows), columns=names)
 
     return df.select(*names).groupBy("doc_id").applyInPandas(run, INTERVALS + (f", {extra}" if extra else ""))
@@ -43,6 +44,8 @@ def merge_short(df: DataFrame, expected: DataFrame) -> DataFrame:
     """One page under 0.9, or up to two under 0.4, joins the topic before it in its session, else the one after; not where ten or more are expected."""
     known = df.join(expected.select("doc_id", "session", "expected"), ["doc_id", "session"], "left").withColumn("expected", F.coalesce("expected", F.lit(6)).cast("int"))
 
+    own = "fmt string" if "fmt" in df.columns else ""
+
     def merge(rows: list[dict]) -> list[dict]:
         if len(rows) <= 1:
             return rows
@@ -52,7 +55,7 @@ def merge_short(df: DataFrame, expected: DataFrame) -> DataFrame:
             short = (pages <= 1 and r["confidence"] < 0.9) or (pages <= 2 and r["confidence"] < 0.4)
             if r["expected"] < 10 and short:
                 if out and out[-1]["session"] == r["session"]:
-                    out[-1]["page_end"] = max(out[-1]["page_end"], r["page_end"])
+                    out[-1]["page_end"] = r["page_end"]
                     continue
                 if k + 1 < len(rows) and rows[k + 1]["session"] == r["session"]:
                     rows[k + 1]["page_start"] = r["page_start"]
@@ -60,7 +63,7 @@ def merge_short(df: DataFrame, expected: DataFrame) -> DataFrame:
             out.append(r)
         return out
 
-    return by_document(known, merge, "expected int").drop("expected")
+    return by_document(known, merge, ", ".join(filter(None, ["expected int", own]))).drop("expected")
 
 
 def merge_titles(df: DataFrame, near: int = 2) -> DataFrame:

@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import catalog as C
-from ..functions.text import U, has, norm
-from . import aggregates, folds, order
+from ..functions.text import U, has, norm, strip
+from ..sources.stages import staged
+from . import aggregates, folds, formats, joins, order, postprocess
 
 
 
@@ -50,10 +51,17 @@ def page_flags(e: DataFrame) -> DataFrame:
     cover = has(c, C.COVER)
     number = group(c, C.STD_NUM).cast("int")
     asks = has(c, C.STD_NUM) & has(c, C.QUESTION)
+    spoken = plain & (heading | para)
+    line = lambda v: F.substring(F.split(strip(v), "\n")[0], 1, 70)
+    roman_text, menti_text = F.substring(strip(F.substring(c, 4, 1 << 20)), 1, 70), line(group(c, C.MENTI, 2))
+    opens = has(c, C.ROMAN_I) | has(c, C.MENTI)
+    said = F.when(has(c, C.MENTI), menti_text).when(has(c, C.ROMAN_I), roman_text).when(number == 1, F.substring(strip(group(c, C.STD_NUM, 2)), 1, 70)).when(heading & (F.length(c) > 10), F.substring(c, 1, 70))
+    story = F.when(heading & (F.length(c) >= 25) & ~has(c, C.STD_NUM) & ~has(c, C.KR_SUB) & ~has(c, C.ROMAN_I) & ~has(c, C.END), F.substring(c, 1, 70))
     any_ = lambda cond: F.bool_or(F.coalesce(cond, F.lit(False)))
     first = lambda v, cond: F.min_by(v, F.when(cond, i))
     longest = lambda v, cond: F.max_by(v, F.when(cond, F.struct(F.length(v), -i)))
-    font = plain & (F.col("font_ratio") >= 1.3) & (F.length(c) > 5)
+    font = plain & (F.col("font_ratio") >= 1.3) & (F.length(c) >= 5)
+    sized = ~F.col("ignored") & (F.col("font_ratio") >= 1.3) & (F.length(c) > 5)
     mark = plain & has(c, C.MARKER)
     kr = F.instr(F.lit(C.KR_ORDER), group(c, C.KR_SUB)) - 1
     return e.groupBy("doc_id", "page").agg(
@@ -63,28 +71,37 @@ def page_flags(e: DataFrame) -> DataFrame:
         F.count_if(has(c, C.END) & ~ocr).alias("n_end"),
         any_(has(c, C.TOPIC_END)).alias("topic_end"),
         F.count_if(has(c, C.TOPIC_END)).alias("n_topic_end"),
-        F.count_if(plain & ~cover & has(c, C.ROMAN_I)).alias("n_roman"),
+        F.count_if(plain & has(c, C.ROMAN_I)).alias("n_roman"),
         F.count_if(has(c, C.ROMAN_I)).alias("all_roman"),
-        longest(c, plain & has(c, C.ROMAN_I)).alias("roman_title"),
+        longest(roman_text, plain & has(c, C.ROMAN_I)).alias("roman_title"),
         any_(has(c, C.ROMAN_BEYOND)).alias("roman_beyond"),
         F.count_if(has(c, C.MENTI)).alias("n_menti"),
-        longest(group(c, C.MENTI, 2), has(c, C.MENTI)).alias("menti_title"),
-        first(number, plain & heading & number.isNotNull()).alias("number"),
+        longest(menti_text, has(c, C.MENTI)).alias("menti_title"),
+        first(number, spoken & heading & ~has(c, C.QUESTION) & number.isNotNull()).alias("heading_number"),
+        first(number, spoken & number.isNotNull()).alias("any_number"),
         F.count_if(heading & (number == 1)).alias("n_first"),
-        first(group(c, C.STD_NUM, 2), plain & heading & number.isNotNull()).alias("number_title"),
+        any_(spoken & has(c, C.QUESTION)).alias("asks"),
         F.count_if(plain & asks).alias("n_questions"),
+        any_(spoken & asks).alias("asks_numbered"),
+        first(F.substring(c, 1, 70), spoken & asks).alias("question_title"),
+        any_(plain & (has(c, C.ROMAN_I) | has(c, C.END) | has(c, C.STAR))).alias("answers"),
+        first(F.when(has(c, C.MENTI), menti_text).otherwise(roman_text), plain & opens).alias("opening"),
+        first(said, plain & (F.length(c) >= 5) & ~has(c, C.END) & said.isNotNull()).alias("said"),
+        first(F.struct(story.alias("t")), plain & (F.length(c) >= 5)).alias("story"),
+        any_(plain & (F.length(c) >= 5) & (opens | has(c, C.SESSION_TOPIC) | has(c, C.SESSION))).alias("sign"),
+        F.array_sort(F.collect_list(F.when(asks | has(c, C.QUESTION), F.when(F.length(c) > 20, F.substring(c, 1, 15))))).alias("hints"),
         F.count_if(plain & number.isNotNull() & (F.length(c) > 10)).alias("n_numbered"),
-        first(c, font).alias("font_title"),
+        first(F.substring(c, 1, 70), font).alias("font_title"),
         first(F.col("font_ratio"), font).alias("font_size"),
-        F.count_if(font).alias("n_font"),
-        first(c, mark).alias("mark_title"),
+        F.count_if(sized).alias("n_font"),
+        first(F.substring(c, 1, 70), mark).alias("mark_title"),
         F.count_if(mark).alias("n_mark"),
         F.count_if(para & has(c, C.STAR)).alias("n_star"),
         F.count_if(has(c, C.SESSION_TOPIC)).alias("n_session_topic"),
         (any_(cell & (F.length(c) <= 6) & has(c, r"^\d\s*교시$")) & any_(cell & (F.length(c) <= 6) & has(c, r"^\d+\s*번$"))).alias("split_cells"),
         first(group(c, C.HEADER_KW), has(c, C.HEADER_KW)).alias("keyword"),
         first(kr, plain & (kr >= 0)).alias("kr"),
-        first(group(c, C.KR_SUB, 2), plain & (kr >= 0)).alias("kr_title"),
+        first(F.substring(strip(group(c, C.KR_SUB, 2)), 1, 70), plain & (kr >= 0)).alias("kr_title"),
         first(group(c, C.SESSION).cast("int"), has(c, C.SESSION)).alias("session_no"),
         first(group(c, C.DAY).cast("int"), has(c, C.DAY)).alias("day_no"),
         any_(~F.col("repeated") & has(c, C.NOISE)).alias("stat_noise"),
@@ -96,16 +113,20 @@ def page_flags(e: DataFrame) -> DataFrame:
     )
 
 
-def noise_pages(p: DataFrame) -> DataFrame:
-    """A5: statistics, question lists and tables; statistics in the first ten pages extend to the first page with a topic's sign. Adds noise."""
+def block():
+    return Window.partitionBy("doc_id", "session")
+
+
+def noise_pages(t: DataFrame) -> DataFrame:
+    """A5: statistics, question lists and tables of each block; statistics in a block's first ten pages extend to its first page with a topic's sign. Adds noise."""
     listed = (F.col("n_questions") >= 2) & (F.col("all_roman") == 0)
-    table = ((F.col("n_tables") >= 2) & (F.col("n_long") == 0)) | (~((F.col("n_tables") >= 2) & (F.col("n_long") == 0)) & (F.col("n_short") >= 8) & (F.col("n_long") <= 1))
-    start = F.min("page").over(document())
-    early = F.max(F.when(F.col("stat_noise") & (F.col("page") - start < 10), F.col("page"))).over(document())
-    sign = (F.col("all_roman") > 0) | (F.col("n_menti") > 0) | (F.col("n_session_topic") > 0) | F.col("session_no").isNotNull()
-    first_sign = F.min(F.when(sign, F.col("page"))).over(document())
+    only_tables = (F.col("n_tables") >= 2) & (F.col("n_long") == 0)
+    table = only_tables | ((F.col("n_short") >= 8) & (F.col("n_long") <= 1))
+    start = F.min(F.when(F.col("filled"), F.col("page"))).over(block())
+    early = F.max(F.when(F.col("stat_noise") & (F.col("page") - start < 10), F.col("page"))).over(block())
+    first_sign = F.min(F.when(F.col("sign"), F.col("page"))).over(block())
     front = F.coalesce((first_sign > early) & (F.col("page") < first_sign), F.lit(False))
-    return p.withColumn("noise", F.col("stat_noise") | listed | table | front)
+    return t.withColumn("noise", F.col("stat_noise") | listed | table | front)
 
 
 def sessions(p: DataFrame) -> DataFrame:
@@ -148,41 +169,80 @@ def weights(p: DataFrame) -> DataFrame:
     return aggregates.calibrate(joined, C.FULL_COUNTS)
 
 
-def scores(p: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Candidates with scores, signals and titles: doc_id, session, page, score, n_signals, title, strong_kind."""
+def in_blocks(p: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Every page of every block, with its flags; pages without elements have none."""
     by_page = blocks.select("doc_id", "session", "expected", F.col("page_start").alias("block_start"), F.col("page_end").alias("block_end"), F.explode(F.sequence("page_start", "page_end")).alias("page"))
-    t = noise_pages(p).join(by_page, ["doc_id", "page"]).join(weights(p), "doc_id")
+    t = by_page.join(p.withColumn("filled", F.lit(True)), ["doc_id", "page"], "left")
+    flags = [f.name for f in t.schema if f.dataType.typeName() == "boolean"]
+    counts = [f.name for f in p.schema if f.name.startswith("n_") or f.name == "all_roman"]
+    return t.na.fill(False, flags).na.fill(0, counts)
+
+
+def hinted(t: DataFrame, elements: DataFrame) -> DataFrame:
+    """Pages (doc_id, session, page) that first hold the beginning of a question of their block's covers. t: doc_id, session, page, in_cover, hints, content_start."""
+    asked = t.where("in_cover").select("doc_id", "session", "block_end", "content_start", F.explode(F.array_distinct("hints")).alias("hint"))
+    covers = t.where("in_cover").select("doc_id", "page")
+    body = elements.join(covers, ["doc_id", "page"], "left_anti").select("doc_id", "page", F.coalesce("content", F.lit("")).alias("content"))
+    both = asked.join(body, "doc_id").where((F.col("page") >= F.col("content_start")) & (F.col("page") <= F.col("block_end")) & F.contains("content", F.col("hint")))
+    return both.groupBy("doc_id", "session", "hint").agg(F.min("page").alias("page")).select("doc_id", "session", "page").distinct().withColumn("hint_page", F.lit(True))
+
+
+def scores(p: DataFrame, blocks: DataFrame, elements: DataFrame) -> DataFrame:
+    """Candidates with scores, signals and titles: doc_id, session, expected, block_end, page, score, n_signals, title, strong_kind.
+
+    Later signals look at what earlier ones found on the page, so they are
+    columns in turn. A cover counts at its block's start and right after an end.
+    """
+    t = noise_pages(in_blocks(p, blocks)).join(weights(p), "doc_id")
     s = Window.partitionBy("doc_id", "session").orderBy("page")
-    before = s.rowsBetween(Window.unboundedPreceding, -1)
+    before, after = s.rowsBetween(Window.unboundedPreceding, -1), s.rowsBetween(1, Window.unboundedFollowing)
     w = lambda k: F.col(f"w_{k}")
-    ended = F.coalesce(F.lag(F.col("end") | F.col("topic_end")).over(s), F.lit(False)) & (F.greatest(w("end"), w("topic_end")) > 0) & ~F.col("cover")
-    roman = (F.col("n_roman") > 0) & (w("roman_i") > 0)
-    menti = (F.col("n_menti") > 0) & (w("menti") > 0) & ~F.col("cover")
-    last_number = F.last("number", ignorenulls=True).over(before)
-    restart = F.coalesce((F.col("number") == 1) & (last_number > 1), F.lit(False)) & (w("num_restart") > 0)
-    asked = F.coalesce((F.col("number") == 1) & (F.col("n_questions") > 0), F.lit(False)) & ~restart & (w("num_restart") > 0)
-    t = t.withColumns({"s_end": ended, "s_roman": roman, "s_menti": menti, "s_restart": restart, "s_asked": asked})
-    question_pages = F.count_if(F.col("n_questions") > 0).over(Window.partitionBy("doc_id", "session"))
-    text = (F.col("n_questions") > 0) & (question_pages >= 3) & ~F.col("s_restart") & ~F.col("s_asked") & ~F.col("s_end") & (w("num_restart") > 0)
-    kr = F.coalesce((F.col("kr") == 0) & (F.max("kr").over(before) >= 1), F.lit(False)) & ~F.col("roman_beyond") & ~F.coalesce(F.lag("roman_beyond").over(s), F.lit(False))
+    end_weight = F.greatest(w("end"), w("topic_end"))
+    t = t.withColumn("ends", F.col("end_or_ocr") | F.col("topic_end"))
+    t = t.withColumn("after_end", F.coalesce(F.lag("ends").over(s), F.lit(False)))
+    t = t.withColumn("end_cover", F.col("cover") & F.col("after_end") & (end_weight > 0))
+    t = t.withColumn("in_cover", F.col("cover") & (F.col("page") == F.col("block_start")) | F.col("end_cover"))
+    last_cover = F.last(F.when(F.col("end_cover"), F.col("page")), ignorenulls=True).over(before)
+    last_content = F.coalesce(F.last(F.when(F.col("has_content"), F.col("page")), ignorenulls=True).over(before), F.lit(0))
+    more_content = F.coalesce(F.max(F.col("has_content").cast("int")).over(s.rowsBetween(0, Window.unboundedFollowing)), F.lit(0)) == 1
+    from_cover = F.when(more_content, F.col("has_content") & (last_cover > last_content)).otherwise(last_cover == F.col("page") - 1)
+    first_after = F.min(F.when(F.col("has_content") & (F.col("page") > F.col("block_start")), F.col("page"))).over(block())
+    starts_cover = F.bool_or((F.col("page") == F.col("block_start")) & F.col("cover")).over(block())
+    t = t.withColumn("content_start", F.when(starts_cover, F.coalesce(first_after, F.col("block_start") + 1)).otherwise(F.col("block_start")))
+    t = t.withColumn("s_end", (F.col("after_end") & ~F.col("cover") | F.coalesce(from_cover, F.lit(False))) & (end_weight > 0) & ~F.col("in_cover"))
+    open_ = ~F.col("in_cover")
+    t = t.withColumns({"s_roman": open_ & (F.col("n_roman") > 0) & (w("roman_i") > 0), "s_menti": open_ & (F.col("n_menti") > 0) & (w("menti") > 0)})
+    number = F.when(open_, F.coalesce("heading_number", "any_number"))
+    t = t.withColumn("number", number)
+    prior = F.last("number", ignorenulls=True).over(before)
+    t = t.withColumn("s_restart", F.coalesce((F.col("number") == 1) & (prior > 1), F.lit(False)) & (w("num_restart") > 0))
+    t = t.withColumn("s_asked", open_ & F.col("asks") & F.coalesce(F.col("heading_number") == 1, F.lit(False)) & ~F.col("s_restart") & (w("num_restart") > 0))
+    early = F.col("s_end") | F.col("s_roman") | F.col("s_menti") | F.col("s_restart") | F.col("s_asked")
+    hints = hinted(t.select("doc_id", "session", "page", "block_end", "in_cover", "hints", "content_start"), elements)
+    t = t.join(hints, ["doc_id", "session", "page"], "left").withColumn("s_hint", F.coalesce("hint_page", F.lit(False)) & ~early)
+    asked_pages = F.count_if(open_ & F.col("asks_numbered")).over(block())
+    text = open_ & F.col("asks_numbered") & (asked_pages >= 3) & ~F.col("s_restart") & ~F.col("s_asked") & ~F.col("s_end") & (w("num_restart") > 0)
+    kr_open = F.when(open_, F.col("kr"))
+    kr = F.coalesce((kr_open == 0) & (F.max(kr_open).over(before) >= 1), F.lit(False)) & ~F.col("roman_beyond") & ~F.coalesce(F.lag("roman_beyond").over(s), F.lit(False))
     lead = F.col("s_roman") | F.col("s_menti") | F.col("s_end")
-    prior_kw = F.last("keyword", ignorenulls=True).over(before)
+    prior_kw = F.last(F.when(open_, F.col("keyword")), ignorenulls=True).over(before)
     t = t.withColumns({
         "s_text": text,
         "s_kr": kr,
-        "s_font": F.col("font_title").isNotNull() & ~lead & (w("font_heading") > 0),
-        "s_mark": F.col("mark_title").isNotNull() & ~lead & (w("marker_heading") > 0),
-        "s_star": (F.col("n_star") > 0) & ~F.col("s_end") & ~F.col("s_roman") & (w("star_rating") > 0),
-        "s_topic": ((F.col("n_session_topic") > 0) | F.col("split_cells")) & (w("session_topic") > 0),
-        "s_kw": F.coalesce(F.col("keyword") != prior_kw, F.lit(False)) & (w("header_kw") > 0),
+        "s_font": open_ & F.col("font_title").isNotNull() & ~lead & (w("font_heading") > 0),
+        "s_mark": open_ & F.col("mark_title").isNotNull() & ~lead & (w("marker_heading") > 0),
+        "s_star": open_ & (F.col("n_star") > 0) & ~F.col("s_end") & ~F.col("s_roman") & (w("star_rating") > 0),
+        "s_topic": open_ & ((F.col("n_session_topic") > 0) | F.col("split_cells")) & (w("session_topic") > 0),
+        "s_kw": open_ & F.coalesce(F.col("keyword") != prior_kw, F.lit(False)) & (w("header_kw") > 0),
     })
     on = lambda flag, value: F.when(F.col(flag), value).otherwise(0.0)
     score = (
-        on("s_end", 10 * F.greatest(w("end"), w("topic_end")))
+        on("s_end", 10 * end_weight)
         + on("s_roman", 10 * w("roman_i") * F.col("n_roman"))
         + on("s_menti", 10 * w("menti") * F.col("n_menti"))
-        + on("s_restart", w("num_restart") * (8 + F.when(F.col("n_questions") > 0, 3).otherwise(0)))
+        + on("s_restart", w("num_restart") * (8 + F.when(F.col("asks"), 3).otherwise(0)))
         + on("s_asked", 7 * w("num_restart"))
+        + on("s_hint", F.lit(3.0))
         + on("s_text", 6 * w("num_restart"))
         + on("s_kr", F.lit(6.0))
         + on("s_font", w("font_heading") * F.when(F.col("font_size") >= 1.5, 8).otherwise(6))
@@ -191,19 +251,23 @@ def scores(p: DataFrame, blocks: DataFrame) -> DataFrame:
         + on("s_topic", 10 * w("session_topic"))
         + on("s_kw", 10 * w("header_kw"))
     )
-    flags = ["s_end", "s_roman", "s_menti", "s_restart", "s_asked", "s_text", "s_kr", "s_font", "s_mark", "s_star", "s_topic", "s_kw"]
-    n_signals = reduce(lambda a, b: a + b, [F.col(f).cast("int") for f in flags])
-    t = t.withColumn("score", score).withColumn("n_signals", n_signals)
+    flags = ["s_end", "s_roman", "s_menti", "s_restart", "s_asked", "s_hint", "s_text", "s_kr", "s_font", "s_mark", "s_star", "s_topic", "s_kw"]
+    t = t.withColumn("score", score).withColumn("n_signals", reduce(lambda a, b: a + b, [F.col(f).cast("int") for f in flags]))
     # The gate: where ends are marked, a page that follows none needs more than one or two signals.
-    n_ends = F.count_if(F.col("end") | F.col("topic_end")).over(Window.partitionBy("doc_id", "session"))
-    near_end = F.last(F.when(F.col("end") | F.col("topic_end"), F.col("page")), ignorenulls=True).over(before)
-    free = F.col("s_end") | F.col("s_topic") | F.col("s_star") | F.col("s_kw") | (F.col("n_signals") >= 3) | (F.col("page") == F.col("block_start")) | F.coalesce(F.col("page") - near_end <= 3, F.lit(False))
+    n_ends = F.count_if("ends").over(block())
+    near_end = F.last(F.when(F.col("ends"), F.col("page")), ignorenulls=True).over(before)
+    free = F.col("s_end") | F.col("s_topic") | F.col("s_star") | F.col("s_kw") | (F.col("n_signals") >= 3) | (F.col("page") == F.col("content_start")) | F.coalesce(F.col("page") - near_end <= 3, F.lit(False))
     gated = F.when((n_ends >= 3) & ~free, F.col("score") * F.when(F.col("n_signals") <= 1, 0.1).otherwise(0.3)).otherwise(F.col("score"))
-    first_content = F.min(F.when(F.col("has_content"), F.col("page"))).over(Window.partitionBy("doc_id", "session"))
-    t = t.withColumn("score", gated).withColumn("score", F.when((F.col("page") == first_content) & (F.col("score") == 0), 5.0).otherwise(F.col("score")))
-    title = F.coalesce(F.when(F.length("menti_title") >= F.length(F.coalesce("roman_title", F.lit(""))), F.col("menti_title")), F.col("roman_title"), F.col("number_title"), F.col("kr_title"), F.col("font_title"), F.col("mark_title"), F.col("first_text"))
-    kept = t.where((F.col("score") > 0) & ~F.col("cover") & ~F.col("noise") & ~F.col("topic_end"))
-    return kept.select("doc_id", "session", "expected", "block_end", "page", "score", F.greatest("n_signals", F.lit(1)).alias("n_signals"), F.substring(title, 1, 80).alias("title"), (F.col("s_topic") | F.col("s_star") | F.col("s_kw")).alias("strong_kind"))
+    t = t.withColumn("score", gated).withColumn("score", F.when((F.col("page") == F.col("content_start")) & (F.col("score") == 0), 5.0).otherwise(F.col("score")))
+    roman, menti = F.when(F.col("s_roman"), F.col("roman_title")), F.when(F.col("s_menti"), F.col("menti_title"))
+    led = F.when(F.length(menti) > F.length(F.coalesce(roman, F.lit(""))), menti).otherwise(F.coalesce(roman, menti))
+    asked = F.coalesce(F.nullif(led, F.lit("")), F.when(F.col("s_text"), F.col("question_title")))
+    better = F.when(F.col("s_kr") & (F.length("kr_title") > F.length(F.coalesce(asked, F.lit("")))), F.col("kr_title")).otherwise(asked)
+    font = F.when(open_ & (w("font_heading") > 0), F.col("font_title"))
+    mark = F.when(open_ & (w("marker_heading") > 0), F.col("mark_title"))
+    title = F.coalesce(F.nullif(better, F.lit("")), font, mark, "said", F.concat(F.lit("토픽_p"), F.col("page").cast("string")))
+    kept = t.where((F.col("score") > 0) & ~F.col("in_cover") & ~F.col("noise") & ~F.col("topic_end"))
+    return kept.select("doc_id", "session", "expected", "block_end", "page", "score", F.greatest("n_signals", F.lit(1)).alias("n_signals"), title.alias("title"), (F.col("s_topic") | F.col("s_star") | F.col("s_kw")).alias("strong_kind"))
 
 
 def select(cands: DataFrame) -> DataFrame:
@@ -212,17 +276,73 @@ def select(cands: DataFrame) -> DataFrame:
     return order.kth_threshold(cands, ["doc_id", "session"], "score", ["page"], F.col("expected"), weak=weak)
 
 
-def boundaries(elements: DataFrame) -> DataFrame:
-    """doc_id, session, num, session_q, title, page_start, page_end, confidence of every document."""
-    p = page_flags(marked(elements)).persist()
-    chosen = select(scores(p, sessions(p)))
+def sub_splits(chosen: DataFrame, p: DataFrame) -> DataFrame:
+    """Intervals (doc_id, session, expected, title, page_start, page_end, confidence), the long ones cut where a topic opens again.
+
+    Long is over three pages where ten or more topics are expected, else over
+    six. Cuts are pages with a section or problem of their own; with at most
+    one, and fewer topics than expected, lettered parts that start again; then
+    pages that open with a long heading. Parts keep four fifths of the confidence.
+    """
+    span = F.col("page_end") - F.col("page_start") + 1
+    few = F.count("*").over(block()) < F.col("expected")
+    known = chosen.withColumn("few", few).withColumn("long", span > F.when(F.col("expected") >= 10, 3).otherwise(6))
+    key = ["doc_id", "session", "page_start"]
+    inside = known.where("long").select(*key, F.explode(F.sequence("page_start", "page_end")).alias("page")).join(p.select("doc_id", "page", "opening", "kr", "kr_title", "story", "said"), ["doc_id", "page"])
+    w = Window.partitionBy(*key).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    again = F.coalesce((F.col("kr") == 0) & (F.max("kr").over(w) >= 1), F.lit(False))
+    inside = inside.withColumn("again", again)
+    rows = lambda cond, t: F.array_sort(F.collect_list(F.when(cond, F.struct(F.col("page").alias("page"), t.alias("title")))))
+    found = inside.groupBy(*key).agg(rows(F.col("opening").isNotNull(), F.col("opening")).alias("one"), rows(F.col("again"), F.col("kr_title")).alias("two"), rows((F.col("page") != F.col("page_start")) & F.col("story.t").isNotNull(), F.col("story.t")).alias("three"), F.max(F.when(F.col("page") == F.col("page_start"), F.col("said"))).alias("said"))
+    joined = known.join(found, key, "left")
+    head = F.array(F.struct(F.col("page_start").alias("page"), F.coalesce("said", F.concat(F.lit("토픽_p"), F.col("page_start").cast("string"))).alias("title")))
+    cuts = F.when(F.size("one") > 1, F.col("one")).when(F.col("few") & (F.size("two") > 0), F.concat(head, F.col("two"))).when(F.col("few") & (F.size("three") > 0), F.concat(head, F.col("three")))
+    t = joined.withColumn("cuts", F.when(F.col("long"), cuts))
+    t = t.withColumn("cuts", F.when(F.get("cuts", F.lit(0))["page"] > F.col("page_start"), F.concat(head, F.col("cuts"))).otherwise(F.col("cuts")))
+    whole = F.array(F.struct(F.col("page_start").alias("page"), F.col("title").alias("title")))
+    out = t.withColumn("parts", F.coalesce("cuts", whole)).select("*", F.posexplode("parts").alias("k", "part"))
+    nxt = F.get("parts", F.col("k") + 1)["page"] - 1
+    return out.select("doc_id", "session", "expected", F.col("part.title").alias("title"), F.col("part.page").alias("page_start"), F.coalesce(nxt, F.col("page_end")).alias("page_end"), F.when(F.col("cuts").isNull(), F.col("confidence")).otherwise(F.col("confidence") * 0.8).alias("confidence"))
+
+
+def question_pages(t: DataFrame) -> DataFrame:
+    """doc_id, session, title, page_start, page_end, confidence, fmt of pages of a block that list questions: two asked or five numbered, and no answer on the page; gaps of two are bridged."""
+    q = t.where(((F.col("n_questions") >= 2) | (F.col("n_numbered") >= 5)) & ~F.col("answers"))
+    label = F.when(F.col("session") > 0, F.concat(F.col("session").cast("string"), F.lit("교시 문제지"))).otherwise("문제지")
+    return order.island_ranges(q, ["doc_id", "session"], "page", 2).select("doc_id", "session", label.alias("title"), "page_start", "page_end", F.lit(0.95).alias("confidence"), F.lit("question_pages").alias("fmt"))
+
+
+def _weighted(elements: DataFrame, p: DataFrame, blocks: DataFrame) -> DataFrame:
+    chosen = select(scores(p, blocks, elements))
     closed = order.close_intervals(chosen, ["doc_id", "session"], "page", F.col("block_end"))
-    s = Window.partitionBy("doc_id", "session")
-    out = closed.withColumn("confidence", F.round(F.least(F.col("score") / F.max("score").over(s), F.lit(1.0)), 6)).withColumnRenamed("page", "page_start")
-    return order.renumber(out, ["doc_id"], ["session"], ["page_start"], F.lit(True)).select("doc_id", "session", "num", "session_q", "title", "page_start", "page_end", "confidence")
+    rated = closed.withColumn("confidence", F.round(F.least(F.col("score") / F.max("score").over(block()), F.lit(1.0)), 6)).withColumnRenamed("page", "page_start")
+    topics = sub_splits(staged(rated.select("doc_id", "session", "expected", "title", "page_start", "page_end", "confidence")), p).drop("expected").withColumn("fmt", F.lit("topic"))
+    questions = question_pages(in_blocks(p.select("doc_id", "page", "n_questions", "n_numbered", "answers"), blocks))
+    both = topics.unionByName(questions.select(*topics.columns))
+    w = Window.partitionBy("doc_id").orderBy("page_start", F.when(F.col("fmt") == "topic", 0).otherwise(1), "page_end")
+    listed = both.withColumn("num", F.row_number().over(w).cast("int"))
+    merged = postprocess.merge_short(listed, blocks)
+    return order.renumber(merged, ["doc_id"], ["session"], ["page_start", F.when(F.col("fmt") == "topic", 0).otherwise(1), "num"], F.col("fmt") == "topic").select("doc_id", "session", "num", "session_q", "title", "page_start", "page_end", "confidence", "fmt")
+
+
+def boundaries(elements: DataFrame) -> DataFrame:
+    """doc_id, session, num, session_q, title, page_start, page_end, confidence, fmt of every document by its weighted signals: topics, long ones cut, question pages among them, short ones merged. Pages' flags, sessions and the choice are written on the way."""
+    p = staged(page_flags(marked(elements)))
+    return _weighted(elements, p, staged(sessions(p)))
+
+
+def detect(elements: DataFrame) -> DataFrame:
+    """As boundaries, by the publisher's format where that gives topics enough, else by weighted signals: doc_id, session, title, page_start, page_end, confidence, fmt."""
+    own = staged(formats.by_format(elements))
+    p = staged(page_flags(marked(elements)))
+    blocks = staged(sessions(p))
+    done = own.select("doc_id").distinct()
+    rest = _weighted(elements.join(done, "doc_id", "left_anti"), p.join(done, "doc_id", "left_anti"), blocks.join(done, "doc_id", "left_anti"))
+    placed = joins.session_of(own, blocks.select("doc_id", "session", "page_start", "page_end"), ["doc_id"], "page_start")
+    cast = lambda df: df.select("doc_id", F.col("session").cast("int").alias("session"), "title", F.col("page_start").cast("int").alias("page_start"), F.col("page_end").cast("int").alias("page_end"), "confidence", "fmt")
+    return cast(placed).unionByName(cast(rest))
 
 
-def question_pages(p: DataFrame) -> DataFrame:
-    """Groups of pages that list questions: two asked or five numbered, and no answer on the page; gaps of two are bridged."""
-    q = p.where(((F.col("n_questions") >= 2) | (F.col("n_numbered") >= 5)) & (F.col("all_roman") == 0))
-    return order.island_ranges(q, ["doc_id"], "page", 2).withColumn("confidence", F.lit(0.95)).withColumn("fmt", F.lit("question_pages"))
+def checked(found: DataFrame, elements: DataFrame) -> DataFrame:
+    """doc_id, session, kind, detail of what looks wrong in the result of detect or boundaries."""
+    return postprocess.warnings(found.where("fmt <> 'question_pages'"), sessions(page_flags(marked(elements))))

@@ -1,9 +1,9 @@
-"""The topic engines over the driver's tables.
+"""The topic engines over the documents' own lines.
 
-The tables hold no Korean exam text, so lines are given the marks of that
-profile by rule: each page opens with a numbered heading or a roman section, a
-page that ends a topic has the end mark. Counts and intervals then follow from
-ids alone, and SQL can say what has to come out.
+The tables hold no Korean exam text, so marks of that profile stand among the
+lines of each page: a page opens a topic, the next one ends it. Topics then
+follow from ids alone, and SQL can say what has to come out; the pages' own
+lines have to leave that as it is.
 """
 
 from __future__ import annotations
@@ -16,10 +16,11 @@ from .registry import query
 from .text_queries import PAGES
 
 def marked_elements(spark, sf_dir):
-    """Pages as elements: odd pages open a topic, even ones end it."""
+    """Pages as elements: odd pages open a topic, even ones end it; between stand the page's own lines of over thirty characters."""
     pages = text_pages(spark, sf_dir)
     odd = F.col("pg") % 2 == 1
-    marks = F.array(F.when(odd, F.concat(F.lit("I. 토픽 "), F.col("pg").cast("string"), F.lit(" 개요"))).otherwise(F.lit("본문이 이어지는 문장이다")), F.when(odd, F.lit("설명이 길게 이어지는 문장이다")).otherwise(F.lit("끝")))
+    own = F.filter(F.split("text", "\n", -1), lambda x: F.length(x) > 30)
+    marks = F.concat(F.array(F.when(odd, F.concat(F.lit("I. 토픽 "), F.col("pg").cast("string"), F.lit(" 개요"))).otherwise(F.lit("본문이 이어지는 문장이다"))), own, F.array(F.when(odd, F.lit("설명이 길게 이어지는 문장이다")).otherwise(F.lit("끝"))))
     rows = pages.select(F.col("doc").alias("doc_id"), F.col("pg").cast("int").alias("page"), F.posexplode(marks).alias("elem_idx", "content"))
     return rows.select("doc_id", "page", "elem_idx", F.lit("paragraph").alias("type"), "content", F.lit(1.0).alias("font_ratio"), F.lit(False).alias("is_table_cell"), F.lit(None).cast("string").alias("source"))
 
@@ -31,25 +32,37 @@ PAIRS = f"WITH {PAGES}, n_ AS (SELECT doc, max(pg) AS n FROM pages_ GROUP BY doc
 @query(f"{PAIRS} SELECT doc AS doc_id, s AS page_start, least(s + 1, n) AS page_end, CAST(0.85 AS DOUBLE) AS confidence FROM p_ WHERE n // 2 >= 10 AND s + 1 <= n")
 def format_intervals(spark, sf_dir):
     """The ladder finds the format by its end marks; its intervals close at them."""
-    found = formats.by_format(marked_elements(spark, sf_dir)).where("confidence = 0.85")
+    found = formats.by_format(marked_elements(spark, sf_dir))
     return found.select("doc_id", F.col("page_start").cast("long").alias("page_start"), F.col("page_end").cast("long").alias("page_end"), F.col("confidence").cast("double").alias("confidence"))
 
 
-@query()
+#: The first topic follows no end: its one signal counts for six tenths. Documents have six pages or more, and at most 31 topics.
+@query(f"""{PAIRS}, c_ AS (SELECT doc, n, s, (n + 1) // 2 AS starts, n // 2 AS ends FROM p_), w_ AS (SELECT *, least(ends / 10.0, 1.0) / least(starts / 10.0, 1.0) AS w FROM c_)
+SELECT doc AS doc_id, (s + 1) // 2 AS num, s AS page_start, least(s + 1, n) AS page_end, CAST(round(CASE WHEN s = 1 THEN 6.0 / (10 * w + 10) ELSE 1.0 END, 6) AS DOUBLE) AS confidence, '토픽 ' || CAST(s AS VARCHAR) || ' 개요' AS title FROM w_""")
 def signal_boundaries(spark, sf_dir):
     """Weighted signals, at most the expected number of topics a document."""
     return signal_engine.boundaries(marked_elements(spark, sf_dir)).select("doc_id", F.col("num"), F.col("page_start").cast("long").alias("page_start"), F.col("page_end").cast("long").alias("page_end"), "confidence", "title")
 
 
+#: By format where a document has ten ends, else by signals: page for page the same topics.
+@query(f"{PAIRS} SELECT doc AS doc_id, s AS page_start, least(s + 1, n) AS page_end, CASE WHEN n // 2 >= 10 THEN 'ITPE' ELSE 'topic' END AS fmt FROM p_ WHERE n // 2 < 10 OR s + 1 <= n")
+def detected_topics(spark, sf_dir):
+    found = signal_engine.detect(marked_elements(spark, sf_dir))
+    return found.select("doc_id", F.col("page_start").cast("long").alias("page_start"), F.col("page_end").cast("long").alias("page_end"), "fmt")
+
+
 def marked_lines(spark, sf_dir):
     pages = text_pages(spark, sf_dir)
     number = (F.floor((F.col("pg") - 1) / 2) % 12 + 1).cast("string")
     opens = F.array(F.lit("누구나 ICT"), F.lit("문제"), F.concat(number, F.lit(". 토픽 제목입니다")), F.lit("도메인"), F.lit("본문"))
-    lines = F.when(F.col("pg") % 2 == 1, opens).otherwise(F.array(F.lit("누구나 ICT"), F.lit("본문 내용입니다"), F.lit("계속")))
+    marks = F.when(F.col("pg") % 2 == 1, opens).otherwise(F.array(F.lit("누구나 ICT"), F.lit("본문 내용입니다"), F.lit("계속")))
+    lines = F.concat(marks, F.split("text", "\n", -1))
     return pages.select(F.col("doc").alias("doc_id"), F.col("pg").cast("int").alias("page"), lines.alias("lines"))
 
 
-@query()
+#: Numbers run from 1 to 12 and start again: that is the next session, which has no numbers above 8.
+@query(f"""{PAIRS}, k_ AS (SELECT doc, n, s, (s - 1) // 2 % 12 + 1 AS num, (s - 1) // 24 + 1 AS session FROM p_), t_ AS (SELECT * FROM k_ WHERE session = 1 OR num <= 8)
+SELECT doc AS doc_id, CAST(session AS INTEGER) AS session, CAST(num AS INTEGER) AS num, '토픽 제목입니다' AS title, s AS page_start, coalesce(lead(s) OVER (PARTITION BY doc ORDER BY s) - 1, n) AS page_end FROM t_""")
 def line_topics(spark, sf_dir):
     """Line signals to rising numbers, session by session."""
     found = line_engine.topics(marked_lines(spark, sf_dir))

@@ -171,7 +171,7 @@ SCHEMA = "doc_id string, page int, elem_idx int, type string, content string, fo
 def test_signal_engine(spark):
     got = signal_engine.boundaries(spark.createDataFrame(element_rows(), SCHEMA)).orderBy("page_start").collect()
     assert [(r.num, r.page_start, r.page_end) for r in got] == [(k, 2 * k - 1, 2 * k) for k in range(1, 7)]
-    assert all(0 < r.confidence <= 1 for r in got) and got[1].title.startswith("I. 토픽 1")
+    assert all(0 < r.confidence <= 1 for r in got) and got[1].title.startswith("토픽 1")
 
 
 def test_signal_engine_does_not_depend_on_partitions(spark):
@@ -200,6 +200,22 @@ def test_days_expect_their_own_topics(spark):
     assert [count[k] for k in (1, 2, 3)] == [10, 10, 10]
 
 
+def test_signals_in_turn(spark):
+    """A cover after an end, a hint of its questions, question pages, and a long topic cut."""
+    asked = "1. 클라우드 네이티브 보안 위협과 대응 방안을 설명하시오"
+    pages = {
+        1: ["I. 토픽 하나의 개요", "본문 하나가 길게 이어지는 문장이다"], 2: ["끝"], 3: ["I. 토픽 둘의 개요"], 4: ["끝"], 5: ["I. 토픽 셋의 개요"], 6: ["끝"],
+        7: ["국가기술자격 시험문제", asked, "2. 데이터 품질 관리 체계에 대하여 설명하시오"], 8: ["1. 클라우드 네이티브 보안 위협과 대응은 이렇다"], 9: ["본문이 이어지는 문장"], 10: ["I. 새로운 절의 개요"], 11: ["본문이 더 이어지는 문장"],
+        12: ["끝"], 13: ["I. 토픽 다섯의 개요"], 14: ["본문이 계속되는 문장"], 15: ["I. 다른 절의 개요"], 16: ["본문이 또 이어지는 문장"], 17: ["끝"],
+    }
+    rows = [("d", p, k, "paragraph", c, 1.0, False, None) for p, cs in pages.items() for k, c in enumerate(cs)]
+    got = signal_engine.boundaries(spark.createDataFrame(rows, SCHEMA)).orderBy("num", "page_start").collect()
+    topics = [(r.page_start, r.page_end) for r in got if r.fmt == "topic"]
+    assert topics == sorted(topics) and topics[:3] == [(1, 2), (3, 4), (5, 7)] and (8, 9) in topics
+    assert [(r.page_start, r.page_end, r.num, r.title) for r in got if r.fmt == "question_pages"] == [(7, 7, 0, "문제지")]
+    assert topics[-1][1] == 17 and all(a[1] < b[0] for a, b in zip(topics, topics[1:]))
+
+
 def test_format_ladder_and_intervals(spark):
     rows = element_rows(10)
     assert formats.detect_format(spark.createDataFrame(rows, SCHEMA)).first()["format"] == "ITPE"
