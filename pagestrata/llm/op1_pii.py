@@ -32,19 +32,51 @@ TERM = r"[\p{L}\p{M}\p{N}]++"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
-def spans_of(text: Column, pattern: str, kind: int, gate: str) -> Column:
+#: Items that a fold goes over at a time, so that no array grows item by item beyond it.
+RUN = 256
+
+
+def let(value: Column, f) -> Column:
+    """f of a value that is computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def folded(items: Column, start: Column, kind: str, step) -> Column:
+    """Elements in order of a fold over items: step(state, item) gives the next state and an array of none or one element. Linear in the items."""
+
+    def over(all_: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size(all_) - 1, F.lit(0)) / RUN).cast("int")), lambda k: F.slice(all_, k * RUN + 1, RUN))
+        none = F.array().cast(kind)
+
+        def item(acc, x):
+            state, out = step(acc["state"], x)
+            return F.struct(state.alias("state"), F.concat(acc["out"], out).alias("out"))
+
+        def run(acc, xs):
+            inner = F.aggregate(xs, F.struct(acc["state"].alias("state"), none.alias("out")), item)
+            return let(inner, lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
+
+        return F.aggregate(runs, F.struct(start.alias("state"), F.array().cast(f"array<{kind}>").alias("out")), run, lambda a: F.flatten(a["out"]))
+
+    return let(items, over)
+
+
+def matches(text: Column, pattern: str, kind: int) -> Column:
     """All matches as (start, kind, end, value), in order; code points, end exclusive."""
-    none = F.array().cast(SPAN)
     zipped = F.arrays_zip(F.split(text, pattern, -1).alias("before"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
 
-    def step(acc, x):
-        start = acc["at"] + F.length(x["before"])
+    def step(at, x):
+        start = at + F.length(x["before"])
         end = start + F.length(x["found"])
         one = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["found"].alias("value"))
-        return F.when(x["found"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out")))
+        none = F.array().cast(SPAN)
+        return F.coalesce(end, at), F.when(x["found"].isNull(), none).otherwise(F.array(one).cast(SPAN))
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    return F.when(text.rlike(gate), F.aggregate(zipped, start, step, lambda a: a["out"])).otherwise(none)
+    return folded(zipped, F.lit(0), SPAN, step)
+
+
+def spans_of(text: Column, pattern: str, kind: int, gate: str) -> Column:
+    return F.when(text.rlike(gate), matches(text, pattern, kind)).otherwise(F.array().cast(SPAN))
 
 
 def luhn(digits: Column) -> Column:
@@ -134,29 +166,23 @@ def find_pii(docs: DataFrame, reach: int = 80, support: int = 3, disclosure: flo
     few = marked.agg(F.count("*").alias("n"), F.sum(F.size("ts")).alias("k")).first()
     known = F.broadcast(marked) if (few["n"] or 0) + (few["k"] or 0) <= broadcast_rows else marked
     both = found.join(known, F.col("th") == F.col("h"), "left")
-    words = F.arrays_zip(F.split("text", TERM, -1).alias("before"), F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("found"))
-
-    def step(acc, x):
-        start = acc["at"] + F.length(x["before"])
-        end = start + F.length(x["found"])
-        one = F.struct(start.alias("start"), F.lit(len(KINDS)).alias("kind"), end.alias("end"), x["found"].alias("value"))
-        out = F.when(F.array_contains(acc["ts"], F.lower(x["found"])), F.concat(acc["out"], F.array(one))).otherwise(acc["out"])
-        return F.when(x["found"].isNull(), acc).otherwise(F.struct(end.alias("at"), out.alias("out"), acc["ts"].alias("ts")))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"), F.col("ts").alias("ts"))
-    extra = F.when(F.col("ts").isNull(), F.array().cast(SPAN)).otherwise(F.aggregate(words, start, step, lambda a: a["out"]))
+    said = F.filter(matches(F.col("text"), TERM, len(KINDS)), lambda m: F.array_contains("ts", F.lower(m["value"])))
+    extra = F.when(F.col("ts").isNull(), F.array().cast(SPAN)).otherwise(said)
     return both.select("doc_id", "text", "base", F.array_sort(F.concat("base", extra)).alias("spans"))
 
 
 def sanitise(found: DataFrame) -> DataFrame:
     """doc_id and clean_text: base spans generalised to their kind's name, disclosing terms removed; overlaps are one cut."""
     names = F.array(*[F.lit(f"<{k}>") for k in KINDS], F.lit(""))
+    cut = "array<struct<start:int,end:int,name:string>>"
 
-    def step(acc, s):
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["end"] <= acc["at"], acc["out"]).otherwise(F.concat(acc["out"], acc["text"].substr(acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))), F.get(names, s["kind"]))).alias("out"), acc["text"].alias("text"))
+    def step(at, s):
+        one = F.array(F.struct(at.alias("start"), F.greatest(s["start"], at).alias("end"), F.get(names, s["kind"]).alias("name"))).cast(cut)
+        return F.greatest(at, s["end"]), F.when(s["end"] <= at, F.array().cast(cut)).otherwise(one)
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"), F.col("text").alias("text"))
-    return found.select("doc_id", F.aggregate("spans", start, step, lambda a: F.concat(a["out"], a["text"].substr(a["at"] + 1, F.length(a["text"])))).alias("clean_text"))
+    kept = F.transform(folded(F.col("spans"), F.lit(0), cut, step), lambda c: F.concat(F.substr(F.col("text"), c["start"] + 1, c["end"] - c["start"]), c["name"]))
+    last = F.coalesce(F.array_max(F.transform("spans", lambda s: s["end"])), F.lit(0))
+    return found.select("doc_id", F.concat(F.array_join(kept, ""), F.substr(F.col("text"), last + 1, F.length("text"))).alias("clean_text"))
 
 
 def digest(found: DataFrame) -> DataFrame:
