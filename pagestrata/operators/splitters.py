@@ -167,7 +167,7 @@ def _in_session(lines: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def _end_in_session(starts: DataFrame) -> DataFrame:
-    w = Window.partitionBy("doc_id", "session").orderBy("page")
+    w = Window.partitionBy("doc_id", "session").orderBy("page", "idx")
     closed = starts.withColumn("page_end", F.coalesce(F.lead("page").over(w) - 1, F.col("session_end")))
     return closed.where(F.col("page_end") >= F.col("page")).select("doc_id", "session", "number", "title", F.col("page").alias("page_start"), "page_end")
 
@@ -203,7 +203,7 @@ def itpe_exam(pages: DataFrame, sessions: DataFrame, problems: DataFrame) -> Dat
     t = last.withColumns({"whole": whole, "again": again, "place": F.row_number().over(w)}).where(F.col("whole") | (F.col("again") == 1))
     t = t.withColumn("number", F.when(F.col("whole"), F.col("place")).otherwise(F.col("number")))
     named = t.join(problems.select("doc_id", "session", "number", F.col("title").alias("listed")), ["doc_id", "session", "number"], "left")
-    return _end_in_session(named.withColumn("title", F.when(F.col("whole"), F.coalesce("listed", "title")).otherwise(F.col("title"))))
+    return _end_in_session(named.withColumn("title", F.when(F.col("whole"), F.coalesce("listed", "title")).otherwise(F.col("title"))).withColumn("idx", F.lit(0)))
 
 
 def numbered_exam(pages: DataFrame, blank: int = 50) -> DataFrame:

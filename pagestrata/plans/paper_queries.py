@@ -93,14 +93,14 @@ def exam_problems(spark, sf_dir):
 
 
 IN_SESSION = "JOIN sessions_ s_ USING (doc) WHERE pg > s_.s AND pg <= s_.e"
-CLOSED = "closed_ AS (SELECT doc, session, number, title, pg, coalesce(lead(pg) OVER (PARTITION BY doc, session ORDER BY pg) - 1, e) AS page_end FROM starts_) SELECT doc AS doc_id, session, number, title, pg AS page_start, page_end FROM closed_ WHERE page_end >= pg"
+CLOSED = "closed_ AS (SELECT doc, session, number, title, pg, coalesce(lead(pg) OVER (PARTITION BY doc, session ORDER BY pg, idx) - 1, e) AS page_end FROM starts_) SELECT doc AS doc_id, session, number, title, pg AS page_start, page_end FROM closed_ WHERE page_end >= pg"
 
 
 @query(f"""WITH {PROBLEMS}, l_ AS (SELECT *, list(line) OVER ({ON_PAGE} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS prev FROM marked_),
 n_ AS (SELECT doc, pg, idx, CASE WHEN regexp_matches(line, '^제\\s*[0-9]{{1,2}}\\.\\s+.+') THEN TRY_CAST(regexp_extract(line, '^제\\s*([0-9]{{1,2}})\\.', 1) AS INTEGER)
   WHEN list_contains(prev, '문제') OR len(list_filter(range(1, len(prev)), lambda i: prev[i] = '문' AND starts_with(prev[i + 1], '제'))) > 0 THEN TRY_CAST(regexp_extract(line, '^([0-9]{{1,2}})\\.\\s+.+', 1) AS INTEGER) END AS number FROM l_ WHERE idx < 20),
 m_ AS (SELECT n_.*, s_.session, s_.e FROM n_ {IN_SESSION} AND number IS NOT NULL),
-starts_ AS (SELECT m_.doc, m_.session, m_.number, p.title, pg, e FROM (SELECT *, row_number() OVER (PARTITION BY doc, session, number ORDER BY pg, idx) AS rn FROM m_) m_ JOIN problems_ p ON p.doc = m_.doc AND p.session = m_.session AND p.number = m_.number WHERE rn = 1), {CLOSED}""")
+starts_ AS (SELECT m_.doc, m_.session, m_.number, p.title, pg, idx, e FROM (SELECT *, row_number() OVER (PARTITION BY doc, session, number ORDER BY pg, idx) AS rn FROM m_) m_ JOIN problems_ p ON p.doc = m_.doc AND p.session = m_.session AND p.number = m_.number WHERE rn = 1), {CLOSED}""")
 def kpc_exam(spark, sf_dir):
     pages = marked_pages(spark, sf_dir)
     sessions = S.exam_sessions(pages)
@@ -114,7 +114,7 @@ m_ AS (SELECT n_.*, s_.session, s_.e FROM n_ {IN_SESSION}), o_ AS (SELECT m_.* F
 b_ AS (SELECT doc, session, e, pg, arg_max(number, idx) AS number, arg_max(title, idx) AS title FROM o_ GROUP BY doc, session, e, pg),
 r_ AS (SELECT *, count(*) OVER (PARTITION BY doc, session) = CASE WHEN session = 1 THEN 13 ELSE 6 END AS whole, row_number() OVER (PARTITION BY doc, session ORDER BY pg) AS place, row_number() OVER (PARTITION BY doc, session, number ORDER BY pg) AS again FROM b_),
 k_ AS (SELECT doc, session, e, pg, whole, title, CAST(CASE WHEN whole THEN place ELSE number END AS INTEGER) AS number FROM r_ WHERE whole OR again = 1),
-starts_ AS (SELECT k_.doc, k_.session, k_.number, CASE WHEN whole THEN coalesce(p.title, k_.title) ELSE k_.title END AS title, pg, e FROM k_ LEFT JOIN problems_ p ON p.doc = k_.doc AND p.session = k_.session AND p.number = k_.number), {CLOSED}""")
+starts_ AS (SELECT k_.doc, k_.session, k_.number, CASE WHEN whole THEN coalesce(p.title, k_.title) ELSE k_.title END AS title, pg, 0 AS idx, e FROM k_ LEFT JOIN problems_ p ON p.doc = k_.doc AND p.session = k_.session AND p.number = k_.number), {CLOSED}""")
 def itpe_exam(spark, sf_dir):
     pages = marked_pages(spark, sf_dir)
     sessions = S.exam_sessions(pages)
