@@ -8,7 +8,9 @@ result row (repeated rows and repeated or null ids included).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +27,9 @@ BATCH_ROWS = "1000"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Sets the batch size unless the session names one of its own."""
+    """Sets the session's batch size unless it has one of its own, or its context was given one."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key, "10000") == "10000":
+    if spark.conf.get(key, "10000") == "10000" and not spark.sparkContext.getConf().contains(key):
         spark.conf.set(key, BATCH_ROWS)
 
 
@@ -49,13 +51,43 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+#: Folders of written tables that the innermost scratch() is to delete.
+_OPEN: ContextVar[list[str] | None] = ContextVar("open_scratch", default=None)
+
+
 def written(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder, so that later steps neither recompute it nor lose it."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
     df.write.parquet(path)
+    if (held := _OPEN.get()) is not None:
+        held.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables written inside are deleted at its end, but for what the given function has written: keep(df)."""
+    held: list[str] = []
+    token = _OPEN.set(held)
+
+    def keep(df: DataFrame) -> DataFrame:
+        out = written(df)
+        held.pop()
+        return out
+
+    try:
+        yield keep
+    finally:
+        _OPEN.reset(token)
+        for path in held:
+            delete(spark, path)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes and the n + 1 offsets of a string column without nulls; no copy."""
     large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)

@@ -26,3 +26,15 @@ def components(links: DataFrame) -> DataFrame:
         labels = step.select("node", "label")
         if not changed:
             return labels
+
+
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels after more links: only the components that these join are looked at, each as one node."""
+    of = lambda c: labels.select(F.col("node").alias(f"{c}_node"), F.col("label").alias(f"{c}_label"))
+    both = links.join(of("a"), F.col("a") == F.col("a_node"), "left").join(of("b"), F.col("b") == F.col("b_node"), "left")
+    ends = written(both.select("a", "b", F.coalesce("a_label", "a").alias("x"), F.coalesce("b_label", "b").alias("y")))
+    if ends.isEmpty():
+        return labels
+    merged = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).where("a <> b").distinct()).select(F.col("node").alias("old"), F.col("label").alias("new"))
+    known = ends.select(F.col("a").alias("node"), F.col("x").alias("label")).union(ends.select(F.col("b").alias("node"), F.col("y").alias("label"))).union(labels).distinct()
+    return written(known.join(merged, F.col("label") == F.col("old"), "left").select("node", F.coalesce("new", "label").alias("label")))

@@ -8,23 +8,27 @@ sequences: with m matches in order, the similarity m / (n_a + n_b - m) has to
 reach the threshold. It is Jaccard's on labelled k-mers if the common ones are
 in one order, and less otherwise.
 
-Only distinct texts are compared. In a bucket every text is compared with the
-bucket's hub first; whatever classes are then left in a bucket are compared
-across with each other in blocks of bounded size, so no link that the buckets
-offer between classes is lost and no task sees a whole hot bucket.
+Only distinct texts are compared. Texts of a tuple are first parted by their
+count of k-mers, as similar ones differ by no more than the threshold allows;
+such a part is a bucket. In a bucket every text is compared with the bucket's
+hub first. Texts of buckets that then hold several classes are compared where
+they share one of their rarest k-mers, under which any two similar texts meet,
+in blocks of bounded size: no link that the buckets offer between classes is
+lost and no task sees a whole hot bucket.
 """
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASES, doc_view, gram_hashes, mix, slices, span_hashes, text_key, words_of, written
-from .components import components
+from .common import BASES, doc_view, gram_hashes, mix, slices, scratch, span_hashes, text_key, words_of, written
+from .components import components, joined
 
 WORDY = r"[^\x20\x09-\x0D]"
 FULL = np.uint64((1 << 64) - 1)
@@ -122,17 +126,33 @@ def similarity(a: np.ndarray, b: np.ndarray, at_least: float, a_order=None, b_or
 
 
 def sketch_table(base: DataFrame, k: int, sketches: int, picks: int) -> DataFrame:
-    """(sig, fp), one row for each text and sketch."""
+    """(sig, fp, n), one row for each text and sketch; n is the text's count of k-mers."""
 
     def run(batches):
         for batch in batches:
             fps = batch.column(0)
             for lo, hi, data, offs in slices(batch.column(1)):
-                sk = order_sketches(*kmers(data, offs, k), sketches, picks)
-                rows = np.repeat(np.flatnonzero(sk.any(axis=1)), sketches)
-                yield pa.RecordBatch.from_arrays([pa.array(sk[sk.any(axis=1)].ravel().view(np.int64)), fps.slice(lo, hi - lo).take(pa.array(rows))], names=["sig", "fp"])
+                grams, upto = kmers(data, offs, k)
+                sk = order_sketches(grams, upto, sketches, picks)
+                rows = np.repeat(np.flatnonzero(np.diff(upto)), sketches)
+                yield pa.RecordBatch.from_arrays([pa.array(sk[np.diff(upto) > 0].ravel().view(np.int64)), fps.slice(lo, hi - lo).take(pa.array(rows)), pa.array(np.diff(upto)[rows])], names=["sig", "fp", "n"])
+
+    return base.select("fp", "text").mapInArrow(run, "sig long, fp binary, n long")
+
+
+#: K-mers that a block of texts holds at most, unless `LEAST` texts have more.
+BLOCK_KMERS, LEAST = 4 << 20, 8
+
 
-    return base.select("fp", "text").mapInArrow(run, "sig long, fp binary")
+def block_rows(block: int, n: Column) -> Column:
+    """Texts of up to n k-mers in a block."""
+    return F.least(F.lit(block), F.greatest(F.floor(F.lit(BLOCK_KMERS) / F.greatest(n, F.lit(1))), F.lit(LEAST)))
+
+
+def by_size(rows: DataFrame, at_least: float) -> DataFrame:
+    """rows (sig, fp, n) to (bucket, fp, n): counts of k-mers in steps of 1 / at_least; a bucket holds two neighbouring steps, so any two texts of the similarity share one."""
+    step = F.floor(F.log("n") / math.log(1 / at_least)).cast("int") if at_least < 1 else F.col("n").cast("int")
+    return rows.select("fp", "n", F.explode(F.array(F.xxhash64("sig", step), F.xxhash64("sig", step + 1))).alias("bucket"))
 
 
 def verified(blocks: DataFrame, k: int, at_least: float) -> DataFrame:
@@ -194,43 +214,109 @@ def verified(blocks: DataFrame, k: int, at_least: float) -> DataFrame:
 
 
 def hub_blocks(pairs: DataFrame, block: int) -> DataFrame:
-    """(block, role, label, fp) for verified: each hub against its texts, dealt out `block` at a time. Written."""
-    sizes = written(pairs.groupBy("hub").agg(F.count("*").alias("n")).select("hub", F.ceil(F.col("n") / block).cast("int").alias("parts")))
+    """(block, role, label, fp) for verified: each hub against its texts, dealt out in blocks. Written. pairs: fp, n, hub."""
+    sizes = written(pairs.groupBy("hub").agg(F.ceil(F.count("*") / block_rows(block, F.max("n"))).cast("int").alias("parts")))
     name = lambda p: F.concat("hub", F.encode(p.cast("string"), "utf-8")).alias("block")
     mine = pairs.join(sizes, "hub").select(name(F.pmod(F.xxhash64("fp"), F.col("parts"))), F.lit(1).alias("role"), F.col("fp").alias("label"), "fp")
     hubs = sizes.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p")).select(name(F.col("p")), F.lit(0).alias("role"), F.col("hub").alias("label"), F.col("hub").alias("fp"))
     return written(mine.union(hubs))
 
 
-def rare_kmers(texts: DataFrame, k: int, at_least: float) -> DataFrame:
-    """(fp, label, ks): each text's rarest k-mers, so many that two texts of the similarity share one of them. Written.
+#: Steps of a text's count of k-mers in which texts of similar size are looked up.
+STEP = math.log(1.1)
+
+
+def frequencies(texts: DataFrame, k: int, counters: int) -> np.ndarray:
+    """Counts of k-mers in a table of fixed size; k-mers of one counter share it. It only says which k-mers are looked at first."""
 
-    Of a text's n k-mers a similar one shares at_least * n or more, so it shares
-    one of the first n - ceil(at_least * n) + 1 in any order that holds for all.
+    def run(batches):
+        for batch in batches:
+            for _, _, data, offs in slices(batch.column(1)):
+                slots, n = np.unique(kmers(data, offs, k)[0] % np.uint64(counters), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(n.astype(np.int64))], names=["slot", "n"])
+
+    found = texts.select("fp", "text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # `counters` rows at most
+    out = np.zeros(counters, np.uint32)
+    out[found.column("slot").to_numpy()] = np.minimum(found.column("n").to_numpy(), (1 << 32) - 1)
+    return out
+
+
+def prefix_rows(texts: DataFrame, k: int, at_least: float, counts, whole: bool) -> DataFrame:
+    """texts (fp, label, text) to (key, indexed, label) and, if whole, fp and n: where a text is to be found by texts as long or longer, and where it looks for shorter ones.
+
+    In an order of all k-mers, rare ones first, let two texts of n_x <= n_y
+    k-mers have their first common one at the places p_x and p_y. They share at
+    most min(n_x - p_x, n_y - p_y), and similar ones a (n_x + n_y) with
+    a = at_least / (1 + at_least). So x is indexed under its first k-mers only
+    as far as a partner of its own size could still be similar, and y asks, for
+    each of its first k-mers, in the steps of sizes that could. A key is a k-mer
+    and a step.
     """
+    alpha = at_least / (1 + at_least)
 
     def run(batches):
+        table = counts.value
         for batch in batches:
             for lo, hi, data, offs in slices(batch.column(2)):
                 grams, upto = kmers(data, offs, k)
                 own = np.diff(upto)
-                rows = pa.array(np.repeat(np.arange(hi - lo), own))
-                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), batch.column(0).slice(lo, hi - lo).take(rows), batch.column(1).slice(lo, hi - lo).take(rows), pa.array(np.repeat(own, own))], names=["key", "fp", "label", "n"])
-
-    rows = texts.select("fp", "label", "text").mapInArrow(run, "key long, fp binary, label binary, n long")
-    held = written(rows.groupBy("key").agg(F.count("*").alias("df")).where("df > 1"))
-    ranked = rows.join(held, "key").groupBy("fp", "label", "n").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("ks"))
-    alone = F.col("n") - F.size("ks")  # k-mers of this text only come first in the order
-    first = F.slice("ks", F.lit(1), F.greatest(F.col("n") - F.ceil(F.col("n") * F.lit(at_least) - 1e-9) + 1 - alone, F.lit(0)).cast("int"))
-    return written(ranked.select("fp", "label", F.transform(first, lambda s: s["key"]).alias("ks")))
+                doc = np.repeat(np.arange(len(own)), own)
+                order = np.lexsort((grams, table[grams % np.uint64(len(table))], doc))
+                place = np.arange(len(order)) - upto[doc]  # texts stay in their order
+                n = own[doc].astype(np.float64)
+                most = (n - place) / alpha - n  # k-mers of the largest partner
+                longest = np.minimum(n, most) + 1e-6
+                first = np.floor(np.log(np.maximum(at_least * n - 1e-6, 0.5)) / STEP).astype(np.int64)
+                last = np.floor(np.log(np.maximum(longest, 0.5)) / STEP).astype(np.int64)
+                asks = np.flatnonzero(longest >= at_least * n - 1e-6)
+                steps = (last - first + 1)[asks]
+                probe = np.repeat(asks, steps)
+                probe_step = first[probe] + np.arange(len(probe)) - np.repeat(np.cumsum(steps) - steps, steps)
+                held = np.flatnonzero(most >= n - 1e-6)
+                at = np.concatenate([held, probe])
+                step = np.concatenate([np.floor(np.log(n[held] + 1e-6) / STEP).astype(np.int64), probe_step])
+                key = mix(grams[order][at] + step.astype(np.uint64) * np.uint64(BASES[1]))
+                rows = pa.array(doc[at])
+                part = slice(lo, hi)
+                out = [pa.array(key.view(np.int64)), pa.array(np.arange(len(at)) < len(held)), batch.column(1)[part].take(rows)]
+                names = ["key", "indexed", "label"]
+                if whole:
+                    out += [batch.column(0)[part].take(rows), pa.array(own[doc[at]])]
+                    names += ["fp", "n"]
+                yield pa.RecordBatch.from_arrays(out, names=names)
+
+    return texts.select("fp", "label", "text").mapInArrow(run, "key long, indexed boolean, label binary" + (", fp binary, n long" if whole else ""))
+
+
+def near_groups(crowd: DataFrame, k: int, at_least: float, counters: int) -> DataFrame:
+    """crowd (fp, label, text) to (key, indexed, label, fp, n): rows of prefix_rows whose key several labels and both kinds of rows share. Written."""
+    counts = crowd.sparkSession.sparkContext.broadcast(frequencies(crowd, k, counters))
+    keys = prefix_rows(crowd, k, at_least, counts, False).groupBy("key").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.bool_or("indexed").alias("held"), F.bool_or(~F.col("indexed")).alias("asked"))
+    mixed = written(keys.where("one <> other and held and asked").select("key"))
+    return written(prefix_rows(crowd, k, at_least, counts, True).join(mixed.hint("merge"), "key"))
+
+
+def same_texts() -> list[Column]:
+    """What tells sets of texts apart: 128 bits, the count, and two of the texts. Of groups with the same texts one is enough."""
+    return [F.min("fp").alias("first"), F.max("fp").alias("last"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "fp")).alias("y")]
+
+
+def open_groups(groups: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """groups (key, fp, n) that hold several labels, one of those with the same texts, with label, and a text of each group as hub and hub_label. Written."""
+    named = groups.join(labels, F.col("fp") == F.col("node"), "left").select("key", "fp", "n", F.coalesce("label", "fp").alias("label"))
+    by = F.struct(F.xxhash64("fp", F.lit(turn)).alias("h"), F.col("fp").alias("hub"), F.col("label").alias("hub_label"))
+    several = named.groupBy("key").agg(*same_texts(), F.min("label").alias("one"), F.max("label").alias("other"), F.min(by).alias("m")).where("one <> other")
+    kept = several.groupBy("first", "last", "c", "x", "y").agg(F.min(F.struct("key", "m")).alias("k")).select("k.key", "k.m.hub", "k.m.hub_label")
+    return written(named.join(written(kept), "key"))
 
 
 def cells(groups: DataFrame, block: int) -> DataFrame:
-    """(block, role, label, fp) for verified: in each key's group with several labels, texts outside the largest label against all, `block` by `block`."""
-    per_label = groups.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed = per_label.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("all"), F.max("n").alias("top"), F.count("*").alias("labels")).where("labels > 1")
-    mixed = written(mixed.select("key", "most", F.ceil(F.col("all") / block).cast("int").alias("cols"), F.ceil((F.col("all") - F.col("top")) / block).cast("int").alias("rows")))
-    cross = groups.join(mixed, "key").withColumn("h", F.xxhash64("fp"))
+    """(block, role, label, fp) for verified: in each key's group (key, label, fp, n) with several labels, texts outside the largest label against all, block by block."""
+    per_label = groups.groupBy("key", "label").agg(F.count("*").alias("c"), F.max("n").alias("n"))
+    mixed = per_label.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.sum("c").alias("all"), F.max("c").alias("top"), F.max("n").alias("n"), F.count("*").alias("labels")).where("labels > 1")
+    parts = lambda c: F.ceil(c / block_rows(block, F.col("n"))).cast("int")
+    mixed = written(mixed.select("key", "most", parts(F.col("all")).alias("cols"), parts(F.col("all") - F.col("top")).alias("rows")))
+    cross = groups.select("key", "label", "fp").join(mixed, "key").withColumn("h", F.xxhash64("fp"))
     row, col = F.pmod("h", "rows"), F.pmod(F.shiftright("h", 32), "cols")
     asks = cross.where("label != most").select(F.lit(0).alias("role"), "label", "fp", "key", row.alias("r"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("c"))
     told = cross.select(F.lit(1).alias("role"), "label", "fp", "key", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("r"), col.alias("c"))
@@ -238,44 +324,47 @@ def cells(groups: DataFrame, block: int) -> DataFrame:
     return asks.unionByName(told).select(name.alias("block"), "role", "label", "fp")
 
 
-def text_classes(base: DataFrame, k: int = 5, at_least: float = 0.8, sketches: int = 32, picks: int = 4, block: int = 256, rounds: int = 2) -> DataFrame:
+def text_classes(base: DataFrame, k: int = 5, at_least: float = 0.8, sketches: int = 32, picks: int = 4, block: int = 256, rounds: int = 2, counters: int = 1 << 20) -> DataFrame:
     """base (doc_id, text, fp) to (fp, class_id, names): each text with words, its class, and whether it is the one the class is named by."""
-    wordy = base.where(F.col("text").rlike(WORDY))
-    reps = wordy.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    sigs = written(sketch_table(wordy, k, sketches, picks))
-    spread = sigs.groupBy("sig").agg(F.min("fp").alias("hub"), F.max("fp").alias("last")).where("hub != last")
-    buckets = written(spread.select("sig", "hub"))
-    members = written(sigs.join(buckets, "sig").distinct())
-    pairs = written(members.where("fp != hub").select("fp", "hub").distinct())
-    involved = written(pairs.select("fp").union(pairs.select("hub")).distinct().join(reps, "fp"))
-    i = involved.select(F.col("fp").alias("ifp"), "rep")
-    texts = written(wordy.join(i, (F.col("fp") == F.col("ifp")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("fp", "text"))
-
-    links = written(verified(hub_blocks(pairs, block).join(texts, "fp"), k, at_least))
-    labels = components(links)
-    for turn in range(rounds):  # in large buckets that still hold several classes, other hubs, one for each bucket
-        named = written(members.join(labels, F.col("fp") == F.col("node"), "left").select("sig", "fp", F.coalesce("label", "fp").alias("label")))
-        by = F.struct(F.xxhash64("sig", "fp", F.lit(turn)).alias("h"), F.col("fp").alias("hub"), F.col("label").alias("hub_label"))
-        mixed = written(named.groupBy("sig").agg(F.count("*").alias("n"), F.min("label").alias("one"), F.max("label").alias("other"), F.min(by).alias("m")).where((F.col("one") != F.col("other")) & (F.col("n") > block)).select("sig", "m.hub", "m.hub_label"))
-        pairs = written(named.join(mixed, "sig").where("label != hub_label").select("fp", "hub").distinct())
-        links = links.union(written(verified(hub_blocks(pairs, block).join(texts, "fp"), k, at_least)))
-        labels = components(links)
-
-    # What is left of several classes in one bucket is compared across: at once where a block holds the bucket, else
-    # among texts that share one of their rarest k-mers, as any two of this similarity do.
-    named = written(members.select("sig", "fp").join(labels, F.col("fp") == F.col("node"), "left").select(F.col("sig").alias("key"), "fp", F.coalesce("label", "fp").alias("label")))
-    mixed = written(named.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("one"), F.max("label").alias("other")).where("one != other"))
-    small = named.join(mixed.where(F.col("n") <= block).select("key"), "key")
-    crowd = written(named.join(mixed.where(F.col("n") > block).select("key"), "key").select("fp", "label").distinct())
-    rare = rare_kmers(crowd.join(texts, "fp"), k, at_least)
-    one = written(cells(small, block)).join(texts, "fp").withColumn("ks", F.lit(None).cast("array<long>"))
-    two = written(cells(rare.select(F.explode("ks").alias("key"), "fp", "label"), block)).join(texts.join(rare.select("fp", "ks"), "fp"), "fp")
-    more = written(verified(one.unionByName(two), k, at_least))
-    labels = components(links.union(more))
-
-    classes = written(reps.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "rep", F.coalesce("label", "fp").alias("label")))
-    first = F.struct(F.col("rep").isNull(), F.col("rep"), F.col("fp"))
-    return written(classes.join(written(classes.groupBy("label").agg(F.min(first).alias("m"))), "label").select("fp", F.col("m.rep").alias("class_id"), (F.col("fp") == F.col("m.fp")).alias("names")))
+    # Joins that grow with the corpus are sorted merges at every size, so that a small run shows what a large one does.
+    with scratch(base.sparkSession) as keep:
+        wordy = base.where(F.col("text").rlike(WORDY))
+        reps = wordy.groupBy("fp").agg(F.min("doc_id").alias("rep"))
+        sigs = written(sketch_table(wordy, k, sketches, picks))
+        several = sigs.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1").select("sig").hint("merge")
+        parted = written(by_size(sigs.join(several, "sig").distinct(), at_least))
+        buckets = parted.groupBy("bucket").agg(*same_texts()).where("first <> last").groupBy("first", "last", "c", "x", "y").agg(F.min("bucket").alias("bucket"))
+        members = written(parted.join(buckets.select("bucket", "c"), "bucket"))
+        # The hub is the text that meets most others in its buckets: of many copies one that few changes part from the rest.
+        known = members.join(members.groupBy("fp").agg(F.sum("c").alias("met")), "fp")
+        hubs = known.groupBy("bucket").agg(F.max_by("fp", F.struct("met", "fp")).alias("hub"))
+        pairs = written(members.join(hubs, "bucket").where("fp != hub").select("fp", "n", "hub").distinct())
+        involved = written(pairs.select("fp").union(pairs.select("hub")).distinct().join(reps, "fp"))
+        i = involved.select(F.col("fp").alias("ifp"), "rep").hint("merge")
+        texts = written(wordy.join(i, (F.col("fp") == F.col("ifp")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("fp", "text"))
+
+        whole = texts.hint("merge")
+        labels = components(written(verified(hub_blocks(pairs, block).join(whole, "fp"), k, at_least)))
+        named = members.join(labels, F.col("fp") == F.col("node"), "left").select("bucket", "fp", F.coalesce("label", "fp").alias("label"))
+        mixed = named.groupBy("bucket").agg(F.min("label").alias("one"), F.max("label").alias("other")).where("one <> other").select("bucket")
+        crowd = named.join(mixed, "bucket").select("fp", "label").distinct()
+        # Texts of buckets that still hold several classes are compared where they share a rare k-mer, as any two of the
+        # similarity do: in each such group with one of its texts, which then leaves, and after some rounds across.
+        near = near_groups(written(crowd.join(whole.dropDuplicates(["fp"]), "fp")), k, at_least, counters)
+        groups = near.select("key", "fp", "n").distinct()
+        for turn in range(rounds):
+            live = open_groups(groups, labels, turn)
+            pairs = written(live.where("label <> hub_label").select("fp", "n", "hub").distinct())
+            labels = joined(labels, written(verified(hub_blocks(pairs, block).join(whole, "fp"), k, at_least)))
+            groups = live.where("fp <> hub").select("key", "fp", "n")
+        left = open_groups(groups, labels, rounds)
+        ks = left.groupBy("fp").agg(F.array_sort(F.collect_list("key")).alias("ks"))
+        labels = joined(labels, written(verified(written(cells(left, block)).join(whole.join(ks, "fp"), "fp"), k, at_least)))
+
+        classes = written(reps.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "rep", F.coalesce("label", "fp").alias("label")))
+        first = F.struct(F.col("rep").isNull(), F.col("rep"), F.col("fp"))
+        named = written(classes.groupBy("label").agg(F.min(first).alias("m")))
+        return keep(classes.join(named, "label").select("fp", F.col("m.rep").alias("class_id"), (F.col("fp") == F.col("m.fp")).alias("names")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -287,17 +376,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids are null. `how` is for text_classes.
     """
     base = text_key(doc_view(docs, id_col, text_col))
-    return base.join(text_classes(base, **how), "fp", "left").select("doc_id", F.when(F.col("text").rlike(WORDY), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+    rows = base.select("doc_id", F.when(F.col("text").rlike(WORDY), F.col("fp")).alias("fp"))
+    return rows.join(text_classes(base, **how), "fp", "left").select("doc_id", F.when(F.col("fp").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of docs that name their class, one each, as they are; rows without words all stay."""
-    base = text_key(docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row")))
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    base = text_key(docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row")))
     of = text_classes(base.select("doc_id", "text", "fp"), **how)
-    named = of.where("names").select(F.col("fp").alias("k"), "class_id")
     wordy = F.col("text").rlike(WORDY)
-    kept = base.where(wordy).join(named, (F.col("fp") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("class_id")), "left_semi")
-    same = base.where(wordy).groupBy("fp", "doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    rows = base.where(wordy).select("doc_id", "fp", "row")
+    kept = rows.join(of.where("names").select(F.col("fp").alias("k"), "class_id"), (F.col("fp") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("class_id")), "left_semi")
+    same = rows.groupBy("fp", "doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
     if same:  # rows that agree in id and text: one of them stays
         kept = kept.dropDuplicates(["fp"])
     return kept.select("row.*").unionByName(base.where(~wordy).select("row.*"))
