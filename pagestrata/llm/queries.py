@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import op1_pii, op2_suffixes, op3_lines, op4_rans, op5_counts, op6_decontaminate, op7_quality, op8_neardup, op9_packing, op10_blocks
+from . import op1_pii, op2_suffixes, op3_lines, op4_rans, op5_counts, op6_decontaminate, op7_quality, op8_neardup, op9_packing, op10_blocks, op11_sentencepiece, op12_spelling, op13_whitening
 from .common import read_table
 
 
@@ -51,6 +51,18 @@ def op10_substring_blocks(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_sentencepiece_query(spark, sf_dir):
+    return op11_sentencepiece.digest(op11_sentencepiece.encode(read_table(spark, sf_dir, "documents")))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return op12_spelling.spelling_groups(read_table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark, sf_dir):
+    return op13_whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_pii": op1_pii_query,
     "op2_substring_suffixes": op2_substring_suffixes,
@@ -62,6 +74,9 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_packing": op9_packing_query,
     "op10_substring_blocks": op10_substring_blocks,
+    "op11_sentencepiece": op11_sentencepiece_query,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLES = {
