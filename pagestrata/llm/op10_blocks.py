@@ -31,8 +31,8 @@ def _runs(mask: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(total[width:] - total[:-width] == width)
 
 
-def _window_hashes(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    return gram_hashes(symbols, length), gram_hashes(mix(symbols ^ np.uint64(BASES[0])), length, BASES[0] ^ 0x5555)
+def _window_hashes(a: Anchors, length: int) -> tuple[np.ndarray, np.ndarray]:
+    return gram_hashes(a.symbols, length), gram_hashes(a.others, length, BASES[0] ^ 0x5555)
 
 
 def _context_keys(a: Anchors, which: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -40,9 +40,9 @@ def _context_keys(a: Anchors, which: np.ndarray, length: int) -> tuple[np.ndarra
     tails = np.append(a.head[1:], len(a.window)) - 1
     lo, hi = a.window[a.head[which]], a.window[tails[which]] + length
     out = []
-    for base in BASES:
+    for base, symbols in zip(BASES, (a.symbols, a.others)):
         base |= 1
-        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(a.symbols * powers(base, len(a.symbols)))]) if len(a.symbols) else np.zeros(1, np.uint64)
+        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(symbols * powers(base, len(symbols)))]) if len(symbols) else np.zeros(1, np.uint64)
         back = np.concatenate([np.ones(1, np.uint64), powers(pow(base, -1, MASK + 1), len(a.symbols))])
         place = (a.place[which] - lo).astype(np.uint64) << np.uint64(32) | (hi - lo).astype(np.uint64)
         out.append(mix((upto[hi] - upto[lo]) * back[lo] + mix(place) * np.uint64(base)))
@@ -60,7 +60,8 @@ def repeated_words(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
 
     Repeated rows and ids are documents of their own: a text of `window` words
     or more with a copy is removed whole. Null, empty and shorter texts lose
-    nothing. Windows are told apart by 128-bit hashes.
+    nothing. Windows are told apart by 128 bits: two hashes of two independent
+    hashes of each word.
     """
     of, block = Words(window), (window + 1) // 2
     base = keyed(doc_view(docs, id_col, text_col))
@@ -126,7 +127,7 @@ def repeated_words(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
         asked = ~found_in(mine, names[told & whole])
         lo, n = lo[use], (hi - lo)[use] - window + 1
         at = _ranges(lo, lo + n)
-        w1, w2 = _window_hashes(a.symbols, window)
+        w1, w2 = _window_hashes(a, window)
         rep = lambda x: np.repeat(x[use], n)
         yield pa.RecordBatch.from_arrays(
             [pa.array(w1[at].view(np.int64)), pa.array(w2[at].view(np.int64)), pa.array(rep(fk[a.doc[live]]).view(np.int64)), pa.array(occurrence(rep(k1), at - np.repeat(lo, n))), pa.array(rep(asked))],
@@ -148,7 +149,7 @@ def repeated_words(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
             a = Anchors(of, data, offs)
             part = slice(lo_row, hi_row)
             doc, entries = listed(windows[part])
-            w1, w2 = _window_hashes(a.symbols, window)
+            w1, w2 = _window_hashes(a, window)
             w = a.window
             hit = found_in(own_keys(w1[w] ^ mix(w2[w]), a.doc_of_window), own_keys(longs(entries.field(0)) ^ mix(longs(entries.field(1))), doc)) if len(w) else np.zeros(0, bool)
             doc, entries = listed(wholes[part])

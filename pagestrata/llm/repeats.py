@@ -11,6 +11,8 @@ hold is a few rows a task.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
@@ -64,21 +66,21 @@ class Bytes:
         self.length, self.k = length, k
 
     def symbols(self, data: np.ndarray, offs: np.ndarray):
-        return data, offs
+        return data, offs, lambda: data
 
     def grams(self, symbols: np.ndarray) -> np.ndarray:
         return byte_grams(symbols, self.k)
 
 
 class Words:
-    """Texts as words; a slice's symbols are the hashes of its words."""
+    """Texts as words; a slice's symbols are the hashes of its words, of which there is a second, independent set."""
 
     def __init__(self, length: int = 35, k: int = 6):
         self.length, self.k = length, k
 
     def symbols(self, data: np.ndarray, offs: np.ndarray):
         starts, ends, first = words_of(data, offs)
-        return span_hashes(data, starts, ends), first
+        return span_hashes(data, starts, ends), first, lambda: span_hashes(data, starts, ends, 1)
 
     def grams(self, symbols: np.ndarray) -> np.ndarray:
         return gram_hashes(symbols, self.k)
@@ -88,7 +90,7 @@ class Anchors:
     """Windows and anchors of the texts of a slice."""
 
     def __init__(self, of: Bytes | Words, data: np.ndarray, offs: np.ndarray):
-        self.symbols, self.first = of.symbols(data, offs)
+        self.symbols, self.first, self._others = of.symbols(data, offs)
         n = np.diff(self.first)
         self.doc_of_window = np.repeat(np.arange(len(n)), np.maximum(n - of.length + 1, 0))
         per = np.maximum(n - of.length + 1, 0)
@@ -108,6 +110,12 @@ class Anchors:
             self.hash = np.zeros(0, np.uint64)
 
 
+    @cached_property
+    def others(self) -> np.ndarray:
+        """The second set of symbols: what tells windows apart needs both."""
+        return self._others()
+
+
 def occurrence(key: np.ndarray, place: np.ndarray) -> np.ndarray:
     return mix(mix(key) + place.astype(np.uint64)).view(np.int64)
 

@@ -14,6 +14,7 @@ import pyarrow as pa
 import pytest
 
 from pagestrata.llm import op1_pii, op2_suffixes, op3_lines, op4_rans, op5_counts, op6_decontaminate, op7_quality, op8_neardup, op9_packing, op10_blocks, tokens
+from pagestrata.llm.common import span_hashes
 from pagestrata.llm.induced import suffix_order
 from pagestrata.llm.tokens import load
 
@@ -445,3 +446,22 @@ def test_packing_wastes_little(spark):
 def test_line_dedup_carries_rows(docs, rows):
     got = op3_lines.dedup_lines(docs, carry=True).select("row.*").collect()
     assert Counter(map(repr, got)) == Counter(map(repr, docs.collect()))
+
+
+def test_words_that_polynomials_confuse(spark):
+    """A Thue-Morse word and its complement have one polynomial hash modulo 2 ** 64, whatever the base: windows around them are different all the same."""
+    signs = [bin(k).count("1") % 2 for k in range(4096)]
+    one, other = ("".join("ab"[b ^ flip] for b in signs) for flip in (0, 1))
+    around = [f"w{k}" for k in range(34)]
+    rows = [(k, " ".join([*around[:17], word, *around[17:]])) for k, word in enumerate((one, other))]
+    got = op10_blocks.repeated_words(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.n_words, r.n_removed) for r in got} == {(0, 35, 0), (1, 35, 0)}
+    same = op10_blocks.repeated_words(spark.createDataFrame([*rows, (2, rows[0][1] + " end")], "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.n_removed) for r in same} == {(0, 35), (1, 0), (2, 35)}
+    raw = np.frombuffer((one + other + "x" * 9 + "y" * 8).encode(), np.uint8)
+    ends = np.array([4096, 8192, 8201, 8209])
+    hashes = [span_hashes(raw, np.array([0, 4096, 8192, 8201]), ends, seed) for seed in (0, 1)]
+    assert len({int(h) for hs in hashes for h in hs}) == 8
+    small = np.frombuffer(b"abcabc" + b"ab" * 9, np.uint8)
+    a = span_hashes(small, np.array([0, 3, 6]), np.array([3, 6, 24]))
+    assert a[0] == a[1] == span_hashes(small, np.array([0]), np.array([3]))[0] and a[2] == span_hashes(small[6:], np.array([0]), np.array([18]))[0]
