@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_view, written
+from .common import doc_view, scratch, written
 
 #: The kinds in their order, and a pattern of each. Possessive
 #: repeats match what plain ones do here and neither recurse nor backtrack.
@@ -157,18 +157,33 @@ def find_pii(docs: DataFrame, reach: int = 80, support: int = 3, disclosure: flo
     """
     view = doc_view(docs, id_col, text_col)
     found = view.select("doc_id", "text", F.xxhash64("text").alias("th"), base_spans(F.col("text")).alias("base"))
+    with scratch(docs.sparkSession) as keep:
+        said = _told_matches(view, found, reach, support, disclosure, broadcast_rows)
+        if said is None:
+            return found.select("doc_id", "text", "base", F.col("base").alias("spans"))
+        said = keep(said)
+    few = said.agg(F.count("*").alias("n"), F.sum(F.size("said")).alias("k")).first()
+    known = F.broadcast(said) if (few["n"] or 0) + (few["k"] or 0) <= broadcast_rows else said
+    both = found.join(known, F.col("th") == F.col("h"), "left")
+    extra = F.coalesce(F.col("said").cast(SPAN), F.array().cast(SPAN))
+    return both.select("doc_id", "text", "base", F.array_sort(F.concat("base", extra)).alias("spans"))
+
+
+def _told_matches(view: DataFrame, found: DataFrame, reach: int, support: int, disclosure: float, broadcast_rows: int) -> DataFrame | None:
+    """(h, said): the matches of disclosing terms in each text that holds some; None without any.
+
+    Only texts with a told term are looked at, once each, and their matches
+    meet the terms in a join: linear in the matches, however many terms are told.
+    """
     told = disclosing(found, reach, support, disclosure, broadcast_rows)
     n = told.count()
     if not n:
-        return found.select("doc_id", "text", "base", F.col("base").alias("spans"))
+        return None
     side = F.broadcast(told) if n <= broadcast_rows else told
-    marked = written(view.select(F.xxhash64("text").alias("h"), F.explode(terms(F.col("text"))).alias("t")).join(side, "t").groupBy("h").agg(F.collect_set("t").alias("ts")))
-    few = marked.agg(F.count("*").alias("n"), F.sum(F.size("ts")).alias("k")).first()
-    known = F.broadcast(marked) if (few["n"] or 0) + (few["k"] or 0) <= broadcast_rows else marked
-    both = found.join(known, F.col("th") == F.col("h"), "left")
-    said = F.filter(matches(F.col("text"), TERM, len(KINDS)), lambda m: F.array_contains("ts", F.lower(m["value"])))
-    extra = F.when(F.col("ts").isNull(), F.array().cast(SPAN)).otherwise(said)
-    return both.select("doc_id", "text", "base", F.array_sort(F.concat("base", extra)).alias("spans"))
+    held = view.select(F.xxhash64("text").alias("h"), F.explode(terms(F.col("text"))).alias("t")).join(side, "t").select("h").distinct()
+    texts = view.select(F.xxhash64("text").alias("h"), "text").join(written(held), "h", "left_semi").dropDuplicates(["h"])
+    each = texts.select("h", F.explode(matches(F.col("text"), TERM, len(KINDS))).alias("m")).select("h", "m", F.lower(F.col("m.value")).alias("t"))
+    return each.join(side, "t").groupBy("h").agg(F.collect_list("m").alias("said"))
 
 
 def sanitise(found: DataFrame) -> DataFrame:

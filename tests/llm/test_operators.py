@@ -312,6 +312,38 @@ def test_quality_forest_on_held_out_rows(spark):
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.1 * len(bad) and bad
 
 
+def test_quality_forest_sees_combinations():
+    """Rows that stay within what single rows reach in each statistic, but are off in several at once, have shorter paths; splits choose among all statistics."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(3000, 4))
+    good = np.ones(3000, bool)
+    x[:60, 0] += 9
+    good[:60] = False
+    rules, forest, cut = op7_quality.fitted(x, good, np.arange(3000) % 2 == 1, 256, 0.999, 0.001, 0.02)
+    assert {int(f) for tree in forest.grown for f, v in zip(tree[0], tree[1]) if v < np.inf} == {0, 1, 2, 3}
+    alone, together = rules.high + 0.5 * np.eye(4), rules.high + 0.5
+    paths = forest.paths(rules(np.vstack([alone, [together], [x[100] * 0]])))
+    assert paths[4] < paths[:4].min() and paths[:5].max() < paths[5]
+    fresh = rng.normal(size=(2000, 4))
+    assert (op7_quality.margins((rules, forest, cut), fresh) >= 0).mean() > 0.98
+    fresh[:, 0] += 9
+    assert (op7_quality.margins((rules, forest, cut), fresh) < 0).mean() > 0.95
+
+
+def test_quality_paths_are_those_of_the_trees():
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(200, 3)), 1)
+    forest = op7_quality.IsolationForest(16, 32).fit(x, np.arange(200) > 10)
+    for row, path in zip(x[:40], forest.paths(x[:40])):
+        total = 0.0
+        for feature, value, left, right, length, _ in forest.grown:
+            k = 0
+            while value[k] < np.inf:
+                k = left[k] if row[feature[k]] <= value[k] else right[k]
+            total += length[k]
+        assert abs(total / 16 - path) < 1e-9
+
+
 def labelled(t):
     w, seen, out = (t or "").encode().split(), Counter(), []
     for g in [tuple(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)] if w else []:
