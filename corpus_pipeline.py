@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagestrata.llm import op3_lines, op6_decontaminate, op7_quality, op8_neardup, op9_packing
-from pagestrata.llm.common import read_table, shared_dir
+from pagestrata.llm.common import delete, read_table, shared_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,9 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The last stage's rows. A stage's table goes once the next one is written."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
         out = shared_dir(spark)
         stage(spark, docs, sf_dir).write.parquet(out)
-        docs = spark.read.parquet(out)
+        if before is not None:
+            delete(spark, before)
+        docs, before = spark.read.parquet(out), out
     return docs
