@@ -16,6 +16,7 @@ STD_NUM = r"^(\d{1,2})\.\s+(.{5,})"
 SESSION = r"제?\s*(\d)\s*교시"
 IGNORE = r"^\d+$|Copyright|FB\d{2}|주간모의|^※|^다음 문제|문제를 선택|누구나 ICT|cafe\.naver|All rights|기출풀이 의견"
 COVER = r"국가기술자격|기술사\s*시험문제"
+COVER_CAPTION = r"기술사.*제\s*\d+\s*회.*제\s*(\d)\s*교시"
 NOISE = r"출제\s*빈도|출제\s*비율|도메인\s*별\s*출제|^\[참고\]|교시형\s*출제|출제\s*경향|감사의?\s*글|기출\s*풀이집"
 TOPIC_END = r"^기출풀이\s*의견$"
 STAR = r"★[★☆]{1,4}"
@@ -39,8 +40,24 @@ AIRIPO_MOCK = r"실전\s*모의고사\s*문제"
 AIRIPO_MORE = r"뒷\s*페이지\s*에?\s*계속"
 BRACKET = r"^\[\d+-\d+\]"
 FORMAT_COVER = r"국가기술자격|기술사\s*시험문제|시험시간|100\s*분|문제를?\s*선택하여|다음\s*문제\s*중"
+ITPE_COVER = r"국가기술자격|기술사\s*시험문제|시험시간\s*:\s*100\s*분|문제를?\s*선택하여|다음\s*문제\s*중"
+ITPE_SELECT = r"선택\s*문제"
+KPC_NOISE = r"출제\s*빈도|출제\s*비율|도메인\s*별\s*출제|출제\s*경향|감사의?\s*글|기출\s*풀이집"
+AIRIPO_SESSION = r"관리\s*[-‒–—]?\s*(\d)\s*교시"
 STAR_START = r"^★[★☆]{1,4}"
 
+# Titles of topics, and lines that are none.
+NUMBER_HEADING = r"^\d+\s*번$"
+QUESTION_META = r"^(?:도메인|난이도|키워드|출제배경|참고문헌|해설자)$"
+JE_NUM = r"^제\s*(\d{1,2})\.\s*(.{3,})"
+KPC_BRAND = r"누구나\s*ICT|cafe\.naver|정보처리기술사\s*기출풀이|ICT의\s*가치를?\s*이끄는|All\s*rights"
+KPC_META = r"^(?:역|난이도|경|도|료)\s"
+KPC_NUMBERS = 13
+AIRIPO_BRAND = r"Copyright.*아이리포|아이리포\s*HR|아이리포\s*기술사회|SW\s+DB\s+CA|IT\s*trends|Big\s*&?\s*Up"
+AIRIPO_BAR = r"SW\s+DB\s+CA|IT\s*trends|AI/Bigdata"
+AIRIPO_LABEL = r"^(?:page|출제영역|핵심키워드|상/중/하)$"
+AIRIPO_CONTINUED = r"뒷\s*페이지\s*에?\s*계속|앞\s*페이지\s*에서?\s*계속"
+
 # Patterns of lines.
 NUM_ONLY = r"^(\d{1,2})\.?$"
 NUM_TOPIC = r"^(?:제\s+)?(\d{1,2})\.\s+(.+)$"
@@ -64,6 +81,21 @@ BRAND = (
 )
 BRAND_PIECE = r"^(?:kpc|ICT의|가치를|이끄는|사람|한국생산성본부)$"
 
+# What the first five pages say of the publisher and the kind of exam, in the order it is looked for; what file names say.
+HEAD_PAGES = 5
+PUBLISHERS = (
+    ("KPC", r"KPC\s*기술사.*?IMPACT|Korea\s*Productivity\s*Center|한국생산성본부"),
+    ("ITPE", r"ITPE\s*\(?\s*Information Technology Professional Engineer|ITPE\s*실전\s*명품"),
+    ("인포레버", r"인포레버컨설팅|Big&Up\s*기술사회|인포레버"),
+    ("동기회", r"기출풀이집|여울동기회|동기회"),
+)
+NAMED = (("KPC", "(?i)kpc"), ("ITPE", "(?i)itpe"), ("인포레버", "인포레버|(?i:inforever)"), ("동기회", "동기회"))
+ACTUAL = r"기출\s*(?:문제|풀이|해설)|국가기술자격기술사시험문제"
+MOCK = r"실전\s*(?:명품\s*)?모의고사|IMPACT\s*실전\s*모의고사"
+ITPE_MOCK = r"ITPE\s*실전\s*명품\s*모의고사"
+KPC_MOCK = r"KPC.*?기술사.*?IMPACT.*?실전\s*모의고사"
+SESSION_SAID = r"제\s*([1-4])\s*교시"
+
 # Weights of line signals, and the scores of strong and weak candidates.
 LINE_WEIGHTS = {"qnum_only": 1.0, "qnum_topic": 1.5, "qnum_bun": 1.5, "problem": 1.0, "domain": 0.6, "select": 1.5, "roman": 0.3, "session": 0.0}
 STRONG, WEAK = 2.0, 1.0
