@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import catalog as C
-from ..functions.text import has
-from . import aggregates, order
+from ..functions.text import U, has, strip
+from ..sources.stages import staged
+from . import aggregates, joins, order, titles
 
 
 def format_counts(elements: DataFrame) -> DataFrame:
@@ -47,79 +48,131 @@ def detect_format(elements: DataFrame) -> DataFrame:
 
 
 def format_pages(elements: DataFrame) -> DataFrame:
-    """One row a page: its end, start, cover and star marks."""
-    c = F.trim(F.coalesce("content", F.lit("")))
+    """One row for every page from 1 to the document's last: its marks, false where a page has no elements, and the number of its session header."""
+    c = strip(F.coalesce("content", F.lit("")))
     flat = F.regexp_replace(c, r"(?U)\s+", "")
     cell = F.coalesce("is_table_cell", F.lit(False))
-    return elements.groupBy("doc_id", "page").agg(
-        F.bool_or(has(c, C.ITPE_END)).alias("end"),
+    header = F.nullif(F.regexp_extract(flat, U + C.AIRIPO_SESSION, 1), F.lit("")).cast("int")
+    marks = elements.groupBy("doc_id", "page").agg(
+        F.bool_or(has(c, C.END)).alias("end"),
         (F.count_if(cell & has(flat, C.ITPE_LABEL)) >= 2).alias("meta"),
+        F.bool_or(has(c, C.ITPE_COVER) | ((F.col("type") == "heading") & has(c, C.ITPE_SELECT))).alias("itpe_cover"),
         F.bool_or(has(flat, C.KPC_OPINION)).alias("opinion"),
         F.bool_or(has(c, C.STAR_START)).alias("star"),
-        F.bool_or(has(c, C.FORMAT_COVER)).alias("cover"),
-        F.bool_or(has(c, C.NOISE)).alias("noise"),
-        F.min_by(F.substring(c, 1, 80), F.when(F.length(c) >= 5, F.col("elem_idx"))).alias("title"),
+        F.bool_or(has(flat, C.FORMAT_COVER)).alias("cover"),
+        F.bool_or(has(flat, C.KPC_NOISE)).alias("noise"),
+        F.bool_or(has(c, C.STAR_START) | has(c, C.JE_NUM)).alias("signed"),
+        F.max_by(header, F.when(header.isNotNull(), F.col("elem_idx"))).alias("header"),
     )
-
-
-def ended_intervals(pages: DataFrame, end: Column, start: Column, skip: Column, confidence: float = 0.85, tail_confidence: float = 0.60, tail_ok: Column | None = None) -> DataFrame:
-    """Intervals that close at end pages and open at the first start mark, else after the end before; pages to skip in front go; what is left after the last end is the tail."""
-    w = Window.partitionBy("doc_id").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
-    t = pages.withColumn("_e", end).withColumn("_s", start).withColumn("_skip", skip)
-    t = t.withColumn("_prev", F.coalesce(F.max(F.when(F.col("_e"), F.col("page"))).over(w), F.lit(0)))
-    g = t.groupBy("doc_id", "_prev").agg(
-        F.min(F.when(F.col("_s"), F.col("page"))).alias("_first"),
-        F.min(F.when(~F.col("_skip"), F.col("page"))).alias("_open"),
-        F.max(F.when(F.col("_e"), F.col("page"))).alias("_end"),
-        F.max("page").alias("_last"),
-        F.count_if(~F.col("_skip")).alias("_n"),
-        F.bool_or(F.col("_s") & ~F.col("_skip")).alias("_tail"),
+    every = elements.groupBy("doc_id").agg(F.max("page").alias("n_pages")).select("doc_id", "n_pages", F.explode(F.sequence(F.lit(1), "n_pages")).alias("page"))
+    flags = [f.name for f in marks.schema if f.dataType.typeName() == "boolean"]
+    return every.join(marks, ["doc_id", "page"], "left").na.fill(False, flags)
+
+
+def runs(pages: DataFrame, end: Column, start: Column, skip: Column) -> DataFrame:
+    """One row for each end page, and one for what is left behind the last: doc_id, prev (the end before, 0 for none), page_start, end (null for the rest), last, and of its pages mark (the first start mark), mark_skipped, free (the first that isn't skipped) and n_free.
+
+    It starts at the first start mark, else right after the end before, then
+    at the first page from there on that isn't skipped, its end at the latest.
+    """
+    earlier = Window.partitionBy("doc_id").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    run = Window.partitionBy("doc_id", "prev")
+    page = F.col("page")
+    t = pages.withColumns({"_e": end, "_s": start, "_skip": skip}).withColumn("prev", F.coalesce(F.max(F.when(F.col("_e"), page)).over(earlier), F.lit(0)))
+    t = t.withColumn("_mark", F.min(F.when(F.col("_s"), page)).over(run))
+    g = t.groupBy("doc_id", "prev").agg(
+        F.max(F.when(F.col("_e"), page)).alias("end"),
+        F.max("page").alias("last"),
+        F.min("_mark").alias("mark"),
+        F.coalesce(F.bool_or(F.col("_skip") & (page == F.col("_mark"))), F.lit(False)).alias("mark_skipped"),
+        F.min(F.when(~F.col("_skip"), page)).alias("free"),
+        F.count_if(~F.col("_skip")).alias("n_free"),
+        F.min(F.when(~F.col("_skip") & (page >= F.coalesce("_mark", F.col("prev") + 1)), page)).alias("_open"),
     )
-    begin = F.least(F.coalesce("_first", "_open", F.col("_prev") + 1), F.coalesce("_end", "_last"))
-    tail = F.col("_end").isNull()
-    kept = g.where(~tail | (F.col("_tail") if tail_ok is None else tail_ok))
-    out = kept.select("doc_id", begin.cast("int").alias("page_start"), F.coalesce("_end", "_last").alias("page_end"), F.when(tail, tail_confidence).otherwise(confidence).alias("confidence"))
-    return out.join(pages.select("doc_id", F.col("page").alias("page_start"), "title"), ["doc_id", "page_start"], "left")
-
-
-def itpe(pages: DataFrame) -> DataFrame:
-    return ended_intervals(pages, F.col("end"), F.col("meta"), F.col("cover"))
-
-
-def kpc(pages: DataFrame) -> DataFrame:
-    """By opinions where a document has some, else by stars alone."""
-    n = pages.groupBy("doc_id").agg(F.count_if("opinion").alias("_n"))
-    known = pages.join(n, "doc_id")
-    skip = F.col("cover") | F.col("noise")
-    main = ended_intervals(known.where("_n > 0"), F.col("opinion"), F.col("star"), skip, tail_ok=F.col("_n") >= 2)
-    last = known.where("_n = 0 and not (cover or noise)").groupBy("doc_id").agg(F.max("page").alias("last"))
-    stars = order.close_intervals(known.where("_n = 0 and star").join(last, "doc_id"), ["doc_id"], "page", F.col("last"))
-    return main.unionByName(stars.select("doc_id", F.col("page").cast("int").alias("page_start"), "page_end", F.lit(0.80).alias("confidence"), "title"))
-
-
-def airipo(pages: DataFrame) -> DataFrame:
-    return ended_intervals(pages, F.col("end"), F.lit(False), F.col("cover"), tail_ok=F.col("_n") > 0)
-
-
-def by_format(elements: DataFrame) -> DataFrame:
-    """Each document's intervals by its own format; taken only with max(5, pages / 10) topics or more."""
-    kinds = detect_format(elements).select("doc_id", "pages", "format")
-    pages = format_pages(elements).join(kinds.select("doc_id", "format"), "doc_id")
-    found = itpe(pages.where("format = 'ITPE'").drop("format")).withColumn("fmt", F.lit("ITPE"))
-    found = found.unionByName(kpc(pages.where("format = 'KPC'").drop("format")).withColumn("fmt", F.lit("KPC")))
-    found = found.unionByName(airipo(pages.where("format = 'AIRIPO'").drop("format")).withColumn("fmt", F.lit("AIRIPO")))
-    n = found.groupBy("doc_id").agg(F.count("*").alias("_n")).join(kinds, "doc_id").where(F.col("_n") >= F.greatest(F.lit(5), F.floor(F.col("pages") / 10)))
-    return found.join(n.select("doc_id"), "doc_id", "left_semi")
-
-
-def publisher(head: Column, name: Column) -> Column:
-    """From the head of the text, else the filename."""
-    def of(c: Column) -> Column:
-        return F.when(has(c, r"(?i)KPC|한국생산성본부"), "KPC").when(has(c, r"(?i)ITPE|누구나\s*ICT"), "ITPE").when(has(c, "인포레버"), "인포레버").when(has(c, "동기회"), "동기회").when(has(c, "아이리포"), "아이리포")
-    return F.coalesce(of(head), of(name), F.lit("unknown"))
-
-
-def exam_kind(head: Column, name: Column) -> Column:
-    """An actual exam's number wins over the word for mock exams."""
-    actual, mock = r"제?\s*\d{2,3}\s*회.*(?:기출|해설)", r"모의고사|모의"
-    return F.when(has(head, actual), "actual").when(has(head, mock), "mock").when(has(name, mock), "mock").otherwise("actual")
+    return g.withColumn("page_start", F.coalesce("_open", "end", "free", F.col("prev") + 1)).drop("_open")
+
+
+def _intervals(closed: DataFrame, tails: DataFrame, tail_start: Column) -> DataFrame:
+    one = closed.select("doc_id", "page_start", F.col("end").alias("page_end"), F.lit(0.85).alias("confidence"))
+    return one.unionByName(tails.select("doc_id", tail_start.alias("page_start"), F.col("last").alias("page_end"), F.lit(0.60).alias("confidence")))
+
+
+def fronts(pages: DataFrame, blocks: DataFrame, first_topic: Column, wanted: Column | None = None) -> DataFrame:
+    """The pages of each session before its first topic: doc_id, session, title, page_start, page_end, confidence, fmt. first_topic and wanted are aggregates over a session's pages, which have block_start and block_end."""
+    spread = blocks.select("doc_id", F.col("session").cast("long").alias("session"), F.col("page_start").alias("block_start"), F.col("page_end").alias("block_end"), F.explode(F.sequence("page_start", "page_end")).alias("page"))
+    g = pages.join(spread, ["doc_id", "page"]).groupBy("doc_id", "session", "block_start").agg(first_topic.alias("_first"), F.sort_array(F.collect_list(F.when(wanted if wanted is not None else F.lit(True), F.col("page")))).alias("_pages"))
+    before = g.where(F.col("_first") > F.col("block_start"))
+    if wanted is not None:
+        before = before.where((F.get("_pages", F.lit(0)) < F.col("_first")) | (F.col("_first") > F.col("block_start") + 1))
+    title = F.concat(F.lit("문제지_"), F.col("session").cast("string"), F.lit("교시"))
+    return before.select("doc_id", "session", title.alias("title"), F.col("block_start").alias("page_start"), (F.col("_first") - 1).alias("page_end"), F.lit(0.95).alias("confidence"), F.lit("question_pages").alias("fmt"))
+
+
+COLUMNS = ["doc_id", "session", "title", "page_start", "page_end", "confidence", "fmt"]
+
+
+def _named(topics: DataFrame, titles_: DataFrame, rules: list[str], fmt: str, pages: int = 2) -> DataFrame:
+    found = titles.range_titles(topics, titles_, rules, pages)
+    return found.withColumn("title", F.coalesce("title", titles.placeholder(F.col("page_start")))).withColumn("fmt", F.lit(fmt)).select(*COLUMNS)
+
+
+def itpe(pages: DataFrame, blocks: DataFrame, titles_: DataFrame) -> DataFrame:
+    """Topics close at the word for the end and open at a cluster of labels; covers are skipped. What is left behind the last end is a topic where it opens with a cluster."""
+    found = runs(pages, F.col("end"), F.col("meta"), F.col("itpe_cover"))
+    tails = found.where("end is null and prev > 0 and mark is not null and not mark_skipped")
+    topics = joins.session_of(_intervals(found.where("end is not null"), tails, F.col("mark")), blocks, ["doc_id"], "page_start")
+    first = F.coalesce(F.min(F.when(F.col("meta") & ~F.col("itpe_cover"), F.col("page"))), F.min(F.when(F.col("end"), F.col("page"))))
+    return _named(topics, titles_, ["own"], "ITPE", 1).unionByName(fronts(pages, blocks, first, F.col("itpe_cover")).select(*COLUMNS))
+
+
+def kpc(pages: DataFrame, blocks: DataFrame, titles_: DataFrame) -> DataFrame:
+    """Topics close at opinions and open at stars, where a document has opinions; else each star page opens one. Covers, and noise on pages without a topic's sign (A8), are skipped."""
+    known = pages.withColumn("skip", F.col("cover") | (F.col("noise") & ~F.col("signed"))).withColumn("opinions", F.count_if("opinion").over(Window.partitionBy("doc_id")))
+    by_opinion, by_star = known.where("opinions > 0"), known.where("opinions = 0")
+    found = runs(by_opinion, F.col("opinion"), F.col("star"), F.col("skip"))
+    main = _intervals(found.where("end is not null"), found.where("end is null and prev > 0 and n_free >= 2"), F.col("free"))
+    upto = Window.partitionBy("doc_id").orderBy("page").rowsBetween(Window.unboundedPreceding, 0)
+    opened = by_star.withColumn("_at", F.max(F.when(F.col("star"), F.col("page"))).over(upto)).where("_at is not null")
+    stars = opened.groupBy("doc_id", F.col("_at").alias("page_start")).agg(F.max(F.when(~F.col("skip"), F.col("page"))).alias("page_end"), F.bool_or((F.col("page") == F.col("_at")) & F.col("skip")).alias("_skip"))
+    both = main.unionByName(stars.where("not _skip").select("doc_id", "page_start", "page_end", F.lit(0.80).alias("confidence")))
+    topics = joins.session_of(both, blocks, ["doc_id"], "page_start")
+    free = F.when(~F.col("skip"), F.col("page"))
+    ends = F.min(F.when(F.col("opinion"), F.col("page")))
+    first = F.coalesce(F.min(F.when(F.col("star"), free)), F.when(F.min(free) <= ends, F.min(free)))
+    return _named(topics, titles_, ["je", "numbered", "plain"], "KPC").unionByName(fronts(by_opinion, blocks, first).select(*COLUMNS))
+
+
+def airipo(pages: DataFrame, titles_: DataFrame) -> DataFrame:
+    """Sessions by their headers (A10; without any one block); topics close at the word for the end, up to the last session's end. In front of the first session stands the cover, behind the last one the original paper."""
+    headed = aggregates.session_ranges(pages.where("header is not null").select("doc_id", "page", "header"), ["doc_id"], "page", "page", "header")
+    whole = pages.groupBy("doc_id").agg(F.max("n_pages").alias("n_pages"))
+    single = whole.join(headed, "doc_id", "left_anti").select("doc_id", F.lit(0).alias("header"), F.lit(1).alias("page_start"), F.col("n_pages").alias("page_end"))
+    blocks = headed.select("doc_id", "header", "page_start", "page_end").unionByName(single)
+    span = whole.join(blocks.groupBy("doc_id").agg(F.min("page_start").alias("front"), (F.max("page_end") + 1).alias("cut"), F.min_by("page_start", "header").alias("opening")), "doc_id")
+    inside = pages.join(span.select("doc_id", "cut", "opening"), "doc_id").where(F.col("page") < F.col("cut"))
+    found = runs(inside, F.col("end"), F.lit(False), F.lit(False)).join(span.select("doc_id", "opening"), "doc_id")
+    closed = found.where("end is not null").withColumn("page_start", F.greatest(F.col("prev") + 1, F.col("opening"))).where("page_start <= end")
+    cut = _intervals(closed, found.where("end is null and prev > 0"), F.col("prev") + 1)
+    topics = joins.session_of(cut, blocks.withColumnRenamed("header", "session"), ["doc_id"], "page_start", "session")
+    named = titles.range_titles(topics, titles_, ["airipo"]).where("title is not null or confidence > 0.6")
+    own = named.withColumn("title", F.coalesce("title", titles.placeholder(F.col("page_start")))).withColumn("fmt", F.lit("AIRIPO")).select(*COLUMNS)
+
+    def paper(rows: DataFrame, title: str, start: Column, end: Column) -> DataFrame:
+        return rows.select("doc_id", F.lit(0).cast("long").alias("session"), F.lit(title).alias("title"), start.alias("page_start"), end.alias("page_end"), F.lit(0.95).alias("confidence"), F.lit("question_pages").alias("fmt"))
+
+    cover = paper(span.where("front > 1"), "표지", F.lit(1), F.col("front") - 1)
+    return own.unionByName(cover).unionByName(paper(span.where("cut <= n_pages"), "시험문제_원본", F.col("cut"), F.col("n_pages")))
+
+
+def by_format(e: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Each document's topics and question pages by its own format, numbered; taken only with max(5, pages / 10) topics or more: doc_id, session, num, session_q, title, page_start, page_end, confidence, fmt. e as titles.marked() gives it, blocks its sessions."""
+    kinds = detect_format(e).select("doc_id", "pages", "format")
+    pages = staged(format_pages(e).join(kinds.select("doc_id", "format"), "doc_id"))
+    shown = staged(titles.page_titles(e.join(kinds.where("format in ('ITPE', 'KPC', 'AIRIPO')"), "doc_id", "left_semi")))
+    of = lambda name: pages.where(F.col("format") == name).drop("format")
+    found = staged(itpe(of("ITPE"), blocks, shown).unionByName(kpc(of("KPC"), blocks, shown)).unionByName(airipo(of("AIRIPO"), shown)))
+    topic = F.col("fmt") != "question_pages"
+    n = found.groupBy("doc_id").agg(F.count_if(topic).alias("_n")).join(kinds, "doc_id").where(F.col("_n") >= F.greatest(F.lit(5), F.floor(F.col("pages") / 10)))
+    kept = found.join(n.select("doc_id"), "doc_id", "left_semi").withColumn("_q", order.questions_first())
+    numbered = order.renumber(kept, ["doc_id"], ["session"], ["page_start", "_q", "page_end"], topic)
+    return numbered.select("doc_id", "session", "num", "session_q", "title", "page_start", "page_end", "confidence", "fmt")

@@ -25,9 +25,9 @@ def checked_broadcast(df: DataFrame, rows: int = DICTIONARY_ROWS, most_bytes: in
     return F.broadcast(df) if size["n"] <= rows and (size["b"] or 0) <= most_bytes else df
 
 
-def session_of(pages: DataFrame, sessions: DataFrame, part: Sequence[str], page: str = "page") -> DataFrame:
-    """The first session (by start) that holds the page; else the last session; else 1. sessions: part, session, page_start, page_end."""
-    per = sessions.groupBy(*part).agg(F.sort_array(F.collect_list(F.struct("page_start", "page_end", "session"))).alias("_s"))
+def session_of(pages: DataFrame, sessions: DataFrame, part: Sequence[str], page: str = "page", by: str = "page_start") -> DataFrame:
+    """The first session (by start, or by `by`) that holds the page; else the last session; else 1. sessions: part, session, page_start, page_end."""
+    per = sessions.groupBy(*part).agg(F.sort_array(F.collect_list(F.struct(F.col(by).alias("_by"), "page_start", "page_end", "session"))).alias("_s"))
     joined = pages.join(per, list(part), "left")
     inside = F.filter("_s", lambda s: (F.col(page) >= s["page_start"]) & (F.col(page) <= s["page_end"]))
     last = F.element_at(F.transform(F.array_sort(F.transform("_s", lambda s: s["session"])), lambda x: x), -1)
@@ -62,28 +62,50 @@ def left_last_wins(a: DataFrame, b: DataFrame, key: Sequence[str], order: Sequen
     return a.join(last, list(key), "left").withColumn("status", status)
 
 
-def best_overlap(pages: DataFrame, topics: DataFrame, page_key: Sequence[str], tokens: str, topic: str, topic_tokens: str, least: int = 2) -> DataFrame:
-    """J6, second rule: the topic that shares most tokens with the page, if `least` or more. Equi join by token."""
-    p = pages.select(*page_key, F.explode(F.array_distinct(tokens)).alias("_t"))
-    q = topics.select(topic, F.explode(F.array_distinct(topic_tokens)).alias("_t"))
-    shared = p.join(q, "_t").groupBy(*page_key, topic).agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
-    return shared.groupBy(*page_key).agg(F.min_by(topic, F.struct((-F.col("shared")).alias("n"), F.col(topic).alias("t"))).alias(topic), F.max("shared").alias("shared"))
+def contained(texts: DataFrame, keys: DataFrame, part: Sequence[str], text: str, key: str, most: int = 8) -> DataFrame:
+    """Rows of texts, each with every row of keys of its partition whose key its text holds; empty keys are held by none.
+
+    A key is looked up by a hash of its first `most` characters (all of a
+    shorter one): runs of that length in a text are hashed and only those that some
+    key of the partition has are joined, by equality; what they bring is
+    checked. A partition's keys are few (the questions of a document).
+    """
+    size = F.least(F.length(key), F.lit(most))
+    known = keys.where(F.length(key) > 0).withColumn("_h", F.xxhash64(size, F.substring(F.col(key), F.lit(1), size)))
+    asked = known.groupBy(*part).agg(F.collect_set("_h").alias("_keys"), F.collect_set(size).alias("_sizes"))
+
+    def runs(n: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.xxhash64(n, F.substring(F.col(text), i, n)))
+
+    near = F.array_intersect(F.flatten(F.transform(F.filter("_sizes", lambda n: n <= F.length(text)), runs)), "_keys")
+    hits = texts.join(asked, list(part)).withColumn("_h", F.explode(near)).drop("_keys", "_sizes")
+    return hits.join(known, [*part, "_h"]).where(F.contains(F.col(text), F.col(key))).drop("_h")
 
 
 def first_page_with(pages: DataFrame, keys: DataFrame, part: Sequence[str], page: str, text: str, key: str, key_page: str | None = None) -> DataFrame:
-    """For each key of a document the first (later) page whose text holds it."""
-    on = pages.join(keys, list(part)).where(F.col(text).contains(F.col(key)))
+    """For each key of a document the first page (of those after key_page) whose text holds it."""
+    on = contained(pages.select(*part, page, text), keys.select(*part, key, *([key_page] if key_page else [])).distinct(), part, text, key)
     if key_page:
         on = on.where(F.col(page) > F.col(key_page))
     return on.groupBy(*part, key).agg(F.min(page).alias("found_page"))
 
 
 def drop_containers(intervals: DataFrame, part: Sequence[str], start: str, end: str, least: int = 2) -> DataFrame:
-    """Intervals that strictly hold `least` or more others of the same partition go."""
-    other = intervals.select(*part, F.col(start).alias("_s"), F.col(end).alias("_e"))
-    inside = (F.col("_s") >= F.col(start)) & (F.col("_e") <= F.col(end)) & ((F.col("_s") > F.col(start)) | (F.col("_e") < F.col(end)))
-    big = intervals.join(other, list(part)).where(inside).groupBy(*part, start, end).agg(F.count("*").alias("_n")).where(F.col("_n") >= least)
-    return intervals.join(big.drop("_n"), [*part, start, end], "left_anti")
+    """Intervals that strictly hold `least` or more others of the same partition go.
+
+    By falling start and rising end, what an interval holds comes before it, and
+    of what comes before it holds whatever doesn't end later. So it goes if the
+    `least`-th smallest end before it isn't beyond its own. That end is a chain of
+    running minima: what loses against the minimum goes on to the next one. Equal
+    intervals don't hold each other; the first of them tells for all.
+    """
+    earlier = Window.partitionBy(*part).orderBy(F.desc(start), F.asc(end)).rowsBetween(Window.unboundedPreceding, -1)
+    same = Window.partitionBy(*part, start, end)
+    t = intervals.withColumn("_x", F.col(end))
+    for _ in range(least):
+        t = t.withColumn("_m", F.min("_x").over(earlier)).withColumn("_x", F.when(F.col("_m").isNotNull(), F.greatest("_x", "_m")))
+    holds = (F.count_if(F.col("_m").isNull()).over(same) == 0) & (F.max("_m").over(same) <= F.col(end))
+    return t.withColumn("_holds", holds).where(~F.col("_holds")).drop("_x", "_m", "_holds")
 
 
 def interval_text(intervals: DataFrame, lines: DataFrame, part: Sequence[str], page: str, idx: str, text: str, most: int | None = None) -> DataFrame:

@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import catalog as C
-from ..functions.text import U, has, norm, strip
+from ..functions.text import has, strip
 from ..sources.stages import staged
 from . import aggregates, folds, formats, joins, order, postprocess
-
+from .titles import group, marked, numbered_cells, said
 
 
 def pages_in_order():
@@ -28,89 +28,97 @@ def document():
     return Window.partitionBy("doc_id")
 
 
-def group(c: Column, pattern: str, k: int = 1) -> Column:
-    return F.nullif(F.regexp_extract(c, U + pattern, k), F.lit(""))
-
-
-def marked(elements: DataFrame) -> DataFrame:
-    """Elements with normalised text, whether it is a repeated header, and whether it is ignored."""
-    e = elements.withColumn("c", norm(F.coalesce("content", F.lit("")))).withColumn("font_ratio", F.coalesce("font_ratio", F.lit(1.0)))
-    wanted = (F.col("type") == "heading") | ((F.col("type") == "paragraph") & (F.length("c") <= 15))
-    headers = aggregates.repeated_headers(e, ["doc_id"], "page", "c", wanted & (F.col("c") != ""))
-    out = e.join(headers.select("doc_id", "c", F.lit(True).alias("repeated")), ["doc_id", "c"], "left")
-    return out.withColumn("repeated", F.coalesce("repeated", F.lit(False))).withColumn("ignored", has(F.col("c"), C.IGNORE))
+def shown(e: DataFrame) -> DataFrame:
+    """Elements with what each pattern says of them; every pattern is looked for once. Texts are there only where something may take its title from them."""
+    c = F.col("c")
+    heading, para = F.col("type") == "heading", F.col("type") == "paragraph"
+    plain = ~F.col("repeated") & ~F.col("ignored")
+    found = e.select(
+        "doc_id", "page", F.col("elem_idx").alias("i"), "type", "repeated", "ignored", "font_ratio", "c", plain.alias("plain"), heading.alias("heading"), para.alias("para"), (plain & (heading | para)).alias("spoken"),
+        F.coalesce("is_table_cell", F.lit(False)).alias("cell"), F.coalesce(F.col("source") == "ocr", F.lit(False)).alias("ocr"), F.length("c").alias("chars"),
+        *[has(c, pattern).alias(k) for k, pattern in {"is_cover": C.COVER, "is_end": C.END, "is_topic_end": C.TOPIC_END, "is_roman": C.ROMAN_I, "is_beyond": C.ROMAN_BEYOND, "is_question": C.QUESTION, "is_star": C.STAR, "is_session_topic": C.SESSION_TOPIC, "is_mark": C.MARKER, "is_noise": C.NOISE}.items()],
+        group(c, C.STD_NUM).cast("int").alias("number"), group(c, C.KR_SUB).alias("kr_sign"), F.substring(strip(group(c, C.KR_SUB, 2)), 1, 70).alias("kr_text"),
+        group(c, C.MENTI, 2).alias("menti"), group(c, C.SESSION).cast("int").alias("session_said"), group(c, C.DAY).cast("int").alias("day_said"), group(c, C.COVER_CAPTION).cast("int").alias("caption"), group(c, C.HEADER_KW).alias("keyword"),
+    )
+    told = found.withColumns({"is_menti": F.col("menti").isNotNull(), "asks": F.col("number").isNotNull() & F.col("is_question"), "kr": F.instr(F.lit(C.KR_ORDER), F.col("kr_sign")) - 1})
+    told = told.withColumns({
+        "roman_text": F.when(F.col("is_roman"), F.substring(strip(F.substring(c, 4, 1 << 20)), 1, 70)),
+        "menti_text": F.substring(F.split(strip("menti"), "\n")[0], 1, 70),
+        "says": F.when(F.col("plain") & (F.col("chars") >= 5) & ~F.col("is_end") & (F.col("is_menti") | F.col("is_roman") | (F.col("number") == 1) | (heading & (F.col("chars") > 10))), said(c, heading)),
+        "story": F.when(F.col("plain") & heading & (F.col("chars") >= 25) & F.col("number").isNull() & F.col("kr_sign").isNull() & ~F.col("is_roman") & ~F.col("is_end"), F.substring(c, 1, 70)),
+        "head": F.when((F.col("spoken") & F.col("asks")) | (F.col("plain") & (F.col("is_mark") | ((F.col("font_ratio") >= 1.3) & (F.col("chars") >= 5)))), F.substring(c, 1, 70)),
+        "hint": F.when(F.col("is_question") & (F.col("chars") > 20), F.substring(c, 1, 15)),
+        "half": F.when(F.col("cell") & (F.col("chars") <= 6), F.when(has(c, r"^\d\s*교시$"), 1).when(has(c, r"^\d+\s*번$"), 2)),
+        "figures": (F.col("chars") <= 10) | has(c, r"^[\d%.,\s\-~()]+$"),
+    })
+    return told.drop("c", "menti", "kr_sign")
 
 
 def page_flags(e: DataFrame) -> DataFrame:
-    """One row a page: what its elements show, with titles by the first or longest element."""
-    c, i = F.col("c"), F.col("elem_idx")
-    plain = ~F.col("repeated") & ~F.col("ignored")
-    heading, para = F.col("type") == "heading", F.col("type") == "paragraph"
-    cell = F.coalesce("is_table_cell", F.lit(False))
-    ocr = F.coalesce(F.col("source") == "ocr", F.lit(False))
-    cover = has(c, C.COVER)
-    number = group(c, C.STD_NUM).cast("int")
-    asks = has(c, C.STD_NUM) & has(c, C.QUESTION)
-    spoken = plain & (heading | para)
-    line = lambda v: F.substring(F.split(strip(v), "\n")[0], 1, 70)
-    roman_text, menti_text = F.substring(strip(F.substring(c, 4, 1 << 20)), 1, 70), line(group(c, C.MENTI, 2))
-    opens = has(c, C.ROMAN_I) | has(c, C.MENTI)
-    said = F.when(has(c, C.MENTI), menti_text).when(has(c, C.ROMAN_I), roman_text).when(number == 1, F.substring(strip(group(c, C.STD_NUM, 2)), 1, 70)).when(heading & (F.length(c) > 10), F.substring(c, 1, 70))
-    story = F.when(heading & (F.length(c) >= 25) & ~has(c, C.STD_NUM) & ~has(c, C.KR_SUB) & ~has(c, C.ROMAN_I) & ~has(c, C.END), F.substring(c, 1, 70))
+    """One row a page: what its elements show, with titles by the first or longest element. Elements are written with their marks on the way; flags and counts are hashed, only elements with a title to give are sorted."""
+    s = staged(shown(e))
+    col, i = F.col, F.col("i")
+    plain, spoken = col("plain"), col("spoken")
     any_ = lambda cond: F.bool_or(F.coalesce(cond, F.lit(False)))
     first = lambda v, cond: F.min_by(v, F.when(cond, i))
     longest = lambda v, cond: F.max_by(v, F.when(cond, F.struct(F.length(v), -i)))
-    font = plain & (F.col("font_ratio") >= 1.3) & (F.length(c) >= 5)
-    sized = ~F.col("ignored") & (F.col("font_ratio") >= 1.3) & (F.length(c) > 5)
-    mark = plain & has(c, C.MARKER)
-    kr = F.instr(F.lit(C.KR_ORDER), group(c, C.KR_SUB)) - 1
-    return e.groupBy("doc_id", "page").agg(
-        any_(cover).alias("cover"),
-        any_(has(c, C.END) & ~ocr).alias("end"),
-        any_(has(c, C.END)).alias("end_or_ocr"),
-        F.count_if(has(c, C.END) & ~ocr).alias("n_end"),
-        any_(has(c, C.TOPIC_END)).alias("topic_end"),
-        F.count_if(has(c, C.TOPIC_END)).alias("n_topic_end"),
-        F.count_if(plain & has(c, C.ROMAN_I)).alias("n_roman"),
-        F.count_if(has(c, C.ROMAN_I)).alias("all_roman"),
-        longest(roman_text, plain & has(c, C.ROMAN_I)).alias("roman_title"),
-        any_(has(c, C.ROMAN_BEYOND)).alias("roman_beyond"),
-        F.count_if(has(c, C.MENTI)).alias("n_menti"),
-        longest(menti_text, has(c, C.MENTI)).alias("menti_title"),
-        first(number, spoken & heading & ~has(c, C.QUESTION) & number.isNotNull()).alias("heading_number"),
+    font, mark = plain & (col("font_ratio") >= 1.3) & (col("chars") >= 5), plain & col("is_mark")
+    number, kr = col("number"), col("kr")
+    flags = s.groupBy("doc_id", "page").agg(
+        any_(col("is_cover")).alias("cover"),
+        any_(col("is_end") & ~col("ocr")).alias("end"),
+        any_(col("is_end")).alias("end_or_ocr"),
+        F.count_if(col("is_end") & ~col("ocr")).alias("n_end"),
+        any_(col("is_topic_end")).alias("topic_end"),
+        F.count_if("is_topic_end").alias("n_topic_end"),
+        F.count_if(plain & col("is_roman")).alias("n_roman"),
+        F.count_if("is_roman").alias("all_roman"),
+        any_(col("is_beyond")).alias("roman_beyond"),
+        F.count_if("is_menti").alias("n_menti"),
+        first(number, spoken & col("heading") & ~col("is_question") & number.isNotNull()).alias("heading_number"),
         first(number, spoken & number.isNotNull()).alias("any_number"),
-        F.count_if(heading & (number == 1)).alias("n_first"),
-        any_(spoken & has(c, C.QUESTION)).alias("asks"),
-        F.count_if(plain & asks).alias("n_questions"),
-        any_(spoken & asks).alias("asks_numbered"),
-        first(F.substring(c, 1, 70), spoken & asks).alias("question_title"),
-        any_(plain & (has(c, C.ROMAN_I) | has(c, C.END) | has(c, C.STAR))).alias("answers"),
-        first(F.when(has(c, C.MENTI), menti_text).otherwise(roman_text), plain & opens).alias("opening"),
-        first(said, plain & (F.length(c) >= 5) & ~has(c, C.END) & said.isNotNull()).alias("said"),
-        first(F.struct(story.alias("t")), plain & (F.length(c) >= 5)).alias("story"),
-        any_(plain & (F.length(c) >= 5) & (opens | has(c, C.SESSION_TOPIC) | has(c, C.SESSION))).alias("sign"),
-        F.array_sort(F.collect_list(F.when(asks | has(c, C.QUESTION), F.when(F.length(c) > 20, F.substring(c, 1, 15))))).alias("hints"),
-        F.count_if(plain & number.isNotNull() & (F.length(c) > 10)).alias("n_numbered"),
-        first(F.substring(c, 1, 70), font).alias("font_title"),
-        first(F.col("font_ratio"), font).alias("font_size"),
-        F.count_if(sized).alias("n_font"),
-        first(F.substring(c, 1, 70), mark).alias("mark_title"),
+        F.count_if(col("heading") & (number == 1)).alias("n_first"),
+        any_(spoken & col("is_question")).alias("asks"),
+        F.count_if(plain & col("asks")).alias("n_questions"),
+        any_(spoken & col("asks")).alias("asks_numbered"),
+        any_(plain & (col("is_roman") | col("is_end") | col("is_star"))).alias("answers"),
+        any_(plain & (col("chars") >= 5) & (col("is_roman") | col("is_menti") | col("is_session_topic") | col("session_said").isNotNull())).alias("sign"),
+        F.count_if(plain & number.isNotNull() & (col("chars") > 10)).alias("n_numbered"),
+        first(col("font_ratio"), font).alias("font_size"),
+        F.count_if(~col("ignored") & (col("font_ratio") >= 1.3) & (col("chars") > 5)).alias("n_font"),
         F.count_if(mark).alias("n_mark"),
-        F.count_if(para & has(c, C.STAR)).alias("n_star"),
-        F.count_if(has(c, C.SESSION_TOPIC)).alias("n_session_topic"),
-        (any_(cell & (F.length(c) <= 6) & has(c, r"^\d\s*교시$")) & any_(cell & (F.length(c) <= 6) & has(c, r"^\d+\s*번$"))).alias("split_cells"),
-        first(group(c, C.HEADER_KW), has(c, C.HEADER_KW)).alias("keyword"),
+        F.count_if(col("para") & col("is_star")).alias("n_star"),
+        F.count_if("is_session_topic").alias("n_session_topic"),
+        (any_(col("half") == 1) & any_(col("half") == 2)).alias("split_cells"),
         first(kr, plain & (kr >= 0)).alias("kr"),
-        first(F.substring(strip(group(c, C.KR_SUB, 2)), 1, 70), plain & (kr >= 0)).alias("kr_title"),
-        first(group(c, C.SESSION).cast("int"), has(c, C.SESSION)).alias("session_no"),
-        first(group(c, C.DAY).cast("int"), has(c, C.DAY)).alias("day_no"),
-        any_(~F.col("repeated") & has(c, C.NOISE)).alias("stat_noise"),
-        F.count_if(~F.col("repeated") & (F.col("type") == "table_marker")).alias("n_tables"),
-        F.count_if(~F.col("repeated") & (F.col("type") != "table_marker") & (F.length(c) > 30) & ~has(c, C.QUESTION)).alias("n_long"),
-        F.count_if(~F.col("repeated") & ((F.length(c) <= 10) | has(c, r"^[\d%.,\s\-~()]+$"))).alias("n_short"),
-        any_(plain & ~cover & (F.length(c) >= 5)).alias("has_content"),
-        first(c, plain & ~cover & (F.length(c) >= 5)).alias("first_text"),
+        first(col("session_said"), col("session_said").isNotNull()).alias("session_no"),
+        first(col("day_said"), col("day_said").isNotNull()).alias("day_no"),
+        first(col("caption"), col("caption").isNotNull()).alias("caption_no"),
+        any_(~col("repeated") & col("is_noise")).alias("stat_noise"),
+        F.count_if(~col("repeated") & (col("type") == "table_marker")).alias("n_tables"),
+        F.count_if(~col("repeated") & (col("type") != "table_marker") & (col("chars") > 30) & ~col("is_question")).alias("n_long"),
+        F.count_if(~col("repeated") & col("figures")).alias("n_short"),
+        any_(plain & ~col("is_cover") & (col("chars") >= 5)).alias("has_content"),
+        F.min(F.when(plain & (col("chars") >= 5), i)).alias("_first"),
+    )
+    titled = ["roman_text", "menti_text", "says", "story", "head", "hint", "keyword", "kr_text"]
+    texts = s.where(F.coalesce(*titled).isNotNull()).groupBy("doc_id", "page").agg(
+        longest(col("roman_text"), plain & col("is_roman")).alias("roman_title"),
+        longest(col("menti_text"), col("is_menti")).alias("menti_title"),
+        first(col("head"), spoken & col("asks")).alias("question_title"),
+        first(F.coalesce("menti_text", "roman_text"), plain & (col("is_roman") | col("is_menti"))).alias("opening"),
+        first(col("says"), col("says").isNotNull()).alias("said"),
+        F.min(F.when(col("story").isNotNull(), F.struct("i", "story"))).alias("_story"),
+        F.array_sort(F.collect_list("hint")).alias("hints"),
+        first(col("head"), font).alias("font_title"),
+        first(col("head"), mark).alias("mark_title"),
+        first(col("keyword"), col("keyword").isNotNull()).alias("keyword"),
+        first(col("kr_text"), plain & (kr >= 0)).alias("kr_title"),
     )
+    p = flags.join(texts, ["doc_id", "page"], "left").join(numbered_cells(e), ["doc_id", "page"], "left")
+    own = F.when(F.col("_story.i") == F.col("_first"), F.col("_story.story"))
+    out = p.withColumns({"said": F.coalesce("cell_title", "said"), "story": F.when(F.col("_first").isNotNull(), F.struct(own.alias("t"))), "hints": F.coalesce("hints", F.array().cast("array<string>"))})
+    return out.drop("cell_title", "_story", "_first")
 
 
 def block():
@@ -132,8 +140,10 @@ def noise_pages(t: DataFrame) -> DataFrame:
 def sessions(p: DataFrame) -> DataFrame:
     """Blocks (doc_id, session, page_start, page_end, expected): by covers, else changes of session, else of day, else one. A11: a day expects its own count of end pages, or a third of its pages."""
     last = p.groupBy("doc_id").agg(F.min("page").alias("first"), F.max("page").alias("last"))
-    near = F.coalesce("session_no", F.lead("session_no").over(pages_in_order()), F.lag("session_no").over(pages_in_order()))
-    covers = folds.greedy_covers(p.withColumn("near", near).where("cover"), ["doc_id"], "page", 10, ["near"]).select("doc_id", "page", F.col("near").alias("no"))
+    beside = lambda shift, by: F.when(shift("page").over(pages_in_order()) == F.col("page") + by, shift("session_no").over(pages_in_order()))
+    near = F.when(F.col("cover"), F.coalesce(beside(F.lag, -1), "session_no", beside(F.lead, 1))).otherwise(F.col("caption_no"))
+    shown = p.withColumn("near", near).where(F.col("cover") | F.col("caption_no").isNotNull())
+    covers = folds.greedy_covers(shown, ["doc_id"], "page", 10, fill="near").select("doc_id", "page", F.coalesce("near", F.row_number().over(pages_in_order())).alias("no"))
     covers = covers.withColumn("_n", F.count("*").over(document())).where("_n >= 2")
     changes = order.transitions(p, ["doc_id"], ["page"], "session_no").select("doc_id", "page", F.col("session_no").alias("no"))
     ended = F.col("end_or_ocr").cast("int")
@@ -183,7 +193,7 @@ def hinted(t: DataFrame, elements: DataFrame) -> DataFrame:
     asked = t.where("in_cover").select("doc_id", "session", "block_end", "content_start", F.explode(F.array_distinct("hints")).alias("hint"))
     covers = t.where("in_cover").select("doc_id", "page")
     body = elements.join(covers, ["doc_id", "page"], "left_anti").select("doc_id", "page", F.coalesce("content", F.lit("")).alias("content"))
-    both = asked.join(body, "doc_id").where((F.col("page") >= F.col("content_start")) & (F.col("page") <= F.col("block_end")) & F.contains("content", F.col("hint")))
+    both = joins.contained(body, asked, ["doc_id"], "content", "hint").where(F.col("page").between(F.col("content_start"), F.col("block_end")))
     return both.groupBy("doc_id", "session", "hint").agg(F.min("page").alias("page")).select("doc_id", "session", "page").distinct().withColumn("hint_page", F.lit(True))
 
 
@@ -331,16 +341,22 @@ def boundaries(elements: DataFrame) -> DataFrame:
     return _weighted(elements, p, staged(sessions(p)))
 
 
+def formatted(elements: DataFrame) -> DataFrame:
+    """The documents that a publisher's format settles, as formats.by_format."""
+    e = marked(elements)
+    return formats.by_format(e, staged(sessions(staged(page_flags(e)))))
+
+
 def detect(elements: DataFrame) -> DataFrame:
     """As boundaries, by the publisher's format where that gives topics enough, else by weighted signals: doc_id, session, title, page_start, page_end, confidence, fmt."""
-    own = staged(formats.by_format(elements))
-    p = staged(page_flags(marked(elements)))
+    e = marked(elements)
+    p = staged(page_flags(e))
     blocks = staged(sessions(p))
+    own = staged(formats.by_format(e, blocks))
     done = own.select("doc_id").distinct()
     rest = _weighted(elements.join(done, "doc_id", "left_anti"), p.join(done, "doc_id", "left_anti"), blocks.join(done, "doc_id", "left_anti"))
-    placed = joins.session_of(own, blocks.select("doc_id", "session", "page_start", "page_end"), ["doc_id"], "page_start")
     cast = lambda df: df.select("doc_id", F.col("session").cast("int").alias("session"), "title", F.col("page_start").cast("int").alias("page_start"), F.col("page_end").cast("int").alias("page_end"), "confidence", "fmt")
-    return cast(placed).unionByName(cast(rest))
+    return cast(own).unionByName(cast(rest))
 
 
 def checked(found: DataFrame, elements: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagestrata.functions import text as T
-from pagestrata.operators import aggregates, coverage, folds, formats, joins, line_engine, order, postprocess, signal_engine
+from pagestrata.operators import aggregates, coverage, folds, formats, joins, line_engine, order, postprocess, signal_engine, titles
 from pagestrata.sources import elements as E
 
 
@@ -219,10 +219,64 @@ def test_signals_in_turn(spark):
 def test_format_ladder_and_intervals(spark):
     rows = element_rows(10)
     assert formats.detect_format(spark.createDataFrame(rows, SCHEMA)).first()["format"] == "ITPE"
-    got = formats.by_format(spark.createDataFrame(rows, SCHEMA)).orderBy("page_start").collect()
+    got = signal_engine.formatted(spark.createDataFrame(rows, SCHEMA)).orderBy("page_start").collect()
     assert [(r.page_start, r.page_end) for r in got] == [(2 * k - 1, 2 * k) for k in range(1, 11)] and got[0].confidence == 0.85
 
 
+def by_format(spark, pages, blocks=()):
+    """pages: {page: [(type, text, is_table_cell) or text]}; blocks: [(session, start, end)]."""
+    cells = [(p, k, (x if isinstance(x, tuple) else ("paragraph", x, False))) for p, xs in pages.items() for k, x in enumerate(xs)]
+    df = spark.createDataFrame([("d", p, k, t, c, 1.0, cell, None) for p, k, (t, c, cell) in cells], SCHEMA)
+    known = spark.createDataFrame([("d", s, a, b, 6) for s, a, b in blocks or [(0, 1, max(pages))]], "doc_id string, session int, page_start int, page_end int, expected int")
+    found = formats.by_format(titles.marked(df), known).orderBy("page_start", "num").collect()
+    return [(r.session, r.num, r.page_start, r.page_end, r.title, r.fmt) for r in found]
+
+
+def test_kpc_noise_with_a_sign_is_kept(spark):
+    """The frequency stands in every topic's data: pages with a title or stars are topics all the same."""
+    pages = {}
+    for k in range(6):
+        pages[2 * k + 1] = [f"제 {k + 1}. 여섯 가운데 {k} 번 제목", "출제빈도: 미출제"]
+        pages[2 * k + 2] = ["본문이 길게 이어지는 문장", "기 출 풀 이 의 견"]
+    assert by_format(spark, pages) == [(0, k + 1, 2 * k + 1, 2 * k + 2, f"여섯 가운데 {k} 번 제목", "KPC") for k in range(6)]
+
+
+def test_kpc_sessions_have_their_question_pages(spark):
+    pages = {1: ["국 가 기 술 자 격 기술사 시험문제"], 2: ["문제를 선택하여 답하시오"], 13: ["기술사 시험문제"], 14: ["출제 경향"]}
+    for k, (a, b) in enumerate([(3, 4), (5, 6), (7, 8), (9, 10), (11, 12), (15, 17), (18, 20)]):
+        pages |= {p: [f"본문 {p} 쪽의 문장이 이어진다"] for p in range(a, b + 1)}
+        pages[a].insert(0, f"{k + 1}. 여러 낱말의 제목 {k}")
+        pages[b].append("기출풀이 의견")
+    pages |= {21: ["본문 21 쪽의 문장이 이어진다"], 22: ["본문 22 쪽의 문장이 이어진다"]}
+    got = by_format(spark, pages, [(1, 1, 12), (2, 13, 22)])
+    assert [(g[0], *g[2:]) for g in got if g[1] == 0] == [(1, 1, 2, "문제지_1교시", "question_pages"), (2, 13, 14, "문제지_2교시", "question_pages")]
+    assert [g[:4] for g in got if g[1]] == [(1, 1, 3, 4), (1, 2, 5, 6), (1, 3, 7, 8), (1, 4, 9, 10), (1, 5, 11, 12), (2, 6, 15, 17), (2, 7, 18, 20), (2, 8, 21, 22)]
+    assert [g[4] for g in got if g[1] in (1, 8)] == ["여러 낱말의 제목 0", "본문 21 쪽의 문장이 이어진다"]
+
+
+def test_itpe_titles_look_ahead(spark):
+    """The cell after "M 번" is the title, unless a label of the question's data comes first; a cover page between an end and the next cluster is skipped."""
+    pages = {}
+    for k in range(6):
+        cells = [("heading", f"{k + 1} 번", False), ("paragraph", "셀", True), ("paragraph", f"문제 {k}\n둘째 줄", True)] if k != 2 else [("heading", "3 번", False), ("paragraph", "도메인", True), ("paragraph", "문제 아닌 셀", True), ("heading", "셋째의 긴 머리글 제목이다", False)]
+        pages[3 * k + 1] = [*cells, ("paragraph", "도 메 인", True), ("paragraph", "난이도", True)]
+        pages[3 * k + 2] = ["본문이 이어지는 문장", "끝." if k == 5 else "끝"]
+        pages[3 * k + 3] = [("heading", "선택 문제 안내", False)]
+    got = by_format(spark, pages)
+    assert [g[2:5] for g in got] == [(1, 2, "문제 0"), (4, 5, "문제 1"), (7, 8, "셋째의 긴 머리글 제목이다"), (10, 11, "문제 3"), (13, 14, "문제 4"), (16, 17, "문제 5")]
+
+
+def test_airipo_sessions_cover_and_original(spark):
+    pages = {1: ["실전 모의고사 문제"], 2: ["실전 모의고사 문제"]}
+    for p in range(3, 15):
+        pages[p] = [f"관리-{1 if p < 9 else 2}교시" if p not in (8, 11) else "머리글 없음", f"{p}. 여러 낱말의 제목 {p}", "뒷페이지에 계속" if p in (5, 9) else "끝"]
+    pages |= {15: ["원본 시험 문제지"], 16: ["끝"]}
+    got = by_format(spark, pages)
+    assert got[0] == (0, 0, 1, 2, "표지", "question_pages") and got[-1] == (0, 0, 15, 16, "시험문제_원본", "question_pages")
+    assert [(g[0], g[2], g[3]) for g in got[1:-1]] == [(1, 3, 3), (1, 4, 4), (1, 5, 6), (1, 7, 7), (1, 8, 8), (2, 9, 10), (2, 11, 11), (2, 12, 12), (2, 13, 13), (2, 14, 14)]
+    assert got[3][4] == "여러 낱말의 제목 5"
+
+
 def test_elements_from_parser_answer(spark):
     answer = {"success": True, "totalPages": 1, "blocks": [
         {"type": "heading", "text": " 제목 ", "pageNumber": 1, "level": 1, "style": {"fontSize": 20.0}},
@@ -278,5 +332,5 @@ def test_streams(spark, tmp_path):
 
 def test_empty_inputs(spark):
     empty = spark.createDataFrame([], SCHEMA)
-    assert signal_engine.boundaries(empty).count() == 0 and formats.by_format(empty).count() == 0
+    assert signal_engine.boundaries(empty).count() == 0 and signal_engine.formatted(empty).count() == 0
     assert folds.greedy_covers(pages(spark, []), ["doc_id"], "page", 10).count() == 0
