@@ -108,6 +108,26 @@ def mean_by(rows: DataFrame, keys: Sequence[str], *values: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n"), *[F.round(F.avg(v), 6).alias(f"mean_{v}") for v in values])
 
 
+#: Words that tell a topic's text, signs that badly read pages are full of, the letters of the profile's script.
+TOPIC_WORDS = ("출제의도", "작성방안", "Keyword", "출제빈도", "개요", "상세설명")
+READ_NOISE = r"[□■●○◎△▲※★☆◆◇]"
+SCRIPT = r"[\x{AC00}-\x{D7A3}]"
+
+
+def extraction_quality(text: Column, script: str = SCRIPT, words: Sequence[str] = TOPIC_WORDS, noise: str = READ_NOISE) -> dict[str, Column]:
+    """How well a text was extracted: whether it has rows of a table and headings, letters of the script and their share, the words found, in their order, and signs of noise. A null text is empty."""
+    c = F.coalesce(text, F.lit(""))
+    letters = F.regexp_count(c, F.lit(script)).cast("long")
+    return {
+        "has_table": c.rlike(r"(?d)\|.*\|"),
+        "has_heading": c.rlike(r"(?mdU)^#{1,3}\s"),
+        "n_letters": letters,
+        "letter_share": F.round(letters / F.greatest(F.length(c), F.lit(1)), 3),
+        "words": F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(c, w)),
+        "n_noise": F.regexp_count(c, F.lit(noise)).cast("long"),
+    }
+
+
 def most_frequent(rows: DataFrame, key: str, most: int = 5) -> DataFrame:
     """The `most` keys with the most rows, ties by key."""
     return rows.groupBy(key).agg(F.count("*").alias("n")).orderBy(F.desc("n"), key).limit(most)

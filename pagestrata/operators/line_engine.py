@@ -2,12 +2,11 @@
 
 Input is one row a page: doc_id, page (from 1), lines. Everything up to the
 choice of rising numbers is expressions and windows; that choice is a state
-machine over a document's candidates and runs in grouped pandas.
+machine over a document's candidates, a fold.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,66 +128,58 @@ def paper_sessions(cands: DataFrame, pages: DataFrame) -> DataFrame:
     return numbered.withColumn("num", F.when(open_, F.col("_i")).otherwise(F.col("num")).cast("int")).drop("_p", "_i")
 
 
-def rising(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Candidates whose numbers rise by three at most, session by session."""
-    rows = pdf.sort_values("page").to_dict("records")
-    for r in rows:
-        for k in ("num", "session"):
-            r[k] = None if pd.isna(r[k]) else int(r[k])
-    bare = [r for r in rows if r["num"] is None]
-    if len(rows) - len(bare) < 5:
-        for i, r in enumerate(bare, 1):
-            r["num"] = i
-    given = any(r["session"] is not None for r in rows)
-    state: dict[int, dict] = {}
-    current, kept = 1, []
-    for r in rows:
-        n = r["num"]
-        if n is None:
-            continue
-        s = (r["session"] or 1) if given else current
-        st = state.setdefault(s, {"last": 0, "seen": set()})
-        if n > C.NUMBER_CAP.get(s, 16):
-            continue
-        if not given and st["last"] >= 5 and n <= max(2, st["last"] // 3):
-            current = min(current + 1, 4)
-            st = state.setdefault(current, {"last": 0, "seen": set()})
-        elif (n in st["seen"] and st["last"] != n) or not 0 <= n - st["last"] <= 3:
-            continue
-        st["seen"].add(n)
-        st["last"] = n
-        if not given:
-            r["session"] = current
-        kept.append(r)
-    return pd.DataFrame(kept, columns=list(pdf.columns))
-
-
 def select_rising(cands: DataFrame) -> DataFrame:
-    schema = "doc_id string, page int, score double, num int, session int, title string"
-    return cands.select(F.col("doc_id").cast("string"), F.col("page").cast("int"), "score", "num", "session", "title").groupBy("doc_id").applyInPandas(rising, schema)
+    """Candidates whose numbers rise by three at most, session by session: doc_id, page, score, num, session, title.
+
+    Sessions are the given ones where a document has some; else one follows the
+    other where a number falls to a third of the last one, of five or more. A number counts once a
+    session, up to what the session has room for. Where fewer than five candidates have
+    numbers, those without are numbered in order. The last number and the numbers
+    seen of each session are the fold's state, one place a session and one
+    bit a number.
+    """
+    document = Window.partitionBy("doc_id")
+    bare = F.sum(F.when(F.col("num").isNull(), 1).otherwise(0)).over(document.orderBy("page"))
+    known = cands.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("page").cast("int").alias("page"), "score", F.col("num").cast("int").alias("num"), F.col("session").cast("int").alias("session"), "title")
+    known = known.withColumns({"_few": F.count("num").over(document) < 5, "_bare": bare, "given": F.count("session").over(document) > 0})
+    numbered = known.withColumn("num", F.coalesce("num", F.when(F.col("_few"), F.col("_bare"))).cast("int")).drop("_few", "_bare").where("num is not null")
+    places = max(C.NUMBER_CAP) + 1
+    zeros = F.array(*[F.lit(0)] * places)
+    state = {"current": F.lit(1), "last": zeros, "seen": zeros, "session": F.lit(None).cast("int"), "took": F.lit(False)}
+    put = lambda values, at, v: F.transform(values, lambda x, i: F.when(i == at, v).otherwise(x))
+
+    def step(s, r):
+        n = r["num"]
+        own = F.when(r["given"], F.coalesce(r["session"], F.lit(1))).otherwise(s["current"])
+        last = F.get(s["last"], own)
+        room = n <= F.element_at(F.create_map(*[F.lit(x) for kv in C.NUMBER_CAP.items() for x in kv]), own)
+        turn = room & ~r["given"] & (last >= 5) & (n <= F.greatest(F.lit(2), F.floor(last / 3)))
+        seen = F.get(s["seen"], own).bitwiseAND(_bit(n)) != 0
+        fits = room & ~(seen & (last != n)) & (n - last).between(0, 3)
+        took = turn | fits
+        to = F.when(turn, F.least(s["current"] + 1, F.lit(places - 1))).otherwise(own)
+        return {
+            "current": F.when(turn, to).otherwise(s["current"]),
+            "last": F.when(took, put(s["last"], to, n)).otherwise(s["last"]),
+            "seen": F.when(took, put(s["seen"], to, F.get(s["seen"], to).bitwiseOR(_bit(n)))).otherwise(s["seen"]),
+            "session": F.when(took, to),
+            "took": took,
+        }
+
+    out = folds.fold(numbered, ["doc_id"], ["page"], ["score", "num", "session", "title", "given"], state, step)
+    return out.where("state.took").select("doc_id", "page", "score", "num", F.when(F.col("given"), F.col("session")).otherwise(F.col("state.session")).alias("session"), "title")
+
+
+def _bit(n: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1), F.least(n, F.lit(30)))
 
 
 def topics(pages: DataFrame, expected: DataFrame | None = None) -> DataFrame:
     """doc_id, session, num, title, page_start, page_end of every document."""
     pages = pages.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("page").cast("int").alias("page"), body(F.col("lines")).alias("body"))
     pages = pages.withColumn("kind", page_kind(F.col("body")))
-    found = select_rising(paper_sessions(promote(candidates(line_signals(pages), pages)), pages))
+    found = select_rising(paper_sessions(promote(candidates(line_signals(pages.where("kind = 'BODY'")), pages)), pages))
     last = pages.groupBy("doc_id").agg(F.max("page").alias("last"))
     marked = pages.select("doc_id", "page", "kind").join(found, ["doc_id", "page"], "left").join(last, "doc_id")
     closed = order.close_at_blocker(marked, ["doc_id"], "page", F.col("num").isNotNull(), F.col("kind") != "BODY", F.col("last"))
     return closed.select("doc_id", "session", "num", "title", "page_start", F.greatest("page_end", "page_start").alias("page_end"))
-
-
-def verified(topics_: DataFrame, expected: DataFrame, mentioned: DataFrame | None = None, slack: int = 2, least: int = 5) -> DataFrame:
-    """Per document whether each session's count is within `slack` of the expected one, and intervals over 30 pages."""
-    n = topics_.groupBy("doc_id", "session").agg(F.count("*").alias("n"))
-    want = expected.select("doc_id", "session", "expected")
-    both = want.join(n, ["doc_id", "session"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    if mentioned is not None:
-        both = both.join(mentioned.select("doc_id", "session", F.lit(True).alias("_m")), ["doc_id", "session"], "left")
-        ok = (F.abs(F.col("n") - F.col("expected")) <= slack) & ~((F.col("n") == 0) & F.coalesce("_m", F.lit(False))) | ((F.col("n") == 0) & F.col("_m").isNull())
-    else:
-        ok = F.abs(F.col("n") - F.col("expected")) <= slack
-    per = both.groupBy("doc_id").agg(F.bool_and(ok).alias("_ok"))
-    all_ = topics_.groupBy("doc_id").agg(F.count("*").alias("topics"), F.count_if(F.col("page_end") - F.col("page_start") + 1 > 30).alias("long_topics"))
-    return all_.join(per, "doc_id", "left").select("doc_id", "topics", "long_topics", F.coalesce("_ok", F.col("topics") >= least).alias("ok"))

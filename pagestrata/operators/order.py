@@ -51,14 +51,6 @@ def close_at_blocker(pages: DataFrame, part: Names, page: str, is_start: Column,
     return pages.withColumn("page_end", end).where(is_start).withColumnRenamed(page, "page_start")
 
 
-def trim_trailing(intervals: DataFrame, pages: DataFrame, part: Names, page: str, is_blank: Column) -> DataFrame:
-    """W1d: the end moves back to the last page of the interval that isn't blank, at most to its start."""
-    p = pages.where(~is_blank).select(*[F.col(c).alias(f"_{c}") for c in part], F.col(page).alias("_pg"))
-    on = [F.col(c) == F.col(f"_{c}") for c in part] + [F.col("_pg").between(F.col("page_start"), F.col("page_end"))]
-    keys = [*part, "page_start", "page_end"]
-    return intervals.join(p, on, "left").groupBy(*keys).agg(F.coalesce(F.max("_pg"), F.col("page_start")).alias("trimmed_end"))
-
-
 def restarts(df: DataFrame, part: Names, order: Names, number: str) -> DataFrame:
     """Numbered pages that start at 1 again after a larger number."""
     numbered = df.where(F.col(number).isNotNull())

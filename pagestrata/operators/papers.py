@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import U, anchors, has, keywords, strip, title_words
-from . import folds, order
+from ..functions.text import U, anchors, has, keywords, short_label, strip
+from . import folds, joins, order
 from .line_engine import first_anchor
 
 # Marks of the papers' lines.
@@ -237,18 +236,22 @@ def master_matches(blocks: DataFrame, masters: DataFrame, pages: DataFrame | Non
 
     The topic with the longest anchor that the text holds, the earliest of
     equals; where none is held, the one with most words in common, `least` or
-    more. Joined by document: a document has at most some seventy topics.
+    more. Anchors are looked up by their first characters, words by equality.
     """
     body = body_blocks(blocks, True)
     body = body if pages is None else body.join(pages.select("doc_id", "page"), ["doc_id", "page"], "left_semi")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "text"))), lambda r: r["text"]), " ")
     heads = _leading(body, head).groupBy("doc_id", "page").agg(text.alias("head"))
-    both = heads.join(masters, "doc_id")
-    held = F.filter(anchors("topic"), lambda a: F.contains(F.col("head"), a))
-    best = F.get(held, F.lit(0))  # anchors come longest first
-    common = F.size(F.array_intersect(keywords("head"), keywords("topic")))
-    rank = F.when(best.isNotNull(), F.struct(F.lit(0).alias("way"), (-F.length(best)).alias("n"), F.instr("head", best).alias("at"), F.col("number").alias("number"))).when(common >= least, F.struct(F.lit(1).alias("way"), (-common).alias("n"), F.lit(0).alias("at"), F.col("number").alias("number")))
-    return both.withColumn("rank", rank).where("rank is not null").groupBy("doc_id", "page", "session").agg(F.min("rank")["number"].alias("number"))
+    asked = masters.select("doc_id", "session", "number", F.explode(anchors("topic")).alias("anchor"))
+    held = joins.contained(heads, asked, ["doc_id"], "head", "anchor")
+    pair = ["doc_id", "page", "session", "number"]
+    best = held.groupBy(*pair).agg(F.min(F.struct((-F.length("anchor")).alias("n"), "anchor", F.instr("head", F.col("anchor")).alias("at"))).alias("b"))
+    first = best.select(*pair, F.struct(F.lit(0).alias("way"), F.col("b.n").alias("n"), F.col("b.at").alias("at"), "number").alias("rank"))
+    words = heads.select("doc_id", "page", F.explode(F.array_distinct(keywords("head"))).alias("word"))
+    terms = masters.select("doc_id", "session", "number", "topic", F.explode(F.array_distinct(keywords("topic"))).alias("word"))
+    common = words.join(terms, ["doc_id", "word"]).groupBy(*pair, "topic").agg(F.count("*").alias("c")).where(F.col("c") >= least)
+    second = common.select(*pair, F.struct(F.lit(1).alias("way"), (-F.col("c")).cast("int").alias("n"), F.lit(0).alias("at"), "number").alias("rank"))
+    return first.union(second).groupBy("doc_id", "page", "session").agg(F.min("rank")["number"].alias("number"))
 
 
 def holds_anchor(blocks: DataFrame, topics: DataFrame, head: int = 10) -> DataFrame:
@@ -348,16 +351,3 @@ def diagnosis(questions: DataFrame, kinds: DataFrame, ranges: dict[int, tuple[in
     pages = kinds.join(covered, ["doc_id", "page"], "left").groupBy("doc_id").agg(F.count_if(F.col("kind") == "Q_START_PARTIAL").alias("n_partial"), F.count_if(F.col("inside").isNull() & ~free).alias("n_outside"))
     out = pages.join(by_doc, "doc_id", "left").na.fill(False, ["counts_ok", "rising", "continuous"])
     return out.withColumn("ok", F.col("counts_ok") & F.col("rising") & F.col("continuous") & (F.col("n_partial") == 0) & (F.col("n_outside") == 0))
-
-
-# ---------------------------------------------------------------- short titles
-
-
-def short_label(c: Column | str, most: int = 60) -> Column:
-    """a title of `most` characters or less by its sense: its lettered parts, else what stands before the request to explain; its first acronym in front."""
-
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else title_words(x, most))
-
-    return run(F.col(c) if isinstance(c, str) else c)

@@ -9,13 +9,14 @@ bytes; a larger dictionary is looked for block by block.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
 from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.stages import staged
+
 #: Bytes of terms in one automaton.
 BLOCK_BYTES = 8 << 20
 
@@ -39,6 +40,7 @@ def _automaton(key: str, terms: list[str]):
 def term_hits(rows: DataFrame, key: str, texts: dict[str, Column], terms: DataFrame, term: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row for each row of `rows` and each distinct term that one of its texts holds: key, term, and a flag by name of `texts`.
 
+    A dictionary of several blocks is looked for block by block, each with a pass of its own over the texts, and written.
     Null texts hold nothing; null and empty terms are in no text.
     """
     kind = rows.schema[key].dataType
@@ -70,12 +72,6 @@ def term_hits(rows: DataFrame, key: str, texts: dict[str, Column], terms: DataFr
 
         return source.mapInArrow(run, schema)
 
-    return reduce(DataFrame.unionByName, [found(k) for k in range(blocks)])
-
-
-def longest_held(rows: DataFrame, key: str, text: str, terms: DataFrame, topic: str, term: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Of the topics whose term a text holds, the one with the longest term, then the earliest place."""
-    hits = term_hits(rows, key, {"held": F.col(text)}, terms, term).drop("held")
-    both = hits.join(terms.select(topic, term), term).join(rows.select(key, text), key)
-    rank = F.struct((-F.length(term)).alias("l"), F.instr(F.col(text), F.col(term)).alias("p"), F.col(topic).alias("t"))
-    return both.groupBy(key).agg(F.min_by(topic, rank).alias(topic))
+    if blocks == 1:
+        return found(0)
+    return reduce(DataFrame.unionByName, [staged(found(k)) for k in range(blocks)])  # one block of terms at a time on driver and executors
