@@ -25,4 +25,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["topic_intervals"](spark, sf_dir)
 
 
-from . import engine_queries, format_queries, paper_queries, relational_queries, repair_queries, source_queries, text_queries, window_queries  # noqa: E402, F401
+from . import engine_queries, format_queries, function_queries, paper_queries, relational_queries, repair_queries, source_queries, text_queries, window_queries  # noqa: E402, F401
