@@ -20,20 +20,20 @@ from .text_queries import PAGES
 ROLES = 12
 
 
-def page_elements(spark, sf_dir, marks: dict, always=()):
-    """Elements of all pages: `always` on every page, the marks by role ({roles: [(type, text, is_table_cell)]}; {pg} stands for the page), a first sentence, the page's own lines. Texts of `always` may be columns of pg, n and role."""
-    pages = text_pages(spark, sf_dir).withColumn("role", F.length("text") % ROLES).withColumn("n", F.max("pg").over(Window.partitionBy("doc")))
+def page_elements(spark, sf_dir, marks: dict, always=(), roles: int = ROLES):
+    """Elements of all pages: `always` on every page, the marks by role ({roles: [(type, text, is_table_cell, font_ratio)]}; {pg} stands for the page), a first sentence, the page's own lines. Texts of `always` may be columns of pg, n and role."""
+    pages = text_pages(spark, sf_dir).withColumn("role", F.length("text") % roles).withColumn("n", F.max("pg").over(Window.partitionBy("doc")))
 
-    def element(kind, text, cell=False):
+    def element(kind, text, cell=False, font=1.0):
         content = F.replace(F.lit(text), F.lit("{pg}"), F.col("pg").cast("string")) if isinstance(text, str) else text
-        return F.struct(F.lit(kind).alias("type"), content.alias("content"), F.lit(cell).alias("cell"))
+        return F.struct(F.lit(kind).alias("type"), content.alias("content"), F.lit(cell).alias("cell"), F.lit(font).alias("font"))
 
     none = F.filter(F.array(element("paragraph", "")), lambda x: F.lit(False))
     shown = [F.when(F.col("role").isin(*of), F.array(*[element(*e) for e in es])).otherwise(none) for of, es in marks.items()]
-    own = F.transform(F.split("text", "\n", -1), lambda x: F.struct(F.lit("paragraph").alias("type"), F.concat(F.lit("· "), x, F.lit(" ·")).alias("content"), F.lit(False).alias("cell")))
+    own = F.transform(F.split("text", "\n", -1), lambda x: F.struct(F.lit("paragraph").alias("type"), F.concat(F.lit("· "), x, F.lit(" ·")).alias("content"), F.lit(False).alias("cell"), F.lit(1.0).alias("font")))
     first = [F.array(element("paragraph", t)) for t in always]
     rows = pages.select(F.col("doc").alias("doc_id"), F.col("pg").cast("int").alias("page"), F.posexplode(F.concat(*first, *shown, F.array(element("paragraph", "본문 첫 문장 {pg} 쪽이 이어진다")), own)).alias("elem_idx", "e"))
-    return rows.select("doc_id", "page", "elem_idx", "e.type", "e.content", F.lit(1.0).alias("font_ratio"), F.col("e.cell").alias("is_table_cell"), F.lit(None).cast("string").alias("source"))
+    return rows.select("doc_id", "page", "elem_idx", "e.type", "e.content", F.col("e.font").alias("font_ratio"), F.col("e.cell").alias("is_table_cell"), F.lit(None).cast("string").alias("source"))
 
 
 def told(found):
@@ -166,3 +166,45 @@ def noise_blocks(spark, sf_dir):
     """A5: pages of statistics, lists of questions and tables."""
     p = staged(signal_engine.page_flags(titles.marked(page_elements(spark, sf_dir, NOISE_MARKS)).withColumn("repeated", F.lit(False))))  # lines of one page are on others, too
     return signal_engine.noise_pages(signal_engine.in_blocks(p, signal_engine.sessions(p))).where("noise").select("doc_id", F.col("page").cast("long").alias("page"))
+
+
+SIGNS = {
+    (0,): [("paragraph", "국가기술자격 시험문제")],
+    (1,): [("paragraph", "끝")],
+    (2,): [("paragraph", "기출풀이 의견")],
+    (3,): [("paragraph", "I. 로마 절의 제목 {pg}")],
+    (4,): [("paragraph", "II. 다음 절의 제목 {pg}")],
+    (5,): [("paragraph", "문 제 3. 카드의 제목 {pg}\n둘째 줄")],
+    (6,): [("heading", "1. 첫 번호의 머리글 {pg}")],
+    (7,): [("paragraph", "4. 보안 위협을 설명하시오 {pg}")],
+    (8,): [("heading", "큰 글자로 쓴 여러 제목 {pg}", False, 1.6)],
+    (9,): [("paragraph", "■ 표시가 붙은 제목 {pg}")],
+    (10,): [("paragraph", "★★★☆☆")],
+    (11,): [("paragraph", "2교시: 3번 문제의 글 {pg}")],
+    (12,): [("paragraph", "3교시", True), ("paragraph", "5 번", True)],
+    (13,): [("paragraph", "IT trends 클라우드 | PM 그 밖의 글 {pg}")],
+    (14,): [("paragraph", "나. 둘째 소제목의 글 {pg}")],
+    (15,): [("paragraph", "가. 첫째 소제목의 글 {pg}")],
+    (16,): [("paragraph", "3일차 과정의 글 {pg}")],
+    (17,): [("paragraph", "기술사 제 137 회 제 2 교시 글 {pg}")],
+    (18,): [("paragraph", "출제 빈도 {pg}")],
+    (19,): [("table_marker", ""), ("table_marker", "")],
+}
+FLAGS = ["cover", "end", "topic_end", "roman_beyond", "asks", "asks_numbered", "answers", "sign", "split_cells", "stat_noise"]
+COUNTS = ["n_roman", "n_menti", "n_first", "n_questions", "n_font", "n_mark", "n_star", "n_session_topic", "n_tables"]
+NUMBERS = ["heading_number", "any_number", "kr", "session_no", "day_no", "caption_no"]
+TEXTS = ["roman_title", "menti_title", "question_title", "opening", "said", "font_title", "mark_title", "keyword", "kr_title"]
+
+
+#: Short lines that many pages of a document share count as its headers, and not as answers.
+@query(f"""WITH {PAGES}, k_ AS (SELECT doc, pg, length(text) % 20 AS r, max(pg) OVER (PARTITION BY doc) AS n FROM pages_), x_ AS (SELECT *, count(*) OVER (PARTITION BY doc, r) >= greatest(3.0, 0.15 * n) AS header FROM k_)
+SELECT doc AS doc_id, pg AS page, r = 0 AS cover, r = 1 AS "end", r = 2 AS topic_end, r = 4 AS roman_beyond, r = 7 AS asks, r = 7 AS asks_numbered, r = 3 OR (r IN (1, 10) AND NOT header) AS answers, r IN (3, 5, 11, 17) AS sign, r = 12 AS split_cells, r = 18 AS stat_noise,
+  CAST(r = 3 AS BIGINT) AS n_roman, CAST(r = 5 AS BIGINT) AS n_menti, CAST(r = 6 AS BIGINT) AS n_first, CAST(r = 7 AS BIGINT) AS n_questions, CAST(r = 8 AS BIGINT) AS n_font, CAST(r = 9 AS BIGINT) AS n_mark, CAST(r = 10 AS BIGINT) AS n_star, CAST(r = 11 AS BIGINT) AS n_session_topic, 2 * CAST(r = 19 AS BIGINT) AS n_tables,
+  CASE r WHEN 6 THEN 1 END AS heading_number, CASE r WHEN 6 THEN 1 WHEN 7 THEN 4 END AS any_number, CASE r WHEN 14 THEN 1 WHEN 15 THEN 0 END AS kr, CASE r WHEN 11 THEN 2 WHEN 12 THEN 3 WHEN 17 THEN 2 END AS session_no, CASE r WHEN 16 THEN 3 END AS day_no, CASE r WHEN 17 THEN 2 END AS caption_no,
+  CASE r WHEN 3 THEN '로마 절의 제목 ' || pg END AS roman_title, CASE r WHEN 5 THEN '카드의 제목 ' || pg END AS menti_title, CASE r WHEN 7 THEN '4. 보안 위협을 설명하시오 ' || pg END AS question_title, CASE r WHEN 3 THEN '로마 절의 제목 ' || pg WHEN 5 THEN '카드의 제목 ' || pg END AS opening,
+  CASE r WHEN 3 THEN '로마 절의 제목 ' || pg WHEN 5 THEN '카드의 제목 ' || pg WHEN 6 THEN '첫 번호의 머리글 ' || pg WHEN 8 THEN '큰 글자로 쓴 여러 제목 ' || pg END AS said, CASE r WHEN 8 THEN '큰 글자로 쓴 여러 제목 ' || pg END AS font_title, CASE r WHEN 9 THEN '■ 표시가 붙은 제목 ' || pg END AS mark_title,
+  CASE r WHEN 13 THEN '클라우드' END AS keyword, CASE r WHEN 14 THEN '둘째 소제목의 글 ' || pg WHEN 15 THEN '첫째 소제목의 글 ' || pg END AS kr_title FROM x_""")
+def page_signs(spark, sf_dir):
+    """What each of twenty marks says of its page: the flags, counts, numbers and titles that all signals are made of."""
+    p = signal_engine.page_flags(titles.marked(page_elements(spark, sf_dir, SIGNS, roles=20)))
+    return p.select("doc_id", F.col("page").cast("long").alias("page"), *FLAGS, *[F.col(c).cast("long").alias(c) for c in COUNTS], *NUMBERS, *TEXTS)
