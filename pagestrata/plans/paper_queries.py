@@ -135,24 +135,25 @@ def review_format(spark, sf_dir):
 
 LISTED = FORMATS + """, num_ AS (SELECT m.doc, m.pg, m.idx, f.format, chars, contains(line, '문제 중') AND contains(line, '선택') AS marker, TRY_CAST(regexp_extract(line, '^([0-9]{1,2})\\.\\s+(.+)', 1) AS INTEGER) AS number, trim(regexp_extract(line, '^([0-9]{1,2})\\.\\s+(.+)', 2)) AS title,
   coalesce(bool_or(contains(line, '문제 중') AND contains(line, '선택')) OVER (PARTITION BY m.doc, m.pg ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS after, line FROM marked_ m JOIN formats_ f USING (doc) JOIN size_ USING (doc, pg)),
-ctx_ AS (SELECT *, coalesce(bool_or(contains(line, '출제의도') AND after) OVER (PARTITION BY doc, pg ORDER BY idx), false) AS intent, array_to_string(list(line) OVER (PARTITION BY doc, pg ORDER BY idx ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING), chr(10)) AS context FROM num_),
+ctx_ AS (SELECT *, coalesce(bool_or(contains(line, '출제의도') AND after AND NOT marker) OVER (PARTITION BY doc, pg ORDER BY idx), false) AS intent, array_to_string(list(line) OVER (PARTITION BY doc, pg ORDER BY idx ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING), chr(10)) AS context FROM num_),
 std_ AS (SELECT *, min(pg) OVER (PARTITION BY doc) AS fp FROM ctx_ WHERE format = 'standard' AND pg <= 2 AND after AND NOT marker AND number IS NOT NULL),
-bare_ AS (SELECT * FROM ctx_ WHERE format NOT IN ('standard', 'inline') AND chars >= 30 AND idx < 8 AND number IS NOT NULL AND length(title) > 3 AND (contains(context, '출제의도') OR contains(context, '회 ') OR contains(context, 'Keyword') OR contains(context, '풀이'))),
-probs_ AS (SELECT doc, number, arg_max(title, idx) AS title FROM std_ WHERE pg = fp GROUP BY doc, number UNION ALL SELECT doc, number, arg_min(title, pg * 100000 + idx) FROM bare_ GROUP BY doc, number)"""
+steps_ AS (SELECT doc, number, title, row_number() OVER (PARTITION BY doc ORDER BY idx) AS rn FROM ctx_ WHERE format = 'inline' AND pg = 1 AND after AND NOT marker AND NOT intent AND number IS NOT NULL),
+walk_ AS (SELECT doc, rn, number AS last, true AS kept FROM steps_ WHERE rn = 1 UNION ALL SELECT s.doc, s.rn, CASE WHEN s.number = w.last + 1 THEN s.number ELSE w.last END, s.number = w.last + 1 FROM walk_ w JOIN steps_ s ON s.doc = w.doc AND s.rn = w.rn + 1),
+inline_ AS (SELECT s.doc, s.number, s.title FROM walk_ w JOIN steps_ s USING (doc, rn) WHERE kept),
+bare_ AS (SELECT * FROM ctx_ WHERE format <> 'standard' AND doc NOT IN (SELECT doc FROM inline_) AND chars >= 30 AND idx < 8 AND number IS NOT NULL AND length(title) > 3 AND (contains(context, '출제의도') OR contains(context, '회 ') OR contains(context, 'Keyword') OR contains(context, '풀이'))),
+probs_ AS (SELECT doc, number, arg_max(title, idx) AS title FROM std_ WHERE pg = fp GROUP BY doc, number UNION ALL SELECT doc, number, title FROM inline_ UNION ALL SELECT doc, number, arg_min(title, pg * 100000 + idx) FROM bare_ GROUP BY doc, number)"""
 
 
-@query(f"WITH {LISTED} SELECT doc AS doc_id, number, title FROM probs_")
+@query(f"WITH RECURSIVE {LISTED} SELECT doc AS doc_id, number, title FROM probs_")
 def review_problems(spark, sf_dir):
-    """Documents without an inline list, whose consecutive numbers SQL can't follow."""
+    """the problems that each review lists, by its format; an inline list as far as its numbers follow each other."""
     pages = marked_pages(spark, sf_dir)
-    formats = S.review_format(pages)
-    plain = formats.where("format <> 'inline'")
-    return S.review_problems(pages.join(plain.select("doc_id"), "doc_id", "left_semi"), plain)
+    return S.review_problems(pages, S.review_format(pages))
 
 
-@query(f"""WITH {LISTED}, s_ AS (SELECT c.doc, c.number, p.title, c.pg, c.idx, CASE WHEN contains(context, '출제의도') OR contains(context, '작성방안') THEN 10 ELSE 0 END + CASE WHEN c.idx < 10 THEN 3 ELSE 0 END
+@query(f"""WITH RECURSIVE {LISTED}, s_ AS (SELECT c.doc, c.number, p.title, c.pg, c.idx, CASE WHEN contains(context, '출제의도') OR contains(context, '작성방안') THEN 10 ELSE 0 END + CASE WHEN c.idx < 10 THEN 3 ELSE 0 END
 + CASE WHEN trim(regexp_replace(p.title, '[(\\[（].*?[)\\]）]', '', 'g')) <> '' AND substring(trim(regexp_replace(p.title, '[(\\[（].*?[)\\]）]', '', 'g')), 1, 5) = substring(trim(regexp_replace(c.title, '[(\\[（].*?[)\\]）]', '', 'g')), 1, 5) THEN 5 ELSE 0 END AS score
-FROM ctx_ c JOIN probs_ p ON p.doc = c.doc AND p.number = c.number WHERE c.chars >= 30 AND (c.pg > 1 OR c.format = 'bare')),
+FROM ctx_ c JOIN probs_ p ON p.doc = c.doc AND p.number = c.number WHERE c.chars >= 30 AND (c.pg > 1 OR c.format IN ('inline', 'bare'))),
 b_ AS (SELECT *, row_number() OVER (PARTITION BY doc, number ORDER BY score DESC, pg, idx) AS rn FROM s_ WHERE score >= 3),
 k_ AS (SELECT b_.*, lead(pg) OVER (PARTITION BY doc ORDER BY pg, idx) AS nxt FROM b_ WHERE rn = 1),
 e_ AS (SELECT k_.*, coalesce(CASE WHEN nxt > pg THEN nxt - 1 ELSE nxt END, last) AS pe FROM k_ JOIN end_ USING (doc))
@@ -160,9 +161,7 @@ SELECT e_.doc AS doc_id, number, title, score, e_.pg AS page_start, pe - CASE WH
 def review_topics(spark, sf_dir):
     pages = marked_pages(spark, sf_dir)
     formats = S.review_format(pages)
-    plain = formats.where("format <> 'inline'")
-    pages = pages.join(plain.select("doc_id"), "doc_id", "left_semi")
-    return S.review_topics(pages, plain, S.review_problems(pages, plain))
+    return S.review_topics(pages, formats, S.review_problems(pages, formats))
 
 
 # Blocks of pages: a line's length gives its type, size and text.
