@@ -122,11 +122,12 @@ TITLES = [
     ("짧은  제목", "짧은 제목"),
     ("최근 DevSecOps 기술이 널리 쓰이고 있는 가운데 많은 기업이 이를 도입하고 있다. 다음에 대하여 설명하시오. 가. 개념 나. 구성요소 다. 적용 방안", "DevSecOps: 개념 · 구성요소 · 적용 방안"),
     ("클라우드 네이티브 환경에서의 보안 위협과 이에 대한 대응 방안을 포함한 전반적인 관리 체계 다음에 대하여 설명하시오 그리고 사례를 제시하시오", "클라우드 네이티브 환경에서의 보안 위협과 이에 대한 대응 방안을 포함한 전반적인 관리 체계"),
-    ("공공 부문 데이터 개방이 계속 늘어나는 추세이다. 데이터 품질 관리 체계를 다음에 대하여 설명하시오 그리고 적용 사례를 들어 비교하시오", "데이터 품질 관리 체계"),
+    ("공공 부문 데이터 개방이 계속 늘어나는 추세이다. 데이터 품질 관리 체계를 다음에 대하여 설명하시오 그리고 적용 사례를 들어 비교하시오", "데이터 품질 관리 체계를 다음에 대하여"),  # the end of a sentence looks like a part
+    ("공공 부문 데이터 개방이 계속 늘어나는 추세이다. 데이터 품질 관리 체계를 다음에 대하여 설명하시오 그리고 적용 사례를 들어 비교하시오 또한 그 한계와 앞으로의 발전 방향도 함께 쓰시오", "데이터 품질 관리 체계"),
     ("조직의 정보 자산을 안전하게 지키기 위하여 필요한 접근 통제의 여러 모형과 그 적용에 대하여 다음에 답하시오 그리고 사례도 쓰시오", "조직의 정보 자산을 안전하게 지키기 위하여 필요한 접근 통제의 여러 모형과 그 적용"),
     ("긴 물음이 앞에 길게 서 있고 여러 조건이 그 뒤를 따르는 경우 다음을 설명하시오. 가. 서비스 수준 관리의 정의, 그리고 여러 측정 지표의 선정 기준 나. 절차", "서비스 수준 관리의 정의 · 절차"),
     ("SDN 제어기와 관련한 물음이 앞에 길게 서 있고 여러 조건이 그 뒤를 따르는 경우이니 다음을 보시오. 가. 스물두 글자쯤 되는 꽤 긴 첫째 부분의 이름 나. 스물두 글자쯤 되는 꽤 긴 둘째 부분의 이름", "SDN: 스물두 글자쯤 되는 꽤 긴 첫째 부분의 · 스물두 글자쯤 되는 꽤 긴 둘째 부분의"),
-    ("API AND 그리고 흔한 약어만 있는 매우 긴 제목이 계속해서 이어지고 또 이어져서 예순 글자를 훌쩍 넘기게 되는 그런 경우의 제목이라고 할 것", "API AND 그리고 흔한 약어만 있는 매우 긴 제목이 계속해서 이어지고 또 이어져서 예순 글자를 훌쩍 넘"),
+    ("API AND 그리고 흔한 약어만 있는 매우 긴 제목이 계속해서 이어지고 또 이어져서 예순 글자를 훌쩍 넘기게 되는 그런 경우의 제목이라고 할 것", "API AND 그리고 흔한 약어만 있는 매우 긴 제목이 계속해서 이어지고 또 이어져서 예순 글자를 훌쩍 넘기"),
     (None, None),
     ("", ""),
 ]
