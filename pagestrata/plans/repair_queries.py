@@ -92,3 +92,15 @@ def proposed(spark, sf_dir):
     topics = pages.select(F.col("doc").alias("doc_id"), title.alias("title"), F.lit(0.9).alias("confidence"), *[v.cast("int").alias(k) for k, v in ints.items()])
     docs = pages.groupBy(F.col("doc").alias("doc_id")).agg(F.max("n").cast("int").alias("n_pages"), (F.max("d") % 2 == 0).alias("multi"))
     return postprocess.cleaned(topics, docs)
+
+
+@query(f"""WITH {TOPICS}, v_ AS (SELECT i.*, r_.r, i.c < 0.7 AND r_.r % 2 = 1 AS named, coalesce(i.c < 0.6 AND r_.r % 3 = 0, false) AS gone FROM i_ i JOIN r_ ON r_.doc = i.doc AND r_.pg = i.a),
+g_ AS (SELECT *, sum(CASE WHEN gone AND num > 1 THEN 0 ELSE 1 END) OVER (PARTITION BY doc ORDER BY a) AS g FROM v_)
+SELECT doc AS doc_id, CAST(min(session) AS INTEGER) AS session, CAST(min(num) AS INTEGER) AS num, min(a) AS page_start, max(b) AS page_end, CAST(min_by(c, a) AS DOUBLE) AS confidence, min_by(CASE WHEN named THEN 'named ' || a ELSE 'topic' END, a) AS title FROM g_ GROUP BY doc, g""")
+def enhanced_topics(spark, sf_dir):
+    """Verdicts on doubtful topics: some get a title, some continue the one before."""
+    pages = text_pages(spark, sf_dir)
+    r = F.length("text") % 16
+    verdicts = pages.select(F.col("doc").alias("doc_id"), F.col("pg").cast("int").alias("page_start"), (r % 3 == 0).alias("same_topic"), F.when(r % 2 == 1, F.concat(F.lit("named "), F.col("pg").cast("string"))).alias("title"))
+    found = postprocess.enhance(page_topics(spark, sf_dir), verdicts)
+    return found.select("doc_id", "session", "num", *[F.col(c).cast("long").alias(c) for c in ("page_start", "page_end")], "confidence", "title")

@@ -115,3 +115,35 @@ def parser_elements(spark, sf_dir):
     raw = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("doc_id"), answer.alias("value"))
     of = elements.elements(elements.parsed(raw))
     return of.groupBy("doc_id", "type").agg(F.count("*").alias("n"), F.sum(F.length("content")).cast("long").alias("n_chars"), F.round(F.max("font_ratio"), 6).alias("largest"))
+
+
+#: SQL: files named after the pages' ids, in several folders, of several kinds and endings.
+FILES = """n_ AS (SELECT page_id, ['/r/18기/3주차', '/r/bak/특강', '/r/x_split'][page_id % 3 + 1] AS folder,
+  ['리뷰_SW_', '리뷰_경영_', '리뷰_x_', 'KPC 관-', 'ITPE_응_', '리뷰 복사본 DB '][page_id % 6 + 1] || page_id || ['.pdf', '-1.pdf', ' 2교시.pdf', '-답.pdf', '.txt'][page_id % 5 + 1] AS name FROM pages),
+files_ AS (SELECT page_id, folder || '/' || name AS path, name, page_id * 400000 AS length, CASE WHEN page_id % 7 = 0 THEN 'text' ELSE '%PDF-1.7' END AS content, page_id % 8 * 90 AS n_pages FROM n_)"""
+
+
+def page_files(spark, sf_dir):
+    page = F.col("page_id")
+    pick = lambda *values: F.get(F.array(*[F.lit(v) for v in values]), (page % len(values)).cast("int"))
+    name = F.concat(pick("리뷰_SW_", "리뷰_경영_", "리뷰_x_", "KPC 관-", "ITPE_응_", "리뷰 복사본 DB "), page.cast("string"), pick(".pdf", "-1.pdf", " 2교시.pdf", "-답.pdf", ".txt"))
+    path = F.concat(pick("/r/18기/3주차", "/r/bak/특강", "/r/x_split"), F.lit("/"), name)
+    content = F.encode(F.when(page % 7 == 0, "text").otherwise("%PDF-1.7"), "utf-8")
+    return table(spark, sf_dir, "pages").select("page_id", path.alias("path"), name.alias("name"), (page * 400000).alias("length"), content.alias("content"), (page % 8 * 90).alias("n_pages"))
+
+
+@query(f"""WITH {FILES} SELECT path, regexp_extract(path, '([0-9]{{1,3}}기)', 1) AS gen, CASE WHEN contains(path, '주차') THEN '3주차' WHEN contains(path, '특강') THEN '특강' ELSE 'UNKNOWN' END AS week,
+  CASE WHEN contains(name, '2교시') THEN '2교시' ELSE '0교시' END AS session, CASE WHEN contains(name, '_SW_') THEN 'SW' WHEN contains(name, '경영') THEN '경영' WHEN contains(path, '특강') THEN '특강' ELSE 'ETC' END AS subject
+FROM files_ WHERE contains(name, '리뷰') AND NOT contains(name, '복사본')""")
+def review_files(spark, sf_dir):
+    """Review files with cohort, week, session and subject."""
+    return elements.reviews(page_files(spark, sf_dir)).select("path", "gen", "week", "session", "subject")
+
+
+@query(rf"""WITH {FILES}, c_ AS (SELECT page_id FROM files_ WHERE NOT regexp_matches(name, '작성답안|총평|멘토링|초고|교시\.pdf| 답\.pdf|-답[1-4]|-답\.pdf') AND NOT regexp_matches(name, '(?i)-\s*[1-4](?:~[0-9])?\.pdf$|_\s*[1-4]교시') AND NOT regexp_matches(path, '(bak|_split).*/'))
+SELECT path, page_id IN (SELECT page_id FROM c_) AS in_corpus, CASE WHEN NOT ends_with(lower(name), '.pdf') THEN 'extension' WHEN length > 52428800 THEN 'size' WHEN content NOT LIKE '!%PDF-%' ESCAPE '!' THEN 'magic' WHEN n_pages NOT BETWEEN 1 AND 500 THEN 'pages' END AS refused FROM files_""")
+def file_admission(spark, sf_dir):
+    """Files that are split, and the first rule that an upload breaks."""
+    files = page_files(spark, sf_dir)
+    corpus = elements.corpus_files(files).select("path", F.lit(True).alias("in_corpus"))
+    return elements.valid_uploads(files).join(corpus, "path", "left").select("path", F.coalesce("in_corpus", F.lit(False)).alias("in_corpus"), "refused")

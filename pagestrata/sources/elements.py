@@ -37,8 +37,8 @@ def reviews(files: DataFrame, generations: tuple[str, ...] = (), old: bool = Tru
     if not old:
         kept = kept.where(~F.col("path").contains("/bak/"))
     folders = F.slice(F.split("path", "/"), F.lit(1), F.size(F.split("path", "/")) - 1)
-    week = F.element_at(F.filter(folders, lambda x: x.rlike("|".join(WEEK_WORDS))), -1)
-    gen = F.element_at(F.filter(folders, lambda x: x.isin(*generations)), 1) if generations else F.nullif(F.regexp_extract("path", r"(\d{1,3}기)", 1), F.lit(""))
+    week = F.try_element_at(F.filter(folders, lambda x: x.rlike("|".join(WEEK_WORDS))), F.lit(-1))
+    gen = F.try_element_at(F.filter(folders, lambda x: x.isin(*generations)), F.lit(1)) if generations else F.nullif(F.regexp_extract("path", r"(\d{1,3}기)", 1), F.lit(""))
     named = kept.select("path", "name", F.coalesce(gen, F.lit("")).alias("gen"), F.coalesce(week, F.lit("UNKNOWN")).alias("week"), session_label("name").alias("session"))
     subject = subject_codes(F.concat_ws(" ", "week", "name"), SUBJECTS, words=SUBJECT_WORDS, plain=("경영",))
     return named.withColumn("subject", subject).orderBy("gen", "week", "session", "path")
