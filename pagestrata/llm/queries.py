@@ -91,4 +91,17 @@ marked AS (SELECT l.*, h.k IS NOT NULL AND l.doc_id <> h.first_doc AS gone FROM
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op12_spelling_variants": r"""
+WITH RECURSIVE tab_ AS (SELECT list(v ORDER BY n) AS tab FROM (SELECT n, list_reduce(list_concat([n], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(CAST(3988292384 AS BIGINT), c >> 1) ELSE c >> 1 END) AS v FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS n))),
+runs_ AS (SELECT doc_id, run, count(*) AS k FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents) GROUP BY doc_id, run),
+bytes_ AS (SELECT *, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [CAST(195 AS BIGINT), CAST(unicode(c) - 64 AS BIGINT)] END)) AS b FROM runs_ WHERE length(run) >= 5),
+crc_ AS (SELECT run, k, xor(CAST(4294967295 AS BIGINT), list_reduce(list_concat([CAST(4294967295 AS BIGINT)], b), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]))) AS h FROM bytes_, tab_),
+words_ AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (SELECT k, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM crc_) WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+cut_ AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS v FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words_)),
+pairs_ AS (SELECT c.word AS a, w.word AS b FROM cut_ c JOIN words_ w ON c.v = w.word UNION SELECT w.word, c.word FROM cut_ c JOIN words_ w ON c.v = w.word UNION SELECT x.word, y.word FROM cut_ x JOIN cut_ y ON x.i = y.i AND x.v = y.v AND x.word <> y.word),
+near_ AS (SELECT a, b, n, row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS r, count(*) OVER (PARTITION BY a) AS n_near FROM pairs_ JOIN words_ ON word = b),
+forms_ AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN t.n >= 2 * w.n THEN b END AS form, CASE WHEN t.n >= 2 * w.n THEN t.n END AS form_n FROM words_ w LEFT JOIN near_ t ON a = word AND r = 1),
+walk_ AS (SELECT word, form AS top FROM forms_ WHERE form IS NOT NULL UNION ALL SELECT k.word, f.form FROM walk_ k JOIN forms_ f ON f.word = k.top WHERE f.form IS NOT NULL),
+last_ AS (SELECT k.word, k.top FROM walk_ k JOIN forms_ f ON f.word = k.top WHERE f.form IS NULL)
+SELECT f.word, form, coalesce(top, f.word) AS root, n, n_near, form_n FROM forms_ f LEFT JOIN last_ l ON l.word = f.word""",
 }
