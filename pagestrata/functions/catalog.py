@@ -14,7 +14,8 @@ ROMAN_BEYOND = r"^(?:II|III|IV|V|VI|VII|VIII|IX|X)\.\s"
 MENTI = r"(?s)^문\s*제\s+(\d{1,2})\.\s+(.+)"
 STD_NUM = r"^(\d{1,2})\.\s+(.{5,})"
 SESSION = r"제?\s*(\d)\s*교시"
-IGNORE = r"^\d+$|Copyright|FB\d{2}|주간모의|^※|^다음 문제|문제를 선택|누구나 ICT|cafe\.naver|All rights|기출풀이 의견"
+IGNORE_NUMBER = r"^\d+$"
+IGNORE_WORDS = r"Copyright|FB\d{2}|주간모의|^※|^다음 문제|문제를 선택|누구나 ICT|cafe\.naver|All rights|기출풀이 의견"
 COVER = r"국가기술자격|기술사\s*시험문제"
 COVER_CAPTION = r"기술사.*제\s*\d+\s*회.*제\s*(\d)\s*교시"
 NOISE = r"출제\s*빈도|출제\s*비율|도메인\s*별\s*출제|^\[참고\]|교시형\s*출제|출제\s*경향|감사의?\s*글|기출\s*풀이집"
@@ -58,6 +59,47 @@ AIRIPO_BAR = r"SW\s+DB\s+CA|IT\s*trends|AI/Bigdata"
 AIRIPO_LABEL = r"^(?:page|출제영역|핵심키워드|상/중/하)$"
 AIRIPO_CONTINUED = r"뒷\s*페이지\s*에?\s*계속|앞\s*페이지\s*에서?\s*계속"
 
+# Pieces of which every match of a pattern holds one. They are looked for before the pattern is: of most texts that is all there is to do. Those of patterns that are only looked for in texts without blanks (brands) have none.
+NEEDS = {
+    END: ("끝",),
+    ROMAN_I: ("I.",),
+    MENTI: ("문",),
+    SESSION: ("교시",),
+    IGNORE_WORDS: ("Copyright", "FB", "주간모의", "※", "다음 문제", "문제를 선택", "누구나 ICT", "cafe.naver", "All rights", "기출풀이 의견"),
+    COVER: ("국가기술자격", "기술사"),
+    COVER_CAPTION: ("기술사",),
+    NOISE: ("출제", "[참고]", "감사", "기출"),
+    TOPIC_END: ("기출풀이",),
+    STAR: ("★",),
+    SESSION_TOPIC: ("교시",),
+    QUESTION: ("시오", "이다.", "있다.", "설명하고", "논하고", "비교하고"),
+    DAY: ("일차",),
+    HEADER_KW: ("trends",),
+    KPC_PROBLEM: ("문",),
+    KPC_OPINION: ("풀이",),
+    KPC_HEADER: ("기술사",),
+    ITPE_END: ("끝",),
+    ITPE_META: ("도메인", "난이도", "출제", "참고문헌", "키워드"),
+    ITPE_LABEL: ("도메인", "난이도", "키워드", "출제", "해설자", "참고문헌"),
+    INFOLEVER: ("교시",),
+    AIRIPO_MOCK: ("모의고사",),
+    AIRIPO_MORE: ("계속",),
+    FORMAT_COVER: ("국가기술자격", "기술사", "시험시간", "분", "선택하여", "다음"),
+    ITPE_COVER: ("국가기술자격", "기술사", "시험시간", "선택하여", "다음"),
+    ITPE_SELECT: ("선택",),
+    KPC_NOISE: ("출제", "감사", "풀이집"),
+    AIRIPO_SESSION: ("교시",),
+    STAR_START: ("★",),
+    NUMBER_HEADING: ("번",),
+    QUESTION_META: ("도메인", "난이도", "키워드", "출제배경", "참고문헌", "해설자"),
+    JE_NUM: ("제",),
+    KPC_BRAND: ("누구나", "cafe.naver", "정보처리기술사", "가치", "Allrights"),
+    AIRIPO_BRAND: ("아이리포", "SWDB", "ITtrends", "Big"),
+    AIRIPO_BAR: ("SW", "trends", "Bigdata"),
+    AIRIPO_LABEL: ("page", "출제영역", "핵심키워드", "상/중/하"),
+    AIRIPO_CONTINUED: ("계속",),
+}
+
 # Patterns of lines.
 NUM_ONLY = r"^(\d{1,2})\.?$"
 NUM_TOPIC = r"^(?:제\s+)?(\d{1,2})\.\s+(.+)$"
@@ -81,6 +123,8 @@ BRAND = (
 )
 BRAND_PIECE = r"^(?:kpc|ICT의|가치를|이끄는|사람|한국생산성본부)$"
 
+NEEDS |= {DOMAIN_LINE: ("도메인", "출제", "난이도", "키워드", "참고문헌"), SELECT_LINE: ("[",), PAPER_WORDS: ("시험시간", "국가기술자격", "수험")}
+
 # What the first five pages say of the publisher and the kind of exam, in the order it is looked for; what file names say.
 HEAD_PAGES = 5
 PUBLISHERS = (

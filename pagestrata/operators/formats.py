@@ -6,28 +6,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import catalog as C
-from ..functions.text import U, has, strip
+from ..functions.text import flat_group, flat_has, has, strip
 from ..sources.stages import staged
 from . import aggregates, joins, order, titles
 
 
 def format_counts(elements: DataFrame) -> DataFrame:
     c = F.trim(F.coalesce("content", F.lit("")))
-    flat = F.regexp_replace(c, r"(?U)\s+", "")
     cell = F.coalesce("is_table_cell", F.lit(False))
     text = F.col("type").isin("heading", "paragraph")
     return elements.groupBy("doc_id").agg(
         F.max("page").alias("pages"),
-        F.count_if(cell & (F.length(c) < 10) & has(flat, C.KPC_PROBLEM)).alias("problem"),
-        F.count_if(has(flat, C.KPC_OPINION)).alias("opinion"),
-        F.count_if(has(flat, C.KPC_HEADER)).alias("kpc_header"),
+        F.count_if(cell & (F.length(c) < 10) & flat_has(c, C.KPC_PROBLEM)).alias("problem"),
+        F.count_if(flat_has(c, C.KPC_OPINION)).alias("opinion"),
+        F.count_if(flat_has(c, C.KPC_HEADER)).alias("kpc_header"),
         F.count_if(has(c, C.STAR)).alias("stars"),
         F.count_if(has(c, C.ITPE_END)).alias("ends"),
-        F.count_if(cell & has(flat, C.ITPE_META)).alias("meta"),
+        F.count_if(cell & flat_has(c, C.ITPE_META)).alias("meta"),
         F.count_if(text & has(c, C.SESSION_TOPIC)).alias("session_topic"),
-        F.count_if(cell & has(flat, C.INFOLEVER)).alias("infolever"),
-        F.count_if(has(flat, C.AIRIPO_MOCK)).alias("mock"),
-        F.count_if(has(flat, C.AIRIPO_MORE)).alias("more"),
+        F.count_if(cell & flat_has(c, C.INFOLEVER)).alias("infolever"),
+        F.count_if(flat_has(c, C.AIRIPO_MOCK)).alias("mock"),
+        F.count_if(flat_has(c, C.AIRIPO_MORE)).alias("more"),
         F.count_if((cell | (F.col("type") == "paragraph")) & has(c, C.BRACKET)).alias("bracket"),
     )
 
@@ -50,17 +49,16 @@ def detect_format(elements: DataFrame) -> DataFrame:
 def format_pages(elements: DataFrame) -> DataFrame:
     """One row for every page from 1 to the document's last: its marks, false where a page has no elements, and the number of its session header."""
     c = strip(F.coalesce("content", F.lit("")))
-    flat = F.regexp_replace(c, r"(?U)\s+", "")
     cell = F.coalesce("is_table_cell", F.lit(False))
-    header = F.nullif(F.regexp_extract(flat, U + C.AIRIPO_SESSION, 1), F.lit("")).cast("int")
+    header = flat_group(c, C.AIRIPO_SESSION).cast("int")
     marks = elements.groupBy("doc_id", "page").agg(
         F.bool_or(has(c, C.END)).alias("end"),
-        (F.count_if(cell & has(flat, C.ITPE_LABEL)) >= 2).alias("meta"),
+        (F.count_if(cell & flat_has(c, C.ITPE_LABEL)) >= 2).alias("meta"),
         F.bool_or(has(c, C.ITPE_COVER) | ((F.col("type") == "heading") & has(c, C.ITPE_SELECT))).alias("itpe_cover"),
-        F.bool_or(has(flat, C.KPC_OPINION)).alias("opinion"),
+        F.bool_or(flat_has(c, C.KPC_OPINION)).alias("opinion"),
         F.bool_or(has(c, C.STAR_START)).alias("star"),
-        F.bool_or(has(flat, C.FORMAT_COVER)).alias("cover"),
-        F.bool_or(has(flat, C.KPC_NOISE)).alias("noise"),
+        F.bool_or(flat_has(c, C.FORMAT_COVER)).alias("cover"),
+        F.bool_or(flat_has(c, C.KPC_NOISE)).alias("noise"),
         F.bool_or(has(c, C.STAR_START) | has(c, C.JE_NUM)).alias("signed"),
         F.max_by(header, F.when(header.isNotNull(), F.col("elem_idx"))).alias("header"),
     )

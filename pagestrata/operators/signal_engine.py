@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import catalog as C
-from ..functions.text import has, strip
+from ..functions.text import group, has, strip
 from ..sources.stages import staged
 from . import aggregates, folds, formats, joins, order, postprocess
-from .titles import group, marked, numbered_cells, said
+from .titles import marked, numbered_cells, said
 
 
 def pages_in_order():
@@ -336,9 +336,10 @@ def _weighted(elements: DataFrame, p: DataFrame, blocks: DataFrame) -> DataFrame
 
 
 def boundaries(elements: DataFrame) -> DataFrame:
-    """doc_id, session, num, session_q, title, page_start, page_end, confidence, fmt of every document by its weighted signals: topics, long ones cut, question pages among them, short ones merged. Pages' flags, sessions and the choice are written on the way."""
-    p = staged(page_flags(marked(elements)))
-    return _weighted(elements, p, staged(sessions(p)))
+    """doc_id, session, num, session_q, title, page_start, page_end, confidence, fmt of every document by its weighted signals: topics, long ones cut, question pages among them, short ones merged. Marked elements, pages' flags, sessions and the choice are written on the way."""
+    e = marked(elements)
+    p = staged(page_flags(e))
+    return _weighted(e, p, staged(sessions(p)))
 
 
 def formatted(elements: DataFrame) -> DataFrame:
@@ -354,7 +355,7 @@ def detect(elements: DataFrame) -> DataFrame:
     blocks = staged(sessions(p))
     own = staged(formats.by_format(e, blocks))
     done = own.select("doc_id").distinct()
-    rest = _weighted(elements.join(done, "doc_id", "left_anti"), p.join(done, "doc_id", "left_anti"), blocks.join(done, "doc_id", "left_anti"))
+    rest = _weighted(e.join(done, "doc_id", "left_anti"), p.join(done, "doc_id", "left_anti"), blocks.join(done, "doc_id", "left_anti"))
     cast = lambda df: df.select("doc_id", F.col("session").cast("int").alias("session"), "title", F.col("page_start").cast("int").alias("page_start"), F.col("page_end").cast("int").alias("page_end"), "confidence", "fmt")
     return cast(own).unionByName(cast(rest))
 

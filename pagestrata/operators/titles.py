@@ -12,28 +12,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import catalog as C
-from ..functions.text import U, has, norm, strip
+from ..functions.text import flat_has, group, has, norm, strip
+from ..sources.stages import staged
 from . import aggregates
 
 
-def group(c: Column, pattern: str, k: int = 1) -> Column:
-    return F.nullif(F.regexp_extract(c, U + pattern, k), F.lit(""))
-
-
 def line(c: Column, most: int = 70) -> Column:
     """The first line, without blanks around it."""
     return F.substring(strip(F.split(strip(c), "\n")[0]), 1, most)
 
 
 def marked(elements: DataFrame) -> DataFrame:
-    """Elements with normalised text c, whether it is a repeated header, and whether it is ignored."""
-    e = elements.withColumn("c", norm(F.coalesce("content", F.lit("")))).withColumn("font_ratio", F.coalesce("font_ratio", F.lit(1.0)))
+    """Elements with normalised text c, whether it is a repeated header, and whether it is ignored. Elements are written with their text on the way, so that they are made once, and so is the result: all that follows reads it several times."""
+    e = staged(elements.withColumn("c", norm(F.coalesce("content", F.lit("")))).withColumn("font_ratio", F.coalesce("font_ratio", F.lit(1.0))))
     wanted = (F.col("type") == "heading") | ((F.col("type") == "paragraph") & (F.length("c") <= 15))
     headers = aggregates.repeated_headers(e, ["doc_id"], "page", "c", wanted & (F.col("c") != ""))
-    # A document's headers are few: one row a document joins, so the elements are dealt by document and stay so.
+    # A document's headers are few: one row a document joins.
     sets = headers.groupBy("doc_id").agg(F.collect_set("c").alias("_headers"))
     out = e.join(sets, "doc_id", "left")
-    return out.withColumn("repeated", F.coalesce(F.array_contains("_headers", F.col("c")), F.lit(False))).withColumn("ignored", has(F.col("c"), C.IGNORE)).drop("_headers")
+    return staged(out.withColumn("repeated", F.coalesce(F.array_contains("_headers", F.col("c")), F.lit(False))).withColumn("ignored", has(F.col("c"), C.IGNORE_NUMBER) | has(F.col("c"), C.IGNORE_WORDS)).drop("_headers"))
 
 
 def said(c: Column, heading: Column) -> Column:
@@ -61,15 +58,14 @@ def numbered_cells(e: DataFrame) -> DataFrame:
 def page_titles(e: DataFrame) -> DataFrame:
     """doc_id, page and the page's first element for each rule: own (ITPE), je, numbered and plain (KPC), airipo. e as marked() gives it."""
     c, i = F.col("c"), F.col("elem_idx")
-    flat = F.regexp_replace(c, r"(?U)\s+", "")
     usable = ~F.col("repeated") & ~F.col("ignored") & (F.length(c) >= 5)
     number = group(c, C.STD_NUM).cast("int")
     own = F.when(~has(c, C.END), said(c, F.col("type") == "heading"))
-    kpc = ~has(flat, C.KPC_BRAND)
-    je = F.when(kpc & has(c, C.JE_NUM), line(group(c, C.JE_NUM, 2)))
-    numbered = F.when(kpc & (number <= C.KPC_NUMBERS), line(group(c, C.STD_NUM, 2)))
-    plain = F.when(kpc & (F.length(c) >= 10) & ~has(c, C.STAR_START) & ~has(c, C.KPC_META), line(c))
-    none = has(flat, C.AIRIPO_BRAND) | has(flat, C.AIRIPO_SESSION) | has(c, C.END) | has(flat, C.AIRIPO_CONTINUED) | has(c, C.AIRIPO_BAR) | has(flat, C.AIRIPO_LABEL)
+    kpc = ~flat_has(c, C.KPC_BRAND)
+    je = F.when(has(c, C.JE_NUM) & kpc, line(group(c, C.JE_NUM, 2)))
+    numbered = F.when((number <= C.KPC_NUMBERS) & kpc, line(group(c, C.STD_NUM, 2)))
+    plain = F.when((F.length(c) >= 10) & kpc & ~has(c, C.STAR_START) & ~has(c, C.KPC_META), line(c))
+    none = flat_has(c, C.AIRIPO_BRAND) | flat_has(c, C.AIRIPO_SESSION) | has(c, C.END) | flat_has(c, C.AIRIPO_CONTINUED) | has(c, C.AIRIPO_BAR) | flat_has(c, C.AIRIPO_LABEL)
     airipo = F.when(~none, F.coalesce(line(group(c, C.STD_NUM, 2)), F.when(F.length(c) > 10, line(c))))
     rules = {"own": own, "je": je, "numbered": numbered, "plain": plain, "airipo": airipo}
     told = e.where(usable).select("doc_id", "page", i.alias("i"), *[v.alias(k) for k, v in rules.items()])

@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
+
+from pagestrata.functions import catalog as C
+from pagestrata.functions import text as T
 
 duckdb = pytest.importorskip("duckdb")
 
 from pagestrata.plans import registry  # noqa: E402
 
 
+#: A text for each pattern of catalog.NEEDS whose pieces alone are no match.
+MATCHES = [
+    "I. 로마 절의 제목", "문제 3. 카드의 제목", "문 제", "2교시 3번", "제 2 교시", "FB12", "기술사 시험문제", "기술사 제 137 회 제 2 교시", "출제 빈도", "[참고]", "감사의 글", "기출 풀이집", "기출풀이 의견", "★★☆", "설명하시오", "이다.", "3일차", "IT trends 클라우드 | PM",
+    "KPC 기술사", "관리 3 교시", "관리 - 2 교시", "실전 모의고사 문제", "뒷 페이지에 계속", "앞페이지에서 계속", "100 분", "문제를 선택하여", "선택 문제", "다음 문제 중", "시험시간 : 100분", "3 번", "제 3. 자료를 나누는", "누구나 ICT", "cafe.naver", "All rights", "SW  DB CA", "IT trends", "Big & Up", "AI/Bigdata",
+    "“끝”", "도메인", "출제영역 하나", "[ 관리 선택 ]", "수험", "page", "ICT의 가치를 이끄는", "정보처리기술사 기출풀이", "Copyright 아이리포",
+]
+
+
 def documents(spark, folder, texts, source="a"):
     """A folder with the table documents, one row a text, ids from 0."""
     rows = [(k, t, "en", source, len(t or "")) for k, t in enumerate(texts)]
@@ -34,3 +48,36 @@ def test_even_spacing_with_any_start(spark, tmp_path):
     folder = documents(spark, tmp_path, ["Anti. Of Of Of Of Of", "IV. a b c", "a. b c\nlonger words stay apart", None])
     rows = dict(as_its_sql(spark, "collapse_even_spacing", folder))
     assert rows["Anti. Of Of Of Of Of"] == "Anti.OfOfOfOfOf" and rows["IV. a b c"] == "IV.abc"
+
+
+def test_pieces_are_needed(spark):
+    """Looking for its pieces first never changes what a pattern finds."""
+    rng = random.Random(5)
+    said = sorted({piece for pieces in C.NEEDS.values() for piece in pieces} | set(MATCHES))
+    junk = ["", " ", "\n", " ", "\t", "1", "2.", "제 3", "I. abcd", "가. abcde", "x", "100 ", "문 ", ":"]
+    spread = lambda t: "".join(x + rng.choice(["", "", " ", " "]) for x in t)
+    texts = said + [spread(t) for t in said] + ["".join(rng.choice(junk + said) for _ in range(rng.randint(1, 6))) for _ in range(1500)] + MATCHES * 2
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    c = F.col("c")
+    plain = lambda p: c.rlike(T.U + p)
+    bare = F.regexp_replace(c, r"(?U)\s+", "")
+    flat = [C.KPC_PROBLEM, C.KPC_OPINION, C.KPC_HEADER, C.ITPE_META, C.ITPE_LABEL, C.INFOLEVER, C.AIRIPO_MOCK, C.AIRIPO_MORE, C.FORMAT_COVER, C.KPC_NOISE, C.AIRIPO_SESSION, C.KPC_BRAND, C.AIRIPO_BRAND, C.AIRIPO_CONTINUED, C.AIRIPO_LABEL]
+    brands = [C.KPC_BRAND, C.AIRIPO_BRAND]
+    pairs = [(T.has(c, p), plain(p)) for p in C.NEEDS if p not in brands] + [(T.flat_has(c, p), bare.rlike(T.U + p)) for p in flat]
+    pairs += [(T.flat_group(c, C.AIRIPO_SESSION), F.nullif(F.regexp_extract(bare, T.U + C.AIRIPO_SESSION, 1), F.lit("")))]
+    pairs += [(T.group(c, p), F.nullif(F.regexp_extract(c, T.U + p, 1), F.lit(""))) for p in (C.MENTI, C.SESSION, C.DAY, C.COVER_CAPTION, C.HEADER_KW)]
+    pairs += [(T.strip(c), F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))]
+    row = df.agg(*[F.count_if(~a.eqNullSafe(b)).alias(f"d{k}") for k, (a, b) in enumerate(pairs)], *[F.count_if(F.coalesce(b.cast("string"), F.lit("false")) != "false").alias(f"n{k}") for k, (_, b) in enumerate(pairs)]).first()
+    assert [k for k in range(len(pairs)) if row[f"d{k}"]] == []
+    assert [k for k in range(len(pairs)) if not row[f"n{k}"]] == []  # every pattern is found somewhere
+    blanks = "".join(chr(i) for i in range(0x10000) if not 0xD800 <= i < 0xE000)
+    left = spark.createDataFrame([(blanks,)], "c string").select(F.array_join(F.regexp_extract_all("c", F.lit(r"(?U)(\s)"), F.lit(1)), "")).first()[0]
+    assert sorted(left) == sorted(T.BLANKS)
+
+
+@pytest.mark.parametrize("name", ["format_kpc", "page_signs"])
+def test_elements_are_made_once(spark, tmp_path, name):
+    """The result's steps start from written elements; none makes them from the documents anew."""
+    rng = random.Random(7)
+    folder = documents(spark, tmp_path, ["x" * rng.randint(30, 60) + "\nsome more lines of this page here" for _ in range(40)])
+    assert "documents.parquet" not in registry.QUERIES[name](spark, folder)._jdf.queryExecution().toString()
