@@ -11,13 +11,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import catalog as C
-from ..functions.text import U, has, strip
+from ..functions.text import U, has, let, strip
+from ..sources.stages import staged
 from . import folds, order
 
 
 def body(lines: Column, most: int = C.LINES_SEEN) -> Column:
     """Lines with text from the first that is neither brand nor the one page number; all if the first `most` have none."""
-    cleaned = F.filter(F.transform(lines, strip), lambda x: x != "")
+    return let(F.filter(F.transform(lines, strip), lambda x: x != ""), lambda cleaned: _without_head(cleaned, most))
+
+
+def _without_head(cleaned: Column, most: int) -> Column:
     head = F.transform(F.slice(cleaned, 1, most), lambda x, i: F.struct(x.alias("x"), i.alias("i")))
 
     def step(a, r):
@@ -175,9 +179,9 @@ def _bit(n: Column) -> Column:
 
 
 def topics(pages: DataFrame, expected: DataFrame | None = None) -> DataFrame:
-    """doc_id, session, num, title, page_start, page_end of every document."""
-    pages = pages.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("page").cast("int").alias("page"), body(F.col("lines")).alias("body"))
-    pages = pages.withColumn("kind", page_kind(F.col("body")))
+    """doc_id, session, num, title, page_start, page_end of every document. Of each page its kind and the lines that are looked at are written on the way: five steps read them."""
+    pages = pages.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("page").cast("int").alias("page"), F.slice(body(F.col("lines")), 1, C.LINES_SEEN + 1).alias("body"))
+    pages = staged(pages.withColumn("kind", page_kind(F.col("body"))))
     found = select_rising(paper_sessions(promote(candidates(line_signals(pages.where("kind = 'BODY'")), pages)), pages))
     last = pages.groupBy("doc_id").agg(F.max("page").alias("last"))
     marked = pages.select("doc_id", "page", "kind").join(found, ["doc_id", "page"], "left").join(last, "doc_id")

@@ -81,3 +81,10 @@ def test_elements_are_made_once(spark, tmp_path, name):
     rng = random.Random(7)
     folder = documents(spark, tmp_path, ["x" * rng.randint(30, 60) + "\nsome more lines of this page here" for _ in range(40)])
     assert "documents.parquet" not in registry.QUERIES[name](spark, folder)._jdf.queryExecution().toString()
+
+
+def test_pages_of_lines_are_cut_once(spark, tmp_path):
+    """As elements, for the line engine; and of a page only the lines that are looked at are written."""
+    folder = documents(spark, tmp_path, ["own line\n" * 30 for _ in range(40)])
+    as_its_sql(spark, "line_topics", folder)
+    assert "documents.parquet" not in registry.QUERIES["line_topics"](spark, folder)._jdf.queryExecution().toString()
