@@ -5,22 +5,25 @@ logarithmic scale. Each rule has bounds, between which nearly all labelled good
 rows lie; a row is what it exceeds them by, for all rules at once, 0 within. One
 forest is grown on these rows: each split chooses a statistic and a place at random, so a
 row that is far off in one of them, or somewhat in several, is soon alone. Its
-mean path over all trees is its score. Bounds and trees come from one part of
-the labelled rows, the path below which a document is rejected from the others.
+mean path over all trees is its score. Bounds and trees come from one half of
+all labelled rows, the path below which a document is rejected from the other.
+Both are counted on Spark over the whole halves; as the method wants it, each
+tree is grown from a few rows of its own, drawn from all of its half.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import doc_view
+from .common import doc_view, scratch, written
 
 SYMBOLS = b"#*$%&|<>"
 KEEP_SYMBOLS = bytes(b for b in range(256) if b not in SYMBOLS)
@@ -90,6 +93,13 @@ class IsolationForest:
             self.grown.append(self._grow(x[rows], rng, height))
         return self
 
+    def grow(self, samples: Sequence[np.ndarray]) -> IsolationForest:
+        """Each tree from its sample."""
+        rng = np.random.default_rng(self.seed)
+        height = max(1, math.ceil(math.log2(self.sample)))
+        self.grown = [self._grow(x, rng, height) for x in samples]
+        return self
+
     def _grow(self, rows: np.ndarray, rng, height: int):
         feature, value, left, right, length = [], [], [], [], []
 
@@ -131,6 +141,12 @@ class Rules:
         self.low, self.high = np.quantile(good, 1 - share, axis=0, method="lower"), np.quantile(good, share, axis=0, method="higher")  # of few rows all
         self.unit = np.maximum(good.std(axis=0), 1e-6)
 
+    @classmethod
+    def of(cls, low: Sequence[float], high: Sequence[float], deviations: Sequence[float]) -> Rules:
+        rules = cls.__new__(cls)
+        rules.low, rules.high, rules.unit = np.array(low), np.array(high), np.maximum(np.array(deviations), 1e-6)
+        return rules
+
     def __call__(self, x: np.ndarray) -> np.ndarray:
         return (np.maximum(x - self.high, 0) - np.maximum(self.low - x, 0)) / self.unit
 
@@ -152,7 +168,12 @@ def threshold(paths: np.ndarray, good: np.ndarray, spare: float, least: float) -
     bound = float(np.quantile(paths[good], spare, method="lower"))
     bad = paths[~good]
     below = bad[bad < bound]
-    return (float(below.max()) + bound) / 2 if len(below) >= max(1, least * len(bad)) else -math.inf
+    return between(bound, len(below), float(below.max(initial=-math.inf)), len(bad), least)
+
+
+def between(bound: float, n_below: int, highest: float, n_bad: int, least: float) -> float:
+    """The threshold from the good rows' bound, the bad paths below it and the largest of these."""
+    return (highest + bound) / 2 if n_below >= max(1, least * n_bad) else -math.inf
 
 
 def base_failed(n_words, n_repeat_words, min_words: int = 50, max_repeat: float = 0.5):
@@ -172,19 +193,89 @@ def fitted(x: np.ndarray, good: np.ndarray, held: np.ndarray, trees: int, within
     return rules, forest, threshold(forest.paths(rules(x[told])), good[told], spare, least)
 
 
-def calibrate(docs: DataFrame, labels: DataFrame, fit_rows: int = 8192, trees: int = 256, within: float = 0.999, spare: float = 0.001, least: float = 0.02, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
-    """Rules, forest and threshold from at most `fit_rows` labelled rows, taken in the order of a hash of their id; every other one of them, in that order, is held out of the growing.
+def order_statistics(rows: DataFrame, wanted: Sequence[tuple[Column, int]], bins: int = 1024) -> list[float]:
+    """For each (column, rank) the value that `rank` of all the column's values come before, exactly.
+
+    The range that holds it is counted in `bins` parts, and the part that it
+    lies in becomes the range, until that is one value. Only counts reach the driver.
+    """
+    each = rows.select(F.posexplode(F.array(*[c for c, _ in wanted])).alias("t", "v"))
+    ends = {r["t"]: r for r in each.groupBy("t").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+    at = [(ends[t]["lo"], ends[t]["hi"], rank) for t, (_, rank) in enumerate(wanted)]
+    while any(lo < hi for lo, hi, _ in at):
+        lo, hi = (F.get(F.array(*[F.lit(x[k]) for x in at]), F.col("t")) for k in (0, 1))
+        near = each.where((lo < hi) & F.col("v").between(lo, hi)).withColumn("part", F.floor((F.col("v") - lo) / (hi - lo) * bins))
+        found = near.groupBy("t", "part").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+        ranks, before = [rank for _, _, rank in at], dict.fromkeys(range(len(at)), 0)
+        for r in sorted(found, key=lambda r: (r["t"], r["part"])):
+            rank = ranks[r["t"]] - before[r["t"]]
+            if 0 <= rank < r["n"]:
+                at[r["t"]] = (r["lo"], r["hi"], rank)
+            before[r["t"]] += r["n"]
+    return [lo for lo, _, _ in at]
+
+
+def drawn(rows: DataFrame, n: int, trees: int, want: int, seed: int) -> list[list[list[float]]]:
+    """For each tree `want` of the n rows (all of fewer): those with the smallest hashes of id and tree. A row is only a candidate where its hash is small enough for several times as many."""
+    want = min(want, n)
+    h = lambda t: F.xxhash64("doc_id", F.lit(seed), t)
+    w = Window.partitionBy("tree").orderBy("h", "doc_id", "features")
+    for share in (min(1.0, (4 * want + 64) / max(n, 1)), 1.0):
+        near = lambda t: h(t).cast("double") <= (2 * share - 1) * 2.0**63  # noqa: E731,B023
+        tickets = rows.select("doc_id", "features", F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), near)).alias("tree")).withColumn("h", h(F.col("tree")))
+        out: list[list[list[float]]] = [[] for _ in range(trees)]
+        for r in tickets.withColumn("r", F.row_number().over(w)).where(F.col("r") <= want).orderBy("tree", "r").select("tree", "features").collect():
+            out[r["tree"]].append(r["features"])
+        if all(len(x) == want for x in out):
+            break
+    return out
+
+
+def alternating(rows: DataFrame) -> DataFrame:
+    """rows with held: every other one in the order of a hash of its id. Rows are numbered within 1,024 ranges of that hash, which start where the ranges before end."""
+    h = F.xxhash64("doc_id")
+    t = rows.withColumn("_range", F.shiftright(h, 54))
+    starts = t.groupBy("_range").agg(F.count("*").alias("_n")).withColumn("_before", F.sum("_n").over(Window.orderBy("_range")) - F.col("_n"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(h, "doc_id", "features")) - 1
+    return t.withColumn("_place", place).join(starts, "_range").withColumn("held", (F.col("_before") + F.col("_place")) % 2 == 1).drop("_range", "_n", "_before", "_place")
+
+
+def calibrate(docs: DataFrame, labels: DataFrame, trees: int = 256, within: float = 0.999, spare: float = 0.001, least: float = 0.02, id_col: str = "doc_id", text_col: str = "text", stats: DataFrame | None = None) -> Model | None:
+    """Rules, forest and threshold from all labelled rows, every other one in the order of a hash of their id held out of the growing. stats: with_stats of docs, if it is at hand.
 
     Only rows that pass the base rules count. None without rows of both labels.
     """
-    view = doc_view(docs, id_col, text_col)
-    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    sample = view.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
-    got = with_stats(sample.select("doc_id", "text")).where(~base_failed(F.col("n_words"), F.col("n_repeat_words"))).join(F.broadcast(chosen), "doc_id").select("doc_id", "features", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(fit_rows).collect()
-    if len({r["quality"] for r in got}) < 2:
-        return None
-    return fitted(np.array([r["features"] for r in got]), np.array([r["quality"] == 1 for r in got]), np.arange(len(got)) % 2 == 1, trees, within, spare, least)
+    with scratch(docs.sparkSession):
+        stats = with_stats(doc_view(docs, id_col, text_col)) if stats is None else stats
+        marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+        known = written(alternating(stats.where(~base_failed(F.col("n_words"), F.col("n_repeat_words"))).join(marked, "doc_id").select("doc_id", "features", (F.col("quality") == 1).alias("good"))))
+        counts = {(r["held"], r["good"]): r["n"] for r in known.groupBy("held", "good").agg(F.count("*").alias("n")).collect()}
+        n = lambda good, half=None: sum(c for (h, g), c in counts.items() if g == good and half in (None, h))
+        if not n(True) or not n(False):
+            return None
+        halves = len(counts) == 4
+        grow, told = (known.where("not held"), known.where("held")) if halves else (known, known)
+        n_good, n_bad = (n(g, False if halves else None) for g in (True, False))
+        good = grow.where("good")
+        feature = [F.get("features", F.lit(k)) for k in range(len(FEATURES))]
+        first, last = math.floor((n_good - 1) * (1 - within)), math.ceil((n_good - 1) * within)
+        bounds = order_statistics(good, [(f, first) for f in feature] + [(f, last) for f in feature])
+        rules = Rules.of(bounds[: len(feature)], bounds[len(feature) :], list(good.agg(*[F.stddev_pop(f) for f in feature]).first()))
+        forest = IsolationForest(trees)
+        few = drawn(grow.where("not good"), n_bad, trees, forest.few, forest.seed)
+        many = drawn(good, n_good, trees, forest.sample - min(n_bad, forest.few), forest.seed)
+        forest.grow([rules(np.array(a + b)) for a, b in zip(many, few)])
+        shared = docs.sparkSession.sparkContext.broadcast((rules, forest, 0.0))
+
+        @F.pandas_udf("double")
+        def path(features: pd.Series) -> pd.Series:
+            return pd.Series(margins(shared.value, np.stack(features.to_numpy())) if len(features) else [], dtype="float64")
+
+        paths = written(told.select("good", path("features").alias("path")))
+        of_good, of_bad = (n(g, True if halves else None) for g in (True, False))
+        bound = order_statistics(paths.where("good"), [(F.col("path"), math.floor((of_good - 1) * spare))])[0]
+        below = paths.where(~F.col("good") & (F.col("path") < bound)).agg(F.count("*").alias("n"), F.max("path").alias("top")).first()
+        return rules, forest, between(bound, below["n"], below["top"] if below["n"] else -math.inf, of_bad, least)
 
 
 def margins(model: Model, x: np.ndarray) -> np.ndarray:
@@ -197,10 +288,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """doc_id, the statistics, base_failed, margin (see margins; null without a forest), kept; one row per input row.
 
     `how` is for calibrate. Without labels (or none that match) the base rules
-    decide alone. A null or empty text has no words and fails them.
+    decide alone. The statistics are written once; that table stays, as the result reads it. A null or empty text has no words and fails them.
     """
-    model = calibrate(docs, labels, id_col=id_col, text_col=text_col, **how)
-    stats = with_stats(doc_view(docs, id_col, text_col)).withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
+    stats = written(with_stats(doc_view(docs, id_col, text_col)))
+    model = calibrate(docs, labels, stats=stats, **how)
+    stats = stats.withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
     if model is None:
         return stats.withColumn("margin", F.lit(None).cast("double")).withColumn("kept", ~F.col("base_failed")).drop("features")
     shared = docs.sparkSession.sparkContext.broadcast(model)

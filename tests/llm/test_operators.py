@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import struct
 import zlib
@@ -12,6 +13,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from pagestrata.llm import op1_pii, op2_suffixes, op3_lines, op4_rans, op5_counts, op6_decontaminate, op7_quality, op8_neardup, op9_packing, op10_blocks, tokens
 from pagestrata.llm.common import span_hashes
@@ -330,6 +332,32 @@ def test_quality_forest_sees_combinations():
     assert (op7_quality.margins((rules, forest, cut), fresh) < 0).mean() > 0.95
 
 
+def test_quality_model_is_of_all_labelled_rows(spark):
+    """Bounds, trees and threshold follow from every labelled row of their half; so labels in any order and number count."""
+    rng = random.Random(4)
+    values = [rng.choice([0.0, 0.0, rng.random(), rng.gauss(0, 1e6)]) for _ in range(3000)]
+    df = spark.createDataFrame([(v, -v / 3) for v in values], "a double, b double").repartition(5)
+    ranks = [0, 1, 700, 1500, 2998, 2999]
+    got = op7_quality.order_statistics(df, [(F.col("a"), r) for r in ranks] + [(F.col("b"), r) for r in ranks], bins=7)
+    assert got == [sorted(values)[r] for r in ranks] + [sorted(-v / 3 for v in values)[r] for r in ranks]
+
+    words = lambda n: " ".join(f"w{k}" for k in range(n))
+    texts = [(k, words(60 + k % 40)) for k in range(9000)]
+    docs, labels = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(k, int(k % 100 > 0)) for k, _ in texts], "doc_id long, quality int")
+    known = spark.createDataFrame([(k, [0.0]) for k, _ in texts], "doc_id long, features array<double>")
+    by_hash = [r.doc_id for r in known.orderBy(F.xxhash64("doc_id")).collect()]
+    assert {r.doc_id for r in op7_quality.alternating(known).where("held").collect()} == set(by_hash[1::2])
+    grown = [k for k in by_hash[::2] if k % 100]
+    assert len(grown) > 4096  # more than half of what the model was taken from before
+    features = np.array([op7_quality.text_stats(dict(texts)[k])[5] for k in grown])
+    rules, forest, _ = op7_quality.calibrate(docs, labels, trees=16)
+    want = op7_quality.Rules(features, 0.999)
+    assert (rules.low == want.low).all() and (rules.high == want.high).all() and np.allclose(rules.unit, want.unit, rtol=1e-9)
+    rows = spark.createDataFrame([(k, [float(k)]) for k in range(9000)], "doc_id long, features array<double>")
+    samples = op7_quality.drawn(rows, 9000, 40, 60, 7)
+    assert all(len({x[0] for x in s}) == 60 for s in samples) and len({x[0] for s in samples for x in s}) > 1900  # each tree draws from all of them
+
+
 def test_quality_paths_are_those_of_the_trees():
     rng = np.random.default_rng(3)
     x = np.round(rng.normal(size=(200, 3)), 1)
