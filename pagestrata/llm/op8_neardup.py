@@ -226,44 +226,59 @@ def hub_blocks(pairs: DataFrame, block: int) -> DataFrame:
 STEP = math.log(1.1)
 
 
-def frequencies(texts: DataFrame, k: int, counters: int) -> np.ndarray:
-    """Counts of k-mers in a table of fixed size; k-mers of one counter share it. It only says which k-mers are looked at first."""
+def gram_rows(texts: DataFrame, k: int) -> DataFrame:
+    """texts (fp, label, text) to (gram, fp, label, n), one row for each k-mer of a text; n is the text's count of them."""
 
     def run(batches):
         for batch in batches:
-            for _, _, data, offs in slices(batch.column(1)):
-                slots, n = np.unique(kmers(data, offs, k)[0] % np.uint64(counters), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(n.astype(np.int64))], names=["slot", "n"])
+            for lo, hi, data, offs in slices(batch.column(2)):
+                grams, upto = kmers(data, offs, k)
+                own = np.diff(upto)
+                rows = pa.array(np.repeat(np.arange(lo, hi), own))
+                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(np.repeat(own, own))], names=["gram", "fp", "label", "n"])
+
+    return texts.select("fp", "label", "text").mapInArrow(run, "gram long, fp binary, label long, n long")
 
-    found = texts.select("fp", "text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # `counters` rows at most
-    out = np.zeros(counters, np.uint32)
-    out[found.column("slot").to_numpy()] = np.minimum(found.column("n").to_numpy(), (1 << 32) - 1)
-    return out
 
+def shared_kmers(crowd: DataFrame, k: int, at_least: float) -> DataFrame:
+    """crowd (fp, label, text) to (fp, label, n, shared): each text's k-mers that texts of other labels hold too, with the count of texts. Texts with too few of them for any similar text of another label are left out."""
+    grams = gram_rows(crowd.select("fp", F.xxhash64("label").alias("label"), "text"), k)
+    held = grams.groupBy("gram").agg(F.count("*").alias("c"), F.min("label").alias("one"), F.max("label").alias("other")).where("one <> other")
+    found = grams.select("gram", "fp", "n").join(written(held.select("gram", "c")).hint("merge"), "gram")
+    lists = found.groupBy("fp").agg(F.max("n").alias("n"), F.collect_list(F.struct("c", "gram")).alias("shared"))
+    enough = lists.where(F.size("shared") >= at_least * F.col("n") - 1e-6)
+    return crowd.select("fp", "label").join(enough.hint("merge"), "fp").select("fp", "label", "n", "shared")
 
-def prefix_rows(texts: DataFrame, k: int, at_least: float, counts, whole: bool) -> DataFrame:
-    """texts (fp, label, text) to (key, indexed, label) and, if whole, fp and n: where a text is to be found by texts as long or longer, and where it looks for shorter ones.
 
-    In an order of all k-mers, rare ones first, let two texts of n_x <= n_y
-    k-mers have their first common one at the places p_x and p_y. They share at
-    most min(n_x - p_x, n_y - p_y), and similar ones a (n_x + n_y) with
-    a = at_least / (1 + at_least). So x is indexed under its first k-mers only
-    as far as a partner of its own size could still be similar, and y asks, for
-    each of its first k-mers, in the steps of sizes that could. A key is a k-mer
-    and a step.
+def prefix_rows(texts: DataFrame, at_least: float) -> DataFrame:
+    """texts of shared_kmers to (key, indexed, label, fp, n): where a text is to be found by texts as long or longer, and where it looks for shorter ones.
+
+    In an order of all k-mers, those of one label first and then rare ones, let
+    two texts of n_x <= n_y k-mers have their first common one at the places p_x
+    and p_y. They share at most min(n_x - p_x, n_y - p_y), and similar ones
+    a (n_x + n_y) with a = at_least / (1 + at_least). So x is indexed under its
+    first k-mers only as far as a partner of its own size could still be
+    similar, and y asks, for each of its first k-mers, in the steps of sizes
+    that could. A key is a k-mer and a step. K-mers of one label only take
+    places: no text of another label has them.
     """
     alpha = at_least / (1 + at_least)
 
     def run(batches):
-        table = counts.value
         for batch in batches:
-            for lo, hi, data, offs in slices(batch.column(2)):
-                grams, upto = kmers(data, offs, k)
-                own = np.diff(upto)
+            ends = np.cumsum(batch.column(3).value_lengths().to_numpy())
+            lo = 0
+            while lo < len(ends):
+                begin = ends[lo - 1] if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(ends, begin + (1 << 18), side="right")))
+                upto = np.append(begin, ends[lo:hi]) - begin
+                listed = batch.column(3).slice(lo, hi - lo).flatten()
+                count, grams = listed.field(0).to_numpy(), listed.field(1).to_numpy().view(np.uint64)
+                own, total = np.diff(upto), batch.column(2).slice(lo, hi - lo).to_numpy()
                 doc = np.repeat(np.arange(len(own)), own)
-                order = np.lexsort((grams, table[grams % np.uint64(len(table))], doc))
-                place = np.arange(len(order)) - upto[doc]  # texts stay in their order
-                n = own[doc].astype(np.float64)
+                order = np.lexsort((grams, count, doc))
+                place = np.arange(len(order)) - upto[doc] + (total - own)[doc]  # texts stay in their order
+                n = total[doc].astype(np.float64)
                 most = (n - place) / alpha - n  # k-mers of the largest partner
                 longest = np.minimum(n, most) + 1e-6
                 first = np.floor(np.log(np.maximum(at_least * n - 1e-6, 0.5)) / STEP).astype(np.int64)
@@ -276,24 +291,19 @@ def prefix_rows(texts: DataFrame, k: int, at_least: float, counts, whole: bool)
                 at = np.concatenate([held, probe])
                 step = np.concatenate([np.floor(np.log(n[held] + 1e-6) / STEP).astype(np.int64), probe_step])
                 key = mix(grams[order][at] + step.astype(np.uint64) * np.uint64(BASES[1]))
-                rows = pa.array(doc[at])
-                part = slice(lo, hi)
-                out = [pa.array(key.view(np.int64)), pa.array(np.arange(len(at)) < len(held)), batch.column(1)[part].take(rows)]
-                names = ["key", "indexed", "label"]
-                if whole:
-                    out += [batch.column(0)[part].take(rows), pa.array(own[doc[at]])]
-                    names += ["fp", "n"]
-                yield pa.RecordBatch.from_arrays(out, names=names)
+                rows = pa.array(doc[at] + lo)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.arange(len(at)) < len(held)), *(batch.column(c).take(rows) for c in (1, 0, 2))], names=["key", "indexed", "label", "fp", "n"])
+                lo = hi
 
-    return texts.select("fp", "label", "text").mapInArrow(run, "key long, indexed boolean, label binary" + (", fp binary, n long" if whole else ""))
+    return texts.select("fp", "label", "n", "shared").mapInArrow(run, "key long, indexed boolean, label binary, fp binary, n long")
 
 
-def near_groups(crowd: DataFrame, k: int, at_least: float, counters: int) -> DataFrame:
+def near_groups(crowd: DataFrame, k: int, at_least: float) -> DataFrame:
     """crowd (fp, label, text) to (key, indexed, label, fp, n): rows of prefix_rows whose key several labels and both kinds of rows share. Written."""
-    counts = crowd.sparkSession.sparkContext.broadcast(frequencies(crowd, k, counters))
-    keys = prefix_rows(crowd, k, at_least, counts, False).groupBy("key").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.bool_or("indexed").alias("held"), F.bool_or(~F.col("indexed")).alias("asked"))
+    rows = written(prefix_rows(shared_kmers(crowd, k, at_least), at_least))
+    keys = rows.groupBy("key").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.bool_or("indexed").alias("held"), F.bool_or(~F.col("indexed")).alias("asked"))
     mixed = written(keys.where("one <> other and held and asked").select("key"))
-    return written(prefix_rows(crowd, k, at_least, counts, True).join(mixed.hint("merge"), "key"))
+    return written(rows.join(mixed.hint("merge"), "key"))
 
 
 def same_texts() -> list[Column]:
@@ -324,7 +334,7 @@ def cells(groups: DataFrame, block: int) -> DataFrame:
     return asks.unionByName(told).select(name.alias("block"), "role", "label", "fp")
 
 
-def text_classes(base: DataFrame, k: int = 5, at_least: float = 0.8, sketches: int = 32, picks: int = 4, block: int = 256, rounds: int = 2, counters: int = 1 << 20) -> DataFrame:
+def text_classes(base: DataFrame, k: int = 5, at_least: float = 0.8, sketches: int = 32, picks: int = 4, block: int = 256, rounds: int = 2) -> DataFrame:
     """base (doc_id, text, fp) to (fp, class_id, names): each text with words, its class, and whether it is the one the class is named by."""
     # Joins that grow with the corpus are sorted merges at every size, so that a small run shows what a large one does.
     with scratch(base.sparkSession) as keep:
@@ -350,7 +360,7 @@ def text_classes(base: DataFrame, k: int = 5, at_least: float = 0.8, sketches: i
         crowd = named.join(mixed, "bucket").select("fp", "label").distinct()
         # Texts of buckets that still hold several classes are compared where they share a rare k-mer, as any two of the
         # similarity do: in each such group with one of its texts, which then leaves, and after some rounds across.
-        near = near_groups(written(crowd.join(whole.dropDuplicates(["fp"]), "fp")), k, at_least, counters)
+        near = near_groups(written(crowd.join(whole.dropDuplicates(["fp"]), "fp")), k, at_least)
         groups = near.select("key", "fp", "n").distinct()
         for turn in range(rounds):
             live = open_groups(groups, labels, turn)

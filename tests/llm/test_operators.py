@@ -426,6 +426,20 @@ def test_near_duplicates(docs, rows, none, block):
     assert len(wordy) == classes.count and len(kept) - len(wordy) == sum(not (t or "").split() for _, t in rows)
 
 
+def test_near_groups_need_enough_in_common(spark):
+    """Texts of two labels meet under a key if they are similar, and not for half of their words, however many texts of one label hold the rest."""
+    words = lambda name, n: [f"{name}{i}" for i in range(n)]
+    passage, lone = words("p", 200), words("q", 200)
+    rows = [(x.encode() + bytes([k]), x.encode(), " ".join([f"own{k}", *words(x, 200), *(words(f"{x}{k}_", 200) if k else passage)])) for x in "AB" for k in range(5)]
+    rows += [(b"C", b"C", " ".join(lone)), (b"D", b"D", " ".join([*lone[:90], "changed", *lone[91:]]))]
+    crowd = spark.createDataFrame(rows, "fp binary, label binary, text string")
+    groups = defaultdict(set)
+    for r in op8_neardup.near_groups(crowd, 5, 0.8).collect():
+        groups[r.key].add((bytes(r.fp), r.indexed))
+    assert groups and {fp for g in groups.values() for fp, _ in g} == {b"C", b"D"}
+    assert all(len({fp for fp, _ in g}) == 2 and {kind for _, kind in g} == {True, False} for g in groups.values())
+
+
 def test_near_duplicates_of_a_whole_table(spark):
     """Classes of all documents of a table against all pairs that share one of their rarest k-mers, as any two of the similarity do."""
     table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
