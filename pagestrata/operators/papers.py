@@ -339,15 +339,20 @@ def diagnosis(questions: DataFrame, kinds: DataFrame, ranges: dict[int, tuple[in
     questions: doc_id, session, number, page_start, page_end. kinds: doc_id,
     page, kind of every page; covers, papers and empty pages need no question.
     """
-    w = Window.partitionBy("doc_id", "session").orderBy("page_start", "page_end", "number")
-    rising = questions.withColumn("up", F.coalesce(F.col("number") >= F.lag("number").over(w), F.lit(True)))
-    per = rising.groupBy("doc_id", "session").agg(F.count("*").alias("n"), F.bool_and("up").alias("up"), (F.count_distinct("number") == F.max("number")).alias("whole"))
-    low, high = F.lit(None), F.lit(None)
-    for s, (lo, hi) in ranges.items():
-        low, high = F.when(F.col("session") == s, lo).otherwise(low), F.when(F.col("session") == s, hi).otherwise(high)
-    by_doc = per.withColumn("fits", F.coalesce(F.col("n").between(low, high), F.lit(False))).groupBy("doc_id").agg((F.count_if(F.col("fits") & F.col("session").isin(*ranges)) == len(ranges)).alias("counts_ok"), F.bool_and("up").alias("rising"), F.bool_and("whole").alias("continuous"))
-    covered = questions.select("doc_id", F.explode(F.sequence("page_start", "page_end")).alias("page")).distinct().withColumn("inside", F.lit(True))
+    rows = F.array_sort(F.collect_list(F.struct("session", "page_start", "page_end", "number")))
+    docs = questions.groupBy("doc_id").agg(rows.alias("rows"))
+    q = F.col("rows")
+    falls = F.exists(F.zip_with(F.slice(q, 1, F.size(q) - 1), F.slice(q, 2, F.size(q) - 1), lambda x, y: x["session"].eqNullSafe(y["session"]) & (y["number"] < x["number"])), lambda x: F.coalesce(x, F.lit(False)))
+    sessions = F.array_distinct(F.transform(q, lambda x: x["session"]))
+    numbers = lambda s: F.array_distinct(F.filter(F.transform(F.filter(q, lambda x: x["session"].eqNullSafe(s)), lambda x: x["number"]), lambda n: n.isNotNull()))
+    whole = F.transform(sessions, lambda s: F.size(numbers(s)) == F.array_max(numbers(s)))
+    count = lambda s: F.size(F.filter(q, lambda x: x["session"] == s))
+    fits = [count(s).between(max(lo, 1), hi) for s, (lo, hi) in ranges.items()]
+    told = docs.select("doc_id", "rows", reduce(lambda x, y: x & y, fits, F.lit(True)).alias("counts_ok"), (~falls).alias("rising"), F.when(F.exists(whole, lambda x: x.isNotNull()), F.forall(whole, lambda x: F.coalesce(x, F.lit(True)))).alias("continuous"))
     free = F.col("kind").isin("SESSION_HDR", "SELECT_HDR", "COVER", "EXAM_PAPER", "EMPTY")
-    pages = kinds.join(covered, ["doc_id", "page"], "left").groupBy("doc_id").agg(F.count_if(F.col("kind") == "Q_START_PARTIAL").alias("n_partial"), F.count_if(F.col("inside").isNull() & ~free).alias("n_outside"))
-    out = pages.join(by_doc, "doc_id", "left").na.fill(False, ["counts_ok", "rising", "continuous"])
+    page = F.col("page")
+    inside = F.coalesce(F.exists("rows", lambda x: page.between(x["page_start"], x["page_end"]) | page.between(x["page_end"], x["page_start"])), F.lit(False))
+    # Pages and flags meet once: neither a document's questions nor its pages are made into rows of their own.
+    pages = kinds.join(told, "doc_id", "left").groupBy("doc_id", "counts_ok", "rising", "continuous").agg(F.count_if(F.col("kind") == "Q_START_PARTIAL").alias("n_partial"), F.count_if(~inside & ~free).alias("n_outside"))
+    out = pages.select("doc_id", "n_partial", "n_outside", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("counts_ok", "rising", "continuous")])
     return out.withColumn("ok", F.col("counts_ok") & F.col("rising") & F.col("continuous") & (F.col("n_partial") == 0) & (F.col("n_outside") == 0))

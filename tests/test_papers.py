@@ -220,3 +220,18 @@ def test_lists_and_orders(spark):
 def test_jobs_after_a_restart(spark):
     jobs = spark.createDataFrame([(1, "processing", None), (2, "done", 5.0)], "job int, status string, finished_at double")
     assert sorted((r.job, r.status, r.finished_at) for r in E.recovered(jobs, F.lit(9.0)).collect()) == [(1, "error", 9.0), (2, "done", 5.0)]
+
+
+def test_diagnosis_of_odd_rows(spark):
+    """Nulls, falling ranges, gaps and missing sessions; a document's rows meet its pages once, without windows or rows for each page of a question."""
+    rows = [(1, 1, 1, 1, 2), (1, 1, 2, 3, 3), (1, 2, 1, 6, 5), (2, 1, 2, 1, 1), (2, 1, 1, 2, 2), (2, 2, 3, 3, 3), (3, 1, None, 1, None), (3, 2, 1, 2, 2), (3, 2, None, 3, 3), (4, 1, None, 1, 1), (5, 1, 1, 1, 1), (5, None, 2, 2, 2), (5, None, 1, 3, 3), (None, 1, 1, 1, 1)]
+    questions = spark.createDataFrame(rows, "doc_id long, session int, number int, page_start int, page_end int")
+    kinds = [(1, p, "Q_BODY") for p in range(1, 7)] + [(1, 4, "COVER"), (1, 8, None), (2, 1, "Q_START_PARTIAL"), (2, 9, "Q_BODY"), (3, 1, "Q_BODY"), (3, None, "Q_BODY"), (4, 1, "Q_BODY"), (5, 1, "Q_BODY"), (6, 1, "Q_BODY"), (None, 1, "Q_BODY")]
+    found = P.diagnosis(questions, spark.createDataFrame(kinds, "doc_id long, page int, kind string"), {1: (1, 2), 2: (1, 2)})
+    got = {r[0]: tuple(r)[1:] for r in found.select("doc_id", "n_partial", "n_outside", "counts_ok", "rising", "continuous", "ok").collect()}
+    assert got == {
+        1: (0, 1, True, True, True, False), 2: (1, 1, True, False, False, False), 3: (0, 2, True, True, True, False), 4: (0, 0, False, True, False, False),
+        5: (0, 0, False, False, True, False), 6: (0, 1, False, False, False, False), None: (0, 1, False, False, False, False),
+    }
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Generate" not in plan and plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") + plan.count("ShuffledHashJoin") <= 2
