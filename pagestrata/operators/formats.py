@@ -64,7 +64,7 @@ def format_pages(elements: DataFrame) -> DataFrame:
     )
     every = elements.groupBy("doc_id").agg(F.max("page").alias("n_pages")).select("doc_id", "n_pages", F.explode(F.sequence(F.lit(1), "n_pages")).alias("page"))
     flags = [f.name for f in marks.schema if f.dataType.typeName() == "boolean"]
-    return every.join(marks, ["doc_id", "page"], "left").na.fill(False, flags)
+    return every.join(joins.grown(marks), ["doc_id", "page"], "left").na.fill(False, flags)
 
 
 def runs(pages: DataFrame, end: Column, start: Column, skip: Column) -> DataFrame:
@@ -114,11 +114,15 @@ def _named(topics: DataFrame, titles_: DataFrame, rules: list[str], fmt: str, pa
     return found.withColumn("title", F.coalesce("title", titles.placeholder(F.col("page_start")))).withColumn("fmt", F.lit(fmt)).select(*COLUMNS)
 
 
+def _in_sessions(topics: DataFrame, blocks: DataFrame, by: str = "page_start") -> DataFrame:
+    return joins.session_of(topics.repartition("doc_id", "page_start"), blocks, ["doc_id"], "page_start", by)
+
+
 def itpe(pages: DataFrame, blocks: DataFrame, titles_: DataFrame) -> DataFrame:
     """Topics close at the word for the end and open at a cluster of labels; covers are skipped. What is left behind the last end is a topic where it opens with a cluster."""
     found = runs(pages, F.col("end"), F.col("meta"), F.col("itpe_cover"))
     tails = found.where("end is null and prev > 0 and mark is not null and not mark_skipped")
-    topics = joins.session_of(_intervals(found.where("end is not null"), tails, F.col("mark")), blocks, ["doc_id"], "page_start")
+    topics = _in_sessions(_intervals(found.where("end is not null"), tails, F.col("mark")), blocks)
     first = F.coalesce(F.min(F.when(F.col("meta") & ~F.col("itpe_cover"), F.col("page"))), F.min(F.when(F.col("end"), F.col("page"))))
     return _named(topics, titles_, ["own"], "ITPE", 1).unionByName(fronts(pages, blocks, first, F.col("itpe_cover")).select(*COLUMNS))
 
@@ -133,7 +137,7 @@ def kpc(pages: DataFrame, blocks: DataFrame, titles_: DataFrame) -> DataFrame:
     opened = by_star.withColumn("_at", F.max(F.when(F.col("star"), F.col("page"))).over(upto)).where("_at is not null")
     stars = opened.groupBy("doc_id", F.col("_at").alias("page_start")).agg(F.max(F.when(~F.col("skip"), F.col("page"))).alias("page_end"), F.bool_or((F.col("page") == F.col("_at")) & F.col("skip")).alias("_skip"))
     both = main.unionByName(stars.where("not _skip").select("doc_id", "page_start", "page_end", F.lit(0.80).alias("confidence")))
-    topics = joins.session_of(both, blocks, ["doc_id"], "page_start")
+    topics = _in_sessions(both, blocks)
     free = F.when(~F.col("skip"), F.col("page"))
     ends = F.min(F.when(F.col("opinion"), F.col("page")))
     first = F.coalesce(F.min(F.when(F.col("star"), free)), F.when(F.min(free) <= ends, F.min(free)))
@@ -144,14 +148,14 @@ def airipo(pages: DataFrame, titles_: DataFrame) -> DataFrame:
     """Sessions by their headers (A10; without any one block); topics close at the word for the end, up to the last session's end. In front of the first session stands the cover, behind the last one the original paper."""
     headed = aggregates.session_ranges(pages.where("header is not null").select("doc_id", "page", "header"), ["doc_id"], "page", "page", "header")
     whole = pages.groupBy("doc_id").agg(F.max("n_pages").alias("n_pages"))
-    single = whole.join(headed, "doc_id", "left_anti").select("doc_id", F.lit(0).alias("header"), F.lit(1).alias("page_start"), F.col("n_pages").alias("page_end"))
-    blocks = headed.select("doc_id", "header", "page_start", "page_end").unionByName(single)
-    span = whole.join(blocks.groupBy("doc_id").agg(F.min("page_start").alias("front"), (F.max("page_end") + 1).alias("cut"), F.min_by("page_start", "header").alias("opening")), "doc_id")
-    inside = pages.join(span.select("doc_id", "cut", "opening"), "doc_id").where(F.col("page") < F.col("cut"))
-    found = runs(inside, F.col("end"), F.lit(False), F.lit(False)).join(span.select("doc_id", "opening"), "doc_id")
+    single = whole.join(joins.grown(headed), "doc_id", "left_anti").select("doc_id", F.lit(0).alias("header"), F.lit(1).alias("page_start"), F.col("n_pages").alias("page_end"))
+    blocks = headed.select("doc_id", "header", "page_start", "page_end").unionByName(single).repartition("doc_id", "header")
+    span = whole.join(joins.grown(blocks.groupBy("doc_id").agg(F.min("page_start").alias("front"), (F.max("page_end") + 1).alias("cut"), F.min_by("page_start", "header").alias("opening"))), "doc_id")
+    inside = pages.join(joins.grown(span.select("doc_id", "cut", "opening")), "doc_id").where(F.col("page") < F.col("cut"))
+    found = runs(inside, F.col("end"), F.lit(False), F.lit(False)).join(joins.grown(span.select("doc_id", "opening")), "doc_id")
     closed = found.where("end is not null").withColumn("page_start", F.greatest(F.col("prev") + 1, F.col("opening"))).where("page_start <= end")
     cut = _intervals(closed, found.where("end is null and prev > 0"), F.col("prev") + 1)
-    topics = joins.session_of(cut, blocks.withColumnRenamed("header", "session"), ["doc_id"], "page_start", "session")
+    topics = _in_sessions(cut, blocks.withColumnRenamed("header", "session"), "session")
     named = titles.range_titles(topics, titles_, ["airipo"]).where("title is not null or confidence > 0.6")
     own = named.withColumn("title", F.coalesce("title", titles.placeholder(F.col("page_start")))).withColumn("fmt", F.lit("AIRIPO")).select(*COLUMNS)
 
@@ -165,12 +169,12 @@ def airipo(pages: DataFrame, titles_: DataFrame) -> DataFrame:
 def by_format(e: DataFrame, blocks: DataFrame) -> DataFrame:
     """Each document's topics and question pages by its own format, numbered; taken only with max(5, pages / 10) topics or more: doc_id, session, num, session_q, title, page_start, page_end, confidence, fmt. e as titles.marked() gives it, blocks its sessions."""
     kinds = detect_format(e).select("doc_id", "pages", "format")
-    pages = staged(format_pages(e).join(kinds.select("doc_id", "format"), "doc_id"))
+    pages = staged(format_pages(e).join(joins.grown(kinds.select("doc_id", "format")), "doc_id"))
     shown = staged(titles.page_titles(e.join(kinds.where("format in ('ITPE', 'KPC', 'AIRIPO')"), "doc_id", "left_semi")))
     of = lambda name: pages.where(F.col("format") == name).drop("format")
     found = staged(itpe(of("ITPE"), blocks, shown).unionByName(kpc(of("KPC"), blocks, shown)).unionByName(airipo(of("AIRIPO"), shown)))
     topic = F.col("fmt") != "question_pages"
-    n = found.groupBy("doc_id").agg(F.count_if(topic).alias("_n")).join(kinds, "doc_id").where(F.col("_n") >= F.greatest(F.lit(5), F.floor(F.col("pages") / 10)))
-    kept = found.join(n.select("doc_id"), "doc_id", "left_semi").withColumn("_q", order.questions_first())
+    n = found.groupBy("doc_id").agg(F.count_if(topic).alias("_n")).join(joins.grown(kinds), "doc_id").where(F.col("_n") >= F.greatest(F.lit(5), F.floor(F.col("pages") / 10)))
+    kept = found.join(joins.grown(n.select("doc_id")), "doc_id", "left_semi").withColumn("_q", order.questions_first())
     numbered = order.renumber(kept, ["doc_id"], ["session"], ["page_start", "_q", "page_end"], topic)
     return numbered.select("doc_id", "session", "num", "session_q", "title", "page_start", "page_end", "confidence", "fmt")

@@ -115,7 +115,7 @@ def page_flags(e: DataFrame) -> DataFrame:
         first(col("keyword"), col("keyword").isNotNull()).alias("keyword"),
         first(col("kr_text"), plain & (kr >= 0)).alias("kr_title"),
     )
-    p = flags.join(texts, ["doc_id", "page"], "left").join(numbered_cells(e), ["doc_id", "page"], "left")
+    p = flags.join(joins.grown(texts), ["doc_id", "page"], "left").join(joins.grown(numbered_cells(e)), ["doc_id", "page"], "left")
     own = F.when(F.col("_story.i") == F.col("_first"), F.col("_story.story"))
     out = p.withColumns({"said": F.coalesce("cell_title", "said"), "story": F.when(F.col("_first").isNotNull(), F.struct(own.alias("t"))), "hints": F.coalesce("hints", F.array().cast("array<string>"))})
     return out.drop("cell_title", "_story", "_first")
@@ -151,17 +151,17 @@ def sessions(p: DataFrame) -> DataFrame:
     days = order.transitions(counted.where("_s is not null"), ["doc_id"], ["page"], "day_no", 2, False).select("doc_id", "page", F.col("day_no").alias("no"), "_ends", "_all")
     none = [F.lit(None).cast("long").alias(c) for c in ("_ends", "_all")]
     points = reduce(DataFrame.unionByName, [df.withColumn("way", F.lit(k)) for k, df in ((1, covers.select("doc_id", "page", "no", *none)), (2, changes.select("*", *none)), (3, days))])
-    best = points.withColumn("_w", F.min("way").over(document())).where("way = _w")
+    best = points.repartition("doc_id", "page").withColumn("_w", F.min("way").over(document())).where("way = _w")
     i = F.row_number().over(pages_in_order())
     ordered = F.coalesce(F.bool_and(F.coalesce(F.col("no") > F.col("_b"), F.lit(True)) & F.col("no").isNotNull()).over(document()), F.lit(False))
     numbered = best.withColumn("_b", F.lag("no").over(pages_in_order())).withColumn("session", F.when(ordered, F.col("no")).otherwise(i).cast("int"))
-    closed = order.close_intervals(numbered.join(last, "doc_id"), ["doc_id"], "page", F.col("last"))
+    closed = order.close_intervals(numbered.join(joins.grown(last), "doc_id"), ["doc_id"], "page", F.col("last"))
     n_ends = F.coalesce(F.lead("_ends").over(pages_in_order()), F.col("_all")) - F.col("_ends")
     third = F.greatest(F.floor((F.col("page_end") - F.col("page") + 1) / 3), F.lit(3))
     by_day = F.when(n_ends >= 2, n_ends).otherwise(third)
     expected = F.when(F.col("way") == 3, by_day).when(F.col("session") == 1, 13).otherwise(6).cast("int")
     found = closed.select("doc_id", "session", F.col("page").alias("page_start"), "page_end", expected.alias("expected"))
-    single = last.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.lit(0).alias("session"), F.col("first").alias("page_start"), F.col("last").alias("page_end"), F.lit(31).alias("expected"))
+    single = last.join(joins.grown(found.select("doc_id").distinct()), "doc_id", "left_anti").select("doc_id", F.lit(0).alias("session"), F.col("first").alias("page_start"), F.col("last").alias("page_end"), F.lit(31).alias("expected"))
     return found.unionByName(single)
 
 

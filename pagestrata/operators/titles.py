@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import catalog as C
 from ..functions.text import flat_has, group, has, norm, strip
 from ..sources.stages import staged
-from . import aggregates
+from . import aggregates, joins
 
 
 def line(c: Column, most: int = 70) -> Column:
@@ -82,5 +82,5 @@ def range_titles(topics: DataFrame, titles: DataFrame, rules: list[str], pages:
     """topics (doc_id, page_start, page_end) with title: the first of `rules` that their first `pages` pages meet, on the first of these; null without any."""
     key = ["doc_id", "page_start", "page_end"]
     at = topics.select(*key, F.explode(F.sequence("page_start", F.least(F.col("page_start") + (pages - 1), F.col("page_end")))).alias("page"))
-    found = at.join(titles.select("doc_id", "page", *rules), ["doc_id", "page"]).groupBy(*key).agg(*[F.min_by(r, F.when(F.col(r).isNotNull(), F.col("page"))).alias(f"_{r}") for r in rules])
-    return topics.join(found, key, "left").withColumn("title", F.coalesce(*[F.col(f"_{r}") for r in rules])).drop(*[f"_{r}" for r in rules])
+    found = at.join(joins.grown(titles.select("doc_id", "page", *rules)), ["doc_id", "page"]).groupBy(*key).agg(*[F.min_by(r, F.when(F.col(r).isNotNull(), F.col("page"))).alias(f"_{r}") for r in rules])
+    return topics.join(joins.grown(found), key, "left").withColumn("title", F.coalesce(*[F.col(f"_{r}") for r in rules])).drop(*[f"_{r}" for r in rules])

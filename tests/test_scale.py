@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from pagestrata.functions import catalog as C
 from pagestrata.functions import text as T
+from pagestrata.operators import formats, signal_engine, titles
+from pagestrata.plans.format_queries import page_elements
+from pagestrata.sources.stages import staged
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -88,3 +91,23 @@ def test_pages_of_lines_are_cut_once(spark, tmp_path):
     folder = documents(spark, tmp_path, ["own line\n" * 30 for _ in range(40)])
     as_its_sql(spark, "line_topics", folder)
     assert "documents.parquet" not in registry.QUERIES["line_topics"](spark, folder)._jdf.queryExecution().toString()
+
+
+@pytest.fixture(scope="module")
+def engine(spark, tmp_path_factory):
+    """Written tables of a few documents: e (marked elements), p (pages' flags), blocks, pages (their formats' marks), shown (their titles)."""
+    folder = documents(spark, tmp_path_factory.mktemp("engine"), ["x" * (k % 12 + 30) for k in range(40)])
+    e = titles.marked(page_elements(spark, folder, {}))
+    p = staged(signal_engine.page_flags(e))
+    return {"e": e, "p": p, "blocks": staged(signal_engine.sessions(p)), "pages": staged(formats.format_pages(e)), "shown": staged(titles.page_titles(e))}
+
+
+def assert_nothing_sent(df):
+    """However small the tables are here, no side of a join goes whole to the driver."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_sessions_and_airipo_send_no_table_to_the_driver(engine):
+    assert_nothing_sent(signal_engine.sessions(engine["p"]))
+    assert_nothing_sent(formats.airipo(engine["pages"], engine["shown"]))
