@@ -98,7 +98,7 @@ def _intervals(closed: DataFrame, tails: DataFrame, tail_start: Column) -> DataF
 def fronts(pages: DataFrame, blocks: DataFrame, first_topic: Column, wanted: Column | None = None) -> DataFrame:
     """The pages of each session before its first topic: doc_id, session, title, page_start, page_end, confidence, fmt. first_topic and wanted are aggregates over a session's pages, which have block_start and block_end."""
     spread = blocks.select("doc_id", F.col("session").cast("long").alias("session"), F.col("page_start").alias("block_start"), F.col("page_end").alias("block_end"), F.explode(F.sequence("page_start", "page_end")).alias("page"))
-    g = pages.join(spread, ["doc_id", "page"]).groupBy("doc_id", "session", "block_start").agg(first_topic.alias("_first"), F.sort_array(F.collect_list(F.when(wanted if wanted is not None else F.lit(True), F.col("page")))).alias("_pages"))
+    g = pages.join(joins.grown(spread), ["doc_id", "page"]).groupBy("doc_id", "session", "block_start").agg(first_topic.alias("_first"), F.sort_array(F.collect_list(F.when(wanted if wanted is not None else F.lit(True), F.col("page")))).alias("_pages"))
     before = g.where(F.col("_first") > F.col("block_start"))
     if wanted is not None:
         before = before.where((F.get("_pages", F.lit(0)) < F.col("_first")) | (F.col("_first") > F.col("block_start") + 1))

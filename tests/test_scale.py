@@ -111,3 +111,10 @@ def assert_nothing_sent(df):
 def test_sessions_and_airipo_send_no_table_to_the_driver(engine):
     assert_nothing_sent(signal_engine.sessions(engine["p"]))
     assert_nothing_sent(formats.airipo(engine["pages"], engine["shown"]))
+
+
+def test_pages_of_blocks_are_not_sent_to_the_driver(engine):
+    """Nor are blocks exploded to their pages, which Spark takes to be as few as the blocks."""
+    first = F.min(F.when(F.col("end"), F.col("page")))
+    assert_nothing_sent(formats.fronts(engine["pages"], engine["blocks"], first))
+    assert_nothing_sent(formats.kpc(engine["pages"], engine["blocks"], engine["shown"]))
