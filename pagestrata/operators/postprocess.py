@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import strip, strip_title_prefix, title_key
 from ..sources.stages import staged
 from . import folds
-from .joins import drop_containers
+from .joins import drop_containers, grown
 
 INTERVALS = "doc_id string, num int, title string, page_start int, page_end int, session int, confidence double"
 
@@ -36,7 +36,7 @@ def without_containers(df: DataFrame) -> DataFrame:
 
 def merge_short(df: DataFrame, expected: DataFrame) -> DataFrame:
     """One page under 0.9, or up to two under 0.4, joins the topic before it in its session, else the one after, which it then opens; not where ten or more are expected."""
-    known = df.join(expected.select("doc_id", "session", "expected"), ["doc_id", "session"], "left").withColumn("expected", F.coalesce("expected", F.lit(6)).cast("int")).select(*df.columns, "expected")
+    known = df.join(grown(expected.select("doc_id", "session", "expected")), ["doc_id", "session"], "left").withColumn("expected", F.coalesce("expected", F.lit(6)).cast("int")).select(*df.columns, "expected")
     kinds = folds.kinds_of(known)
 
     def step(kept, row, after, state):

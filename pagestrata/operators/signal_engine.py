@@ -175,14 +175,14 @@ def weights(p: DataFrame) -> DataFrame:
         F.sum("n_font").alias("font_heading"), F.sum("n_mark").alias("marker_heading"), F.sum("n_star").alias("star_rating"),
         F.when(F.sum("n_session_topic") >= 3, F.sum("n_session_topic")).otherwise(F.count_if("split_cells")).alias("session_topic"),
     )
-    joined = counts.join(kw_n, "doc_id", "left").withColumn("header_kw", F.when(F.col("_pages") >= 5, F.col("_chg")).otherwise(0)).drop("_pages", "_chg")
+    joined = counts.join(joins.grown(kw_n), "doc_id", "left").withColumn("header_kw", F.when(F.col("_pages") >= 5, F.col("_chg")).otherwise(0)).drop("_pages", "_chg")
     return aggregates.calibrate(joined, C.FULL_COUNTS)
 
 
 def in_blocks(p: DataFrame, blocks: DataFrame) -> DataFrame:
     """Every page of every block, with its flags; pages without elements have none."""
     by_page = blocks.select("doc_id", "session", "expected", F.col("page_start").alias("block_start"), F.col("page_end").alias("block_end"), F.explode(F.sequence("page_start", "page_end")).alias("page"))
-    t = by_page.join(p.withColumn("filled", F.lit(True)), ["doc_id", "page"], "left")
+    t = by_page.join(joins.grown(p.withColumn("filled", F.lit(True))), ["doc_id", "page"], "left")
     flags = [f.name for f in t.schema if f.dataType.typeName() == "boolean"]
     counts = [f.name for f in p.schema if f.name.startswith("n_") or f.name == "all_roman"]
     return t.na.fill(False, flags).na.fill(0, counts)
@@ -203,7 +203,7 @@ def scores(p: DataFrame, blocks: DataFrame, elements: DataFrame) -> DataFrame:
     Later signals look at what earlier ones found on the page, so they are
     columns in turn. A cover counts at its block's start and right after an end.
     """
-    t = noise_pages(in_blocks(p, blocks)).join(weights(p), "doc_id")
+    t = noise_pages(in_blocks(p, blocks)).join(joins.grown(weights(p)), "doc_id")
     s = Window.partitionBy("doc_id", "session").orderBy("page")
     before, after = s.rowsBetween(Window.unboundedPreceding, -1), s.rowsBetween(1, Window.unboundedFollowing)
     w = lambda k: F.col(f"w_{k}")
@@ -298,13 +298,13 @@ def sub_splits(chosen: DataFrame, p: DataFrame) -> DataFrame:
     few = F.count("*").over(block()) < F.col("expected")
     known = chosen.withColumn("few", few).withColumn("long", span > F.when(F.col("expected") >= 10, 3).otherwise(6))
     key = ["doc_id", "session", "page_start"]
-    inside = known.where("long").select(*key, F.explode(F.sequence("page_start", "page_end")).alias("page")).join(p.select("doc_id", "page", "opening", "kr", "kr_title", "story", "said"), ["doc_id", "page"])
+    inside = known.where("long").select(*key, F.explode(F.sequence("page_start", "page_end")).alias("page")).join(joins.grown(p.select("doc_id", "page", "opening", "kr", "kr_title", "story", "said")), ["doc_id", "page"])
     w = Window.partitionBy(*key).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
     again = F.coalesce((F.col("kr") == 0) & (F.max("kr").over(w) >= 1), F.lit(False))
     inside = inside.withColumn("again", again)
     rows = lambda cond, t: F.array_sort(F.collect_list(F.when(cond, F.struct(F.col("page").alias("page"), t.alias("title")))))
     found = inside.groupBy(*key).agg(rows(F.col("opening").isNotNull(), F.col("opening")).alias("one"), rows(F.col("again"), F.col("kr_title")).alias("two"), rows((F.col("page") != F.col("page_start")) & F.col("story.t").isNotNull(), F.col("story.t")).alias("three"), F.max(F.when(F.col("page") == F.col("page_start"), F.col("said"))).alias("said"))
-    joined = known.join(found, key, "left")
+    joined = known.join(joins.grown(found), key, "left")
     head = F.array(F.struct(F.col("page_start").alias("page"), F.coalesce("said", F.concat(F.lit("토픽_p"), F.col("page_start").cast("string"))).alias("title")))
     cuts = F.when(F.size("one") > 1, F.col("one")).when(F.col("few") & (F.size("two") > 0), F.concat(head, F.col("two"))).when(F.col("few") & (F.size("three") > 0), F.concat(head, F.col("three")))
     t = joined.withColumn("cuts", F.when(F.col("long"), cuts))
@@ -328,7 +328,7 @@ def _weighted(elements: DataFrame, p: DataFrame, blocks: DataFrame) -> DataFrame
     rated = closed.withColumn("confidence", F.round(F.least(F.col("score") / F.max("score").over(block()), F.lit(1.0)), 6)).withColumnRenamed("page", "page_start")
     topics = sub_splits(staged(rated.select("doc_id", "session", "expected", "title", "page_start", "page_end", "confidence")), p).drop("expected").withColumn("fmt", F.lit("topic"))
     questions = question_pages(in_blocks(p.select("doc_id", "page", "n_questions", "n_numbered", "answers"), blocks))
-    both = topics.unionByName(questions.select(*topics.columns))
+    both = topics.unionByName(questions.select(*topics.columns)).repartition("doc_id", "page_start")
     w = Window.partitionBy("doc_id").orderBy("page_start", F.when(F.col("fmt") == "topic", 0).otherwise(1), "page_end")
     listed = both.withColumn("num", F.row_number().over(w).cast("int"))
     merged = postprocess.merge_short(listed, blocks)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagestrata.functions import catalog as C
 from pagestrata.functions import text as T
-from pagestrata.operators import formats, signal_engine, titles
+from pagestrata.operators import formats, postprocess, signal_engine, titles
 from pagestrata.plans.format_queries import page_elements
 from pagestrata.sources.stages import staged
 
@@ -118,3 +118,13 @@ def test_pages_of_blocks_are_not_sent_to_the_driver(engine):
     first = F.min(F.when(F.col("end"), F.col("page")))
     assert_nothing_sent(formats.fronts(engine["pages"], engine["blocks"], first))
     assert_nothing_sent(formats.kpc(engine["pages"], engine["blocks"], engine["shown"]))
+
+
+def test_flags_of_pages_are_not_sent_to_the_driver(engine):
+    p, blocks = engine["p"], engine["blocks"]
+    assert_nothing_sent(signal_engine.in_blocks(p, blocks))
+    assert_nothing_sent(signal_engine.weights(p))
+    chosen = blocks.select("doc_id", "session", "expected", F.lit("t").alias("title"), "page_start", "page_end", F.lit(0.5).alias("confidence"))
+    assert_nothing_sent(signal_engine.sub_splits(chosen, p))
+    listed = chosen.drop("expected").withColumns({"fmt": F.lit("topic"), "num": F.lit(1)})
+    assert_nothing_sent(postprocess.merge_short(listed, blocks))
